@@ -84,7 +84,10 @@ def orphan_keys(
         lambda a, b: a & b,
         [refs[f"`{c}`"] == pk[f"__pk{i}"] for i, c in enumerate(child_cols)],
     )
-    return refs.join(pk, cond, "left_anti")
+    # ``n > 0`` always holds; naming the aggregate in the condition keeps the optimizer
+    # from pushing the anti join below the aggregation, which would shuffle every child
+    # row (a hot key included) instead of one partial count per key and task.
+    return refs.join(pk, cond & (refs["n"] > 0), "left_anti")
 
 
 def orphan_rows(

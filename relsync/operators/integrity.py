@@ -35,6 +35,9 @@ def _open_input(uri: str):
 
     if uri.startswith("file:") and not uri.startswith("file://"):
         uri = "file://" + uri[len("file:"):]
+    for hadoop_scheme in ("s3a://", "s3n://"):  # Hadoop's S3 schemes are Arrow's s3://
+        if uri.startswith(hadoop_scheme):
+            uri = "s3://" + uri[len(hadoop_scheme):]
     filesystem, path = fs.FileSystem.from_uri(uri)
     return filesystem.open_input_stream(path)
 
@@ -61,7 +64,9 @@ def hash_files(spark: SparkSession, pattern: str, max_cell_bytes: int = DEFAULT_
     if glob_filter:
         reader = reader.option("pathGlobFilter", glob_filter)
     inv = file_inventory(spark, pattern, glob_filter)
-    if not inv.columns or inv.isEmpty():
+    stats = inv.agg(F.count(F.lit(1)).alias("n"),
+                    F.count(F.when(F.col("length") > max_cell_bytes, 1)).alias("n_large")).first()
+    if stats["n"] == 0:
         return spark.createDataFrame([], "path string, length bigint, sha1 string")
     # The length filter is applied to file metadata before any content is read.
     small = (
@@ -70,7 +75,7 @@ def hash_files(spark: SparkSession, pattern: str, max_cell_bytes: int = DEFAULT_
         .select("path", "length", F.sha1("content").alias("sha1"))
     )
     large = inv.where(F.col("length") > max_cell_bytes).select("path", "length")
-    n_large = large.count()
+    n_large = stats["n_large"]
     if n_large == 0:
         return small
     hashed = large.repartition(n_large, "path").mapInPandas(

@@ -39,6 +39,9 @@ def _footer_fields(uri: str) -> dict:
 
     if uri.startswith("file:") and not uri.startswith("file://"):
         uri = "file://" + uri[len("file:"):]
+    for hadoop_scheme in ("s3a://", "s3n://"):  # Hadoop's S3 schemes are Arrow's s3://
+        if uri.startswith(hadoop_scheme):
+            uri = "s3://" + uri[len(hadoop_scheme):]
     filesystem, path = fs.FileSystem.from_uri(uri)
     schema = pq.read_schema(path, filesystem=filesystem)
     return {f.name: str(f.type) for f in schema}
@@ -87,14 +90,14 @@ def read_dataset(spark: SparkSession, files: str | Sequence[str], mode: str = "s
     else:
         paths = sorted(files)
         inventory = spark.createDataFrame([(f,) for f in paths], "path string")
-    head = inventory.orderBy("path").take(1)
+    head = inventory.orderBy("path").take(2)
     if not head:
         raise NoFiles(f"no Parquet files in {files}")
     first_file = head[0]["path"]
     if mode == "merge":
         return spark.read.option("mergeSchema", "true").parquet(*paths)
     first = schema or spark.read.parquet(first_file).schema
-    if mode == "strict":
+    if mode == "strict" and len(head) > 1:
         others = inventory.where(F.col("path") != first_file)
         bad = footer_report(spark, others, first_file).where(F.size("missing") > 0).take(5)
         if bad:

@@ -149,3 +149,15 @@ def test_merge_missing_key_rejected(spark):
     s = spark.createDataFrame([(1, "a")], "ident bigint, data string")
     with pytest.raises(ValueError, match="missing"):
         merge_snapshot(s, f, ["id"])
+
+
+def test_orphan_check_aggregates_before_the_join(spark):
+    # one parent key referenced by a third of all child rows
+    child = spark.range(0, 30000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") + 10).alias("fk"))
+    parent = spark.range(0, 20000).select(F.col("id").alias("pk"))
+    out = orphan_keys(child, parent, ["fk"], ["pk"])
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join LeftAnti") < plan.index("Aggregate")  # aggregate sits below the join
+    expected = {i + 10 for i in range(30000) if i % 3 and i + 10 >= 20000}
+    assert {r["fk"] for r in out.collect()} == expected
