@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
+import threading
+from concurrent.futures import ThreadPoolExecutor, as_completed
 from dataclasses import dataclass
 from typing import Sequence
 
@@ -100,30 +102,53 @@ def load_release(spark: SparkSession, specs: Sequence[DatasetSpec], source: Sour
                  sink: CatalogSink, version: str | None = None,
                  datasets: Sequence[str] | None = None, load_type: str = "delta",
                  force: bool = False, continue_on_error: bool = True, verify: bool = True,
-                 schema_mode: str = "strict") -> DataFrame:
+                 schema_mode: str = "strict", max_workers: int = 4) -> DataFrame:
     """Load a release (default: the newest). One outcome row per dataset.
 
     Pre-flight checks and the manifest check run first; a failure there loads nothing.
-    With ``continue_on_error`` a failed dataset is reported and the others still load;
-    without it the first failure is raised.
+    Datasets load concurrently from ``max_workers`` driver threads (their Spark jobs share
+    the cluster). With ``continue_on_error`` a failed dataset is reported and the others
+    still load; without it the first failure is raised once running loads finish and no
+    further dataset starts.
     """
     require_checks(run_checks(spark, source, specs))
     version = version or latest_version(spark, source)
     chosen = [s for s in specs if datasets is None or s.name in set(datasets)]
+    sink.ensure_database()
     manifest = load_manifest(spark, source, version).cache() if verify else None
-    outcomes: list[Outcome] = []
+    outcomes: dict[str, Outcome] = {}
+    stop = threading.Event()
+
+    def run(spec: DatasetSpec) -> Outcome | None:
+        if stop.is_set():
+            return None
+        try:
+            return load_dataset(spark, spec, source, version, sink, load_type, force,
+                                manifest, schema_mode)
+        except Exception as e:
+            log.error("dataset %s failed: %s", spec.name, e)
+            if not continue_on_error:
+                stop.set()
+                raise
+            return Outcome(spec.name, spec.table_name, version, "failed", 0,
+                           " ".join(str(e).split("\n")))
+
     try:
-        for spec in chosen:
-            try:
-                outcomes.append(load_dataset(spark, spec, source, version, sink, load_type,
-                                             force, manifest, schema_mode))
-            except Exception as e:
-                log.error("dataset %s failed: %s", spec.name, e)
-                if not continue_on_error:
-                    raise
-                outcomes.append(Outcome(spec.name, spec.table_name, version, "failed",
-                                        0, " ".join(str(e).split("\n"))))
+        with ThreadPoolExecutor(max_workers=max(1, max_workers)) as pool:
+            futures = {pool.submit(run, spec): spec for spec in chosen}
+            first_error = None
+            for fut in as_completed(futures):
+                try:
+                    out = fut.result()
+                except Exception as e:  # only when continue_on_error is False
+                    first_error = first_error or e
+                    continue
+                if out is not None:
+                    outcomes[out.dataset] = out
+            if first_error is not None:
+                raise first_error
     finally:
         if manifest is not None:
             manifest.unpersist()
-    return spark.createDataFrame([o.row() for o in outcomes], OUTCOME_SCHEMA)
+    ordered = [outcomes[s.name] for s in chosen if s.name in outcomes]
+    return spark.createDataFrame([o.row() for o in ordered], OUTCOME_SCHEMA)

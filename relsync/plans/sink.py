@@ -12,6 +12,7 @@ public methods stay the same.
 
 from __future__ import annotations
 
+import threading
 import time
 import uuid
 from typing import Sequence
@@ -41,13 +42,17 @@ class CatalogSink:
         self.ledger_table = ledger_table
         self.keep = max(1, keep_generations)
         self.bucket_by_key = bucket_by_key
+        # appends to one table directory must not overlap (their commits share a
+        # temporary folder), so ledger writes and catalog DDL are serialised
+        self._lock = threading.RLock()
 
     # --- catalog -------------------------------------------------------------------------
     def fq(self, table: str) -> str:
         return f"{_q(self.database)}.{_q(table)}"
 
     def ensure_database(self) -> None:
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {_q(self.database)}")
+        with self._lock:
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {_q(self.database)}")
 
     def exists(self, table: str) -> bool:
         return self.spark.catalog.tableExists(table, self.database)
@@ -118,9 +123,10 @@ class CatalogSink:
         return self.spark.table(self.fq(self.ledger_table))
 
     def record(self, row: tuple) -> None:
-        self.ensure_database()
-        L.ledger_frame(self.spark, [row]).coalesce(1).write.format(self.fmt).mode(
-            "append").saveAsTable(self.fq(self.ledger_table))
+        with self._lock:
+            self.ensure_database()
+            L.ledger_frame(self.spark, [row]).coalesce(1).write.format(self.fmt).mode(
+                "append").saveAsTable(self.fq(self.ledger_table))
 
     def last_success(self, dataset: str) -> str | None:
         return L.last_success_version(self.ledger(), dataset)
