@@ -165,3 +165,16 @@ def test_release_watcher_loads_new_releases_once(spark, tmp_path, sink):
     n = sink.ledger().count()
     watch_releases(spark, src, spec, sink, checkpoint=ckpt).awaitTermination(120)
     assert sink.ledger().count() == n
+
+
+def test_bucketed_generations(spark, tmp_path):
+    sink = CatalogSink(spark, database="db_" + uuid.uuid4().hex[:8], bucket_by_key=4)
+    first = spark.createDataFrame([(i, f"v{i}") for i in range(50)], "id bigint, data string")
+    assert sink.merge("t", first, ["id"]) == 50
+    second = spark.createDataFrame([(i, f"w{i}") for i in range(25, 75)], "id bigint, data string")
+    assert sink.merge("t", second, ["id"]) == 50
+    assert rows(sink.read("t")) == [(i, f"w{i}") for i in range(25, 75)]
+    gen = sink.generations("t")[-1]
+    desc = {r["col_name"]: r["data_type"] for r in
+            spark.sql(f"DESCRIBE TABLE EXTENDED {sink.fq(gen)}").collect()}
+    assert desc.get("Num Buckets") == "4"
