@@ -18,6 +18,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from relsync.operators.checks import check_primary_key
 from relsync.operators.evolve import conform, diff_schemas
 
 OPS = ("insert", "update", "delete", "unchanged")
@@ -51,6 +52,18 @@ def merge_snapshot(staging: DataFrame, final: DataFrame | None, keys: Sequence[s
     return conform(staging, final.schema, carried=joined)
 
 
+def replace_snapshot(staging: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Full refresh: the table becomes ``staging`` as it is (its own columns and types).
+
+    The key is checked first (one aggregation over the key columns); a null or duplicate
+    key raises before anything could be published.
+    """
+    keys = list(keys)
+    _require_keys(staging, keys, "staging")
+    check_primary_key(staging, keys)
+    return staging
+
+
 def stale_rows(final: DataFrame, staging: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``final`` whose key is absent from ``staging`` (the rows a delta load deletes)."""
     keys = list(keys)
@@ -63,13 +76,20 @@ def kept_rows(final: DataFrame, staging: DataFrame, keys: Sequence[str]) -> Data
     return final.join(staging.select(*[F.col(f"`{k}`") for k in keys]), on=keys, how="left_semi")
 
 
-def diff_snapshots(staging: DataFrame, final: DataFrame, keys: Sequence[str]) -> DataFrame:
+def diff_snapshots(staging: DataFrame, final: DataFrame, keys: Sequence[str],
+                   compare: str = "exact") -> DataFrame:
     """``(keys..., op)`` with op insert / update / delete / unchanged for every key of either side.
 
     A kept key is ``update`` when any column both sides share differs (null-safe), the
     staging value taken in the table's type, as the merge would store it. One full outer
     join on the key; both sides carry only key + shared columns.
+
+    ``compare="digest"`` shuffles a SHA-256 of the shared columns' JSON instead of the
+    columns themselves (32 bytes per row whatever the width); values that print the same
+    compare equal (so -0.0 differs from 0.0, which exact comparison treats as equal).
     """
+    if compare not in ("exact", "digest"):
+        raise ValueError("compare must be exact or digest")
     keys = list(keys)
     _require_keys(staging, keys, "staging")
     _require_keys(final, keys, "final")
@@ -78,14 +98,21 @@ def diff_snapshots(staging: DataFrame, final: DataFrame, keys: Sequence[str]) ->
     shared = [c for c in d.common if c.lower() not in key_l]
     ftype = {f.name.lower(): f.dataType for f in final.schema.fields}
 
+    s_vals = [F.col(f"`{c}`").cast(ftype[c.lower()]) for c in shared]
+    f_vals = [F.col(f"`{c}`") for c in shared]
+    if compare == "digest" and shared:
+        def digest(vals):
+            row = F.struct(*[v.alias(f"c{i}") for i, v in enumerate(vals)])
+            return [F.sha2(F.to_json(row, {"ignoreNullFields": "false"}), 256)]
+        s_vals, f_vals, shared = digest(s_vals), digest(f_vals), ["__digest"]
     s = staging.select(
         *[F.col(f"`{k}`").alias(f"__k{i}") for i, k in enumerate(keys)],
-        *[F.col(f"`{c}`").cast(ftype[c.lower()]).alias(f"__s{i}") for i, c in enumerate(shared)],
+        *[v.alias(f"__s{i}") for i, v in enumerate(s_vals)],
         F.lit(True).alias("__in_s"),
     )
     f = final.select(
         *[F.col(f"`{k}`").alias(f"__j{i}") for i, k in enumerate(keys)],
-        *[F.col(f"`{c}`").alias(f"__f{i}") for i, c in enumerate(shared)],
+        *[v.alias(f"__f{i}") for i, v in enumerate(f_vals)],
         F.lit(True).alias("__in_f"),
     )
     cond = reduce(lambda a, b: a & b, [F.col(f"__k{i}") == F.col(f"__j{i}") for i in range(len(keys))])
@@ -106,9 +133,11 @@ def diff_snapshots(staging: DataFrame, final: DataFrame, keys: Sequence[str]) ->
     )
 
 
-def merge_stats(staging: DataFrame, final: DataFrame, keys: Sequence[str]) -> DataFrame:
+def merge_stats(staging: DataFrame, final: DataFrame, keys: Sequence[str],
+                compare: str = "exact") -> DataFrame:
     """``(op, n)``: how many keys a delta load inserts, updates, deletes or leaves unchanged."""
-    return diff_snapshots(staging, final, keys).groupBy("op").agg(F.count(F.lit(1)).alias("n"))
+    return (diff_snapshots(staging, final, keys, compare)
+            .groupBy("op").agg(F.count(F.lit(1)).alias("n")))
 
 
 def merge_counts(staging: DataFrame, final: DataFrame, keys: Sequence[str]) -> dict:

@@ -28,7 +28,7 @@ from relsync.operators.checks import key_violations, orphan_keys
 from relsync.operators.evolve import align, schema_diff, union_by_name
 from relsync.operators.integrity import compare_hashes
 from relsync.operators.merge import diff_snapshots, kept_rows, merge_snapshot, merge_stats, \
-    stale_rows
+    replace_snapshot, stale_rows
 from relsync.operators.projection import project
 from relsync.plans.ledger import last_success, latest_per_dataset, latest_per_dataset_window
 from relsync.sources.inventory import dataset_of, suggest_specs
@@ -170,6 +170,15 @@ def q_merge_all_key_columns(spark, d):
     return merge_snapshot(new, old, ["l_partkey", "l_suppkey"])
 
 
+def q_full_refresh_orders(spark, d):
+    return replace_snapshot(orders_new(spark, d), ["o_orderkey"])
+
+
+def q_diff_digest_orders(spark, d):
+    return diff_snapshots(orders_new(spark, d), orders_old(spark, d), ["o_orderkey"],
+                          compare="digest")
+
+
 def q_stale_rows_orders(spark, d):
     return stale_rows(orders_old(spark, d), orders_new(spark, d), ["o_orderkey"])
 
@@ -368,10 +377,12 @@ QUERIES: dict[str, Query] = {
     "merge_delta_orders": q_merge_delta_orders,
     "merge_composite_conversations": q_merge_composite_conversations,
     "merge_all_key_columns": q_merge_all_key_columns,
+    "full_refresh_orders": q_full_refresh_orders,
     "stale_rows_orders": q_stale_rows_orders,
     "kept_rows_orders": q_kept_rows_orders,
     "diff_snapshots_orders": q_diff_snapshots_orders,
     "diff_snapshots_conversations": q_diff_snapshots_conversations,
+    "diff_digest_orders": q_diff_digest_orders,
     "merge_stats_orders": q_merge_stats_orders,
     "schema_diff_orders": q_schema_diff_orders,
     "align_orders": q_align_orders,
@@ -441,6 +452,10 @@ WHERE EXISTS (SELECT 1 FROM s WHERE s.l_partkey = f.l_partkey AND s.l_suppkey =
 UNION ALL
 SELECT s.l_partkey, s.l_suppkey FROM s
 WHERE NOT EXISTS (SELECT 1 FROM f WHERE f.l_partkey = s.l_partkey AND f.l_suppkey = s.l_suppkey)
+""",
+    "full_refresh_orders": f"""
+WITH {SQL_ORDERS}
+SELECT * FROM s
 """,
     "stale_rows_orders": f"""
 WITH {SQL_ORDERS}
@@ -593,4 +608,5 @@ FROM documents
 """,
 }
 
+ORACLES["diff_digest_orders"] = ORACLES["diff_snapshots_orders"]
 ORACLES["latest_version_orders"] = ORACLES["version_sort_orders"].rstrip() + " LIMIT 1"

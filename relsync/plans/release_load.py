@@ -87,6 +87,10 @@ def load_dataset(spark: SparkSession, spec: DatasetSpec, source: Source, version
                            message=f"no Parquet files for {spec.name}")
         staged = project(raw, spec)
         keys = list(spec.output_key())
+        have = {c.lower() for c in staged.columns}
+        missing = [k for k in keys if k.lower() not in have]
+        if missing:
+            raise ValueError(f"key column(s) {missing} not in the projected data of {spec.name}")
         if load_type == "full":
             rows = sink.replace(table, staged, keys)
         else:

@@ -161,3 +161,19 @@ def test_orphan_check_aggregates_before_the_join(spark):
     assert plan.index("Join LeftAnti") < plan.index("Aggregate")  # aggregate sits below the join
     expected = {i + 10 for i in range(30000) if i % 3 and i + 10 >= 20000}
     assert {r["fk"] for r in out.collect()} == expected
+
+
+def test_diff_digest_equals_exact(spark):
+    f = spark.createDataFrame([(1, "a", 1.5), (2, "b", None), (3, "c", 2.0)], "id bigint, s string, x double")
+    s = spark.createDataFrame([(1, "a", 1.5), (2, "b", 0.0), (4, "d", 1.0)], "id bigint, s string, x double")
+    exact = rows(diff_snapshots(s, f, ["id"]))
+    assert exact == [(1, "unchanged"), (2, "update"), (3, "delete"), (4, "insert")]
+    assert rows(diff_snapshots(s, f, ["id"], compare="digest")) == exact
+
+
+def test_replace_snapshot_checks_key(spark):
+    from relsync.operators.merge import replace_snapshot
+    ok = spark.createDataFrame([(1, "a")], "id bigint, data string")
+    assert replace_snapshot(ok, ["id"]) is ok
+    with pytest.raises(KeyViolation):
+        replace_snapshot(ok.union(ok), ["id"])
