@@ -41,9 +41,16 @@ def canonical_type(dt: T.DataType, json_as: str = "string") -> T.DataType:
         if json_as == "native":
             return dt
         return T.VariantType() if json_as == "variant" else T.StringType()
+    if is_unsigned64(dt):
+        return T.LongType()
     return T.StringType()
 
 
+def is_unsigned64(dt: T.DataType) -> bool:
+    """Spark reads Parquet unsigned 64-bit integers as decimal(20,0)."""
+    return isinstance(dt, T.DecimalType) and dt.precision == 20 and dt.scale == 0
+
+
 def canonical_cast(col: Column, dt: T.DataType) -> Column:
     """Cast a column of source type ``dt`` to its canonical scalar type.
 

@@ -1,7 +1,7 @@
 """File checksums as a Spark job, and their comparison with a release manifest.
 
-Files up to ``max_cell_bytes`` are hashed by the JVM (``binaryFile`` + ``sha1``), one file
-per row, split across tasks. Larger files, which do not fit one binary cell, are hashed in
+Files up to ``max_cell_bytes`` (256 MiB) are hashed by the JVM (``binaryFile`` + ``sha1``),
+one file per row, split across tasks. Larger files, which do not fit one binary cell, are hashed in
 chunks by ``mapInPandas`` tasks that stream them through Arrow's file systems; they are
 spread one file per partition.
 """
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from relsync.sources.inventory import file_inventory
 
-DEFAULT_MAX_CELL = 1 << 30  # 1 GiB
+DEFAULT_MAX_CELL = 256 << 20  # bigger files stream through chunked hashing
 CHUNK = 8 << 20
 
 STATUS_OK = "ok"

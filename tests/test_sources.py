@@ -141,3 +141,21 @@ def test_empty_file_between_full_ones_is_read(spark, tmp_path):
     rep = footer_report(spark, spark.createDataFrame([(src.dataset_dir('23.01', 'x') + "/part-00001.parquet",)], "path string"),
                         src.dataset_dir('23.01', 'x') + "/part-00000.parquet").collect()
     assert list(rep[0]["missing"]) == []
+
+
+def test_last_listing_wins_across_many_splits(spark, tmp_path):
+    p = tmp_path / "big_manifest"
+    lines = [f"{i:040x}  ./output/etl/parquet/d/part-{i:05d}.parquet" for i in range(3000)]
+    lines[10] = "a" * 40 + "  ./output/etl/parquet/d/dup.parquet"
+    lines[2990] = "b" * 40 + "  output/etl/parquet/d/dup.parquet"
+    p.write_text("\n".join(lines) + "\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        df = read_manifest(spark, str(p))
+        assert spark.read.text(str(p)).rdd.getNumPartitions() > 10
+        got = {r["path"]: r["sha1"] for r in df.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got["output/etl/parquet/d/dup.parquet"] == "b" * 40
+    assert len(got) == 2999
