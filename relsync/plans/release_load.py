@@ -96,7 +96,10 @@ def load_dataset(spark: SparkSession, spec: DatasetSpec, source: Source, version
         else:
             rows = sink.merge(table, staged, keys)
     except Exception as e:
-        sink.record(ledger_row(version, spec.name, False, 0, start, _now(), str(e)))
+        try:
+            sink.record(ledger_row(version, spec.name, False, 0, start, _now(), str(e)))
+        except Exception as ledger_error:  # never hide the load's own error behind this one
+            log.error("could not record the failure of %s: %s", spec.name, ledger_error)
         raise
     sink.record(ledger_row(version, spec.name, True, rows, start, _now()))
     return Outcome(spec.name, table, version, "loaded", rows)
