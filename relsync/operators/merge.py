@@ -64,16 +64,22 @@ def replace_snapshot(staging: DataFrame, keys: Sequence[str]) -> DataFrame:
     return staging
 
 
+def _distinct_keys(df: DataFrame, keys: list[str]) -> DataFrame:
+    # partial aggregation collapses a repeated key per task before the shuffle, and the
+    # semi / anti join reuses that hash partitioning on the key
+    return df.select(*[F.col(f"`{k}`") for k in keys]).distinct()
+
+
 def stale_rows(final: DataFrame, staging: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``final`` whose key is absent from ``staging`` (the rows a delta load deletes)."""
     keys = list(keys)
-    return final.join(staging.select(*[F.col(f"`{k}`") for k in keys]), on=keys, how="left_anti")
+    return final.join(_distinct_keys(staging, keys), on=keys, how="left_anti")
 
 
 def kept_rows(final: DataFrame, staging: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``final`` whose key is still present in ``staging``."""
     keys = list(keys)
-    return final.join(staging.select(*[F.col(f"`{k}`") for k in keys]), on=keys, how="left_semi")
+    return final.join(_distinct_keys(staging, keys), on=keys, how="left_semi")
 
 
 def diff_snapshots(staging: DataFrame, final: DataFrame, keys: Sequence[str],
@@ -84,6 +90,9 @@ def diff_snapshots(staging: DataFrame, final: DataFrame, keys: Sequence[str],
     staging value taken in the table's type, as the merge would store it. One full outer
     join on the key; both sides carry only key + shared columns.
 
+    Keys are expected unique on both sides (as after ``check_primary_key``); then no join
+    key can be hot.
+
     ``compare="digest"`` shuffles a SHA-256 of the shared columns' JSON instead of the
     columns themselves (32 bytes per row whatever the width); values that print the same
     compare equal (so -0.0 differs from 0.0, which exact comparison treats as equal).
