@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from relsync.operators.integrity import hash_files, require_verified, verify_files
 from relsync.operators.projection import project
 from relsync.plans.ledger import ledger_row
-from relsync.plans.sink import CatalogSink
+from relsync.plans.sink import Sink
 from relsync.plans.validate import require_checks, run_checks
 from relsync.sources.inventory import latest_version
 from relsync.sources.manifest import load_manifest
@@ -64,7 +64,7 @@ def _now() -> dt.datetime:
 
 
 def load_dataset(spark: SparkSession, spec: DatasetSpec, source: Source, version: str,
-                 sink: CatalogSink, load_type: str = "delta", force: bool = False,
+                 sink: Sink, load_type: str = "delta", force: bool = False,
                  manifest: DataFrame | None = None, schema_mode: str = "strict") -> Outcome:
     """Load one dataset of a release. Raises on failure after recording it in the ledger."""
     if load_type not in LOAD_TYPES:
@@ -106,7 +106,7 @@ def load_dataset(spark: SparkSession, spec: DatasetSpec, source: Source, version
 
 
 def load_release(spark: SparkSession, specs: Sequence[DatasetSpec], source: Source,
-                 sink: CatalogSink, version: str | None = None,
+                 sink: Sink, version: str | None = None,
                  datasets: Sequence[str] | None = None, load_type: str = "delta",
                  force: bool = False, continue_on_error: bool = True, verify: bool = True,
                  schema_mode: str = "strict", max_workers: int = 4) -> DataFrame:

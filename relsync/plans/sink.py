@@ -15,6 +15,7 @@ from __future__ import annotations
 import threading
 import time
 import uuid
+from abc import ABC, abstractmethod
 from typing import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -32,7 +33,39 @@ def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-class CatalogSink:
+class Sink(ABC):
+    """What a load needs from a target; implement it for another kind of target.
+
+    ``replace`` and ``merge`` publish a whole snapshot atomically and return the number of
+    rows written; ``record`` appends one ledger row (see ``plans.ledger.LEDGER_SCHEMA``).
+    """
+
+    @abstractmethod
+    def ensure_database(self) -> None: ...
+
+    @abstractmethod
+    def exists(self, table: str) -> bool: ...
+
+    @abstractmethod
+    def read(self, table: str) -> DataFrame: ...
+
+    @abstractmethod
+    def replace(self, table: str, df: DataFrame, keys: Sequence[str]) -> int: ...
+
+    @abstractmethod
+    def merge(self, table: str, df: DataFrame, keys: Sequence[str]) -> int: ...
+
+    @abstractmethod
+    def ledger(self) -> DataFrame: ...
+
+    @abstractmethod
+    def record(self, row: tuple) -> None: ...
+
+    def last_success(self, dataset: str) -> str | None:
+        return L.last_success_version(self.ledger(), dataset)
+
+
+class CatalogSink(Sink):
     def __init__(self, spark: SparkSession, database: str = "default", fmt: str = "parquet",
                  ledger_table: str = "relsync_load_ledger", keep_generations: int = 2,
                  bucket_by_key: int | None = None):
@@ -127,6 +160,3 @@ class CatalogSink:
             self.ensure_database()
             L.ledger_frame(self.spark, [row]).coalesce(1).write.format(self.fmt).mode(
                 "append").saveAsTable(self.fq(self.ledger_table))
-
-    def last_success(self, dataset: str) -> str | None:
-        return L.last_success_version(self.ledger(), dataset)

@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from relsync.functions.versions import is_version, newest_first
 from relsync.plans.release_load import load_release
-from relsync.plans.sink import CatalogSink
+from relsync.plans.sink import Sink
 from relsync.spec import DatasetSpec, Source
 
 
@@ -39,7 +39,7 @@ def published_releases(spark: SparkSession, source: Source) -> DataFrame:
 
 
 def watch_releases(spark: SparkSession, source: Source, specs: Sequence[DatasetSpec],
-                   sink: CatalogSink, checkpoint: str | None = None, load_type: str = "delta",
+                   sink: Sink, checkpoint: str | None = None, load_type: str = "delta",
                    available_now: bool = True, **load_args) -> StreamingQuery:
     """Start the watcher; every micro-batch loads the newest release it discovered."""
 

@@ -198,3 +198,15 @@ def test_missing_key_column_fails_clearly(spark, tmp_path, sink):
     write_release(src.root, "22.06", {"t": [table(ident=pa.array([1], pa.int64()))]})
     out = load_release(spark, [DatasetSpec("t", ("id",))], src, sink).collect()
     assert out[0]["status"] == "failed" and "not in the projected data" in out[0]["message"]
+
+
+def test_sink_interface_contract():
+    from relsync.plans.sink import Sink
+
+    class Partial(Sink):
+        def exists(self, table):
+            return False
+
+    with pytest.raises(TypeError):
+        Partial()
+    assert issubclass(CatalogSink, Sink)
