@@ -108,19 +108,24 @@ def compare_hashes(files: DataFrame, manifest: DataFrame) -> DataFrame:
     )
 
 
-def verify_files(hashed: DataFrame, manifest: DataFrame, relative_prefix: str) -> DataFrame:
+def verify_files(hashed: DataFrame, manifest: DataFrame, relative_prefix: str,
+                 suffix: str | None = None) -> DataFrame:
     """Verification report for the files of one dataset directory.
 
     ``hashed`` holds the dataset's files (absolute ``path``, ``sha1``); their manifest key
     is ``relative_prefix`` + file name (data files sit directly in the dataset directory).
-    Only manifest entries under the prefix take part.
+    Only manifest entries directly under the prefix take part, and with ``suffix`` only
+    those ending with it (so a listed ``_SUCCESS`` marker is not a missing data file).
     """
     files = hashed.select(
         F.concat(F.lit(relative_prefix), F.substring_index("path", "/", -1)).alias("path"),
         "sha1",
     )
-    expected = manifest.where(F.col("path").startswith(relative_prefix))
-    return compare_hashes(files, expected)
+    name = F.substring(F.col("path"), len(relative_prefix) + 1, 1 << 30)
+    cond = F.col("path").startswith(relative_prefix) & ~name.contains("/")
+    if suffix:
+        cond = cond & F.col("path").endswith(suffix)
+    return compare_hashes(files, manifest.where(cond))
 
 
 def require_verified(report: DataFrame, sample: int = 5) -> None:

@@ -78,7 +78,7 @@ def load_dataset(spark: SparkSession, spec: DatasetSpec, source: Source, version
     try:
         if manifest is not None:
             report = verify_files(hash_files(spark, pattern), manifest,
-                                  source.relative_prefix(spec.name))
+                                  source.relative_prefix(spec.name), suffix=".parquet")
             require_verified(report)
         try:
             raw = read_dataset(spark, pattern, mode=schema_mode)

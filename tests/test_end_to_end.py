@@ -210,3 +210,13 @@ def test_sink_interface_contract():
     with pytest.raises(TypeError):
         Partial()
     assert issubclass(CatalogSink, Sink)
+
+
+def test_manifest_listing_non_parquet_files_still_verifies(spark, tmp_path, sink):
+    src = Source(str(tmp_path / "rel"))
+    rel = write_release(src.root, "22.06", {"t": [table(id=pa.array([1], pa.int64()))]},
+                        extra_lines=["0" * 40 + "  ./output/etl/parquet/t/_SUCCESS",
+                                     "1" * 40 + "  ./output/etl/parquet/t/sub/part-0.parquet"])
+    open(os.path.join(rel, "output/etl/parquet/t/_SUCCESS"), "w").close()
+    out = load_release(spark, [DatasetSpec("t", ("id",))], src, sink).collect()
+    assert out[0]["status"] == "loaded"
