@@ -64,16 +64,32 @@ def orders_old(spark, d) -> DataFrame:
     )
 
 
-SQL_ORDERS = """
-s AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
-             CAST(year(o_orderdate) AS INTEGER) AS o_orderyear
-      FROM orders WHERE o_orderstatus IN ('O', 'P')),
-f AS (SELECT o_orderkey, CAST(o_custkey AS INTEGER) AS o_custkey, o_orderstatus, o_totalprice,
-             o_orderdate,
-             CASE WHEN o_orderpriority = '1-URGENT' THEN '2-HIGH' ELSE o_orderpriority END
-               AS o_orderpriority,
-             o_orderstatus || '-' || CAST(o_orderkey AS VARCHAR) AS o_legacy_code
-      FROM orders WHERE o_orderstatus IN ('F', 'O'))"""
+SQL_ORDERS_NEW = """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
+       o_orderpriority, CAST(year(o_orderdate) AS INTEGER) AS o_orderyear
+FROM orders WHERE o_orderstatus IN ('O', 'P')"""
+
+SQL_ORDERS_OLD = """SELECT o_orderkey, CAST(o_custkey AS INTEGER) AS o_custkey, o_orderstatus, o_totalprice,
+       o_orderdate,
+       CASE WHEN o_orderpriority = '1-URGENT' THEN '2-HIGH' ELSE o_orderpriority END
+         AS o_orderpriority,
+       o_orderstatus || '-' || CAST(o_orderkey AS VARCHAR) AS o_legacy_code
+FROM orders WHERE o_orderstatus IN ('F', 'O')"""
+
+SQL_ORDERS = f"""
+s AS ({SQL_ORDERS_NEW}),
+f AS ({SQL_ORDERS_OLD})"""
+
+# DuckDB type names and the Spark type names they correspond to.
+DUCK_TO_SPARK_TYPE = {
+    "BIGINT": "bigint", "INTEGER": "int", "SMALLINT": "smallint", "TINYINT": "tinyint",
+    "VARCHAR": "string", "DOUBLE": "double", "FLOAT": "float", "BOOLEAN": "boolean",
+    "TIMESTAMP": "timestamp_ntz", "TIMESTAMP WITH TIME ZONE": "timestamp", "DATE": "date",
+}
+
+
+def _spark_type_sql(col: str) -> str:
+    arms = " ".join(f"WHEN '{d}' THEN '{t}'" for d, t in DUCK_TO_SPARK_TYPE.items())
+    return f"CASE {col} {arms} ELSE lower({col}) END"
 
 
 def conversations_new(spark, d) -> DataFrame:
@@ -477,17 +493,17 @@ SELECT COALESCE(s.conv_id, f.conv_id) AS conv_id, COALESCE(s.turn, f.turn) AS tu
 FROM s FULL OUTER JOIN f ON s.conv_id = f.conv_id AND s.turn = f.turn
 """,
     "merge_stats_orders": _DIFF_ORDERS_SQL + "SELECT op, count(*) AS n FROM d GROUP BY op",
-    "schema_diff_orders": """
-SELECT * FROM (VALUES
-  ('o_orderkey', 'same', 'bigint', 'bigint'),
-  ('o_orderstatus', 'same', 'string', 'string'),
-  ('o_totalprice', 'same', 'double', 'double'),
-  ('o_orderdate', 'same', 'timestamp_ntz', 'timestamp_ntz'),
-  ('o_orderpriority', 'same', 'string', 'string'),
-  ('o_custkey', 'type_changed', 'bigint', 'int'),
-  ('o_orderyear', 'added', 'int', NULL),
-  ('o_legacy_code', 'removed', NULL, 'string')
-) AS t("column", status, staging_type, final_type)
+    "schema_diff_orders": f"""
+WITH sd AS (SELECT column_name, column_type FROM (DESCRIBE {SQL_ORDERS_NEW})),
+     fd AS (SELECT column_name, column_type FROM (DESCRIBE {SQL_ORDERS_OLD}))
+SELECT COALESCE(sd.column_name, fd.column_name) AS "column",
+       CASE WHEN fd.column_name IS NULL THEN 'added'
+            WHEN sd.column_name IS NULL THEN 'removed'
+            WHEN sd.column_type = fd.column_type THEN 'same'
+            ELSE 'type_changed' END AS status,
+       {_spark_type_sql("sd.column_type")} AS staging_type,
+       {_spark_type_sql("fd.column_type")} AS final_type
+FROM sd FULL OUTER JOIN fd ON sd.column_name = fd.column_name
 """,
     "align_orders": f"""
 WITH {SQL_ORDERS}
