@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from relsync.functions.versions import VERSION_PATTERN, is_version, newest_first, version_major, \
     version_minor
-from relsync.operators.checks import key_violations, orphan_keys
+from relsync.operators.checks import key_violations, orphan_keys, orphan_rows
 from relsync.operators.evolve import align, schema_diff, union_by_name
 from relsync.operators.integrity import compare_hashes
 from relsync.operators.merge import diff_snapshots, kept_rows, merge_snapshot, merge_stats, \
@@ -316,6 +316,12 @@ def q_fk_orphans_lineitem(spark, d):
     return orphan_keys(li, parents, ["l_orderkey"], ["o_orderkey"])
 
 
+def q_fk_orphan_rows_lineitem(spark, d):
+    li = table(spark, d, "lineitem")
+    parents = table(spark, d, "orders").where(F.col("o_orderstatus") != "F")
+    return orphan_rows(li, parents, ["l_orderkey"], ["o_orderkey"])
+
+
 def q_last_success_events(spark, d):
     return last_success(ledger_from_events(spark, d), "purchase").select(
         "dataset_name", "version", "load_timestamp", "rows_loaded")
@@ -411,6 +417,7 @@ QUERIES: dict[str, Query] = {
     "pk_duplicates_lineitem": q_pk_duplicates_lineitem,
     "pk_nulls_documents": q_pk_nulls_documents,
     "fk_orphans_lineitem": q_fk_orphans_lineitem,
+    "fk_orphan_rows_lineitem": q_fk_orphan_rows_lineitem,
     "last_success_events": q_last_success_events,
     "latest_per_dataset_events": q_latest_per_dataset_events,
     "latest_per_dataset_window_events": q_latest_per_dataset_window_events,
@@ -568,6 +575,11 @@ SELECT l_orderkey, count(*) AS n FROM lineitem l
 WHERE l_orderkey IS NOT NULL
   AND NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderstatus <> 'F' AND o.o_orderkey = l.l_orderkey)
 GROUP BY l_orderkey
+""",
+    "fk_orphan_rows_lineitem": """
+SELECT * FROM lineitem l
+WHERE l_orderkey IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderstatus <> 'F' AND o.o_orderkey = l.l_orderkey)
 """,
     "last_success_events": f"""
 WITH {SQL_LEDGER}
