@@ -47,10 +47,8 @@ def file_inventory(spark: SparkSession, pattern: str, glob_filter: str | None =
 
 def list_versions(spark: SparkSession, source: Source) -> DataFrame:
     """``(version, major, minor)`` of every release with a manifest, newest first."""
-    inv = file_inventory(spark, f"{source.root.rstrip('/')}/*/{source.manifest_name}")
-    name = F.regexp_extract(
-        "path", r"/([^/]+)/" + source.manifest_name.replace(".", r"\.") + "$", 1
-    )
+    inv = file_inventory(spark, source.manifest_glob())
+    name = F.regexp_extract("path", source.version_regex(), 1)
     return (
         inv.select(name.alias("version"))
         .where(is_version(F.col("version")))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 from typing import Mapping
 
@@ -92,22 +93,37 @@ class DatasetSpec:
 class Source:
     """Layout of a release tree on any Hadoop-compatible file system.
 
-    <root>/<version>/output/etl/parquet/<dataset>/<file>.parquet
-    <root>/<version>/release_data_integrity          (manifest: "<sha1>  <relative path>")
-    <root>/<version>/release_data_integrity.sha1     (hash of the manifest)
+    Default layout, all under ``root``::
+
+        <root>/<version>/output/etl/parquet/<dataset>/<file>.parquet
+        <root>/<version>/release_data_integrity          (manifest: "<sha1>  <relative path>")
+        <root>/<version>/release_data_integrity.sha1     (hash of the manifest)
+
+    Checksums and data may live elsewhere (e.g. checksums on one server, data in an object
+    store): ``release_template`` is the folder holding a release's manifest and
+    ``data_template`` a dataset's folder, with ``{version}`` and ``{dataset_name}``
+    placeholders. Manifest keys stay relative: ``<parquet_dir>/<dataset>/<file>``.
     """
 
     root: str
     parquet_dir: str = "output/etl/parquet"
     manifest_name: str = "release_data_integrity"
+    release_template: str | None = None
+    data_template: str | None = None
 
     def release(self, version: str) -> str:
+        if self.release_template:
+            return self.release_template.format(version=version).rstrip("/")
         return f"{self.root.rstrip('/')}/{version}"
 
     def parquet_root(self, version: str) -> str:
+        if self.data_template:
+            return self.data_template.format(version=version, dataset_name="").rstrip("/")
         return f"{self.release(version)}/{self.parquet_dir}"
 
     def dataset_dir(self, version: str, dataset: str) -> str:
+        if self.data_template:
+            return self.data_template.format(version=version, dataset_name=dataset).rstrip("/")
         return f"{self.parquet_root(version)}/{dataset}"
 
     def manifest(self, version: str) -> str:
@@ -116,6 +132,16 @@ class Source:
     def manifest_hash(self, version: str) -> str:
         return f"{self.manifest(version)}.sha1"
 
+    def manifest_glob(self) -> str:
+        """Glob matching the manifest of every release."""
+        return self.manifest("*")
+
+    def version_regex(self) -> str:
+        """Regex whose group 1 is the release name in a manifest path (qualified or not)."""
+        marker = "VERSION_MARKER"
+        tail = self.manifest(marker).split("://", 1)[-1]
+        return re.escape(tail).replace(marker, "([^/]+)").lstrip("/") + "$"
+
     def relative_prefix(self, dataset: str) -> str:
         """Manifest key prefix of a dataset's files."""
         return f"{self.parquet_dir}/{dataset}/"

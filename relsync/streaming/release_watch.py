@@ -32,9 +32,10 @@ def checkpoint_location(spark: SparkSession, name: str, given: str | None = None
 
 def published_releases(spark: SparkSession, source: Source) -> DataFrame:
     """Streaming DataFrame of ``(version)``, one row per newly published release."""
-    pattern = f"{source.root.rstrip('/')}/*/{source.manifest_name}.sha1"
+    pattern = source.manifest_glob() + ".sha1"
     stream = spark.readStream.format("text").load(pattern)
-    version = F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/[^/]+$", 1)
+    regex = source.version_regex()[:-1] + r"\.sha1$"
+    version = F.regexp_extract(F.col("_metadata.file_path"), regex, 1)
     return stream.select(version.alias("version")).where(is_version(F.col("version")))
 
 

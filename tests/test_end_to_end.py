@@ -220,3 +220,18 @@ def test_manifest_listing_non_parquet_files_still_verifies(spark, tmp_path, sink
     open(os.path.join(rel, "output/etl/parquet/t/_SUCCESS"), "w").close()
     out = load_release(spark, [DatasetSpec("t", ("id",))], src, sink).collect()
     assert out[0]["status"] == "loaded"
+
+
+def test_checksums_and_data_in_separate_trees(spark, tmp_path, sink):
+    import shutil
+    data_root = str(tmp_path / "objectstore")
+    check_root = str(tmp_path / "ftp")
+    write_release(data_root, "22.06", {"t": [table(id=pa.array([1, 2], pa.int64()))]})
+    os.makedirs(os.path.join(check_root, "22.06"))
+    for f in ("release_data_integrity", "release_data_integrity.sha1"):
+        shutil.move(os.path.join(data_root, "22.06", f), os.path.join(check_root, "22.06", f))
+    src = Source(check_root, release_template=check_root + "/{version}/",
+                 data_template=data_root + "/{version}/output/etl/parquet/{dataset_name}/")
+    out = load_release(spark, [DatasetSpec("t", ("id",))], src, sink).collect()
+    assert (out[0]["version"], out[0]["status"]) == ("22.06", "loaded")
+    assert rows(sink.read("t")) == [(1,), (2,)]
