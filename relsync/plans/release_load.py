@@ -17,11 +17,12 @@ from dataclasses import dataclass
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from relsync.operators.integrity import hash_files, require_verified, verify_files
 from relsync.operators.projection import project
-from relsync.plans.ledger import ledger_row
+from relsync.plans.ledger import latest_per_dataset, ledger_row
 from relsync.plans.sink import Sink
 from relsync.plans.validate import require_checks, run_checks
 from relsync.sources.inventory import latest_version
@@ -63,14 +64,24 @@ def _now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc)
 
 
+_UNKNOWN = object()
+
+
 def load_dataset(spark: SparkSession, spec: DatasetSpec, source: Source, version: str,
                  sink: Sink, load_type: str = "delta", force: bool = False,
-                 manifest: DataFrame | None = None, schema_mode: str = "strict") -> Outcome:
-    """Load one dataset of a release. Raises on failure after recording it in the ledger."""
+                 manifest: DataFrame | None = None, schema_mode: str = "strict",
+                 last_loaded=_UNKNOWN) -> Outcome:
+    """Load one dataset of a release. Raises on failure after recording it in the ledger.
+
+    ``last_loaded`` is the dataset's latest successful release when the caller already
+    knows it (``load_release`` reads the ledger once for all datasets).
+    """
     if load_type not in LOAD_TYPES:
         raise ValueError(f"load_type must be one of {LOAD_TYPES}")
     table = spec.table_name
-    if not force and sink.last_success(spec.name) == version:
+    if last_loaded is _UNKNOWN and not force:
+        last_loaded = sink.last_success(spec.name)
+    if not force and last_loaded == version:
         return Outcome(spec.name, table, version, "skipped_already_loaded",
                        message=f"release {version} already loaded")
     start = _now()
@@ -123,6 +134,10 @@ def load_release(spark: SparkSession, specs: Sequence[DatasetSpec], source: Sour
     chosen = [s for s in specs if datasets is None or s.name in set(datasets)]
     sink.ensure_database()
     manifest = load_manifest(spark, source, version).cache() if verify else None
+    # one small job for every dataset's latest success (one row per dataset)
+    latest = {r["dataset_name"]: r["version"]
+              for r in latest_per_dataset(sink.ledger()).select("dataset_name", "version")
+              .where(F.col("dataset_name").isin([s.name for s in chosen])).collect()}
     outcomes: dict[str, Outcome] = {}
     stop = threading.Event()
 
@@ -131,7 +146,7 @@ def load_release(spark: SparkSession, specs: Sequence[DatasetSpec], source: Sour
             return None
         try:
             return load_dataset(spark, spec, source, version, sink, load_type, force,
-                                manifest, schema_mode)
+                                manifest, schema_mode, latest.get(spec.name))
         except Exception as e:
             log.error("dataset %s failed: %s", spec.name, e)
             if not continue_on_error:
