@@ -131,6 +131,10 @@ def load_release(spark: SparkSession, specs: Sequence[DatasetSpec], source: Sour
     """
     require_checks(run_checks(spark, source, specs))
     version = version or latest_version(spark, source)
+    if datasets is not None:
+        unknown = sorted(set(datasets) - {s.name for s in specs})
+        if unknown:
+            raise ValueError(f"datasets without a definition: {', '.join(unknown)}")
     chosen = [s for s in specs if datasets is None or s.name in set(datasets)]
     sink.ensure_database()
     manifest = load_manifest(spark, source, version).cache() if verify else None

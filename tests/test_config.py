@@ -1,0 +1,58 @@
+import pytest
+
+from relsync.plans.config import max_workers, source_from_config, specs_from_config
+
+CFG = """
+[execution]
+max_workers = 3
+
+[database]
+flatten_separator = "__"
+
+[source]
+provider = "mirror"
+
+[source.mirror]
+version_discovery_uri = "gcs://bucket/platform/"
+checksum_uri_template = "ftp://host/pub/{version}/"
+data_uri_template = "s3://bucket/platform/{version}/output/etl/parquet/{dataset_name}/"
+
+[datasets.genes]
+primary_key = ["id"]
+[datasets.genes.schema_overrides]
+  id = { rename = "gene_id" }
+  location = { action = "flatten" }
+  synonyms = { action = "json" }
+
+[datasets.links]
+primary_key = ["geneId", "diseaseId"]
+final_table_name = "gene_disease_links"
+"""
+
+
+def test_specs_and_source_from_toml():
+    import tomllib
+    cfg = tomllib.loads(CFG)
+    specs = {s.name: s for s in specs_from_config(cfg)}
+    g = specs["genes"]
+    assert g.primary_key == ("id",) and g.output_key() == ("gene_id",) and g.sep == "__"
+    assert g.rule("location").action == "flatten" and g.rule("synonyms").action == "json"
+    assert specs["links"].table_name == "gene_disease_links"
+    src = source_from_config(cfg)
+    assert src.root == "gs://bucket/platform"
+    assert src.manifest("22.06") == "ftp://host/pub/22.06/release_data_integrity"
+    assert src.dataset_dir("22.06", "genes") == "s3a://bucket/platform/22.06/output/etl/parquet/genes"
+    assert max_workers(cfg) == 3 and max_workers({}) == 1
+
+
+def test_unknown_dataset_rejected(spark, tmp_path):
+    from relsync.plans.release_load import load_release
+    from relsync.plans.sink import CatalogSink
+    from relsync.spec import DatasetSpec, Source
+    import pyarrow as pa
+    from tests.release_tree import table, write_release
+    src = Source(str(tmp_path / "r"))
+    write_release(src.root, "22.06", {"t": [table(id=pa.array([1], pa.int64()))]})
+    with pytest.raises(ValueError, match="nope"):
+        load_release(spark, [DatasetSpec("t", ("id",))], src, CatalogSink(spark, "cfgdb"),
+                     datasets=["nope"])
