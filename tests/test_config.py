@@ -56,3 +56,26 @@ def test_unknown_dataset_rejected(spark, tmp_path):
     with pytest.raises(ValueError, match="nope"):
         load_release(spark, [DatasetSpec("t", ("id",))], src, CatalogSink(spark, "cfgdb"),
                      datasets=["nope"])
+
+
+def test_load_job_script(spark, tmp_path):
+    import pyarrow as pa
+    from scripts.load_job import main
+    from tests.release_tree import table, write_release
+    root = str(tmp_path / "rel")
+    write_release(root, "22.06", {"genes": [table(id=pa.array(["g1", "g2"]),
+                                                  n=pa.array([1, 2], pa.int64()))]})
+    cfg = tmp_path / "cfg.toml"
+    cfg.write_text(f"""
+[source]
+version_discovery_uri = "{root}"
+checksum_uri_template = "{root}/{{version}}/"
+data_uri_template = "{root}/{{version}}/output/etl/parquet/{{dataset_name}}/"
+
+[datasets.genes]
+primary_key = ["id"]
+[datasets.genes.schema_overrides]
+  id = {{ rename = "gene_id" }}
+""")
+    assert main([str(cfg), "jobdb"]) == 0
+    assert sorted(tuple(r) for r in spark.table("jobdb.genes").collect()) == [("g1", 1), ("g2", 2)]
