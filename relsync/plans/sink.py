@@ -88,7 +88,7 @@ class CatalogSink(Sink):
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {_q(self.database)}")
 
     def exists(self, table: str) -> bool:
-        return self.spark.catalog.tableExists(table, self.database)
+        return self.spark.catalog.tableExists(f"{self.database}.{table}")
 
     def read(self, table: str) -> DataFrame:
         return self.spark.table(self.fq(table))
@@ -151,7 +151,7 @@ class CatalogSink(Sink):
 
     # --- ledger ------------------------------------------------------------------------------
     def ledger(self) -> DataFrame:
-        if not self.spark.catalog.tableExists(self.ledger_table, self.database):
+        if not self.exists(self.ledger_table):
             return L.ledger_frame(self.spark, [])
         return self.spark.table(self.fq(self.ledger_table))
 
