@@ -109,10 +109,14 @@ class CatalogSink(Sink):
     def _write_generation(self, table: str, df: DataFrame, keys: Sequence[str]) -> tuple[str, int]:
         gen = f"{table}{GEN_MARK}{int(time.time() * 1000):015d}_{uuid.uuid4().hex[:8]}"
         obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
+        bucketed = bool(self.bucket_by_key and keys)
+        if bucketed:
+            # one file per bucket (not one per task and bucket); later merges and key joins
+            # read the table already partitioned by key and skip its shuffle
+            df = df.repartition(self.bucket_by_key, *[F.col(f"`{k}`") for k in keys])
         counted = df.observe(obs, F.count(F.lit(1)).alias("rows"))
         writer = counted.write.format(self.fmt).mode("errorifexists")
-        if self.bucket_by_key and keys:
-            # co-locates later merges and key joins on the key without a shuffle of the table
+        if bucketed:
             writer = writer.bucketBy(self.bucket_by_key, *keys).sortBy(*keys)
         writer.saveAsTable(self.fq(gen))
         return gen, int(obs.get.get("rows", 0))

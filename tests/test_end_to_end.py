@@ -178,6 +178,8 @@ def test_bucketed_generations(spark, tmp_path):
     desc = {r["col_name"]: r["data_type"] for r in
             spark.sql(f"DESCRIBE TABLE EXTENDED {sink.fq(gen)}").collect()}
     assert desc.get("Num Buckets") == "4"
+    files = spark.table(sink.fq(gen)).inputFiles()
+    assert len(files) <= 4
 
 
 def test_going_back_to_an_older_release_reloads(spark, tmp_path, sink):
@@ -235,3 +237,26 @@ def test_checksums_and_data_in_separate_trees(spark, tmp_path, sink):
     out = load_release(spark, [DatasetSpec("t", ("id",))], src, sink).collect()
     assert (out[0]["version"], out[0]["status"]) == ("22.06", "loaded")
     assert rows(sink.read("t")) == [(1,), (2,)]
+
+
+def test_merge_into_bucketed_table_shuffles_only_staging(spark):
+    import contextlib
+    import io
+    from pyspark.sql import functions as F
+    from relsync.operators.merge import merge_snapshot
+    sink = CatalogSink(spark, database="db_" + uuid.uuid4().hex[:8], bucket_by_key=8)
+    first = spark.range(1000).select("id", (F.col("id") * 2).alias("old_col"), F.lit("x").alias("data"))
+    sink.merge("t", first, ["id"])
+    staging = spark.range(500, 1500).select("id", F.lit("y").alias("data"))
+    merged = merge_snapshot(staging, sink.read("t"), ["id"])
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            merged.explain()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    plan = buf.getvalue()
+    assert "SortMergeJoin" in plan and plan.count("Exchange hashpartitioning") == 1
+    assert "Bucketed: true" in plan
