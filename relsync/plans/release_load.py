@@ -70,7 +70,7 @@ _UNKNOWN = object()
 def load_dataset(spark: SparkSession, spec: DatasetSpec, source: Source, version: str,
                  sink: Sink, load_type: str = "delta", force: bool = False,
                  manifest: DataFrame | None = None, schema_mode: str = "strict",
-                 last_loaded=_UNKNOWN) -> Outcome:
+                 last_loaded=_UNKNOWN, overlap_verify: bool = True) -> Outcome:
     """Load one dataset of a release. Raises on failure after recording it in the ledger.
 
     ``last_loaded`` is the dataset's latest successful release when the caller already
@@ -86,32 +86,61 @@ def load_dataset(spark: SparkSession, spec: DatasetSpec, source: Source, version
                        message=f"release {version} already loaded")
     start = _now()
     pattern = f"{source.dataset_dir(version, spec.name)}/*.parquet"
+
+    def verify() -> None:
+        report = verify_files(hash_files(spark, pattern), manifest,
+                              source.relative_prefix(spec.name), suffix=".parquet")
+        require_verified(report)
+
+    # Verification reads every byte, and so does the load: with ``overlap_verify`` both run
+    # at once (their jobs share the cluster) and the new generation is published only
+    # after verification passed; a failed verification discards it.
+    pool = ThreadPoolExecutor(max_workers=1) if manifest is not None and overlap_verify else None
     try:
-        if manifest is not None:
-            report = verify_files(hash_files(spark, pattern), manifest,
-                                  source.relative_prefix(spec.name), suffix=".parquet")
-            require_verified(report)
+        checked = pool.submit(verify) if pool else None
+        if manifest is not None and pool is None:
+            verify()
+
+        def verified() -> None:
+            if checked is not None:
+                checked.result()
+
         try:
             raw = read_dataset(spark, pattern, mode=schema_mode)
         except NoFiles:
+            verified()
             return Outcome(spec.name, table, version, "skipped_no_files",
                            message=f"no Parquet files for {spec.name}")
-        staged = project(raw, spec)
+        except Exception:
+            verified()  # an integrity failure is reported before a read failure
+            raise
+        staged_df = project(raw, spec)
         keys = list(spec.output_key())
-        have = {c.lower() for c in staged.columns}
+        have = {c.lower() for c in staged_df.columns}
         missing = [k for k in keys if k.lower() not in have]
         if missing:
+            verified()
             raise ValueError(f"key column(s) {missing} not in the projected data of {spec.name}")
-        if load_type == "full":
-            rows = sink.replace(table, staged, keys)
-        else:
-            rows = sink.merge(table, staged, keys)
+        try:
+            staged = sink.stage(table, staged_df, keys, load_type)
+        except Exception:
+            verified()
+            raise
+        try:
+            verified()
+        except Exception:
+            staged.discard()
+            raise
+        rows = staged.publish()
     except Exception as e:
         try:
             sink.record(ledger_row(version, spec.name, False, 0, start, _now(), str(e)))
         except Exception as ledger_error:  # never hide the load's own error behind this one
             log.error("could not record the failure of %s: %s", spec.name, ledger_error)
         raise
+    finally:
+        if pool is not None:
+            pool.shutdown(wait=True)
     sink.record(ledger_row(version, spec.name, True, rows, start, _now()))
     return Outcome(spec.name, table, version, "loaded", rows)
 

@@ -16,7 +16,8 @@ import threading
 import time
 import uuid
 from abc import ABC, abstractmethod
-from typing import Sequence
+from dataclasses import dataclass
+from typing import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -33,13 +34,29 @@ def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+@dataclass
+class Staged:
+    """A snapshot written but not yet visible; ``publish`` makes it the table."""
+
+    table: str
+    rows: int | None
+    publish: Callable[[], int]
+    discard: Callable[[], None] = lambda: None
+
+
 class Sink(ABC):
     """What a load needs from a target; implement it for another kind of target.
 
     ``replace`` and ``merge`` publish a whole snapshot atomically and return the number of
     rows written; ``record`` appends one ledger row (see ``plans.ledger.LEDGER_SCHEMA``).
+    ``stage`` splits that into write-then-publish; the default defers the whole write to
+    ``publish``, a sink that can write invisibly overrides it.
     """
 
+    def stage(self, table: str, df: DataFrame, keys: Sequence[str], load_type: str) -> Staged:
+        write = self.replace if load_type == "full" else self.merge
+        return Staged(table, None, lambda: write(table, df, keys))
+
     @abstractmethod
     def ensure_database(self) -> None: ...
 
@@ -127,25 +144,31 @@ class CatalogSink(Sink):
             if old != gen:
                 self.spark.sql(f"DROP TABLE IF EXISTS {self.fq(old)}")
 
-    def replace(self, table: str, df: DataFrame, keys: Sequence[str]) -> int:
-        """Full refresh: check the key, write a new generation, switch. Returns rows written."""
+    def stage(self, table: str, df: DataFrame, keys: Sequence[str], load_type: str) -> Staged:
+        """Check the key and write the new generation; readers still see the old one."""
         self.ensure_database()
         if keys:
-            check_primary_key(df, keys)
+            check_primary_key(df, keys)  # on the snapshot itself: key columns only
+        if load_type != "full" and self.exists(table):
+            df = merge_snapshot(df, self.read(table), keys)
         gen, rows = self._write_generation(table, df, keys)
-        self._switch(table, gen)
-        return rows
+
+        def publish() -> int:
+            self._switch(table, gen)
+            return rows
+
+        def discard() -> None:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.fq(gen)}")
+
+        return Staged(table, rows, publish, discard)
+
+    def replace(self, table: str, df: DataFrame, keys: Sequence[str]) -> int:
+        """Full refresh: check the key, write a new generation, switch. Returns rows written."""
+        return self.stage(table, df, keys, "full").publish()
 
     def merge(self, table: str, df: DataFrame, keys: Sequence[str]) -> int:
         """Delta load: the table becomes the snapshot ``df`` (see ``merge_snapshot``)."""
-        if not self.exists(table):
-            return self.replace(table, df, keys)
-        check_primary_key(df, keys)
-        current = self.read(table)
-        merged = merge_snapshot(df, current, keys)
-        gen, rows = self._write_generation(table, merged, keys)
-        self._switch(table, gen)
-        return rows
+        return self.stage(table, df, keys, "delta").publish()
 
     def drift(self, table: str, df: DataFrame):
         """Schema diff of a snapshot against the current table (None when absent)."""

@@ -260,3 +260,18 @@ def test_merge_into_bucketed_table_shuffles_only_staging(spark):
     plan = buf.getvalue()
     assert "SortMergeJoin" in plan and plan.count("Exchange hashpartitioning") == 1
     assert "Bucketed: true" in plan
+
+
+def test_failed_verification_discards_the_staged_generation(spark, tmp_path, sink):
+    src = Source(str(tmp_path / "rel"))
+    write_release(src.root, "22.04", {"t": [table(id=pa.array([1], pa.int64()))]})
+    spec = [DatasetSpec("t", ("id",))]
+    load_release(spark, spec, src, sink)
+    gens = sink.generations("t")
+    rel = write_release(src.root, "22.06", {"t": [table(id=pa.array([1, 2], pa.int64()))]})
+    with open(os.path.join(rel, "output/etl/parquet/t/part-00000.parquet"), "ab") as f:
+        f.write(b"tampered")
+    out = load_release(spark, spec, src, sink).collect()
+    assert out[0]["status"] == "failed" and "mismatch" in out[0]["message"]
+    assert sink.generations("t") == gens          # the written generation was dropped
+    assert rows(sink.read("t")) == [(1,)]
