@@ -47,6 +47,8 @@ def test_versions_numeric_order_and_empty(spark, tmp_path):
 
 
 def test_datasets_and_files(spark, tree):
+    with open(os.path.join(tree.parquet_root("22.06"), "manifest.txt"), "w") as f:
+        f.write("a file next to the dataset folders is not a dataset")
     assert [r["dataset"] for r in list_datasets(spark, tree, "22.06").collect()] == [
         "diseases", "targets"]
     files = [os.path.basename(r["path"]) for r in list_data_files(spark, tree, "22.06", "targets").collect()]
