@@ -21,8 +21,9 @@ class ManifestError(ValueError):
     pass
 
 
-def parse_manifest_lines(lines: DataFrame, value: str = "value") -> DataFrame:
-    """``(path, sha1)`` from a DataFrame of manifest lines; blank lines are skipped."""
+def parse_manifest_lines(lines: DataFrame, value: str = "value",
+                         keep: tuple[str, ...] = ()) -> DataFrame:
+    """``(path, sha1, *keep)`` from a DataFrame of manifest lines; blank lines are skipped."""
     line = F.col(value)
     return (
         lines.where(F.trim(line) != "")
@@ -30,6 +31,7 @@ def parse_manifest_lines(lines: DataFrame, value: str = "value") -> DataFrame:
             F.regexp_replace(F.regexp_extract(line, LINE_PATTERN, 2), LEADING_DOTS_SLASHES, "")
             .alias("path"),
             F.lower(F.regexp_extract(line, LINE_PATTERN, 1)).alias("sha1"),
+            *keep,
         )
     )
 
@@ -42,15 +44,10 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     """
     lines = spark.read.text(path).select(
         "value",
-        F.col("_metadata.file_block_start").alias("__block"),
-        F.monotonically_increasing_id().alias("__row"),
-    )
-    parsed = lines.where(F.trim("value") != "").select(
-        F.regexp_replace(F.regexp_extract("value", LINE_PATTERN, 2), LEADING_DOTS_SLASHES, "")
-        .alias("path"),
-        F.lower(F.regexp_extract("value", LINE_PATTERN, 1)).alias("sha1"),
-        F.struct("__block", "__row").alias("__pos"),
+        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+        .alias("__pos"),
     )
+    parsed = parse_manifest_lines(lines, keep=("__pos",))
     return parsed.groupBy("path").agg(F.max_by("sha1", "__pos").alias("sha1"))
 
 
@@ -89,9 +86,21 @@ def verify_manifest(spark: SparkSession, source: Source, version: str) -> None:
         )
 
 
+def malformed_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Non-blank manifest lines without both a hash and a path."""
+    lines = spark.read.text(path)
+    return lines.where((F.trim("value") != "") & ~F.col("value").rlike(r"^\s*\S+\s+\S"))
+
+
 def load_manifest(spark: SparkSession, source: Source, version: str) -> DataFrame:
-    """Verify the manifest of a release, then return its ``(path, sha1)`` entries."""
+    """Verify the manifest of a release, then return its ``(path, sha1)`` entries.
+
+    A line without both a hash and a path makes the manifest unusable (raises).
+    """
     verify_manifest(spark, source, version)
+    bad = malformed_lines(spark, source.manifest(version)).take(3)
+    if bad:
+        raise ManifestError(f"malformed manifest lines: {[r['value'] for r in bad]}")
     return read_manifest(spark, source.manifest(version))
 
 

@@ -161,3 +161,10 @@ def test_last_listing_wins_across_many_splits(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert got["output/etl/parquet/d/dup.parquet"] == "b" * 40
     assert len(got) == 2999
+
+
+def test_malformed_manifest_line_fails(spark, tmp_path):
+    root = str(tmp_path / "r")
+    write_release(root, "22.06", {"x": [table(id=pa.array([1]))]}, extra_lines=["deadbeef"])
+    with pytest.raises(ManifestError, match="malformed"):
+        load_manifest(spark, Source(root), "22.06")
