@@ -32,7 +32,8 @@ from relsync.operators.merge import diff_snapshots, kept_rows, merge_snapshot, m
 from relsync.operators.projection import project
 from relsync.plans.ledger import last_success, latest_per_dataset, latest_per_dataset_window
 from relsync.sources.inventory import dataset_of, suggest_specs
-from relsync.sources.manifest import parse_manifest_lines, select_dataset
+from relsync.sources.manifest import last_listing_wins, parse_manifest_lines, path_conflicts, \
+    select_dataset
 from relsync.spec import DatasetSpec, Source
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -360,6 +361,26 @@ def q_manifest_parse_documents(spark, d):
     return parse_manifest_lines(manifest_lines(spark, d))
 
 
+def _relisted_lines(spark, d) -> DataFrame:
+    """Manifest lines where every document of a source and language lists the same path,
+    in document order (a release re-listing one file many times)."""
+    doc = table(spark, d, "documents")
+    return doc.select(
+        F.concat(F.sha1("text"), F.lit("  ./output/etl/parquet/"), F.col("source"), F.lit("/"),
+                 F.col("lang"), F.lit(".parquet")).alias("value"),
+        F.col("doc_id").alias("line_no"),
+    )
+
+
+def q_manifest_conflicts_documents(spark, d):
+    return path_conflicts(parse_manifest_lines(_relisted_lines(spark, d)))
+
+
+def q_manifest_last_wins_documents(spark, d):
+    parsed = parse_manifest_lines(_relisted_lines(spark, d), keep=("line_no",))
+    return last_listing_wins(parsed, "line_no")
+
+
 def q_manifest_select_documents(spark, d):
     source = Source("/releases")
     return select_dataset(parse_manifest_lines(manifest_lines(spark, d)), source, "src1")
@@ -425,6 +446,8 @@ QUERIES: dict[str, Query] = {
     "latest_version_orders": q_latest_version_orders,
     "manifest_parse_documents": q_manifest_parse_documents,
     "manifest_select_documents": q_manifest_select_documents,
+    "manifest_conflicts_documents": q_manifest_conflicts_documents,
+    "manifest_last_wins_documents": q_manifest_last_wins_documents,
     "manifest_verify_documents": q_manifest_verify_documents,
     "spec_suggest_documents": q_spec_suggest_documents,
 }
@@ -612,6 +635,17 @@ FROM v ORDER BY major DESC, minor DESC
     "manifest_parse_documents": f"WITH {SQL_MANIFEST_LINES} SELECT path, sha1 FROM parsed",
     "manifest_select_documents": f"""WITH {SQL_MANIFEST_LINES}
 SELECT path, sha1 FROM parsed WHERE starts_with(path, 'output/etl/parquet/src1/')""",
+    "manifest_conflicts_documents": """
+WITH lines AS (SELECT sha1(text) AS sha1, 'output/etl/parquet/' || source || '/' || lang || '.parquet' AS path
+               FROM documents)
+SELECT path, count(*) AS n, count(DISTINCT sha1) AS n_hashes FROM lines
+GROUP BY path HAVING count(*) > 1
+""",
+    "manifest_last_wins_documents": """
+WITH lines AS (SELECT sha1(text) AS sha1, 'output/etl/parquet/' || source || '/' || lang || '.parquet' AS path,
+                      doc_id FROM documents)
+SELECT path, arg_max(sha1, doc_id) AS sha1 FROM lines GROUP BY path
+""",
     "manifest_verify_documents": """
 WITH files AS (SELECT 'output/etl/parquet/' || source || '/doc-' || CAST(doc_id AS VARCHAR) || '.txt'
                         AS path, sha1(text) AS sha1 FROM documents),

@@ -36,6 +36,15 @@ def parse_manifest_lines(lines: DataFrame, value: str = "value",
     )
 
 
+def last_listing_wins(parsed: DataFrame, order: str = "__pos") -> DataFrame:
+    """``(path, sha1)``: for a path listed more than once, the hash of its latest line.
+
+    ``max_by`` aggregates partially before the shuffle, so a path repeated on a third of
+    the lines still costs one partial row per task.
+    """
+    return parsed.groupBy("path").agg(F.max_by("sha1", order).alias("sha1"))
+
+
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     """``(path, sha1)``, one row per listed path, the last listing of a path winning.
 
@@ -47,13 +56,11 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
         F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
         .alias("__pos"),
     )
-    parsed = parse_manifest_lines(lines, keep=("__pos",))
-    return parsed.groupBy("path").agg(F.max_by("sha1", "__pos").alias("sha1"))
+    return last_listing_wins(parse_manifest_lines(lines, keep=("__pos",)))
 
 
-def manifest_conflicts(spark: SparkSession, path: str) -> DataFrame:
-    """``(path, n, n_hashes)`` for paths listed more than once (the last one wins on load)."""
-    parsed = parse_manifest_lines(spark.read.text(path))
+def path_conflicts(parsed: DataFrame) -> DataFrame:
+    """``(path, n, n_hashes)`` for paths listed more than once."""
     return (
         parsed.groupBy("path")
         .agg(F.count(F.lit(1)).alias("n"), F.count_distinct("sha1").alias("n_hashes"))
@@ -61,6 +68,11 @@ def manifest_conflicts(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def manifest_conflicts(spark: SparkSession, path: str) -> DataFrame:
+    """Paths a manifest file lists more than once (the last one wins on load)."""
+    return path_conflicts(parse_manifest_lines(spark.read.text(path)))
+
+
 def manifest_digest(spark: SparkSession, path: str) -> DataFrame:
     """``(path, sha1)`` of the manifest file's bytes (one file, so one task)."""
     return spark.read.format("binaryFile").load(path).select("path", F.sha1("content").alias("sha1"))
