@@ -88,6 +88,31 @@ def align(final: DataFrame, staging_schema: T.StructType) -> DataFrame:
     return final.select(*[F.col(f"`{c}`") for c in final.columns], *extra)
 
 
+_NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
+            T.DecimalType)
+_DATETIME = (T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+def store_assignable(src: T.DataType, dst: T.DataType) -> bool:
+    """Whether values of ``src`` may be stored in a table column of type ``dst`` (ANSI
+    store assignment): same type, number to number, date/time to date/time, anything to
+    string. Number narrowing is checked per value (overflow fails the write)."""
+    if src == dst or isinstance(src, T.NullType):
+        return True
+    if isinstance(dst, (T.StringType, T.VarcharType, T.CharType)):
+        return not isinstance(src, (T.BinaryType,))
+    if isinstance(src, _NUMERIC) and isinstance(dst, _NUMERIC):
+        return True
+    if isinstance(src, _DATETIME) and isinstance(dst, _DATETIME):
+        return True
+    if isinstance(src, T.ArrayType) and isinstance(dst, T.ArrayType):
+        return store_assignable(src.elementType, dst.elementType)
+    if isinstance(src, T.StructType) and isinstance(dst, T.StructType):
+        return len(src.fields) == len(dst.fields) and all(
+            store_assignable(a.dataType, b.dataType) for a, b in zip(src.fields, dst.fields))
+    return False
+
+
 def conform(staging: DataFrame, final_schema: T.StructType, carried: DataFrame | None = None) -> DataFrame:
     """Shape merged rows like the evolved table: final's columns in final's order and types,
     then the added columns sorted by name.
@@ -97,6 +122,13 @@ def conform(staging: DataFrame, final_schema: T.StructType, carried: DataFrame |
     unparsable value fails the write instead of silently changing data.
     """
     d = diff_schemas(staging.schema, final_schema)
+    s_types = {f.name.lower(): f.dataType for f in staging.schema.fields}
+    for f in final_schema.fields:
+        src = s_types.get(f.name.lower())
+        if f.name in d.type_changed and not store_assignable(src, f.dataType):
+            raise TypeError(
+                f"column {f.name!r}: values of type {src.simpleString()} cannot be stored in "
+                f"the table's {f.dataType.simpleString()} column")
     present = {c.lower() for c in staging.columns}
     carried_names = {c.lower() for c in (carried.columns if carried is not None else [])}
     cols: list[Column] = []

@@ -177,3 +177,14 @@ def test_replace_snapshot_checks_key(spark):
     assert replace_snapshot(ok, ["id"]) is ok
     with pytest.raises(KeyViolation):
         replace_snapshot(ok.union(ok), ["id"])
+
+
+def test_type_drift_follows_store_assignment(spark):
+    f = spark.createDataFrame([(1, 1.5, "a", 7)], "id bigint, score double, label string, n int")
+    s = spark.createDataFrame([(1, "2.5", 3, 8)], "id bigint, score string, label int, n bigint")
+    with pytest.raises(TypeError, match="score"):
+        merge_snapshot(s, f, ["id"])          # text into a double column: refused
+    ok = spark.createDataFrame([(1, 2.5, 3, 8)], "id bigint, score float, label int, n bigint")
+    m = merge_snapshot(ok, f, ["id"])         # float -> double, int -> string, bigint -> int
+    assert m.dtypes == [("id", "bigint"), ("score", "double"), ("label", "string"), ("n", "int")]
+    assert rows(m) == [(1, 2.5, "3", 8)]
