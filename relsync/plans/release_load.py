@@ -24,7 +24,7 @@ from relsync.operators.integrity import hash_files, require_verified, verify_fil
 from relsync.operators.projection import project
 from relsync.plans.ledger import latest_per_dataset, ledger_row
 from relsync.plans.sink import Sink
-from relsync.plans.validate import require_checks, run_checks
+from relsync.plans.validate import check_results, require_checks
 from relsync.sources.inventory import latest_version
 from relsync.sources.manifest import load_manifest
 from relsync.sources.parquet import NoFiles, read_dataset
@@ -158,7 +158,7 @@ def load_release(spark: SparkSession, specs: Sequence[DatasetSpec], source: Sour
     still load; without it the first failure is raised once running loads finish and no
     further dataset starts.
     """
-    require_checks(run_checks(spark, source, specs))
+    require_checks(check_results(spark, source, specs))
     version = version or latest_version(spark, source)
     if datasets is not None:
         unknown = sorted(set(datasets) - {s.name for s in specs})

@@ -40,9 +40,9 @@ def check_specs(specs: Sequence[DatasetSpec]) -> tuple[bool, str]:
     return True, f"{len(specs)} dataset definitions have primary keys"
 
 
-def run_checks(spark: SparkSession, source: Source, specs: Sequence[DatasetSpec],
-               extra: dict[str, Callable[[], tuple[bool, str]]] | None = None) -> DataFrame:
-    """``(check, success, message)`` for every check; none stops the others."""
+def check_results(spark: SparkSession, source: Source, specs: Sequence[DatasetSpec],
+                  extra: dict[str, Callable[[], tuple[bool, str]]] | None = None) -> list[tuple]:
+    """``[(check, success, message)]`` for every check; none stops the others."""
     checks: dict[str, Callable[[], tuple[bool, str]]] = {
         "source": lambda: check_source(spark, source),
         "datasets": lambda: check_specs(specs),
@@ -55,12 +55,20 @@ def run_checks(spark: SparkSession, source: Source, specs: Sequence[DatasetSpec]
         except Exception as e:
             ok, msg = False, str(e)
         rows.append((name, bool(ok), msg))
-    return spark.createDataFrame(rows, CHECKS_SCHEMA)
+    return rows
+
+
+def run_checks(spark: SparkSession, source: Source, specs: Sequence[DatasetSpec],
+               extra: dict[str, Callable[[], tuple[bool, str]]] | None = None) -> DataFrame:
+    """The check report as a DataFrame ``(check, success, message)``."""
+    return spark.createDataFrame(check_results(spark, source, specs, extra), CHECKS_SCHEMA)
 
 
-def require_checks(report: DataFrame) -> None:
-    failed = [r for r in report.collect() if not r["success"]]  # one row per check
+def require_checks(report: DataFrame | list[tuple]) -> None:
+    """Raise ``RuntimeError`` naming every failed check."""
+    rows = report.collect() if isinstance(report, DataFrame) else report  # one row per check
+    failed = [r for r in rows if not r[1]]
     if failed:
         raise RuntimeError(
-            "pre-flight checks failed: " + "; ".join(f"{r['check']}: {r['message']}" for r in failed)
+            "pre-flight checks failed: " + "; ".join(f"{r[0]}: {r[2]}" for r in failed)
         )
