@@ -21,6 +21,9 @@ from pyspark.sql import SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from relsync.operators.checks import key_violations, orphan_keys, orphan_rows  # noqa: E402
+from relsync.operators.merge import stale_rows  # noqa: E402
+from relsync.plans.ledger import latest_per_dataset  # noqa: E402
+from relsync.sources.manifest import last_listing_wins  # noqa: E402
 
 
 def read_events(ev_dir: str) -> list[dict]:
@@ -61,10 +64,22 @@ def main():
                         .otherwise(F.col("l_orderkey") + 10_000_000))
     hot = hot.repartition(16).cache()
     hot.count()
+    # the same hot key as a ledger's dataset and as a manifest's path
+    ledger = hot.select(F.col("l_orderkey").cast("string").alias("dataset_name"),
+                        F.col("l_shipdate").alias("load_timestamp"),
+                        F.col("l_linenumber").cast("string").alias("version"),
+                        F.col("l_partkey").alias("rows_loaded"), F.lit("success").alias("status"))
+    listing = hot.select(F.col("l_orderkey").cast("string").alias("path"),
+                         F.sha1(F.col("l_partkey").cast("string")).alias("sha1"),
+                         F.monotonically_increasing_id().alias("__pos"))
     runs = {
         "key_violations": lambda: key_violations(hot, ["l_orderkey"]),
         "orphan_keys": lambda: orphan_keys(hot, orders, ["l_orderkey"], ["o_orderkey"]),
         "orphan_rows": lambda: orphan_rows(hot, orders, ["l_orderkey"], ["o_orderkey"]),
+        "stale_rows": lambda: stale_rows(orders, hot.select(F.col("l_orderkey").alias("o_orderkey")),
+                                         ["o_orderkey"]),
+        "latest_per_dataset": lambda: latest_per_dataset(ledger),
+        "last_listing_wins": lambda: last_listing_wins(listing),
     }
     for name, fn in runs.items():
         spark.sparkContext.setJobGroup(name, name)
