@@ -27,9 +27,26 @@ STATUS_MISSING = "missing_file"
 
 
 class IntegrityError(ValueError):
+    """A file of the release does not agree with the manifest."""
+
+
+class ChecksumMismatch(IntegrityError):
     pass
 
 
+class NotInManifest(IntegrityError, KeyError):
+    def __str__(self) -> str:  # KeyError would quote the message
+        return ValueError.__str__(self)
+
+
+class MissingFile(IntegrityError, FileNotFoundError):
+    pass
+
+
+_ERROR_OF = {STATUS_MISMATCH: ChecksumMismatch, STATUS_NOT_IN_MANIFEST: NotInManifest,
+             STATUS_MISSING: MissingFile}
+
+
 def _open_input(uri: str):
     from pyarrow import fs
 
@@ -130,7 +147,7 @@ def verify_files(hashed: DataFrame, manifest: DataFrame, relative_prefix: str,
 
 def require_verified(report: DataFrame, sample: int = 5) -> None:
     """Raise :class:`IntegrityError` naming the first failures of a verification report."""
-    bad = report.where(F.col("status") != STATUS_OK).take(sample)
+    bad = report.where(F.col("status") != STATUS_OK).orderBy("status", "path").take(sample)
     if bad:
         desc = "; ".join(f"{r['path']}: {r['status']}" for r in bad)
-        raise IntegrityError(f"file verification failed: {desc}")
+        raise _ERROR_OF[bad[0]["status"]](f"file verification failed: {desc}")

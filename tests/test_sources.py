@@ -3,8 +3,8 @@ import os
 import pyarrow as pa
 import pytest
 
-from relsync.operators.integrity import (IntegrityError, hash_files, require_verified,
-                                         verify_files)
+from relsync.operators.integrity import (ChecksumMismatch, IntegrityError, hash_files,
+                                         require_verified, verify_files)
 from relsync.sources.inventory import (latest_version, list_data_files, list_datasets,
                                        list_versions, suggest_specs)
 from relsync.sources.manifest import (ManifestError, load_manifest, manifest_conflicts,
@@ -107,6 +107,12 @@ def test_file_verification_statuses(spark, tree):
                    "part-00009.parquet": "not_in_manifest"}
     with pytest.raises(IntegrityError):
         require_verified(rep)
+    with pytest.raises(ChecksumMismatch):   # "mismatch" sorts first among the statuses
+        require_verified(rep)
+    with pytest.raises(FileNotFoundError):
+        require_verified(rep.where("status = 'missing_file'"))
+    with pytest.raises(KeyError, match="not_in_manifest"):
+        require_verified(rep.where("status = 'not_in_manifest'"))
 
 
 def test_large_files_hashed_in_chunks(spark, tree):
