@@ -4,7 +4,8 @@ The schema comes from the first file (by name). Whether the other files agree is
 checked from their footers only, in parallel tasks, in one of three modes:
 
 strict  every file must hold every column of the first file (extra columns are ignored)
-merge   union of all columns (``mergeSchema``); a column missing in a file reads NULL
+merge   union of all columns, each at its widest type (int < bigint < double); a column
+        missing in a file reads NULL
 first   the first file's schema is imposed; missing columns read NULL
 """
 
@@ -75,6 +76,50 @@ class NoFiles(ValueError):
     pass
 
 
+_INT_RANK = {T.ByteType: 1, T.ShortType: 2, T.IntegerType: 3, T.LongType: 4}
+
+
+def widen(a: T.DataType, b: T.DataType) -> T.DataType:
+    """Common type of one column seen with two types in different files."""
+    if a == b:
+        return a
+    ia, ib = _INT_RANK.get(type(a)), _INT_RANK.get(type(b))
+    if ia and ib:
+        return a if ia >= ib else b
+    floating = (T.FloatType, T.DoubleType)
+    if (ia or isinstance(a, floating)) and (ib or isinstance(b, floating)):
+        return T.DoubleType()
+    raise SchemaMismatch(f"cannot combine {a.simpleString()} and {b.simpleString()}")
+
+
+def merged_schema(spark: SparkSession, inventory: DataFrame) -> T.StructType:
+    """Union of the files' columns, each at the widest type it has in any file.
+
+    Footers are fingerprinted in parallel tasks; only one file per distinct footer schema
+    (a handful, however many files) is asked for its Spark schema.
+    """
+    def fingerprint(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            fps = [repr(sorted(_footer_fields(p).items())) for p in pdf["path"]]
+            yield pd.DataFrame({"path": pdf["path"], "fp": fps})
+
+    reps = (inventory.select("path").mapInPandas(fingerprint, "path string, fp string")
+            .groupBy("fp").agg(F.min("path").alias("path"))
+            .orderBy("path").collect())  # one row per distinct footer schema
+    fields: dict[str, T.StructField] = {}
+    order: list[str] = []
+    for r in reps:
+        for f in spark.read.parquet(r["path"]).schema.fields:
+            key = f.name.lower()
+            if key in fields:
+                fields[key] = T.StructField(fields[key].name,
+                                            widen(fields[key].dataType, f.dataType), True)
+            else:
+                fields[key] = T.StructField(f.name, f.dataType, True)
+                order.append(key)
+    return T.StructType([fields[k] for k in order])
+
+
 def read_dataset(spark: SparkSession, files: str | Sequence[str], mode: str = "strict",
                  schema: T.StructType | None = None) -> DataFrame:
     """One DataFrame over all files of a dataset (file order is neither kept nor needed).
@@ -95,7 +140,7 @@ def read_dataset(spark: SparkSession, files: str | Sequence[str], mode: str = "s
         raise NoFiles(f"no Parquet files in {files}")
     first_file = head[0]["path"]
     if mode == "merge":
-        return spark.read.option("mergeSchema", "true").parquet(*paths)
+        return spark.read.schema(schema or merged_schema(spark, inventory)).parquet(*paths)
     first = schema or spark.read.parquet(first_file).schema
     if mode == "strict" and len(head) > 1:
         others = inventory.where(F.col("path") != first_file)

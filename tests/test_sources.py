@@ -174,3 +174,16 @@ def test_malformed_manifest_line_fails(spark, tmp_path):
     write_release(root, "22.06", {"x": [table(id=pa.array([1]))]}, extra_lines=["deadbeef"])
     with pytest.raises(ManifestError, match="malformed"):
         load_manifest(spark, Source(root), "22.06")
+
+
+def test_merge_mode_widens_types_across_files(spark, tmp_path):
+    root = str(tmp_path / "r")
+    t1 = table(id=pa.array(["a"]), n=pa.array([1], pa.int32()), x=pa.array([0.5], pa.float32()))
+    t2 = table(id=pa.array(["b"]), n=pa.array([2**40], pa.int64()), y=pa.array(["new"]))
+    t3 = table(id=pa.array(["c"]), n=pa.array([3], pa.int32()), x=pa.array([1.5], pa.float64()))
+    write_release(root, "23.01", {"x": [t1, t2, t3]})
+    src = Source(root)
+    df = read_dataset(spark, f"{src.dataset_dir('23.01', 'x')}/*.parquet", mode="merge")
+    assert df.dtypes == [("id", "string"), ("n", "bigint"), ("x", "double"), ("y", "string")]
+    got = sorted(tuple(r) for r in df.collect())
+    assert got == [("a", 1, 0.5, None), ("b", 2**40, None, "new"), ("c", 3, 1.5, None)]
