@@ -9,6 +9,9 @@ from __future__ import annotations
 import tomllib
 from typing import Any, Mapping
 
+from pyspark.sql import SparkSession
+
+from relsync.sources.inventory import list_datasets, suggest_specs
 from relsync.spec import DatasetSpec, Source
 
 # Configuration keys understood (names as in existing configuration files).
@@ -74,3 +77,16 @@ def source_from_config(cfg: Mapping[str, Any]) -> Source:
 
 def max_workers(cfg: Mapping[str, Any]) -> int:
     return int(cfg.get(K_EXECUTION, {}).get(K_WORKERS, 1))
+
+
+def suggest_config(spark: SparkSession, source: Source, version: str,
+                   default_key: str = "id") -> str:
+    """``[datasets.<name>]`` TOML for every dataset of a release (key ``id`` by default),
+    ready to edit and to read back with :func:`specs_from_config`."""
+    rows = suggest_specs(list_datasets(spark, source, version), default_key).collect()
+    out = []
+    for r in rows:  # one row per dataset
+        out += [f'[{K_DATASETS}."{r["dataset"]}"]',
+                f'{K_PRIMARY_KEY} = ["{r["primary_key"]}"]',
+                f'{K_FINAL_TABLE} = "{r["final_table_name"]}"', ""]
+    return "\n".join(out)

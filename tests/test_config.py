@@ -79,3 +79,19 @@ primary_key = ["id"]
 """)
     assert main([str(cfg), "jobdb"]) == 0
     assert sorted(tuple(r) for r in spark.table("jobdb.genes").collect()) == [("g1", 1), ("g2", 2)]
+
+
+def test_suggest_config_round_trips(spark, tmp_path):
+    import tomllib
+    import pyarrow as pa
+    from relsync.plans.config import suggest_config
+    from relsync.spec import Source
+    from tests.release_tree import table, write_release
+    root = str(tmp_path / "r")
+    write_release(root, "22.06", {"mouse-phenotypes": [table(id=pa.array([1]))],
+                                  "diseases": [table(id=pa.array([1]))]})
+    text = suggest_config(spark, Source(root), "22.06")
+    specs = {s.name: s for s in specs_from_config(tomllib.loads(text))}
+    assert sorted(specs) == ["diseases", "mouse-phenotypes"]
+    assert specs["mouse-phenotypes"].table_name == "mouse_phenotypes"
+    assert specs["diseases"].primary_key == ("id",)
