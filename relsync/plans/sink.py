@@ -4,7 +4,7 @@ Built-in file tables cannot be merged into, replaced while being read, or swappe
 place. So every load writes a new generation table ``<table>__g<id>`` and then points
 the view ``<table>`` at it; the view switch is the commit point. A failed load leaves
 the view, and so every reader, on the previous generation. The previous generation is
-kept for rollback; older ones are dropped.
+kept for rollback; older ones, and any a crashed load left unpublished, are dropped.
 
 A catalog with row-level operations could use ``DataFrame.mergeInto`` instead; the
 public methods stay the same.
@@ -138,10 +138,24 @@ class CatalogSink(Sink):
         writer.saveAsTable(self.fq(gen))
         return gen, int(obs.get.get("rows", 0))
 
+    def current_generation(self, table: str) -> str | None:
+        """The generation the table's view reads now (None when there is no view)."""
+        if not self.exists(table):
+            return None
+        info = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.fq(table)}").collect()
+        text = next((r["data_type"] for r in info if r["col_name"] == "View Text"), "") or ""
+        names = [g for g in self.generations(table) if g.lower() in text.lower()]
+        return max(names, key=len) if names else None
+
     def _switch(self, table: str, gen: str) -> None:
+        previous = self.current_generation(table)
         self.spark.sql(f"CREATE OR REPLACE VIEW {self.fq(table)} AS SELECT * FROM {self.fq(gen)}")
-        for old in self.generations(table)[: -self.keep]:
-            if old != gen:
+        # keep the new generation and (for rollback) the one readers saw before; drop the
+        # rest that is older (names sort by write time): superseded ones and those a crashed
+        # load never published. Newer ones may belong to a load still running.
+        keep = {gen} | ({previous} if previous and self.keep > 1 else set())
+        for old in self.generations(table):
+            if old not in keep and old < gen:
                 self.spark.sql(f"DROP TABLE IF EXISTS {self.fq(old)}")
 
     def stage(self, table: str, df: DataFrame, keys: Sequence[str], load_type: str) -> Staged:

@@ -318,3 +318,16 @@ def test_third_party_sink(spark, tmp_path):
     out = load_release(spark, [SPECS[0]], src, sink).collect()
     assert out[0]["status"] == "loaded" and rows(sink.read("targets")) == [("target1", 100), ("target2", 200)]
     assert load_release(spark, [SPECS[0]], src, sink).collect()[0]["status"] == "skipped_already_loaded"
+
+
+def test_unpublished_generation_from_a_crashed_load_is_cleaned(spark):
+    sink = CatalogSink(spark, database="db_" + uuid.uuid4().hex[:8])
+    sink.replace("t", spark.createDataFrame([(1,)], "id bigint"), ["id"])
+    first = sink.current_generation("t")
+    orphan = sink.stage("t", spark.createDataFrame([(9,)], "id bigint"), ["id"], "full")  # never published
+    assert rows(sink.read("t")) == [(1,)] and len(sink.generations("t")) == 2
+    sink.replace("t", spark.createDataFrame([(2,)], "id bigint"), ["id"])
+    gens = sink.generations("t")
+    assert first in gens and sink.current_generation("t") in gens and len(gens) == 2
+    assert rows(sink.read("t")) == [(2,)]
+    del orphan
