@@ -83,6 +83,14 @@ class Sink(ABC):
 
 
 class CatalogSink(Sink):
+    """Tables of one catalog database, published as generations behind views.
+
+    fmt               file format of the generation tables (``parquet`` by default)
+    ledger_table      name of the ledger table in the same database
+    keep_generations  2 keeps the previous generation for rollback, 1 keeps only the current
+    bucket_by_key     write generations bucketed (and sorted) by key into this many buckets
+    """
+
     def __init__(self, spark: SparkSession, database: str = "default", fmt: str = "parquet",
                  ledger_table: str = "relsync_load_ledger", keep_generations: int = 2,
                  bucket_by_key: int | None = None):
