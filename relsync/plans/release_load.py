@@ -158,14 +158,13 @@ def load_release(spark: SparkSession, specs: Sequence[DatasetSpec], source: Sour
     still load; without it the first failure is raised once running loads finish and no
     further dataset starts.
     """
-    require_checks(check_results(spark, source, specs))
+    require_checks(check_results(spark, source, specs, sink=sink))
     version = version or latest_version(spark, source)
     if datasets is not None:
         unknown = sorted(set(datasets) - {s.name for s in specs})
         if unknown:
             raise ValueError(f"datasets without a definition: {', '.join(unknown)}")
     chosen = [s for s in specs if datasets is None or s.name in set(datasets)]
-    sink.ensure_database()
     manifest = load_manifest(spark, source, version).cache() if verify else None
     # one small job for every dataset's latest success (one row per dataset)
     latest = {r["dataset_name"]: r["version"]

@@ -40,13 +40,24 @@ def check_specs(specs: Sequence[DatasetSpec]) -> tuple[bool, str]:
     return True, f"{len(specs)} dataset definitions have primary keys"
 
 
+def check_target(sink) -> tuple[bool, str]:
+    """The target can be written to (its database exists or can be created)."""
+    try:
+        sink.ensure_database()
+    except Exception as e:
+        return False, f"target not reachable: {e}"
+    return True, "target reachable"
+
+
 def check_results(spark: SparkSession, source: Source, specs: Sequence[DatasetSpec],
-                  extra: dict[str, Callable[[], tuple[bool, str]]] | None = None) -> list[tuple]:
+                  extra: dict[str, Callable[[], tuple[bool, str]]] | None = None,
+                  sink=None) -> list[tuple]:
     """``[(check, success, message)]`` for every check; none stops the others."""
-    checks: dict[str, Callable[[], tuple[bool, str]]] = {
-        "source": lambda: check_source(spark, source),
-        "datasets": lambda: check_specs(specs),
-    }
+    checks: dict[str, Callable[[], tuple[bool, str]]] = {}
+    if sink is not None:
+        checks["target"] = lambda: check_target(sink)
+    checks["source"] = lambda: check_source(spark, source)
+    checks["datasets"] = lambda: check_specs(specs)
     checks.update(extra or {})
     rows = []
     for name, fn in checks.items():
@@ -59,9 +70,11 @@ def check_results(spark: SparkSession, source: Source, specs: Sequence[DatasetSp
 
 
 def run_checks(spark: SparkSession, source: Source, specs: Sequence[DatasetSpec],
-               extra: dict[str, Callable[[], tuple[bool, str]]] | None = None) -> DataFrame:
+               extra: dict[str, Callable[[], tuple[bool, str]]] | None = None,
+               sink=None) -> DataFrame:
     """The check report as a DataFrame ``(check, success, message)``."""
-    return spark.createDataFrame(check_results(spark, source, specs, extra), CHECKS_SCHEMA)
+    return spark.createDataFrame(check_results(spark, source, specs, extra, sink),
+                                 CHECKS_SCHEMA)
 
 
 def require_checks(report: DataFrame | list[tuple]) -> None:

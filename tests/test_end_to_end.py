@@ -331,3 +331,18 @@ def test_unpublished_generation_from_a_crashed_load_is_cleaned(spark):
     assert first in gens and sink.current_generation("t") in gens and len(gens) == 2
     assert rows(sink.read("t")) == [(2,)]
     del orphan
+
+
+def test_unreachable_target_stops_before_any_work(spark, tmp_path):
+    src = Source(str(tmp_path / "rel"))
+    write_release(src.root, "22.06", {"targets": [A1]})
+
+    class Down(CatalogSink):
+        def ensure_database(self):
+            raise ConnectionError("catalog down")
+
+    with pytest.raises(RuntimeError, match="target not reachable: catalog down"):
+        load_release(spark, [SPECS[0]], src, Down(spark, "down"))
+    rep = {r["check"]: r["success"] for r in
+           run_checks(spark, src, SPECS, sink=CatalogSink(spark, "up_db")).collect()}
+    assert rep == {"target": True, "source": True, "datasets": True}
