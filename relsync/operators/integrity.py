@@ -55,7 +55,12 @@ def _open_input(uri: str):
     for hadoop_scheme in ("s3a://", "s3n://"):  # Hadoop's S3 schemes are Arrow's s3://
         if uri.startswith(hadoop_scheme):
             uri = "s3://" + uri[len(hadoop_scheme):]
-    filesystem, path = fs.FileSystem.from_uri(uri)
+    try:
+        filesystem, path = fs.FileSystem.from_uri(uri)
+    except Exception as e:  # a scheme Arrow cannot open (e.g. ftp://)
+        raise IntegrityError(
+            f"cannot stream {uri} for chunked hashing ({e}); raise max_cell_bytes so the "
+            f"file is hashed by the JVM instead") from e
     return filesystem.open_input_stream(path)
 
 
