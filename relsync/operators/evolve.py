@@ -71,13 +71,32 @@ def diff_schemas(staging: T.StructType, final: T.StructType) -> SchemaDiff:
     return SchemaDiff(tuple(same), tuple(changed), tuple(added), tuple(removed), f_types, s_types)
 
 
-def schema_diff(spark: SparkSession, staging: DataFrame, final: DataFrame) -> DataFrame:
+def non_null_counts(df: DataFrame, name: str) -> DataFrame:
+    """``(column, <name>)``: non-null values per column, from one global aggregation."""
+    counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in df.columns])
+    return counts.unpivot([], counts.columns, "column", name)
+
+
+def schema_diff(spark: SparkSession, staging: DataFrame, final: DataFrame,
+                counts: bool = False) -> DataFrame:
     """``(column, status, staging_type, final_type)``; status is same / type_changed / added / removed.
 
-    Built from the two schemas alone (analysis, no scan).
+    Built from the two schemas alone (analysis, no scan). With ``counts`` each side's
+    non-null values per column are added (``staging_non_null``, ``final_non_null``): one
+    pass over each snapshot, partially aggregated per task, so a column that arrives
+    empty shows up next to its type.
     """
     d = diff_schemas(staging.schema, final.schema)
-    return spark.createDataFrame(d.rows(), DIFF_SCHEMA)
+    out = spark.createDataFrame(d.rows(), DIFF_SCHEMA)
+    if not counts:
+        return out
+    s = non_null_counts(staging, "staging_non_null")
+    f = non_null_counts(final, "final_non_null")
+    key = F.lower(F.col("column"))
+    return (out.join(s.withColumn("__k", key).drop("column"), key == F.col("__k"), "left")
+            .drop("__k")
+            .join(f.withColumn("__k", key).drop("column"), key == F.col("__k"), "left")
+            .drop("__k"))
 
 
 def align(final: DataFrame, staging_schema: T.StructType) -> DataFrame:

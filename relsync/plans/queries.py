@@ -218,7 +218,7 @@ def q_diff_snapshots_conversations(spark, d):
 
 
 def q_schema_diff_orders(spark, d):
-    return schema_diff(spark, orders_new(spark, d), orders_old(spark, d))
+    return schema_diff(spark, orders_new(spark, d), orders_old(spark, d), counts=True)
 
 
 def q_align_orders(spark, d):
@@ -525,15 +525,22 @@ FROM s FULL OUTER JOIN f ON s.conv_id = f.conv_id AND s.turn = f.turn
     "merge_stats_orders": _DIFF_ORDERS_SQL + "SELECT op, count(*) AS n FROM d GROUP BY op",
     "schema_diff_orders": f"""
 WITH sd AS (SELECT column_name, column_type FROM (DESCRIBE {SQL_ORDERS_NEW})),
-     fd AS (SELECT column_name, column_type FROM (DESCRIBE {SQL_ORDERS_OLD}))
+     fd AS (SELECT column_name, column_type FROM (DESCRIBE {SQL_ORDERS_OLD})),
+     sc AS (UNPIVOT (SELECT count(COLUMNS(*)) FROM ({SQL_ORDERS_NEW}))
+            ON COLUMNS(*) INTO NAME column_name VALUE staging_non_null),
+     fc AS (UNPIVOT (SELECT count(COLUMNS(*)) FROM ({SQL_ORDERS_OLD}))
+            ON COLUMNS(*) INTO NAME column_name VALUE final_non_null)
 SELECT COALESCE(sd.column_name, fd.column_name) AS "column",
        CASE WHEN fd.column_name IS NULL THEN 'added'
             WHEN sd.column_name IS NULL THEN 'removed'
             WHEN sd.column_type = fd.column_type THEN 'same'
             ELSE 'type_changed' END AS status,
        {_spark_type_sql("sd.column_type")} AS staging_type,
-       {_spark_type_sql("fd.column_type")} AS final_type
+       {_spark_type_sql("fd.column_type")} AS final_type,
+       sc.staging_non_null, fc.final_non_null
 FROM sd FULL OUTER JOIN fd ON sd.column_name = fd.column_name
+LEFT JOIN sc ON sc.column_name = COALESCE(sd.column_name, fd.column_name)
+LEFT JOIN fc ON fc.column_name = COALESCE(sd.column_name, fd.column_name)
 """,
     "align_orders": f"""
 WITH {SQL_ORDERS}

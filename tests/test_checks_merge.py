@@ -198,3 +198,12 @@ def test_type_drift_follows_store_assignment(spark):
     m = merge_snapshot(ok, f, ["id"])         # float -> double, int -> string, bigint -> int
     assert m.dtypes == [("id", "bigint"), ("score", "double"), ("label", "string"), ("n", "int")]
     assert rows(m) == [(1, 2.5, "3", 8)]
+
+
+def test_schema_diff_with_non_null_counts(spark):
+    final = spark.createDataFrame([(1, 1.0, None), (2, None, None)], "id bigint, score double, gone string")
+    new = spark.createDataFrame([(1, "x", None)], "ID bigint, score string, extra int")
+    got = {r["column"]: (r["status"], r["staging_non_null"], r["final_non_null"])
+           for r in schema_diff(spark, new, final, counts=True).collect()}
+    assert got == {"id": ("same", 1, 2), "score": ("type_changed", 1, 1),
+                   "gone": ("removed", None, 0), "extra": ("added", 0, None)}
