@@ -31,6 +31,7 @@ from relsync.operators.merge import diff_snapshots, kept_rows, merge_snapshot, m
     replace_snapshot, stale_rows
 from relsync.operators.projection import project
 from relsync.plans.ledger import last_success, latest_per_dataset, latest_per_dataset_window
+from relsync.plans.release_load import plan_load
 from relsync.sources.inventory import dataset_of, suggest_specs
 from relsync.sources.manifest import last_listing_wins, parse_manifest_lines, path_conflicts, \
     select_dataset
@@ -196,6 +197,36 @@ def q_diff_digest_orders(spark, d):
                           compare="digest")
 
 
+ORDERS_SPEC = DatasetSpec(
+    "orders", primary_key=("o_orderkey",),
+    overrides={"o_orderkey": {"rename": "order_id"}, "status": {"action": "flatten"}},
+)
+
+
+def q_delta_load_orders(spark, d):
+    """A nested new release of orders, projected by rules and merged into the table of
+    the previous release (which still has ``o_legacy_code``)."""
+    o = table(spark, d, "orders")
+    raw = o.where(F.col("o_orderstatus").isin("O", "P")).select(
+        "o_orderkey", "o_custkey",
+        F.struct(F.col("o_orderstatus").alias("code"),
+                 F.col("o_orderpriority").alias("priority")).alias("status"),
+        "o_totalprice", "o_orderdate",
+        F.array("o_orderstatus", "o_orderpriority").alias("tags"),
+    )
+    current = o.where(F.col("o_orderstatus").isin("F", "O")).select(
+        F.col("o_orderkey").alias("order_id"), "o_custkey",
+        F.col("o_orderstatus").alias("status_code"),
+        F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("2-HIGH"))
+        .otherwise(F.col("o_orderpriority")).alias("status_priority"),
+        "o_totalprice", "o_orderdate",
+        F.to_json(F.array("o_orderstatus", "o_orderpriority")).alias("tags"),
+        F.concat("o_orderstatus", F.lit("-"), F.col("o_orderkey").cast("string"))
+        .alias("o_legacy_code"),
+    )
+    return plan_load(raw, ORDERS_SPEC, current)
+
+
 def q_stale_rows_orders(spark, d):
     return stale_rows(orders_old(spark, d), orders_new(spark, d), ["o_orderkey"])
 
@@ -421,6 +452,7 @@ QUERIES: dict[str, Query] = {
     "merge_composite_conversations": q_merge_composite_conversations,
     "merge_all_key_columns": q_merge_all_key_columns,
     "full_refresh_orders": q_full_refresh_orders,
+    "delta_load_orders": q_delta_load_orders,
     "stale_rows_orders": q_stale_rows_orders,
     "kept_rows_orders": q_kept_rows_orders,
     "diff_snapshots_orders": q_diff_snapshots_orders,
@@ -498,6 +530,21 @@ WHERE EXISTS (SELECT 1 FROM s WHERE s.l_partkey = f.l_partkey AND s.l_suppkey =
 UNION ALL
 SELECT s.l_partkey, s.l_suppkey FROM s
 WHERE NOT EXISTS (SELECT 1 FROM f WHERE f.l_partkey = s.l_partkey AND f.l_suppkey = s.l_suppkey)
+""",
+    "delta_load_orders": """
+WITH s AS (SELECT o_orderkey AS order_id, o_custkey, o_orderstatus AS status_code,
+                  o_orderpriority AS status_priority, o_totalprice, o_orderdate,
+                  to_json([o_orderstatus, o_orderpriority])::VARCHAR AS tags
+           FROM orders WHERE o_orderstatus IN ('O', 'P')),
+     f AS (SELECT o_orderkey AS order_id, o_orderstatus || '-' || CAST(o_orderkey AS VARCHAR) AS o_legacy_code
+           FROM orders WHERE o_orderstatus IN ('F', 'O'))
+SELECT s.order_id, s.o_custkey, s.status_code, s.status_priority, s.o_totalprice, s.o_orderdate,
+       s.tags, f.o_legacy_code
+FROM f JOIN s ON s.order_id = f.order_id
+UNION ALL
+SELECT s.order_id, s.o_custkey, s.status_code, s.status_priority, s.o_totalprice, s.o_orderdate,
+       s.tags, CAST(NULL AS VARCHAR)
+FROM s WHERE NOT EXISTS (SELECT 1 FROM f WHERE f.order_id = s.order_id)
 """,
     "full_refresh_orders": f"""
 WITH {SQL_ORDERS}

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from relsync.operators.integrity import hash_files, require_verified, verify_files
+from relsync.operators.merge import merge_snapshot
 from relsync.operators.projection import project
 from relsync.plans.ledger import latest_per_dataset, ledger_row
 from relsync.plans.sink import Sink
@@ -67,6 +68,16 @@ def _now() -> dt.datetime:
 _UNKNOWN = object()
 
 
+def plan_load(raw: DataFrame, spec: DatasetSpec, current: DataFrame | None = None,
+              load_type: str = "delta") -> DataFrame:
+    """The rows a load of ``raw`` publishes, as one lazy plan: the dataset's projection
+    rules, then (delta) the snapshot merge into ``current``. Keys must be checked first."""
+    staged = project(raw, spec)
+    if load_type == "full" or current is None:
+        return staged
+    return merge_snapshot(staged, current, list(spec.output_key()))
+
+
 def load_dataset(spark: SparkSession, spec: DatasetSpec, source: Source, version: str,
                  sink: Sink, load_type: str = "delta", force: bool = False,
                  manifest: DataFrame | None = None, schema_mode: str = "strict",
