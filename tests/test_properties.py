@@ -58,3 +58,25 @@ def test_key_violations_match_counting(spark, pairs):
     expected = sorted(((a, b, "null_key" if a is None else "duplicate_key", n)
                        for (a, b), n in counts.items() if a is None or n > 1), key=repr)
     assert _rows(key_violations(df, ["a", "b"])) == expected
+
+
+small_text = st.text(alphabet=st.characters(blacklist_categories=("Cs",)), max_size=8)
+structs = st.one_of(st.none(), st.fixed_dictionaries({
+    "a": st.one_of(st.none(), small_text),
+    "b": st.one_of(st.none(), st.integers(-2**40, 2**40)),
+    "c": st.one_of(st.none(), st.lists(st.one_of(st.none(), small_text), max_size=4)),
+}))
+
+
+@SETTINGS
+@given(st.lists(structs, min_size=1, max_size=6))
+def test_struct_json_round_trips(spark, values):
+    import json
+
+    from relsync.operators.projection import project
+    from relsync.spec import DatasetSpec
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)],
+                               "id bigint, s struct<a:string, b:bigint, c:array<string>>")
+    got = {r["id"]: r["s"] for r in project(df, DatasetSpec("x", ("id",))).collect()}
+    for i, v in enumerate(values):
+        assert (got[i] is None) if v is None else (json.loads(got[i]) == v)
