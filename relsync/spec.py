@@ -106,6 +106,7 @@ class Source:
     """
 
     root: str
+    # Where a release keeps its Parquet datasets, and its manifest's name.
     parquet_dir: str = "output/etl/parquet"
     manifest_name: str = "release_data_integrity"
     release_template: str | None = None
