@@ -24,7 +24,12 @@ def checkpoint_location(spark: SparkSession, name: str, given: str | None = None
     """Checkpoint path: the given one, else ``<spark.checkpoint.dir>/<name>``."""
     if given:
         return given
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        try:  # a directory set with SparkContext.setCheckpointDir (not under Spark Connect)
+            base = spark.sparkContext.getCheckpointDir()
+        except Exception:
+            base = None
     if not base:
         raise ValueError("set spark.checkpoint.dir (a shared folder) or pass checkpoint=")
     return f"{base.rstrip('/')}/{name}"
