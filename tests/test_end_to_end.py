@@ -346,3 +346,16 @@ def test_unreachable_target_stops_before_any_work(spark, tmp_path):
     rep = {r["check"]: r["success"] for r in
            run_checks(spark, src, SPECS, sink=CatalogSink(spark, "up_db")).collect()}
     assert rep == {"target": True, "source": True, "datasets": True}
+
+
+def test_compact_ledger(spark):
+    import datetime as dt_
+    sink = CatalogSink(spark, database="db_" + uuid.uuid4().hex[:8])
+    t0 = dt_.datetime(2024, 1, 1)
+    for i in range(4):
+        sink.record(L.ledger_row(f"22.0{i}", "a", True, i, t0, t0,
+                                 load_timestamp=t0 + dt_.timedelta(days=i)))
+    assert len(sink.ledger().inputFiles()) == 4
+    assert sink.compact_ledger() == 4
+    assert len(sink.ledger().inputFiles()) == 1
+    assert sink.last_success("a") == "22.03" and sink.ledger().count() == 4
