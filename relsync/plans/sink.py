@@ -76,23 +76,6 @@ class Sink(ABC):
     def ledger(self) -> DataFrame: ...
 
     @abstractmethod
-    def compact_ledger(self, files: int = 1) -> int:
-        """Rewrite the ledger (one small file per load attempt) into ``files`` files.
-
-        The rows go to a new table first; the old one is dropped and the new one renamed
-        only after that write succeeded. Returns the number of ledger rows.
-        """
-        with self._lock:
-            if not self.exists(self.ledger_table):
-                return 0
-            tmp = f"{self.ledger_table}__compact_{uuid.uuid4().hex[:8]}"
-            obs = Observation(f"ledger_{uuid.uuid4().hex[:8]}")
-            (self.ledger().observe(obs, F.count(F.lit(1)).alias("rows")).repartition(files)
-             .write.format(self.fmt).saveAsTable(self.fq(tmp)))
-            self.spark.sql(f"DROP TABLE {self.fq(self.ledger_table)}")
-            self.spark.sql(f"ALTER TABLE {self.fq(tmp)} RENAME TO {self.fq(self.ledger_table)}")
-            return int(obs.get.get("rows", 0))
-
     def record(self, row: tuple) -> None: ...
 
     def last_success(self, dataset: str) -> str | None:
