@@ -187,3 +187,18 @@ def test_merge_mode_widens_types_across_files(spark, tmp_path):
     assert df.dtypes == [("id", "string"), ("n", "bigint"), ("x", "double"), ("y", "string")]
     got = sorted(tuple(r) for r in df.collect())
     assert got == [("a", 1, 0.5, None), ("b", 2**40, None, "new"), ("c", 3, 1.5, None)]
+
+
+def test_infer_schema_from_first_file_and_incompatible_merge(spark, tmp_path):
+    from relsync.sources.parquet import infer_schema
+    root = str(tmp_path / "r")
+    t1 = table(id=pa.array(["a"]), n=pa.array([1], pa.int64()))
+    t2 = table(id=pa.array(["b"]), n=pa.array(["text"]))
+    write_release(root, "23.01", {"x": [t1, t2]})
+    d = Source(root).dataset_dir("23.01", "x")
+    files = [f"{d}/part-00001.parquet", f"{d}/part-00000.parquet"]
+    assert infer_schema(spark, files).simpleString() == "struct<id:string,n:bigint>"
+    with pytest.raises(ValueError):
+        infer_schema(spark, [])
+    with pytest.raises(SchemaMismatch, match="cannot combine"):
+        read_dataset(spark, f"{d}/*.parquet", mode="merge")
