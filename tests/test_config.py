@@ -95,3 +95,21 @@ def test_suggest_config_round_trips(spark, tmp_path):
     assert sorted(specs) == ["diseases", "mouse-phenotypes"]
     assert specs["mouse-phenotypes"].table_name == "mouse_phenotypes"
     assert specs["diseases"].primary_key == ("id",)
+
+
+def test_load_job_exit_code_on_failure(spark, tmp_path):
+    import pyarrow as pa
+    from scripts.load_job import main
+    from tests.release_tree import table, write_release
+    root = str(tmp_path / "rel")
+    write_release(root, "22.06", {"genes": [table(id=pa.array(["g1", "g1"]))]})  # duplicate key
+    cfg = tmp_path / "cfg.toml"
+    cfg.write_text(f"""
+[source]
+version_discovery_uri = "{root}"
+checksum_uri_template = "{root}/{{version}}/"
+
+[datasets.genes]
+primary_key = ["id"]
+""")
+    assert main([str(cfg), "jobdb_fail"]) == 1
