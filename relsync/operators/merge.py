@@ -83,7 +83,7 @@ def kept_rows(final: DataFrame, staging: DataFrame, keys: Sequence[str]) -> Data
 
 
 def diff_snapshots(staging: DataFrame, final: DataFrame, keys: Sequence[str],
-                   compare: str = "exact") -> DataFrame:
+                   compare: str = "exact", check_keys: bool = False) -> DataFrame:
     """``(keys..., op)`` with op insert / update / delete / unchanged for every key of either side.
 
     A kept key is ``update`` when any column both sides share differs (null-safe), the
@@ -91,7 +91,7 @@ def diff_snapshots(staging: DataFrame, final: DataFrame, keys: Sequence[str],
     join on the key; both sides carry only key + shared columns.
 
     Keys are expected unique on both sides (as after ``check_primary_key``); then no join
-    key can be hot.
+    key can be hot. ``check_keys`` checks both sides first (one aggregation each).
 
     ``compare="digest"`` shuffles a SHA-256 of the shared columns' JSON instead of the
     columns themselves (32 bytes per row whatever the width); values that print the same
@@ -102,6 +102,9 @@ def diff_snapshots(staging: DataFrame, final: DataFrame, keys: Sequence[str],
     keys = list(keys)
     _require_keys(staging, keys, "staging")
     _require_keys(final, keys, "final")
+    if check_keys:
+        check_primary_key(staging, keys)
+        check_primary_key(final, keys)
     d = diff_schemas(staging.schema, final.schema)
     key_l = {k.lower() for k in keys}
     shared = [c for c in d.common if c.lower() not in key_l]

@@ -207,3 +207,11 @@ def test_schema_diff_with_non_null_counts(spark):
            for r in schema_diff(spark, new, final, counts=True).collect()}
     assert got == {"id": ("same", 1, 2), "score": ("type_changed", 1, 1),
                    "gone": ("removed", None, 0), "extra": ("added", 0, None)}
+
+
+def test_diff_can_check_keys_first(spark):
+    f = spark.createDataFrame([(1, "a"), (1, "b")], "id bigint, s string")
+    s = spark.createDataFrame([(1, "a")], "id bigint, s string")
+    with pytest.raises(KeyViolation):
+        diff_snapshots(s, f, ["id"], check_keys=True)
+    assert rows(diff_snapshots(s, s, ["id"], check_keys=True)) == [(1, "unchanged")]
