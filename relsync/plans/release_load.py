@@ -169,8 +169,14 @@ def load_release(spark: SparkSession, specs: Sequence[DatasetSpec], source: Sour
     still load; without it the first failure is raised once running loads finish and no
     further dataset starts.
     """
-    require_checks(check_results(spark, source, specs, sink=sink))
-    version = version or latest_version(spark, source)
+    newest = None
+    if version is None:
+        try:
+            newest = latest_version(spark, source)
+        except Exception:  # reported by the source check below
+            newest = None
+    require_checks(check_results(spark, source, specs, sink=sink, newest=newest))
+    version = version or newest or latest_version(spark, source)
     if datasets is not None:
         unknown = sorted(set(datasets) - {s.name for s in specs})
         if unknown:

@@ -19,8 +19,12 @@ CHECKS_SCHEMA = T.StructType(
 )
 
 
-def check_source(spark: SparkSession, source: Source) -> tuple[bool, str]:
-    """At least one release is listed; the message names the newest."""
+def check_source(spark: SparkSession, source: Source,
+                 newest: str | None = None) -> tuple[bool, str]:
+    """At least one release is listed; the message names the newest (``newest``: already
+    listed by the caller)."""
+    if newest:
+        return True, f"source reachable; newest release {newest}"
     try:
         rows = list_versions(spark, source).select("version").take(1)
     except Exception as e:  # listing errors are reported, not raised
@@ -51,12 +55,12 @@ def check_target(sink) -> tuple[bool, str]:
 
 def check_results(spark: SparkSession, source: Source, specs: Sequence[DatasetSpec],
                   extra: dict[str, Callable[[], tuple[bool, str]]] | None = None,
-                  sink=None) -> list[tuple]:
+                  sink=None, newest: str | None = None) -> list[tuple]:
     """``[(check, success, message)]`` for every check; none stops the others."""
     checks: dict[str, Callable[[], tuple[bool, str]]] = {}
     if sink is not None:
         checks["target"] = lambda: check_target(sink)
-    checks["source"] = lambda: check_source(spark, source)
+    checks["source"] = lambda: check_source(spark, source, newest)
     checks["datasets"] = lambda: check_specs(specs)
     checks.update(extra or {})
     rows = []
