@@ -80,3 +80,22 @@ def test_struct_json_round_trips(spark, values):
     got = {r["id"]: r["s"] for r in project(df, DatasetSpec("x", ("id",))).collect()}
     for i, v in enumerate(values):
         assert (got[i] is None) if v is None else (json.loads(got[i]) == v)
+
+
+@SETTINGS
+@given(st.dictionaries(st.sampled_from("abcdefgh"), st.sampled_from(["h1", "h2"]), max_size=6),
+       st.dictionaries(st.sampled_from("abcdefgh"), st.sampled_from(["h1", "h2"]), max_size=6))
+def test_compare_hashes_matches_model(spark, files, manifest):
+    from relsync.operators.integrity import compare_hashes
+    fdf = spark.createDataFrame(list(files.items()), "path string, sha1 string")
+    mdf = spark.createDataFrame(list(manifest.items()), "path string, sha1 string")
+    got = {r["path"]: r["status"] for r in compare_hashes(fdf, mdf).collect()}
+    want = {}
+    for p in set(files) | set(manifest):
+        if p not in manifest:
+            want[p] = "not_in_manifest"
+        elif p not in files:
+            want[p] = "missing_file"
+        else:
+            want[p] = "ok" if files[p] == manifest[p] else "mismatch"
+    assert got == want
