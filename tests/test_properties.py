@@ -99,3 +99,21 @@ def test_compare_hashes_matches_model(spark, files, manifest):
         else:
             want[p] = "ok" if files[p] == manifest[p] else "mismatch"
     assert got == want
+
+
+@SETTINGS
+@given(st.lists(st.one_of(
+    st.tuples(st.integers(0, 99), st.integers(0, 99)).map(lambda t: f"{t[0]:02d}.{t[1]:02d}"),
+    st.sampled_from(["9.1", "2022.06", "22.06-rc", "README.md", "1.2.3", "ab.cd"])), max_size=12))
+def test_version_filter_and_order_match_model(spark, names):
+    import re
+
+    from pyspark.sql import functions as F
+
+    from relsync.functions.versions import is_version, newest_first
+    df = spark.createDataFrame([(n,) for n in names], "v string")
+    got = [r["v"] for r in df.where(is_version(F.col("v"))).distinct()
+           .orderBy(*newest_first(F.col("v"))).collect()]
+    want = sorted({n for n in names if re.fullmatch(r"\d{2}\.\d{2}", n)},
+                  key=lambda s: [int(p) for p in s.split(".")], reverse=True)
+    assert got == want
