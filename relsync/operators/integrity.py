@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relsync.sources.inventory import file_inventory
+from relsync.sources.inventory import binary_files
 
 DEFAULT_MAX_CELL = 256 << 20  # bigger files stream through chunked hashing
 CHUNK = 8 << 20
@@ -82,21 +82,20 @@ def _hash_chunked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def hash_files(spark: SparkSession, pattern: str, max_cell_bytes: int = DEFAULT_MAX_CELL,
                glob_filter: str | None = None) -> DataFrame:
     """``(path, length, sha1)`` for every file matching ``pattern``."""
-    reader = spark.read.format("binaryFile")
-    if glob_filter:
-        reader = reader.option("pathGlobFilter", glob_filter)
-    inv = file_inventory(spark, pattern, glob_filter)
-    stats = inv.agg(F.count(F.lit(1)).alias("n"),
-                    F.count(F.when(F.col("length") > max_cell_bytes, 1)).alias("n_large")).first()
+    # one relation, so the files are listed once; selecting no ``content`` reads metadata only
+    files = binary_files(spark, pattern, glob_filter)
+    if files is None:
+        return spark.createDataFrame([], "path string, length bigint, sha1 string")
+    stats = files.agg(F.count(F.lit(1)).alias("n"),
+                      F.count(F.when(F.col("length") > max_cell_bytes, 1)).alias("n_large")).first()
     if stats["n"] == 0:
         return spark.createDataFrame([], "path string, length bigint, sha1 string")
     # The length filter is applied to file metadata before any content is read.
     small = (
-        reader.load(pattern)
-        .where(F.col("length") <= max_cell_bytes)
+        files.where(F.col("length") <= max_cell_bytes)
         .select("path", "length", F.sha1("content").alias("sha1"))
     )
-    large = inv.where(F.col("length") > max_cell_bytes).select("path", "length")
+    large = files.where(F.col("length") > max_cell_bytes).select("path", "length")
     n_large = stats["n_large"]
     if n_large == 0:
         return small

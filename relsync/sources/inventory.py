@@ -28,23 +28,31 @@ def _path_missing(e: AnalysisException) -> bool:
     return "PATH_NOT_FOUND" in text or "Path does not exist" in text
 
 
-def file_inventory(spark: SparkSession, pattern: str, glob_filter: str | None = None) -> DataFrame:
-    """``(path, length, modificationTime)`` of the files matching a path or glob.
-
-    A pattern matching nothing gives an empty DataFrame instead of an error.
-    """
+def binary_files(spark: SparkSession, pattern: str,
+                 glob_filter: str | None = None) -> DataFrame | None:
+    """The ``binaryFile`` relation of a path or glob (listed once), None when nothing matches."""
     reader = spark.read.format("binaryFile")
     if glob_filter:
         reader = reader.option("pathGlobFilter", glob_filter)
     try:
-        df = reader.load(pattern)
-        return df.select("path", "length", "modificationTime")
+        return reader.load(pattern)
     except AnalysisException as e:
         if _path_missing(e):
-            return spark.createDataFrame([], INVENTORY_SCHEMA)
+            return None
         raise
 
 
+def file_inventory(spark: SparkSession, pattern: str, glob_filter: str | None = None) -> DataFrame:
+    """``(path, length, modificationTime)`` of the files matching a path or glob.
+
+    A pattern matching nothing gives an empty DataFrame instead of an error.
+    """
+    df = binary_files(spark, pattern, glob_filter)
+    if df is None:
+        return spark.createDataFrame([], INVENTORY_SCHEMA)
+    return df.select("path", "length", "modificationTime")
+
+
 def list_versions(spark: SparkSession, source: Source) -> DataFrame:
     """``(version, major, minor)`` of every release with a manifest, newest first."""
     inv = file_inventory(spark, source.manifest_glob())
