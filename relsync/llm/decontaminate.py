@@ -31,13 +31,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from relsync.llm.common import without
-from relsync.llm.words import hashed_words, shingle_hashes
+from relsync.llm.words import hashed_words, runs, shingle_hashes
 
 SHINGLE, SIMILARITY, RADIUS = 5, 0.8, 22
 #: Characters of benchmark text that one pass takes along.
 BLOCK_CHARS = 16_000_000
-#: Windows fingerprinted at a time.
-_AT_ONCE = 1 << 14
+#: Windows fingerprinted, and characters scanned (or one text, if longer), at a time.
+_AT_ONCE, _CHARS = 1 << 14, 1 << 22
 
 
 @dataclass(frozen=True)
@@ -83,7 +83,7 @@ def window_fingerprints(hashes: np.ndarray, starts: np.ndarray, size: int) -> np
 
 
 def make_item(item_id: object, text: str | None, shingle: int = SHINGLE) -> Item | None:
-    words, _, _ = hashed_words([text])
+    words, _ = hashed_words([text])
     if not len(words):
         return None
     hashes = shingle_hashes(words, shingle)
@@ -142,7 +142,7 @@ def _hits(words: np.ndarray, owner: np.ndarray, k: int, known: np.ndarray) -> np
 def scan_texts(texts: list[str | None], indexes: list[SizeIndex], similarity: float, radius: int) -> list[list[tuple]]:
     """Leaks of each text: (item_id, start_word, words, hamming, similarity), the best window of
     each item (ties: the earliest), in order of the items' sizes."""
-    words, owner, _ = hashed_words(texts)
+    words, owner = hashed_words(texts)
     out: list[list[tuple]] = [[] for _ in texts]
     for k in sorted({x.k for x in indexes}):
         group = [x for x in indexes if x.k == k]
@@ -244,7 +244,10 @@ def annotate(
             kind = None
             for batch in batches:
                 texts = batch.column(at).to_pylist()
-                found = [[dict(zip(names, x, strict=True)) for x in leaks] for leaks in scan_texts(texts, shared.value, similarity, radius)]
+                found = [
+                    [dict(zip(names, x, strict=True)) for x in leaks]
+                    for a, z in runs(texts, _CHARS) for leaks in scan_texts(texts[a:z], shared.value, similarity, radius)
+                ]
                 columns, before = batch.columns, None
                 if again:
                     columns, before = batch.columns[:-1], batch.columns[-1].to_pylist()

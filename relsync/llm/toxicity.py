@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from relsync.llm.common import without
-from relsync.llm.words import hashed_words
+from relsync.llm.words import hashed_pieces, runs
 
 #: Feature space: the upper bits of a feature's hash.
 BITS = 20
@@ -34,6 +34,8 @@ PREFIXES = (3, 4, 5, 6)
 #: Bounds of the training sample, in documents.
 MAX_POSITIVE, MAX_UNLABELLED = 4000, 10_000
 FOLDS = 5
+#: Characters whose features are gathered at a time (or one text, if longer).
+_CHARS = 1 << 21
 
 
 @dataclass(frozen=True)
@@ -46,16 +48,22 @@ class Model:
     prior: float
 
 
-def features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """(text number, feature) of all word occurrences, feature by feature, repeats included."""
-    words, owner, heads = hashed_words(texts, PREFIXES)
+def _features(texts: list[str | None]):
+    """(text number, feature) of all word occurrences, a bounded piece of text at a time."""
     shift = np.uint64(64 - BITS)
-    of, what = [], []
-    for h in (words, *heads):
-        real = h != 0
-        of.append(owner[real])
-        what.append((h[real] >> shift).astype(np.int64))
-    return np.concatenate(of), np.concatenate(what)
+    for words, owner, heads in hashed_pieces(texts, PREFIXES):
+        for h in (words, *heads):
+            real = h != 0
+            yield owner[real], (h[real] >> shift).astype(np.int64)
+
+
+def feature_sets(texts: list[str | None]) -> list[np.ndarray]:
+    """The distinct features of each text, sorted."""
+    found = [np.unique(of << BITS | what) for of, what in _features(texts)]
+    once = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
+    ends = np.searchsorted(once >> BITS, np.arange(len(texts) + 1))
+    what = (once & ((1 << BITS) - 1)).astype("<i4")
+    return [what[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
 
 def _sigmoid(x):
@@ -125,13 +133,13 @@ def fit_arrays(
 
 def score_texts(texts: list[str | None], model: Model) -> np.ndarray:
     """Score of each text, between 0 and 1."""
-    of, what = features(texts)
     place = np.full(1 << BITS, -1, dtype=np.int64)
     place[model.features] = np.arange(len(model.features))
-    at = place[what]
-    of, at = of[at >= 0], at[at >= 0]
-    n = max(1, len(model.features))
-    once = np.unique(of * n + at)
+    n, found = max(1, len(model.features)), []
+    for of, what in _features(texts):
+        at = place[what]
+        found.append(np.unique(of[at >= 0] * n + at[at >= 0]))
+    once = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
     margin = np.zeros(len(texts))
     if len(once):
         margin += np.bincount(once // n, model.weights.mean(axis=1)[once % n], len(texts))
@@ -170,19 +178,18 @@ def fit(
     chosen = some_p.withColumn("p", F.lit(1)).unionByName(some_u.withColumn("p", F.lit(0))).groupBy("id").agg(
         F.max("p").alias("p"), F.max(1 - F.col("p")).alias("u"))
     # at most max_positive + max_unlabelled ids: a bound that every task can hold
-    sample = text.join(F.broadcast(chosen), "id").groupBy("id", "p", "u").agg(F.min("text").alias("text"))
+    sample = text.join(F.broadcast(chosen), "id")
 
     def run(batches):
         for batch in batches:
-            of, what = features(batch.column("text").to_pylist())
-            once = np.unique(of << BITS | what)
-            ends = np.searchsorted(once >> BITS, np.arange(batch.num_rows + 1))
-            what = (once & ((1 << BITS) - 1)).astype("<i4")
-            sets = [what[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)]
+            texts = batch.column("text").to_pylist()
+            sets = [x.tobytes() for a, z in runs(texts, _CHARS) for x in feature_sets(texts[a:z])]
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("p"), batch.column("u"), pa.array(sets, pa.binary())], names=["id", "p", "u", "features"])
 
     kind = T.StructType([*sample.select("id", "p", "u").schema.fields, T.StructField("features", T.BinaryType())])
-    rows = sorted(sample.mapInArrow(run, kind).toLocalIterator(), key=lambda r: r["id"])
+    # repeated ids are reduced to one in tasks, so the driver gets the bounded sample only
+    rows = sample.select("id", "p", "u", "text").mapInArrow(run, kind).groupBy("id", "p", "u").agg(F.min("features").alias("features"))
+    rows = sorted(rows.collect(), key=lambda r: r["id"])
     read = lambda side: [np.frombuffer(r["features"], "<i4") for r in rows if r[side]]
     return fit_arrays(read("p"), read("u"), prior, seed=seed)
 

@@ -65,45 +65,64 @@ def _pieces(texts: list[str]):
             at = end
 
 
-def hashed_words(texts: list[str], prefixes: tuple[int, ...] = ()) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    """Word hashes of all texts in order, the text number of each word, and for every
-    requested prefix length (in bytes) the hashes of the words' prefixes. A word shorter
-    than a prefix length has hash 0 there. Null texts count as empty."""
-    hashes, owners, heads = [], [], [[] for _ in prefixes]
+def hashed_pieces(texts: list[str | None], prefixes: tuple[int, ...] = ()):
+    """Word hashes of all texts, a bounded number of characters at a time: yields, in order, the
+    hashes, the text number of each word, and for every requested prefix length (in bytes)
+    the hashes of the words' prefixes. A word shorter than a prefix length has hash 0 there.
+    Null texts count as empty."""
     batch, numbers, size = [], [], 0
 
-    def flush():
-        if not batch:
-            return
+    def hashed():
         parts = [p.encode("utf-8", "surrogatepass") for p in batch]
         data = np.frombuffer(b" ".join(parts), dtype=np.uint8)
         word = _word_bytes()[data]
         edge = np.flatnonzero(np.diff(np.concatenate(([False], word, [False])).view(np.int8)))
         start, end = edge[0::2], edge[1::2]
         ends = np.cumsum([len(p) + 1 for p in parts])
-        owners.append(np.asarray(numbers, dtype=np.int64)[np.searchsorted(ends, start, side="right")])
+        owner = np.asarray(numbers, dtype=np.int64)[np.searchsorted(ends, start, side="right")]
         n = 1 << max(10, int(len(data)).bit_length())
         power, inverse = _powers(n)
         total = np.concatenate((np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[: len(data)], dtype=np.uint64)))
         back = inverse[start]
-        hashes.append(mix((total[end] - total[start]) * back + (end - start).astype(np.uint64)))
-        for out, k in zip(heads, prefixes, strict=True):
+        hashes = mix((total[end] - total[start]) * back + (end - start).astype(np.uint64))
+        heads = []
+        for k in prefixes:
             long = end - start >= k
-            stop = np.where(long, start + k, end)
-            h = mix((total[stop] - total[start]) * back + np.uint64(k << 32))
-            out.append(np.where(long, h, np.uint64(0)))
-        batch.clear(), numbers.clear()
+            h = mix((total[np.where(long, start + k, end)] - total[start]) * back + np.uint64(k << 32))
+            heads.append(np.where(long, h, np.uint64(0)))
+        return hashes, owner, heads
 
     for i, piece in _pieces([t or "" for t in texts]):
         batch.append(piece)
         numbers.append(i)
         size += len(piece) + 1
         if size >= PIECE:
-            flush()
-            size = 0
-    flush()
-    join = lambda xs, kind: np.concatenate(xs) if xs else np.zeros(0, kind)
-    return join(hashes, np.uint64), join(owners, np.int64), [join(h, np.uint64) for h in heads]
+            yield hashed()
+            batch, numbers, size = [], [], 0
+    if batch:
+        yield hashed()
+
+
+def hashed_words(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Word hashes of all texts in order, and the text number of each word."""
+    parts = [(h, o) for h, o, _ in hashed_pieces(texts)]
+    if not parts:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    return np.concatenate([h for h, _ in parts]), np.concatenate([o for _, o in parts])
+
+
+def runs(texts: list[str | None], most: int):
+    """Start and end of runs of consecutive texts with at most ``most`` characters in all, or
+    one text where it has more."""
+    start, size = 0, 0
+    for i, t in enumerate(texts):
+        n = len(t or "")
+        if i > start and size + n > most:
+            yield start, i
+            start, size = i, 0
+        size += n
+    if start < len(texts):
+        yield start, len(texts)
 
 
 def shingle_hashes(words: np.ndarray, k: int) -> np.ndarray:
