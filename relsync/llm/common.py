@@ -34,6 +34,26 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Rows up to which a lookup table is held by every task.
+BROADCAST_ROWS = 200_000
+#: Parts into which each key is split where a lookup table is larger.
+SALTS = 64
+
+
+def lookup(rows: DataFrame, small: DataFrame, condition: Column, spread: list[Column], how: str = "inner") -> DataFrame:
+    """Join ``rows`` with a table of one row per key that is much smaller, safe for hot keys.
+
+    ``small`` should be cut: its rows are counted. Up to BROADCAST_ROWS every task holds it and
+    ``rows`` stay where they are. A larger one is repeated SALTS times and ``rows`` are dealt
+    over the repetitions by a hash of ``spread``, so no key's rows meet in one task.
+    """
+    if small.count() <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(small), condition, how)
+    salted = rows.withColumn("__salt", F.pmod(F.xxhash64(*spread), F.lit(SALTS)))
+    repeated = small.withColumn("__copy", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(repeated, condition & (F.col("__salt") == F.col("__copy")), how).drop("__salt", "__copy")
+
+
 def without(df: DataFrame, *names: str) -> DataFrame:
     """``df`` without the columns an operator is about to add (names match case-insensitively)."""
     gone = {n.lower() for n in names}

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relsync.llm.common import cut
+from relsync.llm.common import BROADCAST_ROWS, cut
 
 # Public licence texts and customary notices, one per row.
 MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
@@ -61,9 +61,6 @@ SPELLINGS = [
     ("https", "http"),
 ]
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Known digests up to this number (about 100 bytes each) are held by every task, so that lines
-#: are looked up where they are read; more are joined by a shuffle on digests.
-BROADCAST_ROWS = 200_000
 COPYRIGHT_LINE = r"(^|\n)[ \t#*/;.-]*(copyright|\(c\)|©|all rights reserved)[^\n]*"
 PUNCTUATION = r"[\x00-\x09\x0B-/:-@\[-`{-\x7F“”‘’–—…•©®™]+"
 
@@ -107,6 +104,8 @@ def scan_licenses(
     smallest name. An empty table gives an empty result; other columns play no part.
     """
     digests = cut(known_digests(docs.sparkSession, known))
+    # about 100 bytes a row: held by every task while they are few, so that lines are looked up
+    # where they are read; else joined by a shuffle on digests
     if digests.count() <= BROADCAST_ROWS:
         digests = F.broadcast(digests)
     digest = lambda c: F.sha2(c.cast("binary"), 256)

@@ -9,8 +9,9 @@ leaves over is shared again by weight among the others.
 Scale: the order is never made as a whole. The key's range is cut into equal parts, sizes
 are summed per (source, part) with partial aggregation, and the prefix sums of these sums
 tell in which part the budget ends; only that part's documents are sorted. A document's
-share then follows from its own key and its source's cut, one small row per source, so the
-texts themselves are never shuffled and a source with a third of all rows is no hot key.
+share then follows from its own key and its source's cut, one small row per source that comes
+to the documents by a lookup without hot keys, so a source may hold a third of all rows. While
+sources are few, texts are never shuffled.
 Keys depend on ids alone: reruns and lost executors change nothing.
 """
 
@@ -19,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from relsync.llm.common import KEYS, WORD, cut, hash_key, without, word_count
+from relsync.llm.common import KEYS, WORD, cut, hash_key, lookup, without, word_count
 
 #: Parts of the key range per source.
 PARTS = 4096
@@ -75,16 +76,13 @@ def source_cuts(keyed: DataFrame, weights: list[float], share: float, limit: flo
     plan = cut(plan.withColumn("rest", whole - F.col("epochs") * F.col("source_size")))
     before = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     ranged = sums.withColumn("base", F.coalesce(F.sum("words").over(before), F.lit(0)).cast("long"))
-    p, r, k = plan.alias("p"), ranged.alias("r"), keyed.withColumn("part", part).alias("k")
+    p, r = plan.alias("p"), ranged.alias("r")
     # the one part of each source in which the rest ends
-    ends = r.join(p, F.col("r.source").eqNullSafe(F.col("p.source"))).where(
+    ends = cut(r.join(p, F.col("r.source").eqNullSafe(F.col("p.source"))).where(
         (F.col("p.rest") >= F.col("r.base")) & (F.col("p.rest") < F.col("r.base") + F.col("r.words"))
-    ).select("r.source", "r.part", "r.base", "p.rest")
-    e = ends.alias("e")
-    groups = (
-        k.join(e, F.col("k.source").eqNullSafe(F.col("e.source")) & (F.col("k.part") == F.col("e.part")))
-        .groupBy("k.source", "e.base", "e.rest", "k.key").agg(F.sum("k.size").alias("words"))
-    )
+    ).select(F.col("r.source").alias("of"), F.col("r.part").alias("end"), "r.base", "p.rest"))
+    at_end = lookup(keyed.withColumn("part", part), ends, F.col("source").eqNullSafe(F.col("of")) & (F.col("part") == F.col("end")), [F.col("key")])
+    groups = at_end.groupBy("source", "base", "rest", "key").agg(F.sum("size").alias("words"))
     inside = Window.partitionBy("source").orderBy("key").rowsBetween(Window.unboundedPreceding, -1)
     groups = groups.withColumn("cut_start", F.col("base") + F.coalesce(F.sum("words").over(inside), F.lit(0)))
     at = groups.where("rest >= cut_start AND rest < cut_start + words").select("source", F.col("key").alias("cut_key"), "cut_start")
@@ -111,9 +109,8 @@ def mix(
     than the three named play no part.
     """
     keyed = cut(_keyed(docs, id_col, text_col, source_col))
-    cuts = source_cuts(keyed, list(weights), share, limit).alias("c")
-    rows = keyed.alias("k").join(cuts, F.col("k.source").eqNullSafe(F.col("c.source"))).select(
-        "k.*", "source_size", "target", "epochs", "rest", "cut_key", "cut_start")
+    cuts = cut(source_cuts(keyed, list(weights), share, limit).withColumnRenamed("source", "of"))
+    rows = lookup(keyed, cuts, F.col("source").eqNullSafe(F.col("of")), [F.col("key")]).drop("of")
     clear = rows.where("key <> cut_key").withColumn("partly", F.when(F.col("key") < F.col("cut_key"), F.col("size")).otherwise(F.lit(0)))
     before = Window.partitionBy("source").orderBy("id", "size").rowsBetween(Window.unboundedPreceding, -1)
     edge = rows.where("key = cut_key").withColumn("start", F.col("cut_start") + F.coalesce(F.sum("size").over(before), F.lit(0)))
@@ -135,17 +132,17 @@ def mix_documents(
     source, and once at least, since they take nothing from any budget.
     """
     keyed = cut(_keyed(docs, id_col, text_col, source_col))
-    at = keyed.alias("k").join(
-        (c := source_cuts(keyed, list(weights), share, limit)).alias("c"),
-        F.col("k.source").eqNullSafe(F.col("c.source")) & (F.col("k.key") == F.col("c.cut_key")),
-    ).groupBy("c.source").agg(F.sum("k.size").alias("edge"))
+    c = cut(source_cuts(keyed, list(weights), share, limit))
+    edges = c.select(F.col("source").alias("of"), F.col("cut_key").alias("edge_key"))
+    at = lookup(keyed, edges, F.col("source").eqNullSafe(F.col("of")) & (F.col("key") == F.col("edge_key")), [F.col("key")])
+    at = at.groupBy("source").agg(F.sum("size").alias("edge"))
     a = at.alias("a")
     cuts = cut(c.alias("c").join(a, F.col("c.source").eqNullSafe(F.col("a.source")), "left").select(
         F.col("c.source").alias("__mix_source"), F.col("epochs").alias("__mix_epochs"), F.col("cut_key").alias("__mix_cut"),
         F.coalesce(2 * (F.col("rest") - F.col("cut_start")) >= F.col("edge"), F.lit(False)).alias("__mix_edge")))
     docs = without(docs, *cuts.columns, "__mix_key", "__mix_copies")
     keyed_docs = docs.withColumn("__mix_key", hash_key(F.col(id_col)))
-    rows = keyed_docs.join(cuts, F.col(source_col).cast("string").eqNullSafe(F.col("__mix_source")))
+    rows = lookup(keyed_docs, cuts, F.col(source_col).cast("string").eqNullSafe(F.col("__mix_source")), [F.col("__mix_key")])
     at_cut = (F.col("__mix_key") == F.col("__mix_cut")) & F.col("__mix_edge")
     copies = F.col("__mix_epochs") + F.when((F.col("__mix_key") < F.col("__mix_cut")) | at_cut, 1).otherwise(0)
     wordless = ~F.coalesce(F.col(text_col).rlike(WORD), F.lit(False))

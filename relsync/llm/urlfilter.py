@@ -12,7 +12,8 @@ Scale: pages are read twice, narrow for the verdict and with their links for the
 are counted with partial aggregation before any shuffle, so a host with a third of all pages
 is one row per task. Ranks are spread as what was received in the last round only, one
 aggregation a round, each round written to the shared checkpoint folder. Rules and ranks come
-to the pages by one join with a table of hosts; verdicts need no second shuffle.
+to the pages by a join with a table of hosts that every task holds while hosts are few, and
+that is repeated, with each host's pages dealt over the repetitions, where they are many.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relsync.llm.common import cut
+from relsync.llm.common import cut, lookup
 
 #: Share of rank that is passed on, most rounds, and the rank left in a round that ends them.
 DAMPING, ROUNDS, LEAST = 0.85, 20, 1e-9
@@ -125,7 +126,7 @@ def judge_urls(
     fitted = cut(host_rules(hosts, rules))
     of_host = fitted.select(F.col("host").alias("h"), "rules")
     # pages judged by rules, per host: the seeds
-    ruled = narrow.join(of_host, F.col("host") == F.col("h")).select("host", fitting_rule(F.col("rules"), F.col("path")).alias("r"))
+    ruled = lookup(narrow, of_host, F.col("host") == F.col("h"), [F.col("id"), F.col("path")]).select("host", fitting_rule(F.col("rules"), F.col("path")).alias("r"))
     counts = cut(ruled.where("r IS NOT NULL").groupBy("host").agg(
         F.sum(F.col("r.block")).alias("blocked"), F.sum(1 - F.col("r.block")).alias("allowed")))
     edges = cut(host_edges(pages, url_col=url_col, html_col=html_col))
@@ -138,7 +139,7 @@ def judge_urls(
         .join(distrust.select(F.col("host").alias("h"), F.col("received").alias("distrust")), F.col("host") == F.col("h"), "left")
         .select(F.col("host").alias("h"), "rules", F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust"))
     )
-    judged = narrow.join(cut(scored), F.col("host") == F.col("h"), "left").withColumn("r", fitting_rule(F.col("rules"), F.col("path")))
+    judged = lookup(narrow, cut(scored), F.col("host") == F.col("h"), [F.col("id"), F.col("path")], "left").withColumn("r", fitting_rule(F.col("rules"), F.col("path")))
     by_links = F.col("distrust") > threshold * (F.col("trust") + F.col("distrust"))
     blocked = F.when(F.col("r").isNull(), by_links).otherwise(F.col("r.block") == 1)
     return judged.select(
