@@ -32,8 +32,11 @@ BITS = 20
 #: Word beginnings that are features, by length in bytes.
 PREFIXES = (3, 4, 5, 6)
 #: Bounds of the training sample, in documents.
-MAX_POSITIVE, MAX_UNLABELLED = 4000, 10_000
+MAX_POSITIVE, MAX_UNLABELLED = 3000, 7000
 FOLDS = 5
+#: What features need to count: standard errors above the rate in unlabelled text, and times
+#: the rate in clean text.
+SURE, TIMES = 2.5, 4.0
 #: Characters whose features are gathered at a time (or one text, if longer).
 _CHARS = 1 << 21
 
@@ -70,11 +73,10 @@ def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def _train(p_of, p_what, n_p, u_of, u_what, n_u, size, prior, rounds, step, shrink):
-    """Weights and bias of one classifier: full-batch Adam on the non-negative risk with sigmoid
-    loss, weights shrunk towards zero after each step."""
-    w = np.zeros(size + 1)
-    w[size] = -1.0
+def _train(p_of, p_what, n_p, u_of, u_what, n_u, start, prior, rounds, step, shrink):
+    """Weights and bias (last) of one classifier, from ``start``: full-batch Adam on the
+    non-negative risk with sigmoid loss, weights shrunk towards zero after each step."""
+    w, size = start.copy(), len(start) - 1
     first, second = np.zeros(size + 1), np.zeros(size + 1)
     for t in range(1, rounds + 1):
         s_p = _sigmoid(w[size] + np.bincount(p_of, w[p_what], n_p))
@@ -87,34 +89,40 @@ def _train(p_of, p_what, n_p, u_of, u_what, n_u, size, prior, rounds, step, shri
         g = np.bincount(p_what, c_p[p_of], size + 1) + np.bincount(u_what, c_u[u_of], size + 1)
         g[size] = c_p.sum() + c_u.sum()
         first, second = 0.9 * first + 0.1 * g, 0.999 * second + 0.001 * g * g
-        w -= step * (first / (1 - 0.9**t)) / (np.sqrt(second / (1 - 0.999**t)) + 1e-8)
+        now = step * (1 - 0.9 * t / rounds)
+        w -= now * (first / (1 - 0.9**t)) / (np.sqrt(second / (1 - 0.999**t)) + 1e-8)
         w[:size] = np.sign(w[:size]) * np.maximum(np.abs(w[:size]) - shrink, 0)
     return w[:size], w[size]
 
 
 def fit_arrays(
     positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, *,
-    classifiers: int = 3, rounds: int = 300, step: float = 0.05, shrink: float = 0.002, seed: int = 11,
+    classifiers: int = 3, rounds: int = 300, step: float = 0.05, shrink: float = 0.001, seed: int = 11,
 ) -> Model:
     """Train from feature sets (one array of distinct features per document). Each classifier
     sees all positives and another random two thirds of the unlabelled documents. Features must
-    stand out: in 3 positives at least and more frequent there by 3 standard errors. Without
+    stand out: in 3 positives at least, more frequent there by SURE standard errors, and TIMES
+    as frequent as in clean text, whose share is the unlabelled one less the prior's part. Weights
+    start at half the logarithm of that ratio, since the sigmoid loss is not convex. Without
     positives or unlabelled documents the model scores every text 0.05."""
     if not positive or not unlabelled:
         return Model(np.zeros(0, np.int64), np.zeros((0, 1)), np.array([np.log(0.05 / 0.95)]), prior)
-    flat = lambda xs: (np.repeat(np.arange(len(xs)), [len(x) for x in xs]), np.concatenate(xs).astype(np.int64))
+    flat = lambda xs: (np.repeat(np.arange(len(xs), dtype=np.int32), [len(x) for x in xs]), np.concatenate(xs))
     (p_of, p_what), (u_of, u_what), n_p, n_u = flat(positive), flat(unlabelled), len(positive), len(unlabelled)
     p_n, u_n = np.bincount(p_what, minlength=1 << BITS), np.bincount(u_what, minlength=1 << BITS)
     mean = (p_n + u_n) / (n_p + n_u)
     error = np.sqrt(np.maximum(mean * (1 - mean), 1e-12) * (1 / n_p + 1 / n_u))
-    kept = np.flatnonzero(((p_n / n_p - u_n / n_u) / error > 3) & (p_n >= 3))
-    place = np.full(1 << BITS, -1)
+    clean = np.maximum(u_n / n_u - prior * p_n / n_p, 0) / (1 - prior)
+    kept = np.flatnonzero((p_n >= 3) & ((p_n / n_p - u_n / n_u) > SURE * error) & (p_n / n_p >= TIMES * clean))
+    place = np.full(1 << BITS, -1, dtype=np.int32)
     place[kept] = np.arange(len(kept))
 
     def only(of, what):
         at = place[what]
         return of[at >= 0], at[at >= 0]
 
+    ratio = (p_n[kept] / n_p + 1e-4) / (clean[kept] + 2 / n_u)
+    start = np.append(0.5 * np.clip(np.log(ratio), 0, 4), -2.0)
     p_of, p_what = only(p_of, p_what)
     u_of, u_what = only(u_of, u_what)
     random, weights, bias = np.random.default_rng(seed), [], []
@@ -123,7 +131,7 @@ def fit_arrays(
         number = np.full(n_u, -1)
         number[some] = np.arange(len(some))
         mine = number[u_of] >= 0
-        w, b = _train(p_of, p_what, n_p, number[u_of[mine]], u_what[mine], len(some), len(kept), prior, rounds, step, shrink)
+        w, b = _train(p_of, p_what, n_p, number[u_of[mine]], u_what[mine], len(some), start, prior, rounds, step, shrink)
         weights.append(w)
         bias.append(b)
     weights = np.array(weights).T.reshape(len(kept), classifiers)
