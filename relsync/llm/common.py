@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: A word, where a contract counts words: a run of characters outside space and \x09-\x0D.
@@ -90,18 +90,15 @@ def running_total(
     (group, part) with partial aggregation, the parts' sums are added up per group, and the
     rows are numbered inside their part only, so no task holds more than a part of a group.
     """
-    from pyspark.sql import Window
-
-    part = "__part"
-    width = -(-KEYS // buckets)
-    df = df.withColumn(part, F.floor(F.col(key) / F.lit(width)).cast("int"))
-    sums = df.groupBy(*group, part).agg(F.sum(value).alias("__sum"))
-    before = Window.partitionBy(*group).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.select(*group, part, F.coalesce(F.sum("__sum").over(before), F.lit(0)).alias("__base"))
-    inside = Window.partitionBy(*group, part).orderBy(key, *order).rowsBetween(Window.unboundedPreceding, -1)
-    same = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in [*group, part]]
-    joined = df.withColumn("__inside", F.coalesce(F.sum(value).over(inside), F.lit(0))).alias("l")
-    cond = same[0]
-    for c in same[1:]:
-        cond = cond & c
-    return joined.join(sums.alias("r"), cond).select("l.*", (F.col("r.__base") + F.col("l.__inside")).alias(name)).drop(part, "__inside")
+    part = F.floor(F.col(key) / F.lit(-(-KEYS // buckets))).cast("int")
+    df = df.withColumn("__part", part)
+    sums = df.groupBy(*[F.col(c).alias(f"__of_{c}") for c in group], F.col("__part").alias("__of")).agg(F.sum(value).alias("__sum"))
+    before = Window.partitionBy(*[f"__of_{c}" for c in group]).orderBy("__of").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.withColumn("__base", F.coalesce(F.sum("__sum").over(before), F.lit(0))).drop("__sum")
+    inside = Window.partitionBy(*group, "__part").orderBy(key, *order).rowsBetween(Window.unboundedPreceding, -1)
+    rows = df.withColumn("__inside", F.coalesce(F.sum(value).over(inside), F.lit(0)))
+    same = F.col("__part").eqNullSafe(F.col("__of"))
+    for c in group:
+        same = same & F.col(c).eqNullSafe(F.col(f"__of_{c}"))
+    out = lookup(rows, cut(sums), same, [F.col(key)])
+    return out.withColumn(name, F.col("__base") + F.col("__inside")).drop("__base", "__inside", "__part", "__of", *[f"__of_{c}" for c in group])
