@@ -221,7 +221,7 @@ def nearest(
     entries = cut(entries.mapInArrow(project, "x array<double>, ids array<long>, p array<double>"))
     n = entries.count()
     levels = min(LEVELS, max(0, math.ceil(math.log2(max(1, n / cell)))))
-    points = entries.select("x", "p").orderBy(F.xxhash64("x"), "x").limit(sample).select("p").collect()
+    points = entries.select(F.xxhash64("x").alias("h"), "p").orderBy("h", "p").limit(sample).collect()
     tree = UpperTree(np.array([r["p"] for r in points], dtype=np.float64).reshape(-1, dims), levels)
 
     def celled(batches):
