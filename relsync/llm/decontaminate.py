@@ -31,13 +31,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from relsync.llm.common import without
-from relsync.llm.words import hashed_words, runs, shingle_hashes
+from relsync.llm.words import hashed_words, shingle_hashes, text_slices
 
 SHINGLE, SIMILARITY, RADIUS = 5, 0.8, 22
 #: Characters of benchmark text that one pass takes along.
 BLOCK_CHARS = 16_000_000
-#: Windows fingerprinted, and characters scanned (or one text, if longer), at a time.
-_AT_ONCE, _CHARS = 1 << 14, 1 << 22
+#: Windows fingerprinted, and bytes of text scanned (or one text, if longer), at a time.
+_AT_ONCE, _CHARS = 1 << 14, 1 << 21
 
 
 @dataclass(frozen=True)
@@ -243,10 +243,9 @@ def annotate(
         def run(batches, shared=shared, again=again):
             kind = None
             for batch in batches:
-                texts = batch.column(at).to_pylist()
                 found = [
                     [dict(zip(names, x, strict=True)) for x in leaks]
-                    for a, z in runs(texts, _CHARS) for leaks in scan_texts(texts[a:z], shared.value, similarity, radius)
+                    for texts in text_slices(batch.column(at), _CHARS) for leaks in scan_texts(texts, shared.value, similarity, radius)
                 ]
                 columns, before = batch.columns, None
                 if again:

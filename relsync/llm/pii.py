@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from relsync.llm.tagger import Tagger, encode
+from relsync.llm.words import text_slices
 
 KINDS = ("email", "ip", "card", "phone")
 #: Characters of a window, and from one window's start to the next.
@@ -34,7 +35,8 @@ WINDOW, STRIDE = 128, 64
 SAMPLE_DOCS, MAX_WINDOWS = 8000, 2000
 #: Mean probability of its tags that an added span needs, and its least number of characters.
 CONFIDENCE, LEAST = 0.9, 7
-_AT_ONCE = 512
+#: Windows decoded, and bytes of text read, at a time (or one text, if longer).
+_AT_ONCE, _BYTES = 512, 1 << 22
 
 # The base rules' patterns. Digits after digits never start a match, so long
 # runs of digits are read once; mail addresses are found from their @ for the same reason.
@@ -243,7 +245,7 @@ def find_personal_data(docs: DataFrame, tagger: Tagger | None, *, id_col: str =
 
     def run(batches):
         for batch in batches:
-            found = all_spans(batch.column("text").to_pylist(), shared.value)
+            found = [x for texts in text_slices(batch.column("text"), _BYTES) for x in all_spans(texts, shared.value)]
             counts = [pa.array([sum(s[0] == k for s in base) for base, _ in found], pa.int64()) for k in KINDS]
             digests = [hashlib.sha256(_line(base).encode()).hexdigest() for base, _ in found]
             yield pa.RecordBatch.from_arrays(

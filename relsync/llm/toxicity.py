@@ -25,20 +25,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from relsync.llm.common import without
-from relsync.llm.words import hashed_pieces, runs
+from relsync.llm.words import hashed_pieces, text_slices
 
 #: Feature space: the upper bits of a feature's hash.
 BITS = 20
 #: Word beginnings that are features, by length in bytes.
 PREFIXES = (3, 4, 5, 6)
 #: Bounds of the training sample, in documents.
-MAX_POSITIVE, MAX_UNLABELLED = 3000, 7000
+MAX_POSITIVE, MAX_UNLABELLED = 2000, 5000
 FOLDS = 5
 #: What features need to count: standard errors above the rate in unlabelled text, and times
 #: the rate in clean text.
 SURE, TIMES = 2.5, 4.0
-#: Characters whose features are gathered at a time (or one text, if longer).
-_CHARS = 1 << 21
+#: Bytes of text whose features are gathered at a time (or one text, if longer).
+_BYTES = 1 << 21
 
 
 @dataclass(frozen=True)
@@ -154,6 +154,10 @@ def score_texts(texts: list[str | None], model: Model) -> np.ndarray:
     return _sigmoid(margin + model.bias.mean())
 
 
+def _score_column(column, model: Model) -> np.ndarray:
+    return np.concatenate([score_texts(t, model) for t in text_slices(column, _BYTES)] or [np.zeros(0)])
+
+
 def held_out(id_col: Column) -> Column:
     """Whether an id is kept from training: CRC-32 of the id as text, modulo 5, is 0. Null: no."""
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % FOLDS == 0, F.lit(False))
@@ -190,8 +194,7 @@ def fit(
 
     def run(batches):
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            sets = [x.tobytes() for a, z in runs(texts, _CHARS) for x in feature_sets(texts[a:z])]
+            sets = [x.tobytes() for texts in text_slices(batch.column("text"), _BYTES) for x in feature_sets(texts)]
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("p"), batch.column("u"), pa.array(sets, pa.binary())], names=["id", "p", "u", "features"])
 
     kind = T.StructType([*sample.select("id", "p", "u").schema.fields, T.StructField("features", T.BinaryType())])
@@ -212,7 +215,7 @@ def score(docs: DataFrame, model: Model, *, text_col: str = "text", threshold: f
 
     def run(batches):
         for batch in batches:
-            s = score_texts(batch.column(at).to_pylist(), shared.value)
+            s = _score_column(batch.column(at), shared.value)
             more = [pa.array(s), pa.array((s >= threshold).astype(np.int32))]
             yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*batch.schema.names, "score", "predicted"])
 
@@ -226,7 +229,7 @@ def drop_toxic(docs: DataFrame, model: Model, *, text_col: str = "text", thresho
 
     def run(batches):
         for batch in batches:
-            keep = score_texts(batch.column(at).to_pylist(), shared.value) < threshold
+            keep = _score_column(batch.column(at), shared.value) < threshold
             yield batch.filter(pa.array(keep))
 
     return docs.mapInArrow(run, docs.schema)

@@ -111,18 +111,19 @@ def hashed_words(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([h for h, _ in parts]), np.concatenate([o for _, o in parts])
 
 
-def runs(texts: list[str | None], most: int):
-    """Start and end of runs of consecutive texts with at most ``most`` characters in all, or
-    one text where it has more."""
-    start, size = 0, 0
-    for i, t in enumerate(texts):
-        n = len(t or "")
-        if i > start and size + n > most:
-            yield start, i
-            start, size = i, 0
-        size += n
-    if start < len(texts):
-        yield start, len(texts)
+def text_slices(column, most: int):
+    """An Arrow text column as lists of texts, ``most`` characters' worth of bytes at a time."""
+    import pyarrow.compute as pc
+
+    size = pc.fill_null(pc.binary_length(column), 0).to_pylist()
+    start, held = 0, 0
+    for i, n in enumerate(size):
+        if i > start and held + n > most:
+            yield column.slice(start, i - start).to_pylist()
+            start, held = i, 0
+        held += n
+    if start < len(size):
+        yield column.slice(start).to_pylist()
 
 
 def shingle_hashes(words: np.ndarray, k: int) -> np.ndarray:

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from helpers import documents, frame, prose
 from relsync.llm import decontaminate, licenses, pii, toxicity
 from relsync.llm.tagger import PAD, Tagger, encode
-from relsync.llm.words import hashed_words, runs, shingle_hashes
+from relsync.llm.words import hashed_words, shingle_hashes, text_slices
 
 # --- word hashing
 
@@ -40,12 +41,11 @@ def test_word_hashes_do_not_depend_on_pieces(texts, piece):
     assert len(set(by_word.values())) == len(by_word)
 
 
-@given(st.lists(st.integers(0, 30), max_size=12), st.integers(1, 40))
-def test_runs_cover_texts_in_order(sizes, most):
-    texts = ["x" * n for n in sizes]
-    found = list(runs(texts, most))
-    assert [i for a, b in found for i in range(a, b)] == list(range(len(texts)))
-    assert all(b - a == 1 or sum(sizes[a:b]) <= most for a, b in found)
+@given(st.lists(st.none() | st.text(alphabet="aé漢", max_size=30), max_size=12), st.integers(1, 60))
+def test_slices_cover_texts_in_order(texts, most):
+    found = list(text_slices(pa.array(texts, pa.string()), most))
+    assert [t for part in found for t in part] == texts
+    assert all(len(part) == 1 or sum(len((t or "").encode()) for t in part) <= most for part in found)
 
 
 # --- license scan
