@@ -24,3 +24,9 @@ def version_minor(col: Column) -> Column:
 def newest_first(col: Column) -> list[Column]:
     """Sort expressions: numeric, not text, order; descending."""
     return [version_major(col).desc(), version_minor(col).desc()]
+
+
+def version_key(version: str) -> tuple[int, int]:
+    """The order of releases, newest greatest."""
+    major, minor = version.split(".")
+    return int(major), int(minor)

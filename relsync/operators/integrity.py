@@ -1,9 +1,8 @@
 """File checksums as a Spark job, and their comparison with a release manifest.
 
-Files up to ``max_cell_bytes`` (256 MiB) are hashed by the JVM (``binaryFile`` + ``sha1``),
-one file per row, split across tasks. Larger files, which do not fit one binary cell, are hashed in
-chunks by ``mapInPandas`` tasks that stream them through Arrow's file systems; they are
-spread one file per partition.
+Every file, whatever its size, is streamed in chunks by a ``mapInPandas`` task (see
+``sources.files`` for how it is opened). Files are listed once and dealt over tasks by range
+of path, about evenly; a task's memory is one chunk.
 """
 
 from __future__ import annotations
@@ -15,10 +14,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relsync.sources.inventory import binary_files
+from relsync.sources.files import open_stream, require_reader
+from relsync.sources.inventory import file_inventory
 
-DEFAULT_MAX_CELL = 256 << 20  # bigger files stream through chunked hashing
 CHUNK = 8 << 20
+#: Most tasks that one hashing job is dealt over.
+MAX_TASKS = 10_000
 
 STATUS_OK = "ok"
 STATUS_MISMATCH = "mismatch"
@@ -47,62 +48,29 @@ _ERROR_OF = {STATUS_MISMATCH: ChecksumMismatch, STATUS_NOT_IN_MANIFEST: NotInMan
              STATUS_MISSING: MissingFile}
 
 
-def _open_input(uri: str):
-    from pyarrow import fs
-
-    if uri.startswith("file:") and not uri.startswith("file://"):
-        uri = "file://" + uri[len("file:"):]
-    for hadoop_scheme in ("s3a://", "s3n://"):  # Hadoop's S3 schemes are Arrow's s3://
-        if uri.startswith(hadoop_scheme):
-            uri = "s3://" + uri[len(hadoop_scheme):]
-    try:
-        filesystem, path = fs.FileSystem.from_uri(uri)
-    except Exception as e:  # a scheme Arrow cannot open (e.g. ftp://)
-        raise IntegrityError(
-            f"cannot stream {uri} for chunked hashing ({e}); raise max_cell_bytes so the "
-            f"file is hashed by the JVM instead") from e
-    return filesystem.open_input_stream(path)
-
-
-def _hash_chunked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        out = []
-        for p in pdf["path"]:
-            h = hashlib.sha1()
-            with _open_input(p) as f:
-                while True:
-                    block = f.read(CHUNK)
-                    if not block:
-                        break
-                    h.update(block)
-            out.append(h.hexdigest())
-        yield pd.DataFrame({"path": pdf["path"], "length": pdf["length"], "sha1": out})
-
-
-def hash_files(spark: SparkSession, pattern: str, max_cell_bytes: int = DEFAULT_MAX_CELL,
-               glob_filter: str | None = None) -> DataFrame:
-    """``(path, length, sha1)`` for every file matching ``pattern``."""
-    # one relation, so the files are listed once; selecting no ``content`` reads metadata only
-    files = binary_files(spark, pattern, glob_filter)
-    if files is None:
-        return spark.createDataFrame([], "path string, length bigint, sha1 string")
-    stats = files.agg(F.count(F.lit(1)).alias("n"),
-                      F.count(F.when(F.col("length") > max_cell_bytes, 1)).alias("n_large")).first()
-    if stats["n"] == 0:
-        return spark.createDataFrame([], "path string, length bigint, sha1 string")
-    # The length filter is applied to file metadata before any content is read.
-    small = (
-        files.where(F.col("length") <= max_cell_bytes)
-        .select("path", "length", F.sha1("content").alias("sha1"))
-    )
-    large = files.where(F.col("length") > max_cell_bytes).select("path", "length")
-    n_large = stats["n_large"]
-    if n_large == 0:
-        return small
-    hashed = large.repartition(n_large, "path").mapInPandas(
-        _hash_chunked, "path string, length bigint, sha1 string"
-    )
-    return small.unionByName(hashed)
+def hash_files(spark: SparkSession, pattern: str, glob_filter: str | None = None,
+               filesystem=None, inventory: DataFrame | None = None) -> DataFrame:
+    """``(path, length, sha1)`` for every file matching ``pattern``.
+
+    ``inventory``: the files, when the caller has listed them already (``file_inventory``).
+    """
+    require_reader(pattern, filesystem)
+    files = file_inventory(spark, pattern, glob_filter) if inventory is None else inventory
+    n = files.count()
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for p in pdf["path"]:
+                h = hashlib.sha1()
+                with open_stream(p, filesystem) as f:
+                    while block := f.read(CHUNK):
+                        h.update(block)
+                out.append(h.hexdigest())
+            yield pd.DataFrame({"path": pdf["path"], "length": pdf["length"], "sha1": out})
+
+    dealt = files.select("path", "length").repartitionByRange(max(1, min(n, MAX_TASKS)), "path")
+    return dealt.mapInPandas(run, "path string, length bigint, sha1 string")
 
 
 def compare_hashes(files: DataFrame, manifest: DataFrame) -> DataFrame:

@@ -28,6 +28,7 @@ K_PROVIDER = "provider"
 K_DISCOVERY = "version_discovery_uri"
 K_CHECKSUM = "checksum_uri_template"
 K_DATA = "data_uri_template"
+K_DATASET_DISCOVERY = "dataset_discovery_uri_template"
 
 # fsspec spells Google Cloud Storage "gcs://"; Hadoop's connector uses "gs://"
 _SCHEMES = {"gcs://": "gs://", "s3://": "s3a://"}
@@ -72,7 +73,8 @@ def source_from_config(cfg: Mapping[str, Any]) -> Source:
         raise ValueError(f"source needs {K_DISCOVERY}")
     return Source(root=root.rstrip("/"),
                   release_template=_hadoop_uri(section.get(K_CHECKSUM)),
-                  data_template=_hadoop_uri(section.get(K_DATA)))
+                  data_template=_hadoop_uri(section.get(K_DATA)),
+                  datasets_template=_hadoop_uri(section.get(K_DATASET_DISCOVERY)))
 
 
 def max_workers(cfg: Mapping[str, Any]) -> int:

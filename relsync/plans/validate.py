@@ -7,6 +7,7 @@ from typing import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from relsync.sources.files import NoReader, require_reader
 from relsync.sources.inventory import list_versions
 from relsync.spec import DatasetSpec, Source
 
@@ -34,6 +35,16 @@ def check_source(spark: SparkSession, source: Source,
     return True, f"source reachable; newest release {rows[0]['version']}"
 
 
+def check_readers(source: Source, version: str | None) -> tuple[bool, str]:
+    """Footers and checksums of the data files can be read inside tasks."""
+    uri = source.dataset_dir(version or "00.00", "any")
+    try:
+        require_reader(uri, source.filesystem)
+    except NoReader as e:
+        return False, str(e)
+    return True, "data files can be opened inside tasks"
+
+
 def check_specs(specs: Sequence[DatasetSpec]) -> tuple[bool, str]:
     """Every dataset spec names a non-empty primary key."""
     if not specs:

@@ -3,14 +3,18 @@
 The schema comes from the first file (by name). Whether the other files agree is
 checked from their footers only, in parallel tasks, in one of three modes:
 
-strict  every file must hold every column of the first file (extra columns are ignored)
-merge   union of all columns, each at its widest type (int < bigint < double); a column
-        missing in a file reads NULL
+strict  every file must hold every column of the first file, nested fields included, at a
+        type that reads as the first file's (extra columns are ignored)
+merge   union of all columns, each at its widest type (int < bigint < double, structs field
+        by field); a column missing in a file reads NULL
 first   the first file's schema is imposed; missing columns read NULL
+
+Column names compare case-insensitively, as Spark does.
 """
 
 from __future__ import annotations
 
+import hashlib
 from typing import Iterator, Sequence
 
 import pandas as pd
@@ -18,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from relsync.sources.files import parquet_schema
 from relsync.sources.inventory import file_inventory
 
 MODES = ("strict", "merge", "first")
@@ -34,36 +39,57 @@ def infer_schema(spark: SparkSession, files: Sequence[str]) -> T.StructType:
     return spark.read.parquet(sorted(files)[0]).schema
 
 
-def _footer_fields(uri: str) -> dict:
-    import pyarrow.parquet as pq
-    from pyarrow import fs
+def _leaves(kind, path: str) -> Iterator[tuple[str, str]]:
+    import pyarrow.types as pt
+
+    if pt.is_struct(kind):
+        yield path, "struct"
+        for i in range(kind.num_fields):
+            yield from _leaves(kind.field(i).type, f"{path}.{kind.field(i).name.lower()}")
+    elif pt.is_list(kind) or pt.is_large_list(kind):
+        yield path, "list"
+        yield from _leaves(kind.value_type, f"{path}.[]")
+    elif pt.is_map(kind):
+        yield path, "map"
+        yield from _leaves(kind.key_type, f"{path}.key")
+        yield from _leaves(kind.item_type, f"{path}.value")
+    else:
+        yield path, str(kind)
+
+
+def footer_fields(uri: str, filesystem=None) -> dict[str, str]:
+    """Type of every column and nested field of a Parquet file, by lower-case path."""
+    return dict(x for f in parquet_schema(uri, filesystem) for x in _leaves(f.type, f.name.lower()))
+
+
+# Footer types that Spark reads as another, wider type.
+_READS_AS = {
+    "int8": ("int16", "int32", "int64", "float", "double"), "int16": ("int32", "int64", "float", "double"),
+    "int32": ("int64", "double"), "float": ("double",), "string": ("large_string",), "large_string": ("string",),
+}
 
-    if uri.startswith("file:") and not uri.startswith("file://"):
-        uri = "file://" + uri[len("file:"):]
-    for hadoop_scheme in ("s3a://", "s3n://"):  # Hadoop's S3 schemes are Arrow's s3://
-        if uri.startswith(hadoop_scheme):
-            uri = "s3://" + uri[len(hadoop_scheme):]
-    filesystem, path = fs.FileSystem.from_uri(uri)
-    schema = pq.read_schema(path, filesystem=filesystem)
-    return {f.name: str(f.type) for f in schema}
 
+def _reads_as(have: str, want: str) -> bool:
+    return have == want or want in _READS_AS.get(have, ())
 
-def footer_report(spark: SparkSession, files: DataFrame, reference: str) -> DataFrame:
+
+def footer_report(spark: SparkSession, files: DataFrame, reference: str, filesystem=None) -> DataFrame:
     """``(path, missing, extra, retyped)`` per file, against the footer of ``reference``.
 
-    ``files`` has a ``path`` column; footers are read by ``mapInPandas`` tasks, so many
-    files are checked in parallel and no file content is scanned.
+    Names are lower-case paths of columns and nested fields; ``retyped`` are those whose type
+    does not read as the reference's. ``files`` has a ``path`` column; footers are read by
+    ``mapInPandas`` tasks, so many files are checked in parallel and no file content is scanned.
     """
-    ref = _footer_fields(reference)
+    ref = footer_fields(reference, filesystem)
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             missing, extra, retyped = [], [], []
             for p in pdf["path"]:
-                got = _footer_fields(p)
+                got = footer_fields(p, filesystem)
                 missing.append(sorted(set(ref) - set(got)))
                 extra.append(sorted(set(got) - set(ref)))
-                retyped.append(sorted(k for k in ref if k in got and got[k] != ref[k]))
+                retyped.append(sorted(k for k in ref if k in got and not _reads_as(got[k], ref[k])))
             yield pd.DataFrame({"path": pdf["path"], "missing": missing, "extra": extra,
                                 "retyped": retyped})
 
@@ -89,63 +115,146 @@ def widen(a: T.DataType, b: T.DataType) -> T.DataType:
     floating = (T.FloatType, T.DoubleType)
     if (ia or isinstance(a, floating)) and (ib or isinstance(b, floating)):
         return T.DoubleType()
+    if isinstance(a, T.StructType) and isinstance(b, T.StructType):
+        return widen_fields([a, b])
+    if isinstance(a, T.ArrayType) and isinstance(b, T.ArrayType):
+        return T.ArrayType(widen(a.elementType, b.elementType), True)
+    if isinstance(a, T.MapType) and isinstance(b, T.MapType):
+        return T.MapType(widen(a.keyType, b.keyType), widen(a.valueType, b.valueType), True)
     raise SchemaMismatch(f"cannot combine {a.simpleString()} and {b.simpleString()}")
 
 
-def merged_schema(spark: SparkSession, inventory: DataFrame) -> T.StructType:
-    """Union of the files' columns, each at the widest type it has in any file.
-
-    Footers are fingerprinted in parallel tasks; only one file per distinct footer schema
-    (a handful, however many files) is asked for its Spark schema.
-    """
-    def fingerprint(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            fps = [repr(sorted(_footer_fields(p).items())) for p in pdf["path"]]
-            yield pd.DataFrame({"path": pdf["path"], "fp": fps})
-
-    reps = (inventory.select("path").mapInPandas(fingerprint, "path string, fp string")
-            .groupBy("fp").agg(F.min("path").alias("path"))
-            .orderBy("path").collect())  # one row per distinct footer schema
+def widen_fields(schemas: Sequence[T.StructType]) -> T.StructType:
+    """Union of the fields of several schemas, each at its widest type, in order of appearance."""
     fields: dict[str, T.StructField] = {}
-    order: list[str] = []
-    for r in reps:
-        for f in spark.read.parquet(r["path"]).schema.fields:
+    for schema in schemas:
+        for f in schema.fields:
             key = f.name.lower()
             if key in fields:
-                fields[key] = T.StructField(fields[key].name,
-                                            widen(fields[key].dataType, f.dataType), True)
+                kind = widen(fields[key].dataType, f.dataType)
+                fields[key] = T.StructField(fields[key].name, kind, True)
             else:
                 fields[key] = T.StructField(f.name, f.dataType, True)
-                order.append(key)
-    return T.StructType([fields[k] for k in order])
+    return T.StructType(list(fields.values()))
+
+
+def _reader_widens(have: T.DataType, want: T.DataType) -> bool:
+    """Whether Spark's Parquet reader gives ``want`` for a file's ``have`` (bigint as double it
+    does not)."""
+    if have == want:
+        return True
+    if isinstance(have, T.StructType) and isinstance(want, T.StructType):
+        kinds = {f.name.lower(): f.dataType for f in want.fields}
+        return all(_reader_widens(f.dataType, kinds[f.name.lower()]) for f in have.fields)
+    if isinstance(have, T.ArrayType) and isinstance(want, T.ArrayType):
+        return _reader_widens(have.elementType, want.elementType)
+    if isinstance(have, T.MapType) and isinstance(want, T.MapType):
+        return _reader_widens(have.keyType, want.keyType) and _reader_widens(have.valueType, want.valueType)
+    return not (isinstance(have, T.LongType) and isinstance(want, T.DoubleType))
+
+
+def _footer_groups(spark: SparkSession, inventory: DataFrame, filesystem=None) -> tuple[DataFrame, list]:
+    """(path, fp) of every file, and one (fp, path) row per distinct footer schema."""
+    def fingerprint(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            fps = [hashlib.sha1(repr(sorted(footer_fields(p, filesystem).items())).encode()).hexdigest() for p in pdf["path"]]
+            yield pd.DataFrame({"path": pdf["path"], "fp": fps})
+
+    files = inventory.select("path").mapInPandas(fingerprint, "path string, fp string")
+    return files, files.groupBy("fp").agg(F.min("path").alias("path")).orderBy("path").collect()
+
+
+def merged_schema(spark: SparkSession, inventory: DataFrame, filesystem=None) -> T.StructType:
+    """Union of the files' columns, each at the widest type it has in any file.
+
+    Footers are fingerprinted in parallel tasks; one file per distinct footer schema is asked
+    for its Spark schema. As many rows as there are distinct footers reach the driver.
+    """
+    _, reps = _footer_groups(spark, inventory, filesystem)
+    return widen_fields([spark.read.parquet(r["path"]).schema for r in reps])
+
+
+def _cast_nested(col, have: T.DataType, want: T.DataType):
+    """A value of type ``have`` as ``want``, fields matched by name, missing ones null."""
+    if have == want:
+        return col
+    if isinstance(have, T.StructType):
+        kinds = {f.name.lower(): f for f in have.fields}
+        parts = [
+            (_cast_nested(col.getField(kinds[f.name.lower()].name), kinds[f.name.lower()].dataType, f.dataType)
+             if f.name.lower() in kinds else F.lit(None).cast(f.dataType)).alias(f.name)
+            for f in want.fields
+        ]
+        return F.when(col.isNotNull(), F.struct(*parts))
+    if isinstance(have, T.ArrayType):
+        return F.transform(col, lambda x: _cast_nested(x, have.elementType, want.elementType))
+    if isinstance(have, T.MapType):
+        return F.transform_values(F.transform_keys(col, lambda k, v: _cast_nested(k, have.keyType, want.keyType)),
+                                  lambda k, v: _cast_nested(v, have.valueType, want.valueType))
+    return col.cast(want)
+
+
+def _read_merged(spark: SparkSession, paths: list[str], inventory: DataFrame, filesystem) -> DataFrame:
+    """All files at the merged schema. Files whose footers Spark reads at that schema are one scan;
+    each other footer schema is a scan of its own (by its files' names), cast and united."""
+    files, reps = _footer_groups(spark, inventory, filesystem)
+    own = {r["fp"]: spark.read.parquet(r["path"]).schema for r in reps}
+    merged = widen_fields([own[r["fp"]] for r in reps])
+    direct = [fp for fp, schema in own.items() if _reader_widens(schema, merged)]
+    if len(direct) == len(own):
+        return spark.read.schema(merged).parquet(*paths)
+
+    def paths_of(fps: list[str]) -> list[str]:
+        return [r["path"] for r in files.where(F.col("fp").isin(fps)).select("path").collect()]
+
+    parts = [spark.read.schema(merged).parquet(*paths_of(direct))] if direct else []
+    for fp, schema in own.items():
+        if fp in direct:
+            continue
+        part = spark.read.schema(schema).parquet(*paths_of([fp]))
+        kinds = {f.name.lower(): f for f in schema.fields}
+        parts.append(part.select(*[
+            (_cast_nested(F.col(f"`{kinds[f.name.lower()].name}`"), kinds[f.name.lower()].dataType, f.dataType)
+             if f.name.lower() in kinds else F.lit(None).cast(f.dataType)).alias(f.name)
+            for f in merged.fields
+        ]))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
 
 
 def read_dataset(spark: SparkSession, files: str | Sequence[str], mode: str = "strict",
-                 schema: T.StructType | None = None) -> DataFrame:
+                 schema: T.StructType | None = None, filesystem=None,
+                 inventory: DataFrame | None = None) -> DataFrame:
     """One DataFrame over all files of a dataset (file order is neither kept nor needed).
 
     ``files`` is a list of paths or a glob such as ``<dir>/*.parquet``; with a glob the
-    file list stays a DataFrame (listed by Spark) and never passes through the driver.
+    file list stays a DataFrame (listed by Spark; ``inventory``, when the caller has listed
+    the files already) and does not pass through the driver. The exception is ``merge`` where
+    bigint and double meet in one column: those files are then named one by one.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
     if isinstance(files, str):
-        inventory = file_inventory(spark, files).select("path")
+        inventory = (file_inventory(spark, files) if inventory is None else inventory).select("path")
         paths: list[str] = [files]
     else:
         paths = sorted(files)
         inventory = spark.createDataFrame([(f,) for f in paths], "path string")
-    head = inventory.orderBy("path").take(2)
+    head = [r["path"] for r in inventory.orderBy("path").take(2)]
     if not head:
         raise NoFiles(f"no Parquet files in {files}")
-    first_file = head[0]["path"]
-    if mode == "merge":
-        return spark.read.schema(schema or merged_schema(spark, inventory)).parquet(*paths)
-    first = schema or spark.read.parquet(first_file).schema
+    if schema is None and mode == "merge":
+        return _read_merged(spark, paths, inventory, filesystem)
+    first = schema or infer_schema(spark, head)
     if mode == "strict" and len(head) > 1:
-        others = inventory.where(F.col("path") != first_file)
-        bad = footer_report(spark, others, first_file).where(F.size("missing") > 0).take(5)
+        others = inventory.where(F.col("path") != head[0])
+        report = footer_report(spark, others, head[0], filesystem)
+        bad = report.where((F.size("missing") > 0) | (F.size("retyped") > 0)).take(5)
         if bad:
-            desc = "; ".join(f"{r['path']} lacks {list(r['missing'])}" for r in bad)
-            raise SchemaMismatch(f"files disagree with {first_file}: {desc}")
+            desc = "; ".join(
+                f"{r['path']}" + (f" lacks {list(r['missing'])}" if r["missing"] else "")
+                + (f" has other types in {list(r['retyped'])}" if r["retyped"] else "") for r in bad)
+            raise SchemaMismatch(f"files disagree with {head[0]}: {desc}")
     return spark.read.schema(first).parquet(*paths)

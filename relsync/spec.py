@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass, field
-from typing import Mapping
+from typing import Any, Mapping
 
 ACTIONS = (None, "flatten", "json")
 
@@ -38,6 +38,22 @@ class ColumnRule:
         return cls(**dict(value))
 
 
+@dataclass(frozen=True)
+class ForeignKey:
+    """Columns of a dataset's table that refer to another table's columns (output names)."""
+
+    columns: tuple[str, ...]
+    table: str
+    references: tuple[str, ...]
+
+    def __post_init__(self):
+        for name in ("columns", "references"):
+            value = getattr(self, name)
+            object.__setattr__(self, name, (value,) if isinstance(value, str) else tuple(value))
+        if not self.columns or len(self.columns) != len(self.references):
+            raise ValueError("a foreign key names as many columns as it references, and at least one")
+
+
 @dataclass(frozen=True)
 class DatasetSpec:
     """How one dataset of a release becomes one table.
@@ -48,6 +64,7 @@ class DatasetSpec:
     sep           separator between a flattened struct's name and its fields
     json_as       "string" (JSON text), "variant" (VariantType) or "native" (keep nested)
     types         "canonical" (widen ints to bigint, floats to double, ...) or "native"
+    foreign_keys  checked against the referenced tables before a load is published
     """
 
     name: str
@@ -57,8 +74,11 @@ class DatasetSpec:
     sep: str = "_"
     json_as: str = "string"
     types: str = "canonical"
+    foreign_keys: tuple[ForeignKey, ...] = ()
 
     def __post_init__(self):
+        object.__setattr__(self, "foreign_keys", tuple(
+            k if isinstance(k, ForeignKey) else ForeignKey(**dict(k)) for k in self.foreign_keys))
         keys = self.primary_key
         if isinstance(keys, str):
             keys = (keys,)
@@ -76,7 +96,10 @@ class DatasetSpec:
         return self.final_table or self.name.replace("-", "_")
 
     def rule(self, column: str) -> ColumnRule:
-        return self.overrides.get(column, ColumnRule())
+        """The rule of a column; names compare case-insensitively, an exact one first."""
+        if column in self.overrides:
+            return self.overrides[column]
+        return next((r for c, r in self.overrides.items() if c.lower() == column.lower()), ColumnRule())
 
     def output_key(self) -> tuple[str, ...]:
         """Key column names after renames (a key must not be flattened)."""
@@ -103,6 +126,12 @@ class Source:
     store): ``release_template`` is the folder holding a release's manifest and
     ``data_template`` a dataset's folder, with ``{version}`` and ``{dataset_name}``
     placeholders. Manifest keys stay relative: ``<parquet_dir>/<dataset>/<file>``.
+    ``datasets_template`` (``{version}``) is the folder whose subfolders are the datasets,
+    where it is not the data template's parent.
+
+    ``filesystem`` opens files inside tasks for footers and checksums where the scheme alone
+    does not tell how (see ``sources.files``), for example for ``ftp``, ``http`` or anonymous
+    access; Spark's own readers use Hadoop's configuration.
     """
 
     root: str
@@ -111,6 +140,8 @@ class Source:
     manifest_name: str = "release_data_integrity"
     release_template: str | None = None
     data_template: str | None = None
+    datasets_template: str | None = None
+    filesystem: Any = None
 
     def release(self, version: str) -> str:
         if self.release_template:
@@ -118,8 +149,12 @@ class Source:
         return f"{self.root.rstrip('/')}/{version}"
 
     def parquet_root(self, version: str) -> str:
+        """The folder that holds the datasets' folders."""
+        if self.datasets_template:
+            return self.datasets_template.format(version=version).rstrip("/")
         if self.data_template:
-            return self.data_template.format(version=version, dataset_name="").rstrip("/")
+            head = self.data_template.split("{dataset_name}", 1)[0]
+            return head[:head.rindex("/")].format(version=version)
         return f"{self.release(version)}/{self.parquet_dir}"
 
     def dataset_dir(self, version: str, dataset: str) -> str:

@@ -1,9 +1,11 @@
 """Watch a release root and load each newly published release.
 
 A release is published when its manifest checksum file appears. The file stream source
-remembers in its checkpoint which ``.sha1`` files it has seen, so each release is handed
-to ``load_release`` once; ``trigger(availableNow=True)`` turns this into a scheduled
-batch job that processes whatever appeared since the last run and stops.
+remembers in its checkpoint which ``.sha1`` files it has seen; of the releases that appeared
+since the last batch the newest is loaded, and never one older than what the ledger says a
+table holds. A batch in which a dataset fails is not committed, so it is tried again at the
+next start. ``trigger(availableNow=True)`` turns this into a scheduled batch job that
+processes whatever appeared since the last run and stops.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from relsync.functions.versions import is_version, newest_first
+from relsync.functions.versions import is_version, newest_first, version_key
 from relsync.plans.release_load import load_release
 from relsync.plans.sink import Sink
 from relsync.spec import DatasetSpec, Source
@@ -47,14 +49,24 @@ def published_releases(spark: SparkSession, source: Source) -> DataFrame:
 def watch_releases(spark: SparkSession, source: Source, specs: Sequence[DatasetSpec],
                    sink: Sink, checkpoint: str | None = None, load_type: str = "delta",
                    available_now: bool = True, **load_args) -> StreamingQuery:
-    """Start the watcher; every micro-batch loads the newest release it discovered."""
+    """Start the watcher; every micro-batch loads the newest release it discovered into the
+    tables that hold an older one, and raises if any dataset failed."""
 
     def on_batch(batch: DataFrame, epoch_id: int) -> None:
         newest = (batch.select("version").distinct()
                   .orderBy(*newest_first(F.col("version"))).take(1))
-        if newest:
-            load_release(spark, specs, source, sink, version=newest[0]["version"],
-                         load_type=load_type, **load_args)
+        if not newest:
+            return
+        version = newest[0]["version"]
+        held = {s.name: sink.last_success(s.name) for s in specs}
+        behind = [s.name for s in specs if held[s.name] is None or version_key(held[s.name]) < version_key(version)]
+        if not behind:
+            return
+        out = load_release(spark, specs, source, sink, version=version, datasets=behind,
+                           load_type=load_type, **load_args)
+        failed = out.where("status = 'failed'").collect()  # at most one row per dataset
+        if failed:
+            raise RuntimeError(f"release {version}: " + "; ".join(f"{r['dataset']}: {r['message']}" for r in failed))
 
     writer = (published_releases(spark, source).writeStream
               .foreachBatch(on_batch)

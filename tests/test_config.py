@@ -77,7 +77,10 @@ primary_key = ["id"]
 [datasets.genes.schema_overrides]
   id = {{ rename = "gene_id" }}
 """)
-    assert main([str(cfg), "jobdb"]) == 0
+    # an in-memory catalog forgets tables and ledger: refused before any work
+    assert main([str(cfg), "jobdb"]) == 2
+    assert not spark.catalog.databaseExists("jobdb")
+    assert main([str(cfg), "jobdb", "--allow-in-memory"]) == 0
     assert sorted(tuple(r) for r in spark.table("jobdb.genes").collect()) == [("g1", 1), ("g2", 2)]
 
 
@@ -112,4 +115,4 @@ checksum_uri_template = "{root}/{{version}}/"
 [datasets.genes]
 primary_key = ["id"]
 """)
-    assert main([str(cfg), "jobdb_fail"]) == 1
+    assert main([str(cfg), "jobdb_fail", "--allow-in-memory"]) == 1

@@ -2,6 +2,7 @@ import os
 
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from relsync.operators.integrity import (ChecksumMismatch, IntegrityError, hash_files,
                                          require_verified, verify_files)
@@ -15,17 +16,21 @@ from relsync.spec import Source
 from tests.release_tree import sha1_of, table, write_release
 
 
+def lamps(n, first=0):
+    return table(lamp=pa.array([f"L{i}" for i in range(first, first + n)]), watt=pa.array([i % 60 for i in range(n)], pa.int16()))
+
+
 @pytest.fixture
 def tree(tmp_path):
+    """Two releases, the newer with a second dataset and a dataset of two files, and other folders."""
     root = str(tmp_path / "releases")
-    a = table(id=pa.array(["target1", "target2"]), value=pa.array([100, 200], pa.int64()))
-    b = table(id=pa.array(["diseaseA", "diseaseB"]), description=pa.array(["descA", "descB"]))
-    write_release(root, "22.04", {"targets": [a]})
-    write_release(root, "22.06", {"targets": [a, a], "diseases": [b]})
+    shades = table(shade=pa.array([1, 2, 3]), lamp=pa.array(["L0", None, "L4"]))
+    write_release(root, "22.04", {"lamps": [lamps(5)]})
+    write_release(root, "22.06", {"lamps": [lamps(7), lamps(4, 7)], "shades": [shades]})
+    write_release(root, "22.10-rc", {"lamps": [lamps(1)]})
     os.makedirs(os.path.join(root, "9.1"))
-    with open(os.path.join(root, "README.md"), "w") as f:
-        f.write("not a release")
-    write_release(root, "22.10-rc", {"targets": [a]})
+    with open(os.path.join(root, "INDEX.txt"), "w") as f:
+        f.write("no release")
     return Source(root)
 
 
@@ -50,23 +55,23 @@ def test_datasets_and_files(spark, tree):
     with open(os.path.join(tree.parquet_root("22.06"), "manifest.txt"), "w") as f:
         f.write("a file next to the dataset folders is not a dataset")
     assert [r["dataset"] for r in list_datasets(spark, tree, "22.06").collect()] == [
-        "diseases", "targets"]
-    files = [os.path.basename(r["path"]) for r in list_data_files(spark, tree, "22.06", "targets").collect()]
+        "lamps", "shades"]
+    files = [os.path.basename(r["path"]) for r in list_data_files(spark, tree, "22.06", "lamps").collect()]
     assert files == ["part-00000.parquet", "part-00001.parquet"]
     specs = suggest_specs(list_datasets(spark, tree, "22.06")).collect()
     assert [(r["dataset"], r["final_table_name"], r["primary_key"]) for r in specs] == [
-        ("diseases", "diseases", "id"), ("targets", "targets", "id")]
+        ("lamps", "lamps", "id"), ("shades", "shades", "id")]
 
 
 def test_manifest_parse_and_verify(spark, tree):
     verify_manifest(spark, tree, "22.06")
     m = {r["path"]: r["sha1"] for r in load_manifest(spark, tree, "22.06").collect()}
-    assert set(m) == {"output/etl/parquet/targets/part-00000.parquet",
-                      "output/etl/parquet/targets/part-00001.parquet",
-                      "output/etl/parquet/diseases/part-00000.parquet"}
-    sel = select_dataset(load_manifest(spark, tree, "22.06"), tree, "targets",
+    assert set(m) == {"output/etl/parquet/lamps/part-00000.parquet",
+                      "output/etl/parquet/lamps/part-00001.parquet",
+                      "output/etl/parquet/shades/part-00000.parquet"}
+    sel = select_dataset(load_manifest(spark, tree, "22.06"), tree, "lamps",
                          ["part-00001.parquet"]).collect()
-    assert [r["path"] for r in sel] == ["output/etl/parquet/targets/part-00001.parquet"]
+    assert [r["path"] for r in sel] == ["output/etl/parquet/lamps/part-00001.parquet"]
 
 
 def test_manifest_wrong_hash(spark, tree):
@@ -90,8 +95,8 @@ def test_manifest_lines_and_last_wins(spark, tmp_path):
 
 def test_file_verification_statuses(spark, tree):
     manifest = load_manifest(spark, tree, "22.06")
-    d = tree.dataset_dir("22.06", "targets")
-    rep = verify_files(hash_files(spark, f"{d}/*.parquet"), manifest, tree.relative_prefix("targets"))
+    d = tree.dataset_dir("22.06", "lamps")
+    rep = verify_files(hash_files(spark, f"{d}/*.parquet"), manifest, tree.relative_prefix("lamps"))
     assert {r["status"] for r in rep.collect()} == {"ok"}
     require_verified(rep)
     # wrong content
@@ -101,7 +106,7 @@ def test_file_verification_statuses(spark, tree):
     with open(os.path.join(d, "part-00009.parquet"), "wb") as f:
         f.write(b"y")
     os.remove(os.path.join(d, "part-00000.parquet"))
-    rep = verify_files(hash_files(spark, f"{d}/*.parquet"), manifest, tree.relative_prefix("targets"))
+    rep = verify_files(hash_files(spark, f"{d}/*.parquet"), manifest, tree.relative_prefix("lamps"))
     got = {os.path.basename(r["path"]): r["status"] for r in rep.collect()}
     assert got == {"part-00000.parquet": "missing_file", "part-00001.parquet": "mismatch",
                    "part-00009.parquet": "not_in_manifest"}
@@ -115,27 +120,100 @@ def test_file_verification_statuses(spark, tree):
         require_verified(rep.where("status = 'not_in_manifest'"))
 
 
-def test_large_files_hashed_in_chunks(spark, tree):
-    d = tree.dataset_dir("22.06", "targets")
-    small = {r["path"]: r["sha1"] for r in hash_files(spark, f"{d}/*.parquet").collect()}
-    chunked = {r["path"]: r["sha1"] for r in hash_files(spark, f"{d}/*.parquet", max_cell_bytes=10).collect()}
-    assert small == chunked
-    assert sha1_of(os.path.join(d, "part-00000.parquet")) in small.values()
-
-
-def test_strict_footer_check(spark, tmp_path):
-    root = str(tmp_path / "r")
-    t1 = table(id=pa.array(["a"]), value=pa.array([1], pa.int64()))
-    t2 = table(id=pa.array(["b"]), value2=pa.array([2], pa.int64()))
-    write_release(root, "23.01", {"x": [t1, t2]})
-    src = Source(root)
-    pattern = f"{src.dataset_dir('23.01', 'x')}/*.parquet"
-    with pytest.raises(SchemaMismatch, match="value"):
-        read_dataset(spark, pattern, mode="strict")
-    merged = read_dataset(spark, pattern, mode="merge")
-    assert sorted(merged.columns) == ["id", "value", "value2"] and merged.count() == 2
-    first = read_dataset(spark, pattern, mode="first")
-    assert first.columns == ["id", "value"] and first.count() == 2
+def test_every_size_is_hashed_as_a_stream(spark, tree, monkeypatch):
+    from relsync.operators import integrity
+
+    d = tree.dataset_dir("22.06", "lamps")
+    want = {f"part-0000{i}.parquet": sha1_of(os.path.join(d, f"part-0000{i}.parquet")) for i in range(2)}
+    hashes = lambda **a: {os.path.basename(r["path"]): r["sha1"] for r in hash_files(spark, f"{d}/*.parquet", **a).collect()}
+    assert hashes() == want
+    monkeypatch.setattr(integrity, "CHUNK", 10)  # files of many chunks
+    assert hashes() == want
+    assert hashes(inventory=list_data_files(spark, tree, "22.06", "lamps")) == want
+    assert hash_files(spark, f"{d}/*.nothing").count() == 0
+
+
+def test_many_files_are_dealt_about_evenly(spark, tmp_path):
+    for i in range(48):
+        (tmp_path / f"f{i:02d}").write_bytes(b"x" * i)
+    out = hash_files(spark, str(tmp_path / "f*"))
+    sizes = out.groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) >= 40 and max(r["count"] for r in sizes) <= 3
+
+
+def test_paths_with_spaces_and_a_given_file_system(spark, tmp_path):
+    from pyarrow import fs
+
+    root = str(tmp_path / "a folder, 100 % odd")
+    write_release(root, "22.06", {"lamps": [lamps(3), lamps(3, 3)]})
+    src = Source(root, filesystem=fs.SubTreeFileSystem("/", fs.LocalFileSystem()))
+    d = src.dataset_dir("22.06", "lamps")
+    for filesystem in (None, src.filesystem):
+        rep = verify_files(hash_files(spark, f"{d}/*.parquet", filesystem=filesystem), load_manifest(spark, src, "22.06"), src.relative_prefix("lamps"))
+        assert [r["status"] for r in rep.collect()] == ["ok", "ok"]
+        assert read_dataset(spark, f"{d}/*.parquet", filesystem=filesystem).count() == 6
+
+
+def test_schemes_without_a_reader_are_refused_before_any_work():
+    from pyarrow import fs
+
+    from relsync.sources.files import NoReader, locate, require_reader, split_uri
+
+    for uri in ("ftp://host/pub/x.parquet", "https://host/x"):
+        with pytest.raises(NoReader, match="filesystem"):
+            require_reader(uri)
+        require_reader(uri, fs.LocalFileSystem())
+    assert locate("ftp://host/pub/x", fs.LocalFileSystem())[1] == "host/pub/x"
+    assert split_uri("file:/a b/c") == ("file", "", "/a b/c") and split_uri("s3a://b/k%20") == ("s3a", "b", "/k%20")
+    assert split_uri("/plain/x") == ("file", "", "/plain/x") and locate("file:///a b")[1] == "/a b"
+
+
+def _write(spark, root, *tables):
+    write_release(root, "23.01", {"x": list(tables)})
+    return f"{Source(root).dataset_dir('23.01', 'x')}/*.parquet"
+
+
+def test_strict_mode_compares_columns_nested_fields_and_types(spark, tmp_path):
+    base = {"Key": pa.array([1]), "pos": pa.array([{"x": 1.0, "tags": [{"n": 1}]}])}
+    cases = {
+        "same": ({"KEY": pa.array([2]), "pos": pa.array([{"x": 2.0, "tags": [{"n": 2}], "more": 1}]), "extra": pa.array([1])}, None),
+        "narrower": ({"key": pa.array([2], pa.int32()), "pos": base["pos"]}, None),
+        "lacks": ({"pos": base["pos"]}, "lacks.*key"),
+        "nested": ({"key": pa.array([2]), "pos": pa.array([{"x": 2.0, "tags": [{"m": 1}]}])}, r"pos\.tags\.\[\]\.n"),
+        "retyped": ({"key": pa.array(["2"]), "pos": base["pos"]}, "other types.*key"),
+    }
+    for name, (other, error) in cases.items():
+        pattern = _write(spark, str(tmp_path / name), table(**base), table(**other))
+        if error:
+            with pytest.raises(SchemaMismatch, match=error):
+                read_dataset(spark, pattern, mode="strict")
+        else:
+            assert sorted(r["Key"] for r in read_dataset(spark, pattern, mode="strict").collect()) in ([1, 2], [1, 2])
+    first = read_dataset(spark, str(tmp_path / "lacks") + "/23.01/output/etl/parquet/x/*.parquet", mode="first")
+    assert sorted(r["Key"] for r in first.collect() if r["Key"]) == [1]
+
+
+def test_merge_mode_widens_numbers_and_structs(spark, tmp_path):
+    pattern = _write(
+        spark, str(tmp_path / "m"),
+        table(k=pa.array([1]), v=pa.array([7], pa.int64()), s=pa.array([{"a": 1}]), l=pa.array([[1, 2]], pa.list_(pa.int64()))),
+        table(k=pa.array([2]), v=pa.array([0.5]), s=pa.array([{"a": 2.5, "b": "x"}]), l=pa.array([[0.5]])),
+        table(k=pa.array([3], pa.int32()), n=pa.array(["only here"])),
+    )
+    df = read_dataset(spark, pattern, mode="merge")
+    assert dict(df.dtypes) == {"k": "bigint", "v": "double", "s": "struct<a:double,b:string>", "l": "array<double>", "n": "string"}
+    got = {r["k"]: r for r in df.collect()}
+    assert got[1]["v"] == 7.0 and tuple(got[1]["s"]) == (1.0, None) and got[1]["l"] == [1.0, 2.0]
+    assert got[2]["v"] == 0.5 and tuple(got[2]["s"]) == (2.5, "x") and got[3]["n"] == "only here" and got[3]["s"] is None
+
+
+def test_datasets_are_found_beside_the_data_template(spark, tmp_path):
+    write_release(str(tmp_path / "r"), "22.06", {"lamps": [lamps(2)]})
+    plain = Source(str(tmp_path / "r"))
+    data = plain.parquet_root("{version}") + "/{dataset_name}/"
+    assert Source("x", data_template=data).parquet_root("22.06") == plain.parquet_root("22.06")
+    assert Source("x", data_template=data, datasets_template="/other/{version}/").parquet_root("22.06") == "/other/22.06"
+    assert Source("x", data_template="/d/{version}/{dataset_name}/parquet").parquet_root("22.06") == "/d/22.06"
 
 
 def test_empty_file_between_full_ones_is_read(spark, tmp_path):
