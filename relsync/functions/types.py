@@ -55,10 +55,13 @@ def canonical_cast(col: Column, dt: T.DataType) -> Column:
     """Cast a column of source type ``dt`` to its canonical scalar type.
 
     Floats go through their shortest decimal text so that float 0.1 becomes double 0.1
-    (a plain widening cast would give 0.10000000149011612).
+    (a plain widening cast would give 0.10000000149011612). Zoned timestamps become their
+    UTC wall clock, whatever the session's zone.
     """
     if isinstance(dt, T.FloatType):
         return col.cast("string").cast("double")
+    if isinstance(dt, T.TimestampType):
+        return utc_wall_clock(col)
     if isinstance(dt, (T.StringType, T.LongType, T.DoubleType, T.BooleanType, T.DateType,
                        T.TimestampNTZType)):
         return col
@@ -66,6 +69,14 @@ def canonical_cast(col: Column, dt: T.DataType) -> Column:
     return col.cast(target)
 
 
+def utc_wall_clock(col: Column) -> Column:
+    """A zoned timestamp as a timestamp without zone in UTC, to the microsecond, independent of
+    the session's zone (a cast would take the session's)."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    seconds = (F.unix_micros(col).cast("decimal(20,0)") / F.lit(1_000_000).cast("decimal(7,0)")).cast("decimal(18,6)")
+    return epoch + F.make_dt_interval(secs=seconds)
+
+
 def widen_floats(dt: T.DataType) -> T.DataType:
     """The same nested type with every float leaf widened to double."""
     if isinstance(dt, T.FloatType):
@@ -81,6 +92,42 @@ def widen_floats(dt: T.DataType) -> T.DataType:
     return dt
 
 
+#: Times in JSON text: microseconds kept, zoned ones in UTC whatever the session's zone.
+JSON_OPTIONS = {
+    "ignoreNullFields": "false",
+    "timeZone": "UTC",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
+def json_text(col: Column) -> Column:
+    return F.to_json(col, JSON_OPTIONS)
+
+
+def comparable(col: Column, dt: T.DataType) -> Column:
+    """A value that equals another's exactly when the two are equal, of a type that can be
+    compared: maps become their sorted entries, variants their JSON text."""
+    if isinstance(dt, T.VariantType):
+        return F.to_json(col)
+    if not _incomparable(dt):
+        return col
+    if isinstance(dt, T.MapType):
+        return F.array_sort(F.transform(F.map_entries(col), lambda e: F.struct(
+            comparable(e["key"], dt.keyType).alias("key"), comparable(e["value"], dt.valueType).alias("value"))))
+    if isinstance(dt, T.ArrayType):
+        return F.transform(col, lambda x: comparable(x, dt.elementType))
+    return F.when(col.isNotNull(), F.struct(*[comparable(col.getField(f.name), f.dataType).alias(f.name) for f in dt.fields]))
+
+
+def _incomparable(dt: T.DataType) -> bool:
+    if isinstance(dt, (T.MapType, T.VariantType)):
+        return True
+    if isinstance(dt, T.ArrayType):
+        return _incomparable(dt.elementType)
+    return isinstance(dt, T.StructType) and any(_incomparable(f.dataType) for f in dt.fields)
+
+
 def to_json_column(col: Column, json_as: str = "string", dt: T.DataType | None = None) -> Column:
     """Serialise a struct / array / map column; null fields are kept as JSON null.
 
@@ -93,7 +140,7 @@ def to_json_column(col: Column, json_as: str = "string", dt: T.DataType | None =
         wide = widen_floats(dt)
         if wide != dt:
             col = col.cast(wide)
-    text = F.to_json(col, {"ignoreNullFields": "false"})
+    text = json_text(col)
     if json_as == "variant":
         return F.parse_json(text)
     return text
@@ -158,13 +205,19 @@ def spark_type_for(sql_type: str) -> str:
     return name
 
 
-def override_cast(col: Column, sql_type: str, json_as: str = "string") -> Column:
-    """Apply a user type override to an already projected column."""
+def override_cast(col: Column, sql_type: str, json_as: str = "string", dt: T.DataType | None = None) -> Column:
+    """Apply a user type override to an already projected column; ``dt`` is its source type."""
     target = spark_type_for(sql_type)
+    if dt is not None and is_nested(dt) and json_as == "native":
+        # a nested value kept as it is: JSON text or a variant is made from the value itself
+        if target in ("json", "variant"):
+            return col if target == "json" else F.parse_json(json_text(col))
+        if target == "string":
+            return json_text(col)
     if target == "json":
-        return col if json_as == "string" else F.parse_json(col.cast("string"))
+        return F.parse_json(col.cast("string")) if json_as == "variant" else col
     if target == "variant":
-        return F.parse_json(col.cast("string"))
+        return col if json_as == "variant" and dt is not None and is_nested(dt) else F.parse_json(col.cast("string"))
     m = re.match(r"^(var)?char\((\d+)\)$", target)
     if m:
         # Spark casts to (var)char as plain strings; enforce the length like a table column.

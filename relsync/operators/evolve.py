@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from relsync.functions.types import type_name
+from relsync.functions.types import type_name, utc_wall_clock
 
 DIFF_SCHEMA = T.StructType(
     [
@@ -113,17 +113,19 @@ _DATETIME = (T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
 def store_assignable(src: T.DataType, dst: T.DataType) -> bool:
-    """Whether values of ``src`` may be stored in a table column of type ``dst`` (ANSI
-    store assignment): same type, number to number, date/time to date/time, anything to
-    string. Number narrowing is checked per value (overflow fails the write)."""
+    """Whether values of ``src`` may be stored in a table column of type ``dst``: same type,
+    number to number, date or time to one, any scalar but binary to string. What a value
+    would lose is checked per value (``store_cast``). Nested values are not stored as text,
+    since their display text is no JSON, nor times without zone as zoned ones, since their
+    zone is unknown."""
     if src == dst or isinstance(src, T.NullType):
         return True
     if isinstance(dst, (T.StringType, T.VarcharType, T.CharType)):
-        return not isinstance(src, (T.BinaryType,))
+        return not isinstance(src, (T.BinaryType, T.StructType, T.ArrayType, T.MapType, T.VariantType))
     if isinstance(src, _NUMERIC) and isinstance(dst, _NUMERIC):
         return True
     if isinstance(src, _DATETIME) and isinstance(dst, _DATETIME):
-        return True
+        return isinstance(src, T.TimestampType) or not isinstance(dst, T.TimestampType)
     if isinstance(src, T.ArrayType) and isinstance(dst, T.ArrayType):
         return store_assignable(src.elementType, dst.elementType)
     if isinstance(src, T.StructType) and isinstance(dst, T.StructType):
@@ -132,13 +134,35 @@ def store_assignable(src: T.DataType, dst: T.DataType) -> bool:
     return False
 
 
+_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def store_cast(col: Column, src: T.DataType, dst: T.DataType, name: str) -> Column:
+    """A value of type ``src`` in a table column of type ``dst``, or an error where it would
+    lose something: a fraction in an integer, a time of day in a date, a number out of range.
+    Zoned timestamps are stored without zone, or as dates, by their UTC wall clock."""
+    def checked(lossless: Column, value: Column) -> Column:
+        return F.when(col.isNull() | lossless, value).otherwise(F.raise_error(F.concat(
+            F.lit(f"column {name!r}: the table's {dst.simpleString()} column cannot hold "), col.cast("string"))))
+
+    if isinstance(src, (T.FloatType, T.DoubleType, T.DecimalType)) and isinstance(dst, _INTEGRAL):
+        return checked(col == F.floor(col), col.cast(dst)).cast(dst)
+    if isinstance(src, T.DecimalType) and isinstance(dst, T.DecimalType) and src.scale > dst.scale:
+        return checked(col == F.round(col, dst.scale), col.cast(dst)).cast(dst)
+    if isinstance(src, T.TimestampType) and isinstance(dst, (T.TimestampNTZType, T.DateType)):
+        col, src = utc_wall_clock(col), T.TimestampNTZType()
+    if isinstance(src, T.TimestampNTZType) and isinstance(dst, T.DateType):
+        return checked(col == F.date_trunc("day", col).cast("timestamp_ntz"), col.cast(dst)).cast(dst)
+    return col.cast(dst)
+
+
 def conform(staging: DataFrame, final_schema: T.StructType, carried: DataFrame | None = None) -> DataFrame:
     """Shape merged rows like the evolved table: final's columns in final's order and types,
     then the added columns sorted by name.
 
     Columns only in the final table come from ``carried`` (already joined in) or are NULL.
-    Casts to a narrower or different final type use ANSI rules, so an overflow or an
-    unparsable value fails the write instead of silently changing data.
+    A value that the table's type cannot hold as it is (out of range, a fraction in an integer,
+    a time of day in a date) fails the write instead of silently changing data.
     """
     d = diff_schemas(staging.schema, final_schema)
     s_types = {f.name.lower(): f.dataType for f in staging.schema.fields}
@@ -155,7 +179,7 @@ def conform(staging: DataFrame, final_schema: T.StructType, carried: DataFrame |
         if f.name.lower() in present:
             src = F.col(f"`{f.name}`")
             if f.name in d.type_changed:
-                src = src.cast(f.dataType)
+                src = store_cast(src, s_types[f.name.lower()], f.dataType, f.name)
             cols.append(src.alias(f.name))
         elif f.name.lower() in carried_names:
             cols.append(F.col(f"`{f.name}`").alias(f.name))

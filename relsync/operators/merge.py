@@ -6,8 +6,9 @@ leaves exactly *the staging rows, plus the table-only columns carried over by ke
     merged = staging LEFT JOIN final[keys + columns only in final] USING (keys)
 
 so the merge is one left join, or no join at all when no column was removed. Keys must
-be non-null and unique in staging (``checks.check_primary_key``); unique keys also mean
-no join key can be hot.
+be non-null and unique in staging, and in the table where its columns are carried over or
+compared; both are checked by default (``checks.check_primary_key``). Unique keys also mean no
+join key can be hot.
 """
 
 from __future__ import annotations
@@ -18,8 +19,9 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from relsync.functions.types import comparable, json_text
 from relsync.operators.checks import check_primary_key
-from relsync.operators.evolve import conform, diff_schemas
+from relsync.operators.evolve import conform, diff_schemas, store_assignable, store_cast
 
 OPS = ("insert", "update", "delete", "unchanged")
 
@@ -31,22 +33,30 @@ def _require_keys(df: DataFrame, keys: Sequence[str], side: str) -> None:
         raise ValueError(f"key column(s) {missing} missing in {side}")
 
 
-def merge_snapshot(staging: DataFrame, final: DataFrame | None, keys: Sequence[str]) -> DataFrame:
+def merge_snapshot(staging: DataFrame, final: DataFrame | None, keys: Sequence[str],
+                   check_keys: bool = True) -> DataFrame:
     """Rows and columns of the table after a delta load of ``staging`` into ``final``.
 
     * rows: exactly the staging keys (vanished keys deleted, new keys inserted);
     * columns: final's columns in final's order and types, then new columns by name;
     * a column only in ``final`` keeps its value for kept keys and is NULL for new keys;
     * when every column is a key the new rows are still inserted.
+
+    The key is checked first, by one aggregation over key columns: in staging, and in the
+    table if columns are carried over from it (a repeated key would multiply rows).
     """
     keys = list(keys)
     _require_keys(staging, keys, "staging")
+    if check_keys:
+        check_primary_key(staging, keys)
     if final is None:
         return staging
     _require_keys(final, keys, "final")
     d = diff_schemas(staging.schema, final.schema)
     if not d.removed:
         return conform(staging, final.schema)
+    if check_keys:
+        check_primary_key(final, keys)
     carry = final.select(*[F.col(f"`{c}`") for c in keys + list(d.removed)])
     joined = staging.join(carry, on=keys, how="left")
     return conform(staging, final.schema, carried=joined)
@@ -83,19 +93,19 @@ def kept_rows(final: DataFrame, staging: DataFrame, keys: Sequence[str]) -> Data
 
 
 def diff_snapshots(staging: DataFrame, final: DataFrame, keys: Sequence[str],
-                   compare: str = "exact", check_keys: bool = False) -> DataFrame:
+                   compare: str = "exact", check_keys: bool = True) -> DataFrame:
     """``(keys..., op)`` with op insert / update / delete / unchanged for every key of either side.
 
     A kept key is ``update`` when any column both sides share differs (null-safe), the
     staging value taken in the table's type, as the merge would store it. One full outer
     join on the key; both sides carry only key + shared columns.
 
-    Keys are expected unique on both sides (as after ``check_primary_key``); then no join
-    key can be hot. ``check_keys`` checks both sides first (one aggregation each).
+    Keys must be unique on both sides: ``check_keys`` checks both first (one aggregation each),
+    since a repeated key would pair all its rows, in one task.
 
-    ``compare="digest"`` shuffles a SHA-256 of the shared columns' JSON instead of the
-    columns themselves (32 bytes per row whatever the width); values that print the same
-    compare equal (so -0.0 differs from 0.0, which exact comparison treats as equal).
+    ``compare="digest"`` shuffles a SHA-256 (32 bytes) of the shared columns' JSON instead of
+    the columns themselves, which pays for wide rows only; it tells -0.0 from 0.0, which exact
+    comparison treats as equal. Maps compare by their entries, variants by their JSON text.
     """
     if compare not in ("exact", "digest"):
         raise ValueError("compare must be exact or digest")
@@ -110,12 +120,23 @@ def diff_snapshots(staging: DataFrame, final: DataFrame, keys: Sequence[str],
     shared = [c for c in d.common if c.lower() not in key_l]
     ftype = {f.name.lower(): f.dataType for f in final.schema.fields}
 
-    s_vals = [F.col(f"`{c}`").cast(ftype[c.lower()]) for c in shared]
-    f_vals = [F.col(f"`{c}`") for c in shared]
+    stype = {f.name.lower(): f.dataType for f in staging.schema.fields}
+    changed = {c.lower() for c in d.type_changed}
+
+    def stored(c: str) -> Column:
+        have, want = stype[c.lower()], ftype[c.lower()]
+        if c.lower() not in changed:
+            return F.col(f"`{c}`")
+        if not store_assignable(have, want):
+            raise TypeError(f"column {c!r}: {have.simpleString()} values cannot be compared with the table's {want.simpleString()} column")
+        return store_cast(F.col(f"`{c}`"), have, want, c)
+
+    s_vals = [comparable(stored(c), ftype[c.lower()]) for c in shared]
+    f_vals = [comparable(F.col(f"`{c}`"), ftype[c.lower()]) for c in shared]
     if compare == "digest" and shared:
         def digest(vals):
             row = F.struct(*[v.alias(f"c{i}") for i, v in enumerate(vals)])
-            return [F.sha2(F.to_json(row, {"ignoreNullFields": "false"}), 256)]
+            return [F.unhex(F.sha2(json_text(row), 256))]
         s_vals, f_vals, shared = digest(s_vals), digest(f_vals), ["__digest"]
     s = staging.select(
         *[F.col(f"`{k}`").alias(f"__k{i}") for i, k in enumerate(keys)],
@@ -146,16 +167,17 @@ def diff_snapshots(staging: DataFrame, final: DataFrame, keys: Sequence[str],
 
 
 def merge_stats(staging: DataFrame, final: DataFrame, keys: Sequence[str],
-                compare: str = "exact") -> DataFrame:
+                compare: str = "exact", check_keys: bool = True) -> DataFrame:
     """``(op, n)``: how many keys a delta load inserts, updates, deletes or leaves unchanged."""
-    return (diff_snapshots(staging, final, keys, compare)
+    return (diff_snapshots(staging, final, keys, compare, check_keys)
             .groupBy("op").agg(F.count(F.lit(1)).alias("n")))
 
 
-def merge_counts(staging: DataFrame, final: DataFrame, keys: Sequence[str]) -> dict:
+def merge_counts(staging: DataFrame, final: DataFrame, keys: Sequence[str],
+                 check_keys: bool = True) -> dict:
     """Counts as a dict; ``upserted`` = every staging row, ``deleted`` = vanished keys."""
     counts = {op: 0 for op in OPS}
-    for r in merge_stats(staging, final, keys).collect():  # at most four rows
+    for r in merge_stats(staging, final, keys, check_keys=check_keys).collect():  # at most four rows
         counts[r["op"]] = r["n"]
     counts["deleted"] = counts["delete"]
     counts["upserted"] = counts["insert"] + counts["update"] + counts["unchanged"]

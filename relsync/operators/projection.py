@@ -27,6 +27,8 @@ class PlannedColumn:
     name: str  # output column name
     mode: str  # "direct", "flatten" or "json"
     expr: Column
+    raw: Column  # the source value itself
+    source_type: T.DataType
 
 
 def _value(col: Column, dt: T.DataType, spec: DatasetSpec) -> tuple[Column, str]:
@@ -41,8 +43,8 @@ def _value(col: Column, dt: T.DataType, spec: DatasetSpec) -> tuple[Column, str]
 def _override_type(spec: DatasetSpec, source_name: str, out_name: str) -> str | None:
     # Type overrides may be keyed by the source name or by the output name.
     for key in (source_name, out_name):
-        rule = spec.overrides.get(key)
-        if rule is not None and rule.type:
+        rule = spec.rule(key)
+        if rule.type:
             return rule.type
     return None
 
@@ -58,17 +60,19 @@ def plan_columns(schema: T.StructType, spec: DatasetSpec) -> list[PlannedColumn]
         if rule.action == "flatten" and isinstance(field.dataType, T.StructType):
             for sub in field.dataType.fields:
                 out = f"{final}{spec.sep}{sub.name}"
-                expr, _ = _value(src.getField(sub.name), sub.dataType, spec)
-                planned.append(PlannedColumn(name, out, "flatten", expr))
+                value = src.getField(sub.name)
+                expr, _ = _value(value, sub.dataType, spec)
+                planned.append(PlannedColumn(name, out, "flatten", expr, value, sub.dataType))
             continue
         if is_nested(field.dataType):
             # struct / array / map: JSON unless flattened (flatten on a list falls here too)
             planned.append(PlannedColumn(name, final, "json",
-                                         to_json_column(src, spec.json_as, field.dataType)))
+                                         to_json_column(src, spec.json_as, field.dataType),
+                                         src, field.dataType))
             continue
         # scalar (action "json" on a scalar is a rename: the value keeps its type)
         expr, mode = _value(src, field.dataType, spec)
-        planned.append(PlannedColumn(name, final, mode, expr))
+        planned.append(PlannedColumn(name, final, mode, expr, src, field.dataType))
 
     out = []
     seen = set()
@@ -78,8 +82,12 @@ def plan_columns(schema: T.StructType, spec: DatasetSpec) -> list[PlannedColumn]
             raise ValueError(f"projection produces column {pc.name!r} twice")
         seen.add(key)
         t = _override_type(spec, pc.source if pc.mode != "flatten" else pc.name, pc.name)
-        expr = override_cast(pc.expr, t, spec.json_as) if t else pc.expr
-        out.append(PlannedColumn(pc.source, pc.name, pc.mode, expr.alias(pc.name)))
+        expr = pc.expr
+        if t:
+            # a decimal goes straight to its new type: the canonical one may not hold it
+            given = pc.raw if isinstance(pc.source_type, T.DecimalType) else pc.expr
+            expr = override_cast(given, t, spec.json_as, pc.source_type)
+        out.append(PlannedColumn(pc.source, pc.name, pc.mode, expr.alias(pc.name), pc.raw, pc.source_type))
     return out
 
 

@@ -35,6 +35,7 @@ from relsync.plans.release_load import plan_load
 from relsync.sources.inventory import dataset_of, suggest_specs
 from relsync.sources.manifest import last_listing_wins, parse_manifest_lines, path_conflicts, \
     select_dataset
+from relsync.sources.parquet import read_dataset
 from relsync.spec import DatasetSpec, Source
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -183,8 +184,9 @@ def _supplier_pairs(spark, d, cond) -> DataFrame:
 
 
 def q_merge_all_key_columns(spark, d):
-    new = _supplier_pairs(spark, d, F.col("l_linestatus") == "O")
-    old = _supplier_pairs(spark, d, F.col("l_returnflag") == "R")
+    """Every pair of the table against those returned once, the flag kept from the old table."""
+    new = _supplier_pairs(spark, d, F.lit(True))
+    old = _supplier_pairs(spark, d, F.col("l_returnflag") == "R").withColumn("returned", F.lit("R"))
     return merge_snapshot(new, old, ["l_partkey", "l_suppkey"])
 
 
@@ -322,13 +324,56 @@ def q_project_rules_customer(spark, d):
 
 
 def q_canonical_types_embeddings(spark, d):
-    """int -> bigint, float -> double through its text. (The JSON text of float lists is
-    value-checked in the tests: JSON writers differ in number notation, not in value.)"""
+    """int -> bigint, float -> double through its text, for every component of every vector."""
     e = table(spark, d, "embeddings")
-    src = e.select("vec_id", "label",
-                   F.col("embedding").getItem(0).alias("first_component"),
-                   F.element_at("embedding", -1).alias("last_component"))
-    return project(src, DatasetSpec("embeddings", ("vec_id",)))
+    src = e.select("vec_id", "label", F.posexplode("embedding").alias("i", "component"))
+    return project(src, DatasetSpec("embeddings", ("vec_id", "i")))
+
+
+def q_list_json_embeddings(spark, d):
+    """Whole float vectors to JSON; the text is read back, so that numbers compare by value
+    (JSON writers differ in notation)."""
+    out = project(table(spark, d, "embeddings"), DatasetSpec("embeddings", ("vec_id",)))
+    values = F.from_json("embedding", "array<double>")
+    return out.select("vec_id", F.posexplode(values).alias("i", "value"))
+
+
+def _instants(spark, d) -> DataFrame:
+    """Events at instants of odd microseconds."""
+    return table(spark, d, "events").select("event_id", (F.col("event_id") * 1_000_003 + 7).alias("micros"))
+
+
+def q_canonical_types_zoned(spark, d):
+    """A zoned timestamp becomes its UTC wall clock, whatever the session's zone."""
+    src = _instants(spark, d).select("event_id", F.timestamp_micros("micros").alias("at"))
+    return project(src, DatasetSpec("events", ("event_id",)))
+
+
+def q_struct_json_times(spark, d):
+    """Times inside structs and lists keep their microseconds as JSON."""
+    at = F.timestamp_micros("micros")
+    src = _instants(spark, d).select("event_id", F.struct(at.alias("at"), "event_id").alias("s"), F.array(at, at).alias("l"))
+    return project(src, DatasetSpec("events", ("event_id",)))
+
+
+def q_diff_digest_times(spark, d):
+    """Rows whose only difference is one microsecond, inside a struct too."""
+    def side(shift):
+        at = F.timestamp_micros(F.col("micros") + shift)
+        return _instants(spark, d).select("event_id", at.alias("at"), F.struct(at.alias("at")).alias("s"))
+
+    new = side(F.when(F.col("event_id") % 3 == 0, 1).otherwise(0))
+    return diff_snapshots(new, side(F.lit(0)), ["event_id"], compare="digest")
+
+
+def q_scan_strict_lineitem(spark, d):
+    """The scan of a load: first file's schema, footer check, whole table."""
+    return read_dataset(spark, f"{d.rstrip('/')}/lineitem.parquet", mode="strict")
+
+
+def q_scan_merge_events(spark, d):
+    """The scan of a load with the files' columns merged at their widest types."""
+    return read_dataset(spark, f"{d.rstrip('/')}/events.parquet", mode="merge")
 
 
 def q_pk_duplicates_lineitem(spark, d):
@@ -467,6 +512,12 @@ QUERIES: dict[str, Query] = {
     "list_json_orders": q_list_json_orders,
     "project_rules_customer": q_project_rules_customer,
     "canonical_types_embeddings": q_canonical_types_embeddings,
+    "list_json_embeddings": q_list_json_embeddings,
+    "canonical_types_zoned": q_canonical_types_zoned,
+    "struct_json_times": q_struct_json_times,
+    "diff_digest_times": q_diff_digest_times,
+    "scan_strict_lineitem": q_scan_strict_lineitem,
+    "scan_merge_events": q_scan_merge_events,
     "pk_duplicates_lineitem": q_pk_duplicates_lineitem,
     "pk_nulls_documents": q_pk_nulls_documents,
     "fk_orphans_lineitem": q_fk_orphans_lineitem,
@@ -523,12 +574,12 @@ SELECT s.conv_id, s.turn, s.role, s.text FROM s
 WHERE NOT EXISTS (SELECT 1 FROM f WHERE f.conv_id = s.conv_id AND f.turn = s.turn)
 """,
     "merge_all_key_columns": """
-WITH s AS (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem WHERE l_linestatus = 'O'),
-     f AS (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem WHERE l_returnflag = 'R')
-SELECT f.l_partkey, f.l_suppkey FROM f
+WITH s AS (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem),
+     f AS (SELECT DISTINCT l_partkey, l_suppkey, 'R' AS returned FROM lineitem WHERE l_returnflag = 'R')
+SELECT f.l_partkey, f.l_suppkey, f.returned FROM f
 WHERE EXISTS (SELECT 1 FROM s WHERE s.l_partkey = f.l_partkey AND s.l_suppkey = f.l_suppkey)
 UNION ALL
-SELECT s.l_partkey, s.l_suppkey FROM s
+SELECT s.l_partkey, s.l_suppkey, NULL FROM s
 WHERE NOT EXISTS (SELECT 1 FROM f WHERE f.l_partkey = s.l_partkey AND f.l_suppkey = s.l_suppkey)
 """,
     "delta_load_orders": """
@@ -626,11 +677,25 @@ SELECT CAST(c_custkey AS INTEGER) AS customer_id, c_name, CAST(c_nationkey AS BI
 FROM customer
 """,
     "canonical_types_embeddings": """
-SELECT vec_id, CAST(label AS BIGINT) AS label,
-       CAST(CAST(embedding[1] AS VARCHAR) AS DOUBLE) AS first_component,
-       CAST(CAST(embedding[len(embedding)] AS VARCHAR) AS DOUBLE) AS last_component
-FROM embeddings
+WITH e AS (SELECT vec_id, label, unnest(embedding) AS x, generate_subscripts(embedding, 1) - 1 AS i FROM embeddings)
+SELECT vec_id, CAST(label AS BIGINT) AS label, i, CAST(CAST(x AS VARCHAR) AS DOUBLE) AS component FROM e
+""",
+    "list_json_embeddings": """
+WITH e AS (SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) - 1 AS i FROM embeddings)
+SELECT vec_id, CAST(i AS INTEGER) AS i, CAST(x AS DOUBLE) AS value FROM e
+""",
+    "canonical_types_zoned": """
+SELECT event_id, make_timestamp(event_id * 1000003 + 7) AS at FROM events
+""",
+    "struct_json_times": """
+WITH t AS (SELECT event_id, strftime(make_timestamp(event_id * 1000003 + 7), '%Y-%m-%dT%H:%M:%S.%f') || 'Z' AS utc FROM events)
+SELECT event_id, '{"at":"' || utc || '","event_id":' || event_id || '}' AS s, '["' || utc || '","' || utc || '"]' AS l FROM t
+""",
+    "diff_digest_times": """
+SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 'update' ELSE 'unchanged' END AS op FROM events
 """,
+    "scan_strict_lineitem": "SELECT * FROM lineitem",
+    "scan_merge_events": "SELECT * FROM events",
     "pk_duplicates_lineitem": """
 SELECT l_orderkey, l_linenumber,
        CASE WHEN l_orderkey IS NULL OR l_linenumber IS NULL THEN 'null_key'
@@ -662,17 +727,17 @@ WHERE l_orderkey IS NOT NULL
 WITH {SQL_LEDGER}
 SELECT dataset_name, version, load_timestamp, rows_loaded FROM ledger
 WHERE dataset_name = 'purchase' AND status = 'success'
-ORDER BY load_timestamp DESC LIMIT 1
+ORDER BY load_timestamp DESC, run_id DESC LIMIT 1
 """,
     "latest_per_dataset_events": f"""
 WITH {SQL_LEDGER}
-SELECT dataset_name, arg_max(version, load_timestamp) AS version,
-       max(load_timestamp) AS load_timestamp, arg_max(rows_loaded, load_timestamp) AS rows_loaded
+SELECT dataset_name, arg_max(version, (load_timestamp, run_id)) AS version,
+       max(load_timestamp) AS load_timestamp, arg_max(rows_loaded, (load_timestamp, run_id)) AS rows_loaded
 FROM ledger WHERE status = 'success' GROUP BY dataset_name
 """,
     "latest_per_dataset_window_events": f"""
 WITH {SQL_LEDGER},
-r AS (SELECT *, row_number() OVER (PARTITION BY dataset_name ORDER BY load_timestamp DESC) AS rn
+r AS (SELECT *, row_number() OVER (PARTITION BY dataset_name ORDER BY load_timestamp DESC, run_id DESC) AS rn
       FROM ledger WHERE status = 'success')
 SELECT dataset_name, version, load_timestamp, rows_loaded FROM r WHERE rn = 1
 """,

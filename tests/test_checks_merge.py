@@ -1,3 +1,6 @@
+import datetime as dt
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -23,38 +26,38 @@ def rows(df, *cols):
 
 
 # ---- key checks ----------------------------------------------------------------------------
-def test_key_violations_null_and_duplicate(spark):
-    df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d"), (None, "e")],
-                               "id bigint, v string")
-    got = rows(key_violations(df, ["id"]), "id", "reason", "n")
-    assert got == [(1, "duplicate_key", 2), (None, "null_key", 2)]
-    with pytest.raises(KeyViolation):
-        check_primary_key(df, ["id"])
-
-
-def test_null_key_fails_and_unique_passes(spark):
-    check_primary_key(spark.createDataFrame([("a", 1), ("b", 2)], "id string, value bigint"), ["id"])
-    with pytest.raises(KeyViolation, match="null_key"):
-        check_primary_key(spark.createDataFrame([(None, 1)], "id string, value bigint"), ["id"])
-
-
-def test_composite_key(spark):
-    df = spark.createDataFrame([(10, 30, "x"), (20, 40, "y"), (10, 40, "z")],
-                               "key1 bigint, key2 bigint, value string")
-    check_primary_key(df, ["key1", "key2"])
-    dup = df.union(spark.createDataFrame([(10, 30, "w")], df.schema))
-    assert rows(key_violations(dup, ["key1", "key2"]), "key1", "key2", "n") == [(10, 30, 2)]
-
-
-def test_foreign_key_orphans(spark):
-    parent = spark.createDataFrame([(1,), (2,)], "id int")
-    child = spark.createDataFrame([(10, 1), (20, 2), (21, 2), (40, None)], "id int, parent_id int")
-    check_foreign_key(child, parent, ["parent_id"], ["id"])  # null FK passes
-    bad = child.union(spark.createDataFrame([(30, 99), (31, 99)], child.schema))
-    assert rows(orphan_keys(bad, parent, ["parent_id"], ["id"])) == [(99, 2)]
-    assert rows(orphan_rows(bad, parent, ["parent_id"], ["id"]), "id") == [(30,), (31,)]
+def seats(n=60):
+    """(hall, seat, price): every (hall, seat) once."""
+    return [(f"h{i % 4}", i // 4, i * 1.5) for i in range(n)]
+
+
+SEATS = "hall string, seat long, price double"
+
+
+def test_key_violations_are_those_that_counting_finds(spark):
+    rows_ = seats() + [("h1", 2, 0.0)] * 3 + [(None, 2, 1.0), (None, 2, 2.0), ("h3", None, 3.0)]
+    df = spark.createDataFrame(rows_, SEATS)
+    counted = Counter((h, s) for h, s, _ in rows_)
+    want = {(h, s, "null_key" if h is None or s is None else "duplicate_key", n)
+            for (h, s), n in counted.items() if n > 1 or h is None or s is None}
+    assert {tuple(r) for r in key_violations(df, ["hall", "seat"]).collect()} == want
+    with pytest.raises(KeyViolation, match="null_key|duplicate_key"):
+        check_primary_key(df, ["hall", "seat"])
+    check_primary_key(spark.createDataFrame(seats(), SEATS), ["hall", "seat"])
+
+
+def test_orphans_of_a_composite_foreign_key(spark):
+    parent = spark.createDataFrame([r for r in seats() if r[1] % 3], SEATS)
+    booked = [(i, f"h{i % 5}" if i % 11 else None, i % 17 if i % 13 else None) for i in range(200)]
+    child = spark.createDataFrame(booked, "ticket long, h string, s long")
+    known = {(h, s) for h, s, _ in seats() if s % 3}
+    gone = [(t, h, s) for t, h, s in booked if h is not None and s is not None and (h, s) not in known]
+    assert {tuple(r) for r in orphan_rows(child, parent, ["h", "s"], ["hall", "seat"]).collect()} == set(gone)
+    counts = Counter((h, s) for _, h, s in gone)
+    assert {tuple(r) for r in orphan_keys(child, parent, ["h", "s"], ["hall", "seat"]).collect()} == {(*k, n) for k, n in counts.items()}
     with pytest.raises(KeyViolation, match="orphans"):
-        check_foreign_key(bad, parent, ["parent_id"], ["id"])
+        check_foreign_key(child, parent, ["h", "s"], ["hall", "seat"])
+    check_foreign_key(child, spark.createDataFrame([(f"h{h}", s, 0.0) for h in range(5) for s in range(17)], SEATS), ["h", "s"], ["hall", "seat"])
 
 
 def test_hot_key_is_preaggregated(spark):
@@ -66,56 +69,42 @@ def test_hot_key_is_preaggregated(spark):
 
 
 # ---- evolution -----------------------------------------------------------------------------
-def test_drift_detects_all_kinds(spark):
-    final = spark.createDataFrame([], "id bigint, score double, description string, old_column boolean")
-    new = spark.createDataFrame([], "id bigint, score string, description string, new_column string")
-    d = diff_schemas(new.schema, final.schema)
-    assert d.added == ("new_column",)
-    assert d.type_changed == ("score",)
-    assert d.removed == ("old_column",)
-    assert set(d.same) == {"id", "description"}
-    got = {r["column"]: (r["status"], r["staging_type"], r["final_type"])
-           for r in schema_diff(spark, new, final).collect()}
-    assert got["score"] == ("type_changed", "string", "double")
-    assert got["old_column"] == ("removed", None, "boolean")
-
-
-def test_align_adds_columns_sorted(spark):
-    final = spark.createDataFrame([], "id int, data string")
-    new = spark.createDataFrame([(1, "a", "new", 123)],
-                                "id bigint, data string, new_text_col string, new_int_col bigint")
-    out = align(final, new.schema)
-    assert out.dtypes == [("id", "int"), ("data", "string"), ("new_int_col", "bigint"),
-                          ("new_text_col", "string")]
-
-
-def test_union_by_name_files_of_different_shape(spark):
-    a = spark.createDataFrame([("a", 1)], "id string, value bigint")
-    b = spark.createDataFrame([("b", 2)], "id string, value2 bigint")
-    assert rows(union_by_name([a, b]), "id", "value", "value2") == [("a", 1, None), ("b", None, 2)]
+def test_drift_and_alignment_of_generated_schemas(spark):
+    kinds = ["bigint", "string", "double", "date"]
+    final = ", ".join(f"c{i} {kinds[i % 4]}" for i in range(12))
+    new = ", ".join(f"C{i} {kinds[(i + (i % 5 == 0)) % 4]}" for i in range(17, 3, -1))
+    a, b = spark.createDataFrame([], new), spark.createDataFrame([], final)
+    d = diff_schemas(a.schema, b.schema)
+    assert d.removed == ("c0", "c1", "c2", "c3") and d.type_changed == ("c5", "c10")
+    assert set(d.same) == {f"c{i}" for i in range(4, 12)} - {"c5", "c10"}
+    assert d.added == tuple(sorted(f"C{i}" for i in range(12, 18)))
+    report = {r["column"]: (r["status"], r["staging_type"], r["final_type"]) for r in schema_diff(spark, a, b).collect()}
+    assert report["c5"] == ("type_changed", "double", "string") and report["c0"] == ("removed", None, "bigint")
+    assert report["C13"] == ("added", "string", None)
+    assert align(b, a.schema).columns == [f"c{i}" for i in range(12)] + list(d.added)
+
+
+def test_union_of_parts_with_different_columns(spark):
+    parts = [spark.createDataFrame([(i, f"v{i}")], f"k long, only{i} string") for i in range(4)]
+    got = {r["k"]: [r[f"only{i}"] for i in range(4)] for r in union_by_name(parts).collect()}
+    assert got == {i: [f"v{i}" if j == i else None for j in range(4)] for i in range(4)}
 
 
 # ---- merge -----------------------------------------------------------------------------------
-def test_merge_first_load_creates(spark):
-    s = spark.createDataFrame([(1, "a"), (2, "b")], "id bigint, data string")
-    assert rows(merge_snapshot(s, None, ["id"])) == [(1, "a"), (2, "b")]
-
-
-def test_merge_update_insert_delete(spark):
-    f = spark.createDataFrame([(1, "a"), (2, "b")], "id bigint, data string")
-    s = spark.createDataFrame([(2, "x"), (3, "c")], "id bigint, data string")
-    assert rows(merge_snapshot(s, f, ["id"])) == [(2, "x"), (3, "c")]
-    assert rows(stale_rows(f, s, ["id"])) == [(1, "a")]
-    c = merge_counts(s, f, ["id"])
-    assert (c["insert"], c["update"], c["delete"], c["unchanged"]) == (1, 1, 1, 0)
-    assert (c["deleted"], c["upserted"]) == (1, 2)
-
-
-def test_merge_vanished_row_deleted(spark):
-    f = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "id bigint, data string")
-    s = spark.createDataFrame([(1, "a_updated"), (3, "c")], "id bigint, data string")
-    assert rows(merge_snapshot(s, f, ["id"])) == [(1, "a_updated"), (3, "c")]
-    assert rows(diff_snapshots(s, f, ["id"])) == [(1, "update"), (2, "delete"), (3, "unchanged")]
+def test_merge_equals_a_dictionary_of_rows(spark):
+    old = {(h, s): p for h, s, p in seats()}
+    new = {k: (p if k[1] % 2 else p + 1) for k, p in old.items() if k[1] % 5} | {("h9", i): 0.25 for i in range(7)}
+    f = spark.createDataFrame([(*k, p) for k, p in old.items()], SEATS)
+    s = spark.createDataFrame([(*k, p) for k, p in new.items()], SEATS)
+    keys = ["hall", "seat"]
+    assert {(r.hall, r.seat): r.price for r in merge_snapshot(s, f, keys).collect()} == new
+    assert {(r.hall, r.seat) for r in stale_rows(f, s, keys).collect()} == set(old) - set(new)
+    want = Counter("insert" if k not in old else "delete" if k not in new else "unchanged" if old[k] == new[k] else "update" for k in {*old, *new})
+    counts = merge_counts(s, f, keys)
+    assert {op: counts[op] for op in want} == want
+    assert (counts["deleted"], counts["upserted"]) == (want["delete"], len(new))
+    assert Counter(r.op for r in diff_snapshots(s, f, keys).collect()) == want
+    assert merge_snapshot(s, None, keys).count() == len(new)
 
 
 def test_merge_evolution_carry_and_types(spark):
@@ -147,12 +136,6 @@ def test_merge_without_removed_column_has_no_join(spark):
     assert "Join" not in plan
 
 
-def test_merge_composite_key(spark):
-    f = spark.createDataFrame([(10, 30, "x"), (20, 40, "y")], "key1 bigint, key2 bigint, value string")
-    s = spark.createDataFrame([(10, 30, "x2"), (30, 50, "z")], "key1 bigint, key2 bigint, value string")
-    assert rows(merge_snapshot(s, f, ["key1", "key2"])) == [(10, 30, "x2"), (30, 50, "z")]
-
-
 def test_merge_missing_key_rejected(spark):
     f = spark.createDataFrame([(1, "a")], "id bigint, data string")
     s = spark.createDataFrame([(1, "a")], "ident bigint, data string")
@@ -209,9 +192,46 @@ def test_schema_diff_with_non_null_counts(spark):
                    "gone": ("removed", None, 0), "extra": ("added", 0, None)}
 
 
-def test_diff_can_check_keys_first(spark):
-    f = spark.createDataFrame([(1, "a"), (1, "b")], "id bigint, s string")
-    s = spark.createDataFrame([(1, "a")], "id bigint, s string")
+def test_repeated_keys_are_refused_everywhere(spark):
+    once = spark.createDataFrame([(1, "a"), (2, "b")], "id bigint, s string")
+    twice = spark.createDataFrame([(1, "a")] * 50 + [(2, "b")], "id bigint, s string")
+    carried = twice.withColumn("old", F.lit(1))
+    for call in (
+        lambda: diff_snapshots(once, twice, ["id"]), lambda: diff_snapshots(twice, once, ["id"]),
+        lambda: merge_counts(once, twice, ["id"]), lambda: merge_snapshot(twice, once, ["id"]),
+        lambda: merge_snapshot(once, carried, ["id"]), lambda: merge_snapshot(twice, None, ["id"]),
+    ):
+        with pytest.raises(KeyViolation):
+            call()
+    # a key change: the table's rows are unique by (id, part), not by id alone
+    wide = spark.createDataFrame([(1, 1, "x"), (1, 2, "y")], "id bigint, part bigint, old string")
     with pytest.raises(KeyViolation):
-        diff_snapshots(s, f, ["id"], check_keys=True)
-    assert rows(diff_snapshots(s, s, ["id"], check_keys=True)) == [(1, "unchanged")]
+        merge_snapshot(spark.createDataFrame([(1, "n")], "id bigint, s string"), wide, ["id"])
+
+
+def test_values_that_a_column_cannot_hold_fail(spark):
+    f = spark.createDataFrame([(1, 1, None, None)], "id bigint, n bigint, d date, t string")
+    good = spark.createDataFrame([(1, 3.0, "2020-01-02 00:00:00")], "id bigint, n double, x string").select(
+        "id", "n", F.col("x").cast("timestamp_ntz").alias("d"))
+    assert rows(merge_snapshot(good, f.drop("t"), ["id"])) == [(1, 3, dt.date(2020, 1, 2))]
+    for bad in ("2.7D AS n", "double('NaN') AS n", "2.50BD AS n", "timestamp_ntz'2020-01-02 00:00:01' AS d"):
+        with pytest.raises(Exception, match="cannot hold|CAST|OVERFLOW"):
+            merge_snapshot(spark.range(1, 2).selectExpr("id", bad), f, ["id"], check_keys=False).collect()
+    for kind in ("named_struct('a', 1) AS t", "array(1) AS t", "map('a', 1) AS t"):
+        with pytest.raises(TypeError, match="cannot be stored"):
+            merge_snapshot(spark.range(1, 2).selectExpr("id", kind), f, ["id"])
+
+
+def test_diff_sees_microseconds_maps_and_variants(spark):
+    def side(micros, value):
+        return spark.range(3).selectExpr(
+            "id", f"timestamp_micros(id * 1000000 + {micros}) AS at", f"named_struct('at', timestamp_micros({micros})) AS s",
+            f"map('b', {value}, 'a', id) AS m", f"""parse_json('{{"k": {value}}}') AS v""", f"array(map('x', {value})) AS l")
+
+    for compare in ("exact", "digest"):
+        ops = lambda a, b: {r.op for r in diff_snapshots(a, b, ["id"], compare=compare).collect()}  # noqa: E731, B023
+        assert ops(side(123456, 1), side(123456, 1)) == {"unchanged"}
+        assert ops(side(123456, 1).drop("m", "v", "l"), side(123999, 1).drop("m", "v", "l")) == {"update"}
+        assert ops(side(0, 1).drop("at", "s"), side(0, 2).drop("at", "s")) == {"update"}
+    swapped = side(0, 1).withColumn("m", F.expr("map('a', id, 'b', 1)"))
+    assert {r.op for r in diff_snapshots(side(0, 1), swapped, ["id"]).collect()} == {"unchanged"}
