@@ -59,8 +59,9 @@ def successes(ledger: DataFrame, dataset: str | None = None) -> DataFrame:
 
 
 def last_success(ledger: DataFrame, dataset: str) -> DataFrame:
-    """The latest successful load of one dataset (0 or 1 row); a top-1, not a full sort."""
-    return successes(ledger, dataset).orderBy(F.col("load_timestamp").desc()).limit(1)
+    """The latest successful load of one dataset (0 or 1 row); a top-1, not a full sort.
+    Of loads at the same instant the greatest ``run_id`` counts, here and below."""
+    return successes(ledger, dataset).orderBy(F.col("load_timestamp").desc(), F.col("run_id").desc()).limit(1)
 
 
 def last_success_version(ledger: DataFrame, dataset: str) -> str | None:
@@ -75,7 +76,7 @@ def latest_per_dataset(ledger: DataFrame) -> DataFrame:
     ledger rows still costs one row per task.
     """
     latest = F.max_by(
-        F.struct("version", "load_timestamp", "rows_loaded"), F.col("load_timestamp")
+        F.struct("version", "load_timestamp", "rows_loaded"), F.struct("load_timestamp", "run_id")
     )
     return (
         successes(ledger)
@@ -87,7 +88,7 @@ def latest_per_dataset(ledger: DataFrame) -> DataFrame:
 
 def latest_per_dataset_window(ledger: DataFrame) -> DataFrame:
     """Same as :func:`latest_per_dataset`, with ``row_number`` (the SQL formulation)."""
-    w = Window.partitionBy("dataset_name").orderBy(F.col("load_timestamp").desc())
+    w = Window.partitionBy("dataset_name").orderBy(F.col("load_timestamp").desc(), F.col("run_id").desc())
     return (
         successes(ledger)
         .withColumn("__rn", F.row_number().over(w))

@@ -2,9 +2,9 @@
 
 Per dataset: skip when this release was already loaded; list files; verify them
 against the manifest; read them (footer check); project; check the key; replace or
-merge the table; record the attempt in the ledger. The read -> project -> check ->
-merge -> write part is one logical plan: one shuffle of key columns for the key check
-and one for the carry-over join (none when no column was removed).
+merge the table; check foreign keys; record the attempt in the ledger. The data is read for
+the checksums, for the key check (key columns only) and for the write, which is one plan from
+scan to merged rows: a shuffle for the carry-over join, none when no column was removed.
 """
 
 from __future__ import annotations
@@ -20,13 +20,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from relsync.operators.checks import KeyViolation, check_foreign_key
+from relsync.operators.evolve import SchemaDiff, diff_schemas
 from relsync.operators.integrity import hash_files, require_verified, verify_files
-from relsync.operators.merge import merge_snapshot
+from relsync.operators.merge import merge_counts, merge_snapshot, replace_snapshot
 from relsync.operators.projection import project
 from relsync.plans.ledger import latest_per_dataset, ledger_row
 from relsync.plans.sink import Sink
-from relsync.plans.validate import check_results, require_checks
-from relsync.sources.inventory import latest_version
+from relsync.plans.validate import check_readers, check_results, require_checks
+from relsync.sources.inventory import file_inventory, latest_version
 from relsync.sources.manifest import load_manifest
 from relsync.sources.parquet import NoFiles, read_dataset
 from relsync.spec import DatasetSpec, Source
@@ -43,6 +45,13 @@ OUTCOME_SCHEMA = T.StructType(
         T.StructField("status", T.StringType(), False),
         T.StructField("rows_loaded", T.LongType(), True),
         T.StructField("message", T.StringType(), True),
+        T.StructField("columns_added", T.ArrayType(T.StringType()), True),
+        T.StructField("columns_retyped", T.ArrayType(T.StringType()), True),
+        T.StructField("columns_removed", T.ArrayType(T.StringType()), True),
+        T.StructField("inserted", T.LongType(), True),
+        T.StructField("updated", T.LongType(), True),
+        T.StructField("deleted", T.LongType(), True),
+        T.StructField("unchanged", T.LongType(), True),
     ]
 )
 
@@ -55,10 +64,14 @@ class Outcome:
     status: str  # loaded / skipped_already_loaded / skipped_no_files / failed
     rows_loaded: int | None = None
     message: str | None = None
+    drift: SchemaDiff | None = None  # of a merge into an existing table
+    counts: dict | None = None  # of a merge, where statistics were asked for
 
     def row(self) -> tuple:
-        return (self.dataset, self.table, self.version, self.status, self.rows_loaded,
-                self.message)
+        d, c = self.drift, self.counts or {}
+        drift = (list(d.added), list(d.type_changed), list(d.removed)) if d else (None, None, None)
+        return (self.dataset, self.table, self.version, self.status, self.rows_loaded, self.message,
+                *drift, *(c.get(op) for op in ("insert", "update", "delete", "unchanged")))
 
 
 def _now() -> dt.datetime:
@@ -70,22 +83,30 @@ _UNKNOWN = object()
 
 def plan_load(raw: DataFrame, spec: DatasetSpec, current: DataFrame | None = None,
               load_type: str = "delta") -> DataFrame:
-    """The rows a load of ``raw`` publishes, as one lazy plan: the dataset's projection
-    rules, then (delta) the snapshot merge into ``current``. Keys must be checked first."""
+    """The rows a load of ``raw`` publishes: the dataset's projection rules, then the key check and
+    (delta) the snapshot merge into ``current``, as a sink applies them."""
     staged = project(raw, spec)
-    if load_type == "full" or current is None:
-        return staged
-    return merge_snapshot(staged, current, list(spec.output_key()))
+    keys = list(spec.output_key())
+    return replace_snapshot(staged, keys) if load_type == "full" else merge_snapshot(staged, current, keys)
+
+
+def check_foreign_keys(staged: DataFrame, spec: DatasetSpec, sink: Sink) -> None:
+    """Raise when a row of ``staged`` refers to a row that the referenced table does not have."""
+    for fk in spec.foreign_keys:
+        if not sink.exists(fk.table):
+            raise KeyViolation(f"foreign key {fk.columns} of {spec.name}: no table {fk.table!r}")
+        check_foreign_key(staged, sink.read(fk.table), fk.columns, fk.references)
 
 
 def load_dataset(spark: SparkSession, spec: DatasetSpec, source: Source, version: str,
                  sink: Sink, load_type: str = "delta", force: bool = False,
                  manifest: DataFrame | None = None, schema_mode: str = "strict",
-                 last_loaded=_UNKNOWN, overlap_verify: bool = True) -> Outcome:
+                 last_loaded=_UNKNOWN, overlap_verify: bool = True, statistics: bool = False) -> Outcome:
     """Load one dataset of a release. Raises on failure after recording it in the ledger.
 
     ``last_loaded`` is the dataset's latest successful release when the caller already
-    knows it (``load_release`` reads the ledger once for all datasets).
+    knows it (``load_release`` reads the ledger once for all datasets). ``statistics`` counts
+    inserted, updated, deleted and unchanged keys of a merge, by one more join of both sides.
     """
     if load_type not in LOAD_TYPES:
         raise ValueError(f"load_type must be one of {LOAD_TYPES}")
@@ -97,17 +118,18 @@ def load_dataset(spark: SparkSession, spec: DatasetSpec, source: Source, version
                        message=f"release {version} already loaded")
     start = _now()
     pattern = f"{source.dataset_dir(version, spec.name)}/*.parquet"
-
-    def verify() -> None:
-        report = verify_files(hash_files(spark, pattern), manifest,
-                              source.relative_prefix(spec.name), suffix=".parquet")
-        require_verified(report)
-
     # Verification reads every byte, and so does the load: with ``overlap_verify`` both run
     # at once (their jobs share the cluster) and the new generation is published only
     # after verification passed; a failed verification discards it.
     pool = ThreadPoolExecutor(max_workers=1) if manifest is not None and overlap_verify else None
     try:
+        sink.check_target(table)
+        inventory = file_inventory(spark, pattern)  # listed once, for both
+
+        def verify() -> None:
+            hashed = hash_files(spark, pattern, filesystem=source.filesystem, inventory=inventory)
+            require_verified(verify_files(hashed, manifest, source.relative_prefix(spec.name), suffix=".parquet"))
+
         checked = pool.submit(verify) if pool else None
         if manifest is not None and pool is None:
             verify()
@@ -117,32 +139,32 @@ def load_dataset(spark: SparkSession, spec: DatasetSpec, source: Source, version
                 checked.result()
 
         try:
-            raw = read_dataset(spark, pattern, mode=schema_mode)
+            raw = read_dataset(spark, pattern, mode=schema_mode, filesystem=source.filesystem, inventory=inventory)
+            staged_df = project(raw, spec)
+            keys = list(spec.output_key())
+            have = {c.lower() for c in staged_df.columns}
+            missing = [k for k in keys if k.lower() not in have]
+            if missing:
+                raise ValueError(f"key column(s) {missing} not in the projected data of {spec.name}")
+            current = sink.read(table) if load_type == "delta" and sink.exists(table) else None
+            drift = diff_schemas(staged_df.schema, current.schema) if current is not None else None
+            staged = sink.stage(table, staged_df, keys, load_type)
         except NoFiles:
             verified()
             return Outcome(spec.name, table, version, "skipped_no_files",
                            message=f"no Parquet files for {spec.name}")
         except Exception:
-            verified()  # an integrity failure is reported before a read failure
-            raise
-        staged_df = project(raw, spec)
-        keys = list(spec.output_key())
-        have = {c.lower() for c in staged_df.columns}
-        missing = [k for k in keys if k.lower() not in have]
-        if missing:
-            verified()
-            raise ValueError(f"key column(s) {missing} not in the projected data of {spec.name}")
-        try:
-            staged = sink.stage(table, staged_df, keys, load_type)
-        except Exception:
-            verified()
+            verified()  # an integrity failure is reported before any other
             raise
         try:
             verified()
+            check_foreign_keys(staged_df, spec, sink)
+            # keys were checked while staging, the table's own when it was loaded
+            counts = merge_counts(staged_df, current, keys) if statistics and current is not None else None
+            rows = staged.publish()
         except Exception:
-            staged.discard()
+            staged.discard()  # whatever failed, nothing unpublished stays behind
             raise
-        rows = staged.publish()
     except Exception as e:
         try:
             sink.record(ledger_row(version, spec.name, False, 0, start, _now(), str(e)))
@@ -153,21 +175,33 @@ def load_dataset(spark: SparkSession, spec: DatasetSpec, source: Source, version
         if pool is not None:
             pool.shutdown(wait=True)
     sink.record(ledger_row(version, spec.name, True, rows, start, _now()))
-    return Outcome(spec.name, table, version, "loaded", rows)
+    return Outcome(spec.name, table, version, "loaded", rows, drift=drift, counts=counts)
+
+
+def load_order(specs: Sequence[DatasetSpec]) -> list[list[DatasetSpec]]:
+    """Datasets in waves: each after those whose tables its foreign keys refer to. Datasets that
+    refer to each other in a circle share the last wave."""
+    left, waves = list(specs), []
+    while left:
+        names = {s.table_name for s in left}
+        wave = [s for s in left if not {k.table for k in s.foreign_keys} & (names - {s.table_name})] or left
+        waves.append(wave)
+        left = [s for s in left if s not in wave]
+    return waves
 
 
 def load_release(spark: SparkSession, specs: Sequence[DatasetSpec], source: Source,
                  sink: Sink, version: str | None = None,
                  datasets: Sequence[str] | None = None, load_type: str = "delta",
                  force: bool = False, continue_on_error: bool = True, verify: bool = True,
-                 schema_mode: str = "strict", max_workers: int = 4) -> DataFrame:
+                 schema_mode: str = "strict", max_workers: int = 4, statistics: bool = False) -> DataFrame:
     """Load a release (default: the newest). One outcome row per dataset.
 
     Pre-flight checks and the manifest check run first; a failure there loads nothing.
     Datasets load concurrently from ``max_workers`` driver threads (their Spark jobs share
-    the cluster). With ``continue_on_error`` a failed dataset is reported and the others
-    still load; without it the first failure is raised once running loads finish and no
-    further dataset starts.
+    the cluster), those that others refer to by foreign keys first. With ``continue_on_error``
+    a failed dataset is reported and the others still load; without it the first failure is
+    raised once running loads finish and no further dataset starts.
     """
     newest = None
     if version is None:
@@ -175,7 +209,8 @@ def load_release(spark: SparkSession, specs: Sequence[DatasetSpec], source: Sour
             newest = latest_version(spark, source)
         except Exception:  # reported by the source check below
             newest = None
-    require_checks(check_results(spark, source, specs, sink=sink, newest=newest))
+    readers = {"readers": lambda: check_readers(source, newest or version)} if verify or schema_mode != "first" else {}
+    require_checks(check_results(spark, source, specs, readers, sink=sink, newest=newest))
     version = version or newest or latest_version(spark, source)
     if datasets is not None:
         unknown = sorted(set(datasets) - {s.name for s in specs})
@@ -195,7 +230,7 @@ def load_release(spark: SparkSession, specs: Sequence[DatasetSpec], source: Sour
             return None
         try:
             return load_dataset(spark, spec, source, version, sink, load_type, force,
-                                manifest, schema_mode, latest.get(spec.name))
+                                manifest, schema_mode, latest.get(spec.name), statistics=statistics)
         except Exception as e:
             log.error("dataset %s failed: %s", spec.name, e)
             if not continue_on_error:
@@ -205,19 +240,19 @@ def load_release(spark: SparkSession, specs: Sequence[DatasetSpec], source: Sour
                            " ".join(str(e).split("\n")))
 
     try:
-        with ThreadPoolExecutor(max_workers=max(1, max_workers)) as pool:
-            futures = {pool.submit(run, spec): spec for spec in chosen}
-            first_error = None
-            for fut in as_completed(futures):
-                try:
-                    out = fut.result()
-                except Exception as e:  # only when continue_on_error is False
-                    first_error = first_error or e
-                    continue
-                if out is not None:
-                    outcomes[out.dataset] = out
-            if first_error is not None:
-                raise first_error
+        first_error = None
+        for wave in load_order(chosen):
+            with ThreadPoolExecutor(max_workers=max(1, max_workers)) as pool:
+                for fut in as_completed([pool.submit(run, spec) for spec in wave]):
+                    try:
+                        out = fut.result()
+                    except Exception as e:  # only when continue_on_error is False
+                        first_error = first_error or e
+                        continue
+                    if out is not None:
+                        outcomes[out.dataset] = out
+        if first_error is not None:
+            raise first_error
     finally:
         if manifest is not None:
             manifest.unpersist()

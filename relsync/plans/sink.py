@@ -3,8 +3,9 @@
 Built-in file tables cannot be merged into, replaced while being read, or swapped in
 place. So every load writes a new generation table ``<table>__g<id>`` and then points
 the view ``<table>`` at it; the view switch is the commit point. A failed load leaves
-the view, and so every reader, on the previous generation. The previous generation is
-kept for rollback; older ones, and any a crashed load left unpublished, are dropped.
+the view, and so every reader, on the previous generation. The view names the published
+generations that are kept (for rollback) in a property; older ones, and any a crashed load left
+unpublished, are dropped. A plain table of that name becomes the first generation.
 
 A catalog with row-level operations could use ``DataFrame.mergeInto`` instead; the
 public methods stay the same.
@@ -22,12 +23,13 @@ from typing import Callable, Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from relsync.operators.checks import check_primary_key
 from relsync.operators.evolve import diff_schemas
-from relsync.operators.merge import merge_snapshot
+from relsync.operators.merge import merge_snapshot, replace_snapshot
 from relsync.plans import ledger as L
 
 GEN_MARK = "__g"
+#: View property: published generations, the current one first.
+GEN_PROPERTY = "relsync.generations"
 
 
 def _q(name: str) -> str:
@@ -72,6 +74,9 @@ class Sink(ABC):
     @abstractmethod
     def merge(self, table: str, df: DataFrame, keys: Sequence[str]) -> int: ...
 
+    def check_target(self, table: str) -> None:
+        """Raise when ``table`` cannot be published to; called before any work."""
+
     @abstractmethod
     def ledger(self) -> DataFrame: ...
 
@@ -87,7 +92,8 @@ class CatalogSink(Sink):
 
     fmt               file format of the generation tables (``parquet`` by default)
     ledger_table      name of the ledger table in the same database
-    keep_generations  2 keeps the previous generation for rollback, 1 keeps only the current
+    keep_generations  published generations kept: 2 keeps the previous one for rollback, 1 only
+                      the current one
     bucket_by_key     write generations bucketed (and sorted) by key into this many buckets
     """
 
@@ -98,7 +104,9 @@ class CatalogSink(Sink):
         self.database = database
         self.fmt = fmt
         self.ledger_table = ledger_table
-        self.keep = max(1, keep_generations)
+        if keep_generations < 1:
+            raise ValueError("keep_generations must be 1 or more")
+        self.keep = keep_generations
         self.bucket_by_key = bucket_by_key
         # appends to one table directory must not overlap (their commits share a
         # temporary folder), so ledger writes and catalog DDL are serialised
@@ -124,11 +132,29 @@ class CatalogSink(Sink):
     def dtypes(self, table: str) -> dict:
         return dict(self.read(table).dtypes)
 
+    def _tables_like(self, prefix: str) -> list[str]:
+        """Names that start with ``prefix``, sorted: one listing, limited by the catalog."""
+        found = self.spark.sql(f"SHOW TABLES IN {_q(self.database)} LIKE '{prefix.lower()}*'").collect()
+        return sorted(r["tableName"] for r in found if r["tableName"].lower().startswith(prefix.lower()))
+
     def generations(self, table: str) -> list[str]:
-        prefix = (table + GEN_MARK).lower()
-        names = [t.name for t in self.spark.catalog.listTables(self.database)
-                 if t.name.lower().startswith(prefix)]
-        return sorted(names)
+        return self._tables_like(table + GEN_MARK)
+
+    def published(self, table: str) -> list[str] | None:
+        """Published generations, the current one first; None when ``table`` is no view of ours."""
+        if not self.exists(table) or not self._is_view(table):
+            return None
+        rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.fq(table)}").collect()
+        kept = next((r["value"] for r in rows if r["key"] == GEN_PROPERTY), "")
+        return [g for g in kept.split(",") if g] or None
+
+    def _is_view(self, table: str) -> bool:
+        return self.spark.catalog.getTable(f"{self.database}.{table}").tableType == "VIEW"
+
+    def check_target(self, table: str) -> None:
+        """Raise when ``table`` is a view that this sink has not made."""
+        if self.exists(table) and self._is_view(table) and self.current_generation(table) is None:
+            raise ValueError(f"{self.fq(table)} is a view of something else; it cannot be loaded into")
 
     # --- publishing ------------------------------------------------------------------------
     def _write_generation(self, table: str, df: DataFrame, keys: Sequence[str]) -> tuple[str, int]:
@@ -147,32 +173,55 @@ class CatalogSink(Sink):
         return gen, int(obs.get.get("rows", 0))
 
     def current_generation(self, table: str) -> str | None:
-        """The generation the table's view reads now (None when there is no view)."""
-        if not self.exists(table):
+        """The generation the table's view reads now (None when there is no such view)."""
+        published = self.published(table)
+        if published:
+            return published[0]
+        if not self.exists(table) or not self._is_view(table):
             return None
+        # a view from before generations were named in a property
         info = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.fq(table)}").collect()
         text = next((r["data_type"] for r in info if r["col_name"] == "View Text"), "") or ""
         names = [g for g in self.generations(table) if g.lower() in text.lower()]
         return max(names, key=len) if names else None
 
     def _switch(self, table: str, gen: str) -> None:
-        previous = self.current_generation(table)
-        self.spark.sql(f"CREATE OR REPLACE VIEW {self.fq(table)} AS SELECT * FROM {self.fq(gen)}")
-        # keep the new generation and (for rollback) the one readers saw before; drop the
-        # rest that is older (names sort by write time): superseded ones and those a crashed
-        # load never published. Newer ones may belong to a load still running.
-        keep = {gen} | ({previous} if previous and self.keep > 1 else set())
-        for old in self.generations(table):
-            if old not in keep and old < gen:
-                self.spark.sql(f"DROP TABLE IF EXISTS {self.fq(old)}")
+        with self._lock:
+            published = self.published(table) or []
+            if not published and self.exists(table):
+                current = self.current_generation(table)
+                if current is None:
+                    self.check_target(table)
+                    # a plain table: it becomes the generation before this one
+                    current = f"{table}{GEN_MARK}{0:015d}_{uuid.uuid4().hex[:8]}"
+                    self.spark.sql(f"ALTER TABLE {self.fq(table)} RENAME TO {self.fq(current)}")
+                    try:
+                        self._point(table, [current])
+                    except Exception:
+                        self.spark.sql(f"ALTER TABLE {self.fq(current)} RENAME TO {self.fq(table)}")
+                        raise
+                published = [current]
+            kept = [gen, *(g for g in published if g != gen)][: self.keep]
+            self._point(table, kept)
+            # names sort by write time: what is older and not kept is superseded, or was left
+            # by a crashed load. Newer ones may belong to a load still running.
+            for old in self.generations(table):
+                if old not in kept and old < gen:
+                    self.spark.sql(f"DROP TABLE IF EXISTS {self.fq(old)}")
+
+    def _point(self, table: str, kept: list[str]) -> None:
+        """The commit: readers of ``table`` see the first of ``kept`` from here on."""
+        self.spark.sql(f"CREATE OR REPLACE VIEW {self.fq(table)} TBLPROPERTIES ('{GEN_PROPERTY}' = '{','.join(kept)}') "
+                       f"AS SELECT * FROM {self.fq(kept[0])}")
 
     def stage(self, table: str, df: DataFrame, keys: Sequence[str], load_type: str) -> Staged:
         """Check the key and write the new generation; readers still see the old one."""
         self.ensure_database()
-        if keys:
-            check_primary_key(df, keys)  # on the snapshot itself: key columns only
-        if load_type != "full" and self.exists(table):
-            df = merge_snapshot(df, self.read(table), keys)
+        self.check_target(table)
+        if load_type == "full":
+            df = replace_snapshot(df, keys) if keys else df
+        else:
+            df = merge_snapshot(df, self.read(table) if self.exists(table) else None, keys, check_keys=bool(keys))
         gen, rows = self._write_generation(table, df, keys)
 
         def publish() -> int:
@@ -200,20 +249,35 @@ class CatalogSink(Sink):
 
     # --- ledger ------------------------------------------------------------------------------
     def ledger(self) -> DataFrame:
+        self._finish_compaction()
         if not self.exists(self.ledger_table):
             return L.ledger_frame(self.spark, [])
         return self.spark.table(self.fq(self.ledger_table))
 
+    def _finish_compaction(self) -> None:
+        """Complete a compaction that ended between dropping the old ledger and renaming the new
+        one: the new one was complete before the old one was dropped."""
+        with self._lock:
+            if self.spark.catalog.databaseExists(self.database) and not self.exists(self.ledger_table):
+                done = self._tables_like(self.ledger_table + "__compact_")
+                if done:
+                    self.spark.sql(f"ALTER TABLE {self.fq(done[-1])} RENAME TO {self.fq(self.ledger_table)}")
+
     def compact_ledger(self, files: int = 1) -> int:
         """Rewrite the ledger (one small file per load attempt) into ``files`` files.
 
         The rows go to a new table first; the old one is dropped and the new one renamed
-        only after that write succeeded. Returns the number of ledger rows.
+        only after that write succeeded. If the process ends between the two, the next reader
+        or writer completes the rename. Leftovers of compactions that never got that far are
+        dropped. No other process may append meanwhile. Returns the number of ledger rows.
         """
         with self._lock:
+            self._finish_compaction()
             if not self.exists(self.ledger_table):
                 return 0
-            tmp = f"{self.ledger_table}__compact_{uuid.uuid4().hex[:8]}"
+            for left in self._tables_like(self.ledger_table + "__compact_"):
+                self.spark.sql(f"DROP TABLE {self.fq(left)}")
+            tmp = f"{self.ledger_table}__compact_{int(time.time() * 1000):015d}_{uuid.uuid4().hex[:8]}"
             obs = Observation(f"ledger_{uuid.uuid4().hex[:8]}")
             (self.ledger().observe(obs, F.count(F.lit(1)).alias("rows")).repartition(files)
              .write.format(self.fmt).saveAsTable(self.fq(tmp)))
@@ -224,5 +288,6 @@ class CatalogSink(Sink):
     def record(self, row: tuple) -> None:
         with self._lock:
             self.ensure_database()
+            self._finish_compaction()
             L.ledger_frame(self.spark, [row]).coalesce(1).write.format(self.fmt).mode(
                 "append").saveAsTable(self.fq(self.ledger_table))

@@ -7,16 +7,17 @@ import pytest
 
 from relsync.operators.checks import KeyViolation
 from relsync.plans import ledger as L
-from relsync.plans.release_load import load_release
+from relsync.plans.release_load import load_order, load_release
 from relsync.plans.sink import CatalogSink
 from relsync.plans.validate import check_specs, require_checks, run_checks
-from relsync.spec import DatasetSpec, Source
+from relsync.spec import DatasetSpec, ForeignKey, Source
 from relsync.streaming.release_watch import watch_releases
 from tests.release_tree import table, write_release
 
-A1 = table(id=pa.array(["target1", "target2"]), value=pa.array([100, 200], pa.int64()))
-B1 = table(id=pa.array(["diseaseA", "diseaseB"]), description=pa.array(["descA", "descB"]))
-SPECS = [DatasetSpec("targets", ("id",)), DatasetSpec("diseases", ("id",))]
+LAMPS = table(lamp=pa.array([f"L{i}" for i in range(9)]), watt=pa.array([5 * i for i in range(9)], pa.int32()))
+ROOMS = table(room=pa.array([10, 20, 30]), lamp=pa.array(["L1", None, "L8"]), area=pa.array([1.5, 2.25, None]))
+SPECS = [DatasetSpec("lamps", ("lamp",)), DatasetSpec("rooms", ("room",))]
+LAMP_ROWS = [(f"L{i}", 5 * i) for i in range(9)]
 
 
 def rows(df):
@@ -28,21 +29,25 @@ def sink(spark):
     return CatalogSink(spark, database="db_" + uuid.uuid4().hex[:8])
 
 
-def test_two_datasets_one_run_then_skip(spark, tmp_path, sink):
+def outcomes(df):
+    return {r["dataset"]: r for r in df.collect()}
+
+
+def test_a_release_loads_once_unless_forced(spark, tmp_path, sink):
     src = Source(str(tmp_path / "rel"))
-    write_release(src.root, "22.06", {"targets": [A1], "diseases": [B1]})
-    out = {r["dataset"]: r for r in load_release(spark, SPECS, src, sink).collect()}
-    assert out["targets"]["status"] == "loaded" and out["targets"]["rows_loaded"] == 2
-    assert rows(sink.read("targets")) == [("target1", 100), ("target2", 200)]
-    assert rows(sink.read("diseases")) == [("diseaseA", "descA"), ("diseaseB", "descB")]
-    led = sink.ledger().collect()
-    assert sorted((r["dataset_name"], r["version"], r["status"], r["rows_loaded"]) for r in led) == [
-        ("diseases", "22.06", "success", 2), ("targets", "22.06", "success", 2)]
-    again = {r["dataset"]: r["status"] for r in load_release(spark, SPECS, src, sink).collect()}
-    assert again == {"targets": "skipped_already_loaded", "diseases": "skipped_already_loaded"}
-    assert sink.ledger().count() == 2  # skips write nothing
-    forced = {r["dataset"]: r["status"] for r in load_release(spark, SPECS, src, sink, force=True).collect()}
-    assert forced == {"targets": "loaded", "diseases": "loaded"}
+    write_release(src.root, "22.06", {"lamps": [LAMPS.slice(0, 4), LAMPS.slice(4)], "rooms": [ROOMS]})
+    out = outcomes(load_release(spark, SPECS, src, sink))
+    assert {d: (r["status"], r["rows_loaded"], r["columns_added"]) for d, r in out.items()} == {
+        "lamps": ("loaded", 9, None), "rooms": ("loaded", 3, None)}
+    assert rows(sink.read("lamps")) == LAMP_ROWS
+    assert {r["room"]: (r["lamp"], r["area"]) for r in sink.read("rooms").collect()} == {10: ("L1", 1.5), 20: (None, 2.25), 30: ("L8", None)}
+    attempts = {(r["dataset_name"], r["version"], r["status"], r["rows_loaded"]) for r in sink.ledger().collect()}
+    assert attempts == {("lamps", "22.06", "success", 9), ("rooms", "22.06", "success", 3)}
+    again = outcomes(load_release(spark, SPECS, src, sink))
+    assert {r["status"] for r in again.values()} == {"skipped_already_loaded"} and sink.ledger().count() == 2
+    forced = outcomes(load_release(spark, SPECS, src, sink, force=True, statistics=True))
+    assert {d: (r["inserted"], r["updated"], r["deleted"], r["unchanged"]) for d, r in forced.items()} == {
+        "lamps": (0, 0, 0, 9), "rooms": (0, 0, 0, 3)}
 
 
 def test_delta_then_new_release_merges(spark, tmp_path, sink):
@@ -63,13 +68,93 @@ def test_delta_then_new_release_merges(spark, tmp_path, sink):
     assert sink.last_success("t") == "22.06"
 
 
+def test_a_load_reports_drift_and_counts(spark, tmp_path, sink):
+    src, spec = Source(str(tmp_path / "rel")), [DatasetSpec("lamps", ("lamp",))]
+    write_release(src.root, "22.04", {"lamps": [LAMPS.append_column("maker", pa.array(["m"] * 9))]})
+    load_release(spark, spec, src, sink)
+    ids = [f"L{i}" for i in range(3, 12)]
+    new = table(lamp=pa.array(ids), watt=pa.array([5.0 * i if i != 5 else 1.0 for i in range(3, 12)]), colour=pa.array(["red"] * 9))
+    write_release(src.root, "22.06", {"lamps": [new]})
+    r = load_release(spark, spec, src, sink, statistics=True).first()
+    assert (r["columns_added"], r["columns_retyped"], r["columns_removed"]) == (["colour"], ["watt"], ["maker"])
+    assert (r["inserted"], r["updated"], r["deleted"], r["unchanged"]) == (3, 1, 3, 5)
+    assert sink.read("lamps").where("maker = 'm'").count() == 6
+    fractional = table(lamp=pa.array(["L1"]), watt=pa.array([2.7]))
+    write_release(src.root, "22.09", {"lamps": [fractional]})
+    bad = load_release(spark, spec, src, sink).first()
+    assert bad["status"] == "failed" and "cannot hold" in bad["message"] and sink.read("lamps").count() == 9
+
+
+def test_foreign_keys_are_checked_before_publishing(spark, tmp_path, sink):
+    src = Source(str(tmp_path / "rel"))
+    specs = [DatasetSpec("rooms", ("room",), foreign_keys=[{"columns": "lamp", "table": "lamps", "references": "lamp"}]), SPECS[0]]
+    assert [[s.name for s in w] for w in load_order(specs)] == [["lamps"], ["rooms"]]
+    write_release(src.root, "22.04", {"lamps": [LAMPS], "rooms": [ROOMS]})
+    assert {r["status"] for r in outcomes(load_release(spark, specs, src, sink)).values()} == {"loaded"}
+    write_release(src.root, "22.06", {"lamps": [LAMPS.slice(0, 8)], "rooms": [ROOMS]})
+    out = outcomes(load_release(spark, specs, src, sink))
+    assert out["lamps"]["status"] == "loaded" and out["rooms"]["status"] == "failed" and "L8" in out["rooms"]["message"]
+    assert len(sink.generations("rooms")) == 1 and sink.last_success("rooms") == "22.04"
+    lonely = DatasetSpec("rooms", ("room",), foreign_keys=[ForeignKey("lamp", "nowhere", "lamp")])
+    assert "nowhere" in load_release(spark, [lonely], src, sink).first()["message"]
+    circle = [DatasetSpec("a", ("k",), foreign_keys=[ForeignKey("k", "b", "k")]), DatasetSpec("b", ("k",), foreign_keys=[ForeignKey("k", "a", "k")])]
+    assert [len(w) for w in load_order(circle)] == [2]
+    with pytest.raises(ValueError):
+        ForeignKey(("a", "b"), "t", ("a",))
+
+
+def test_a_plain_table_is_taken_over_and_a_foreign_view_is_not(spark, tmp_path, sink):
+    src, spec = Source(str(tmp_path / "rel")), [DatasetSpec("lamps", ("lamp",))]
+    write_release(src.root, "22.06", {"lamps": [LAMPS]})
+    sink.ensure_database()
+    old = spark.createDataFrame([("L1", 1, "kept"), ("gone", 2, "x")], "lamp string, watt bigint, note string")
+    old.write.saveAsTable(sink.fq("lamps"))
+    r = load_release(spark, spec, src, sink, statistics=True).first()
+    assert r["status"] == "loaded" and (r["inserted"], r["updated"], r["deleted"]) == (8, 1, 1)
+    assert {x["lamp"] for x in sink.read("lamps").where("note = 'kept'").collect()} == {"L1"}
+    assert len(sink.published("lamps")) == 2 and rows(spark.table(sink.fq(sink.published("lamps")[1]))) == rows(old)
+    spark.sql(f"CREATE VIEW {sink.fq('rooms')} AS SELECT 1 AS room")
+    write_release(src.root, "22.09", {"rooms": [ROOMS]})
+    out = load_release(spark, [SPECS[1]], src, sink).first()
+    assert out["status"] == "failed" and "view of something else" in out["message"] and not sink.generations("rooms")
+
+
+def test_whatever_fails_while_publishing_leaves_nothing_behind(spark, tmp_path):
+    class Broken(CatalogSink):
+        def _point(self, table, kept):
+            raise RuntimeError("catalog gone")
+
+    src = Source(str(tmp_path / "rel"))
+    write_release(src.root, "22.06", {"lamps": [LAMPS]})
+    for plain in (False, True):
+        sink = Broken(spark, database="db_" + uuid.uuid4().hex[:8])
+        sink.ensure_database()
+        if plain:
+            spark.createDataFrame([("L1", 1)], "lamp string, watt bigint").write.saveAsTable(sink.fq("lamps"))
+        for _ in range(2):
+            out = load_release(spark, [SPECS[0]], src, sink).first()
+            assert out["status"] == "failed" and "catalog gone" in out["message"]
+            assert sink.generations("lamps") == []
+        assert sink.exists("lamps") == plain and (not plain or rows(sink.read("lamps")) == [("L1", 1)])
+
+
+@pytest.mark.parametrize("keep", [1, 2, 4])
+def test_as_many_generations_are_kept_as_asked_for(spark, keep):
+    sink = CatalogSink(spark, database="db_" + uuid.uuid4().hex[:8], keep_generations=keep)
+    for i in range(5):
+        sink.replace("t", spark.createDataFrame([(i,)], "id bigint"), ["id"])
+        assert len(sink.generations("t")) == min(keep, i + 1) and sink.current_generation("t") == sink.published("t")[0]
+    assert [rows(spark.table(sink.fq(g))) for g in sink.published("t")] == [[(4 - i,)] for i in range(keep)]
+    with pytest.raises(ValueError):
+        CatalogSink(spark, keep_generations=0)
+
+
 def test_full_refresh_replaces(spark, tmp_path, sink):
     src = Source(str(tmp_path / "rel"))
-    sink.replace("t", spark.createDataFrame([(-1, "old_data")], "id bigint, data string"), ["id"])
-    write_release(src.root, "22.06", {"t": [table(id=pa.array([1, 2], pa.int64()),
-                                                  data=pa.array(["a", "b"]))]})
-    load_release(spark, [DatasetSpec("t", ("id",))], src, sink, load_type="full")
-    assert rows(sink.read("t")) == [(1, "a"), (2, "b")]
+    sink.replace("lamps", spark.createDataFrame([("old", True)], "lamp string, broken boolean"), ["lamp"])
+    write_release(src.root, "22.06", {"lamps": [LAMPS]})
+    load_release(spark, [SPECS[0]], src, sink, load_type="full")
+    assert rows(sink.read("lamps")) == LAMP_ROWS
 
 
 def test_null_key_fails_and_table_is_unchanged(spark, tmp_path, sink):
@@ -91,12 +176,12 @@ def test_null_key_fails_and_table_is_unchanged(spark, tmp_path, sink):
 
 def test_bad_checksum_fails_dataset_others_continue(spark, tmp_path, sink):
     src = Source(str(tmp_path / "rel"))
-    rel = write_release(src.root, "22.06", {"targets": [A1], "diseases": [B1]})
-    with open(os.path.join(rel, "output/etl/parquet/targets/part-00000.parquet"), "ab") as f:
+    rel = write_release(src.root, "22.06", {"lamps": [LAMPS], "rooms": [ROOMS]})
+    with open(os.path.join(rel, "output/etl/parquet/lamps/part-00000.parquet"), "ab") as f:
         f.write(b"tampered")
     out = {r["dataset"]: r["status"] for r in load_release(spark, SPECS, src, sink).collect()}
-    assert out == {"targets": "failed", "diseases": "loaded"}
-    assert not sink.exists("targets")
+    assert out == {"lamps": "failed", "rooms": "loaded"}
+    assert not sink.exists("lamps")
 
 
 def test_empty_dataset_loads_zero_rows(spark, tmp_path, sink):
@@ -108,20 +193,18 @@ def test_empty_dataset_loads_zero_rows(spark, tmp_path, sink):
     assert sink.read("t").count() == 0
 
 
-def test_composite_key_flatten_json_rename(spark, tmp_path, sink):
-    src = Source(str(tmp_path / "rel"))
+def test_rules_apply_end_to_end(spark, tmp_path, sink):
+    src, n = Source(str(tmp_path / "rel")), 12
     t = pa.table({
-        "key1": pa.array([10, 20], pa.int64()), "key2": pa.array([30, 40], pa.int64()),
-        "location": pa.array([{"chromosome": "1", "start": 100}, {"chromosome": "2", "start": 200}]),
-        "other_nested": pa.array([{"info": "foo"}, {"info": "bar"}]),
+        "floor": pa.array([i // 4 for i in range(n)]), "door": pa.array([i % 4 for i in range(n)]),
+        "sign": pa.array([(f"no {i}", i % 2 == 0) for i in range(n)], pa.struct([("text", pa.string()), ("lit", pa.bool_())])), "seen": pa.array([[i, None] for i in range(n)]),
     })
-    write_release(src.root, "22.06", {"genes": [t]})
-    spec = DatasetSpec("genes", ("key1", "key2"), final_table="gene_table",
-                       overrides={"location": {"action": "flatten"}, "key1": {"rename": "k1"}})
+    write_release(src.root, "22.06", {"front-doors": [t]})
+    spec = DatasetSpec("front-doors", ("floor", "door"), sep="__", overrides={"sign": {"action": "flatten"}, "door": {"rename": "number"}})
     load_release(spark, [spec], src, sink)
-    df = sink.read("gene_table")
-    assert df.columns == ["k1", "key2", "location_chromosome", "location_start", "other_nested"]
-    assert rows(df) == [(10, 30, "1", 100, '{"info":"foo"}'), (20, 40, "2", 200, '{"info":"bar"}')]
+    df = sink.read("front_doors")
+    assert df.columns == ["floor", "number", "sign__text", "sign__lit", "seen"]
+    assert rows(df) == [(i // 4, i % 4, f"no {i}", i % 2 == 0, f"[{i},null]") for i in range(n)]
 
 
 def test_preflight_checks(spark, tmp_path):
@@ -167,6 +250,29 @@ def test_release_watcher_loads_new_releases_once(spark, tmp_path, sink):
     assert sink.ledger().count() == n
 
 
+def test_release_watcher_never_goes_back(spark, tmp_path, sink):
+    src, spec, ckpt = Source(str(tmp_path / "rel")), [DatasetSpec("t", ("id",))], str(tmp_path / "ckpt")
+    write_release(src.root, "23.01", {"t": [table(id=pa.array([1, 2, 3]))]})
+    watch_releases(spark, src, spec, sink, checkpoint=ckpt).awaitTermination(120)
+    write_release(src.root, "22.04", {"t": [table(id=pa.array([1]))]})
+    watch_releases(spark, src, spec, sink, checkpoint=ckpt).awaitTermination(120)
+    assert sink.last_success("t") == "23.01" and sink.read("t").count() == 3 and sink.ledger().count() == 1
+
+
+def test_release_watcher_tries_a_failed_release_again(spark, tmp_path, sink):
+    src, spec, ckpt = Source(str(tmp_path / "rel")), [DatasetSpec("t", ("id",))], str(tmp_path / "ckpt")
+    rel = write_release(src.root, "23.01", {"t": [table(id=pa.array([1, 2, 3]))]})
+    part = os.path.join(rel, "output/etl/parquet/t/part-00000.parquet")
+    whole = open(part, "rb").read()
+    open(part, "ab").write(b"tampered")
+    with pytest.raises(Exception, match="mismatch"):
+        watch_releases(spark, src, spec, sink, checkpoint=ckpt).awaitTermination(120)
+    assert sink.last_success("t") is None
+    open(part, "wb").write(whole)
+    watch_releases(spark, src, spec, sink, checkpoint=ckpt).awaitTermination(120)
+    assert sink.last_success("t") == "23.01" and sink.read("t").count() == 3
+
+
 def test_bucketed_generations(spark, tmp_path):
     sink = CatalogSink(spark, database="db_" + uuid.uuid4().hex[:8], bucket_by_key=4)
     first = spark.createDataFrame([(i, f"v{i}") for i in range(50)], "id bigint, data string")
@@ -313,10 +419,10 @@ class DictSink(Sink):
 
 def test_third_party_sink(spark, tmp_path):
     src = Source(str(tmp_path / "rel"))
-    write_release(src.root, "22.06", {"targets": [A1]})
+    write_release(src.root, "22.06", {"lamps": [LAMPS]})
     sink = DictSink(spark)
     out = load_release(spark, [SPECS[0]], src, sink).collect()
-    assert out[0]["status"] == "loaded" and rows(sink.read("targets")) == [("target1", 100), ("target2", 200)]
+    assert out[0]["status"] == "loaded" and rows(sink.read("lamps")) == LAMP_ROWS
     assert load_release(spark, [SPECS[0]], src, sink).collect()[0]["status"] == "skipped_already_loaded"
 
 
@@ -335,7 +441,7 @@ def test_unpublished_generation_from_a_crashed_load_is_cleaned(spark):
 
 def test_unreachable_target_stops_before_any_work(spark, tmp_path):
     src = Source(str(tmp_path / "rel"))
-    write_release(src.root, "22.06", {"targets": [A1]})
+    write_release(src.root, "22.06", {"lamps": [LAMPS]})
 
     class Down(CatalogSink):
         def ensure_database(self):
@@ -348,6 +454,14 @@ def test_unreachable_target_stops_before_any_work(spark, tmp_path):
     assert rep == {"target": True, "source": True, "datasets": True}
 
 
+def test_a_source_that_tasks_cannot_read_stops_before_any_work(spark, tmp_path, sink):
+    src = Source(str(tmp_path / "rel"), data_template="ftp://host/{version}/{dataset_name}/")
+    write_release(src.root, "22.06", {"lamps": [LAMPS]})
+    with pytest.raises(RuntimeError, match="readers: .*ftp.*filesystem"):
+        load_release(spark, [SPECS[0]], src, sink)
+    assert sink.ledger().count() == 0
+
+
 def test_compact_ledger(spark):
     import datetime as dt_
     sink = CatalogSink(spark, database="db_" + uuid.uuid4().hex[:8])
@@ -359,3 +473,25 @@ def test_compact_ledger(spark):
     assert sink.compact_ledger() == 4
     assert len(sink.ledger().inputFiles()) == 1
     assert sink.last_success("a") == "22.03" and sink.ledger().count() == 4
+
+
+def test_a_compaction_cut_short_is_completed(spark):
+    sink = CatalogSink(spark, database="db_" + uuid.uuid4().hex[:8])
+    t0 = dt.datetime(2024, 1, 1)
+    for i in range(3):
+        sink.record(L.ledger_row(f"22.0{i + 1}", "a", True, i, t0, t0, load_timestamp=t0 + dt.timedelta(days=i)))
+    done = sink.fq(f"{sink.ledger_table}__compact_000000000000001_x")
+    sink.ledger().write.saveAsTable(done)
+    spark.sql(f"DROP TABLE {sink.fq(sink.ledger_table)}")  # the process ended before the rename
+    assert sink.last_success("a") == "22.03" and sink.ledger().count() == 3
+    sink.ledger().write.saveAsTable(done)                    # and here before the drop
+    assert sink.compact_ledger() == 3 and not spark.catalog.tableExists(done.replace("`", ""))
+
+
+def test_loads_at_one_instant_agree(spark):
+    t0 = dt.datetime(2024, 1, 1)
+    led = L.ledger_frame(spark, [L.ledger_row(f"22.{i:02d}", "a", True, i, t0, t0, run_id=f"r{(i * 5) % 7}", load_timestamp=t0) for i in range(7)])
+    want = max((f"r{(i * 5) % 7}", f"22.{i:02d}") for i in range(7))[1]
+    assert L.last_success_version(led, "a") == want
+    assert [r["version"] for r in L.latest_per_dataset(led).collect()] == [want]
+    assert [r["version"] for r in L.latest_per_dataset_window(led).collect()] == [want]
