@@ -98,8 +98,8 @@ def mix(
     docs: DataFrame, *, weights: list[float] = (3, 1, 2), share: float = 1.5, limit: float = 2.0,
     id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
 ) -> DataFrame:
-    """One row per row of ``docs``: id, size, source, source_size, target and ``taken``, the
-    words the mix takes of it (repeats counted).
+    """One row per row of ``docs``: id, size, source_size, target, ``taken`` (the words the mix
+    takes of it, repeats counted) and source.
 
     Sizes are words; null and empty texts have size 0 and are taken 0 times in words. A null
     source is a source of its own. Per source the taken words sum to the whole part of the
@@ -118,7 +118,7 @@ def mix(
     edge = edge.withColumn("partly", left)
     out = clear.unionByName(edge.drop("start"))
     taken = (F.col("epochs") * F.col("size") + F.col("partly")).cast("long")
-    return out.select(F.col("id").alias(id_col), "size", "source", "source_size", "target", taken.alias("taken"))
+    return out.select(F.col("id").alias(id_col), "size", "source_size", "target", taken.alias("taken"), "source")
 
 
 def mix_documents(

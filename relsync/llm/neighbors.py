@@ -36,6 +36,8 @@ DIMS, CONFIDENCE = 10, 0.97
 SAMPLE, CELL, LEVELS = 20_000, 4096, 12
 #: Points of a lower tree's leaf.
 LEAF = 64
+#: Queries routed at a time, which bounds a table of their distances to all cells.
+_ROUTED = 256
 #: Cells visited in the first and second round; the third visits all that are left open.
 ROUNDS = (1, 8)
 SEED = 5
@@ -253,7 +255,7 @@ def nearest(
 
     def route(lo, hi):
         def run(batches):
-            for b in batches:
+            for b in (x.slice(i, _ROUTED) for x in batches for i in range(0, x.num_rows, _ROUTED)):
                 away = box_distance(matrix(b.column("p"), dims), low, high)
                 order = np.argsort(away, axis=1, kind="stable")[:, lo:hi]
                 bound = b.column("bound").to_numpy(zero_copy_only=False)

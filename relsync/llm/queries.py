@@ -22,8 +22,9 @@ def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    hard = [(-7, 0, "user", chat.HARD_TEXT), (-7, 1, "assistant", chat.HARD_TEXT)]
-    return chat.digest_turns(turns.unionByName(spark.createDataFrame(hard, "conv_id long, turn long, role string, text string")))
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    hard = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.lit(chat.HARD_TEXT).alias("text"))
+    return chat.digest_turns(turns.unionByName(hard))
 
 
 def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -49,7 +49,9 @@ def path_of(url: Column) -> Column:
 def rule_table(spark: SparkSession, rules: Rules) -> DataFrame:
     """(verdict, host, path) as a table; hosts lowered."""
     if not isinstance(rules, DataFrame):
-        rules = spark.createDataFrame(list(rules), "verdict string, host string, path string")
+        listed = [F.struct(F.lit(v).alias("verdict"), F.lit(h).alias("host"), F.lit(p).alias("path")) for v, h, p in rules]
+        listed = listed or [F.struct(*[F.lit("").alias(c) for c in ("verdict", "host", "path")])]
+        rules = spark.range(1).select(F.inline(F.array(*listed)))
     rules = rules.where("verdict IN ('allow', 'block') AND host <> '' AND path IS NOT NULL")
     return rules.select("verdict", F.translate("host", UPPER, LOWER).alias("host"), "path").distinct()
 
@@ -91,8 +93,8 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, roun
     """
     degree = edges.groupBy(F.col("a").alias("of")).agg(F.sum("n").alias("all"))
     steps = cut(edges.join(degree, F.col("a") == F.col("of")).select("a", "b", (F.col("n") / F.col("all")).alias("w")))
-    total = seeds.agg(F.sum("weight").alias("total"))
-    wave = cut(seeds.crossJoin(total).where("total > 0").select("host", ((1 - damping) * F.col("weight") / F.col("total")).alias("x")))
+    total = seeds.agg(F.sum("weight")).first()[0] or 1
+    wave = cut(seeds.select("host", ((1 - damping) * F.col("weight") / F.lit(float(total))).alias("x")))
     received = None
     for _ in range(rounds):
         wave = cut(
