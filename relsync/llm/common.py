@@ -61,6 +61,16 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.drop(*clash) if clash else df
 
 
+_PLAIN = ("string", "boolean", "tinyint", "smallint", "int", "bigint", "float", "double", "date", "timestamp", "timestamp_ntz")
+
+
+def tie_break(df: DataFrame, *first: str) -> list[Column]:
+    """Columns to order by: ``first``, then all others of plain types, so that only rows equal in
+    all of them are interchangeable and a task that runs again gives the same result."""
+    rest = [c for c, t in df.dtypes if c not in first and (t in _PLAIN or t.startswith("decimal"))]
+    return [F.col(f"`{c}`") for c in (*first, *rest)]
+
+
 def word_count(text: Column) -> Column:
     """Number of words of a text; null counts 0."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
@@ -81,7 +91,7 @@ KEYS = 1 << 60
 
 
 def running_total(
-    df: DataFrame, group: list[str], key: str, order: list[str], value: Column, name: str, buckets: int
+    df: DataFrame, group: list[str], key: str, order: list[Column], value: Column, name: str, buckets: int
 ) -> DataFrame:
     """``df`` with ``name``: the sum of ``value`` over the rows of the same group that come
     before this row, in the order (``key``, ``order``). ``key`` must be a ``hash_key``.

@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from relsync.llm.common import cut, hash_key, running_total, without, word_count
+from relsync.llm.common import cut, hash_key, running_total, tie_break, without, word_count
 
 #: Bundles per shard, and pieces of a shard's capacity into which a large group is split.
 GRAIN = 128
@@ -113,9 +113,12 @@ def assign(docs: DataFrame, shards: int = 40, *, grain: int = GRAIN, id_col: str
 
 def with_slots(rows: DataFrame, *, id_col: str = "doc_id") -> DataFrame:
     """``rows`` (with ``shard``) and ``slot``: the row's number in its shard, gapless from 0, in
-    the order of a hash of the id. Equal ids follow each other in any order."""
-    rows = without(rows, "slot", "__slot_key").withColumn("__slot_key", hash_key(F.col(id_col), seed=7))
-    out = running_total(rows, ["shard"], "__slot_key", [id_col], F.lit(1), "slot", SLOT_PARTS)
+    the order of a hash of the id. Equal ids follow each other in the order of their other
+    columns."""
+    rows = without(rows, "slot", "__slot_key")
+    order = tie_break(rows, id_col)
+    rows = rows.withColumn("__slot_key", hash_key(F.col(id_col), seed=7))
+    out = running_total(rows, ["shard"], "__slot_key", order, F.lit(1), "slot", SLOT_PARTS)
     return out.withColumn("slot", F.col("slot").cast("long")).drop("__slot_key")
 
 

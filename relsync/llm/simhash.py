@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from relsync.llm.common import cut, hash_key, without
+from relsync.llm.common import cut, hash_key, tie_break, without
 
 #: Seed of the shingle hash (the SQL function xxhash64 has the same).
 SEED = 42
@@ -187,8 +187,9 @@ def deduplicate(
     docs: DataFrame, *, shingle: int = 3, max_bits: int = 2, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """``docs``, all columns, with one row of each near-duplicate group: a row of the smallest id
-    (of several rows with that id and equal texts any one, of several texts the one whose
-    digest is smallest; the id is null only where the whole group has null ids).
+    (of several rows with that id and equal texts the first by the other columns, of several
+    texts the one whose digest is smallest; the id is null only where the whole group has null
+    ids).
 
     Fingerprints are computed once, on narrow rows; the decision comes back to the full rows
     by a digest of id and text. Rows equal in both are reduced to one before they are
@@ -201,6 +202,6 @@ def deduplicate(
     of = groups(narrow, max_bits, "id")
     rows = narrow.join(of, narrow["__fp"] == of["fp"]).where("id <=> component_id")
     keep = rows.groupBy("root").agg(F.min("key").alias("__keep")).select("__keep")
-    first = F.row_number().over(Window.partitionBy("__key").orderBy("__key"))
+    first = F.row_number().over(Window.partitionBy("__key").orderBy(*tie_break(docs, id_col)))
     once = docs.withColumn("__key", key).withColumn("__rank", first).where("__rank = 1")
     return once.join(keep, F.col("__key") == F.col("__keep"), "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
