@@ -54,6 +54,21 @@ def lookup(rows: DataFrame, small: DataFrame, condition: Column, spread: list[Co
     return salted.join(repeated, condition & (F.col("__salt") == F.col("__copy")), how).drop("__salt", "__copy")
 
 
+#: Bytes of rows that one Arrow batch brings to a Python worker.
+BATCH_BYTES = 16 << 20
+
+
+def in_batches(docs: DataFrame, run, schema) -> DataFrame:
+    """``docs.mapInArrow`` with batches of bounded size. A task holds a batch several times (in the
+    JVM, on its way and in Python), so the session's limit is lowered to BATCH_BYTES if it is
+    greater; a single row may still be larger."""
+    conf, name = docs.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    size = int(conf.get(name, str(4 * BATCH_BYTES)).rstrip("b"))
+    if size <= 0 or size > BATCH_BYTES:
+        conf.set(name, str(BATCH_BYTES))
+    return docs.mapInArrow(run, schema)
+
+
 def without(df: DataFrame, *names: str) -> DataFrame:
     """``df`` without the columns an operator is about to add (names match case-insensitively)."""
     gone = {n.lower() for n in names}

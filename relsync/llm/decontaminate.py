@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from relsync.llm.common import without
+from relsync.llm.common import in_batches, without
 from relsync.llm.words import hashed_words, shingle_hashes, text_slices
 
 SHINGLE, SIMILARITY, RADIUS = 5, 0.8, 22
@@ -255,7 +255,7 @@ def annotate(
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(found, kind)], names=[*batch.schema.names[: len(columns)], name])
 
         schema = T.StructType([*docs.schema.fields, T.StructField(name, T.ArrayType(leak))])
-        out = (out if again else docs).mapInArrow(run, schema)
+        out = in_batches(out if again else docs, run, schema)
     return out
 
 

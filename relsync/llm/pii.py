@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from relsync.llm.common import in_batches
 from relsync.llm.tagger import Tagger, encode
 from relsync.llm.words import text_slices
 
@@ -152,7 +153,7 @@ def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", labe
                     out[1].append(tag_window(s, WINDOW, [x for x in spans if x[1] < s + WINDOW and x[2] > s]).astype(np.int8).tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.string()), pa.array(out[1], pa.binary())], names=["w", "tags"])
 
-    windows = sample.mapInArrow(run, "w string, tags binary").distinct()
+    windows = in_batches(sample, run, "w string, tags binary").distinct()
     rows = windows.orderBy(F.xxhash64(F.lit(17), "w"), "w", "tags").limit(max_windows).collect()
     return fit_windows([r["w"] for r in rows], [np.frombuffer(r["tags"], dtype=np.int8).astype(np.int64) for r in rows])
 
@@ -255,7 +256,7 @@ def find_personal_data(docs: DataFrame, tagger: Tagger | None, *, id_col: str =
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     fields = [T.StructField(id_col, rows.schema["id"].dataType), *[T.StructField(f"n_{k}", T.LongType()) for k in KINDS]]
     fields += [T.StructField("base_sha256", T.StringType()), T.StructField("spans", T.StringType())]
-    return rows.mapInArrow(run, T.StructType(fields))
+    return in_batches(rows, run, T.StructType(fields))
 
 
 def mask(docs: DataFrame, tagger: Tagger | None, *, text_col: str = "text") -> DataFrame:
@@ -278,4 +279,4 @@ def mask(docs: DataFrame, tagger: Tagger | None, *, text_col: str = "text") -> D
             columns[at] = pa.array(out, pa.string())
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
-    return docs.mapInArrow(run, docs.schema)
+    return in_batches(docs, run, docs.schema)

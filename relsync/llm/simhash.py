@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from relsync.llm.common import cut, hash_key, tie_break, without
+from relsync.llm.common import cut, hash_key, in_batches, tie_break, without
 
 #: Seed of the shingle hash (the SQL function xxhash64 has the same).
 SEED = 42
@@ -86,7 +86,7 @@ def fingerprints(docs: DataFrame, *, shingle: int = 3, text_col: str = "text", n
             fps = np.fromiter((fingerprint(t.as_py(), shingle) for t in text), dtype=np.uint64, count=len(text))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(fps.view(np.int64))], names=[*batch.schema.names, name])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())]))
+    return in_batches(docs, run, T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())]))
 
 
 def _masks(radius: int) -> list[tuple[int, int]]:

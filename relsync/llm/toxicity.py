@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from relsync.llm.common import without
+from relsync.llm.common import in_batches, without
 from relsync.llm.words import hashed_pieces, text_slices
 
 #: Feature space: the upper bits of a feature's hash.
@@ -199,28 +199,30 @@ def fit(
 
     kind = T.StructType([*sample.select("id", "p", "u").schema.fields, T.StructField("features", T.BinaryType())])
     # repeated ids are reduced to one in tasks, so the driver gets the bounded sample only
-    rows = sample.select("id", "p", "u", "text").mapInArrow(run, kind).groupBy("id", "p", "u").agg(F.min("features").alias("features"))
+    rows = in_batches(sample.select("id", "p", "u", "text"), run, kind).groupBy("id", "p", "u").agg(F.min("features").alias("features"))
     rows = sorted(rows.collect(), key=lambda r: r["id"])
     read = lambda side: [np.frombuffer(r["features"], "<i4") for r in rows if r[side]]
     return fit_arrays(read("p"), read("u"), prior, seed=seed)
 
 
-def score(docs: DataFrame, model: Model, *, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
-    """``docs``, all rows and columns, with ``score`` (double, 0 to 1) and ``predicted`` (1 if the
-    score reaches ``threshold``). Null and empty texts get the score of a text without words.
-    Columns of these names are replaced."""
+def score(docs: DataFrame, model: Model, *, text_col: str = "text", threshold: float = 0.5, keep_text: bool = True) -> DataFrame:
+    """``docs``, all rows and columns (the text only with ``keep_text``), with ``score`` (double, 0
+    to 1) and ``predicted`` (1 if the score reaches ``threshold``). Null and empty texts get the
+    score of a text without words. Columns of these names are replaced."""
     spark = docs.sparkSession
     docs = without(docs, "score", "predicted")
     at, shared = docs.columns.index(text_col), spark.sparkContext.broadcast(model)
+    kept = [i for i in range(len(docs.columns)) if keep_text or i != at]
 
     def run(batches):
         for batch in batches:
             s = _score_column(batch.column(at), shared.value)
             more = [pa.array(s), pa.array((s >= threshold).astype(np.int32))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*batch.schema.names, "score", "predicted"])
+            names = [*(batch.schema.names[i] for i in kept), "score", "predicted"]
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in kept), *more], names=names)
 
     kind = [T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())]
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *kind]))
+    return in_batches(docs, run, T.StructType([*(docs.schema.fields[i] for i in kept), *kind]))
 
 
 def drop_toxic(docs: DataFrame, model: Model, *, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
@@ -232,4 +234,4 @@ def drop_toxic(docs: DataFrame, model: Model, *, text_col: str = "text", thresho
             keep = _score_column(batch.column(at), shared.value) < threshold
             yield batch.filter(pa.array(keep))
 
-    return docs.mapInArrow(run, docs.schema)
+    return in_batches(docs, run, docs.schema)
