@@ -1,18 +1,19 @@
 """Sharding by vector bin packing (operator 7).
 
-Groups (documents of equal text) are placed into a fixed number of shards so that bytes,
-words and rows come out even together: group after group, largest first, goes to the shard
-where the dot product of its vector (bytes, words, rows) with the shard's residual capacity
-is highest.
+Groups (documents of equal text) are placed whole into a fixed number of shards so that
+bytes, words and rows come out even together: group after group, largest first, goes to the
+shard where the dot product of its vector (bytes, words, rows) with the shard's residual
+capacity is highest. Only a group that holds more of a total than a shard's even share, and
+so fits no shard, is split: by a hash of the id into pieces of a bundle's share, so a text
+that a third of all rows share is spread over the shards.
 
 Scale: placing is sequential, so what it sees is bounded, whatever the number of documents.
-Groups that hold less than a small share of every total are first bundled by a hash of their
-text, into a fixed number of bundles per shard; the few groups that hold more of any total
-(at most one per such share) are split by a hash of the id into pieces below it, so a text
-that a third of all rows share is spread over the shards. Bundles and pieces (``GRAIN`` times
-the number of shards each, for each of the three totals) are placed on the driver; each
-document then looks its shard up by its own hash. No text is shuffled for that. Slots come
-from distributed prefix sums, so no shard is numbered in one task.
+Groups that hold no more than a small share of every total are first bundled, whole, by a hash
+of their text, into a fixed number of bundles per shard; of the groups that hold more there is
+at most one per such share and total. Bundles, groups and pieces (``GRAIN`` times the number of
+shards each, for each of the three totals) are placed on the driver; each document then looks
+its shard up by its own hash. No text is shuffled for that. Slots come from distributed prefix
+sums, so no shard is numbered in one task.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 
 from relsync.llm.common import cut, hash_key, running_total, tie_break, without, word_count
 
-#: Bundles per shard, and pieces of a shard's capacity into which a large group is split.
+#: Bundles per shard, and pieces of a shard's capacity into which a group that fits no shard is split.
 GRAIN = 128
 #: What each document takes beside its text.
 OVERHEAD = 16
@@ -46,19 +47,22 @@ def place(vectors: np.ndarray, shards: int) -> np.ndarray:
 
 
 def _plan(narrow: DataFrame, shards: int, grain: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(large groups: text key, first item, pieces), (rows of large groups that are items of
-    their own: text key, id key, item) and (item -> shard). Items 0 to shards * grain - 1 are
-    the bundles; all three are bounded by a few times ``shards * grain`` rows."""
+    """(large groups: text key, first item, pieces: 1 for a group that fits a shard), (rows of
+    split groups that are items of their own: text key, id key, item) and (item -> shard). Items
+    0 to shards * grain - 1 are the bundles; all three are bounded by a few times
+    ``shards * grain`` rows."""
     spark = narrow.sparkSession
     bundles, three = shards * grain, ("size", "words", "rows")
     weight = [F.sum(c).cast("long").alias(c) for c in three]
     groups = cut(narrow.withColumn("rows", F.lit(1)).groupBy("text_key").agg(*weight))
     total = groups.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in three]).first()
     share = F.greatest(*[F.col(c) / F.lit(float(max(total[c], 1))) for c in three]) * bundles
-    groups = groups.withColumn("share", share).withColumn("pieces", F.ceil("share").cast("int"))
+    # in whole numbers, so that a group of exactly a shard's size is not split
+    over = F.greatest(*[F.col(c) * shards > F.lit(total[c]) for c in three])
+    groups = groups.withColumn("share", share).withColumn("over", over)
     # of each total at most ``bundles`` groups can hold more than one bundle's share
-    large = groups.where("share > 1")
-    single = F.col("rows") <= 2 * F.col("pieces")
+    large = groups.where("share > 1 OR over").withColumn("pieces", F.when(F.col("over"), F.ceil("share")).otherwise(1).cast("int"))
+    single = F.col("over") & (F.col("rows") <= 2 * F.col("pieces"))
     split = large.where(~single).orderBy("text_key").collect()
     # a row of these holds half a bundle's share or more, so they are bounded alike
     alone = (
@@ -66,7 +70,7 @@ def _plan(narrow: DataFrame, shards: int, grain: int) -> tuple[DataFrame, DataFr
         .withColumn("rows", F.lit(1)).groupBy("text_key", "id_key").agg(*weight).orderBy("text_key", "id_key").collect()
     )
     bundle = F.pmod("text_key", F.lit(bundles)).cast("int").alias("item")
-    small = groups.where("share <= 1").groupBy(bundle).agg(*weight).orderBy("item").collect()
+    small = groups.where("share <= 1 AND NOT over").groupBy(bundle).agg(*weight).orderBy("item").collect()
     vectors, items, free = [[r[c] for c in three] for r in small], [r["item"] for r in small], bundles
     first, rows = [], []
     for r in split:
@@ -90,8 +94,8 @@ def _plan(narrow: DataFrame, shards: int, grain: int) -> tuple[DataFrame, DataFr
 def assign(docs: DataFrame, shards: int = 40, *, grain: int = GRAIN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs``, all columns and rows kept, with ``shard`` (0 to shards - 1).
 
-    Rows of equal text stay together unless their group is larger than a bundle's share of a
-    total; then its rows are split by a hash of the id. Rows equal in id and text always stay
+    Rows of equal text stay together unless their group holds more of a total than a shard's
+    even share; then its rows are split by a hash of the id. Rows equal in id and text always stay
     together. Null texts are a group of their own with 0 bytes and words. Columns of the
     name ``shard`` (and names that start with ``__`` used here) are replaced. An empty table
     gives an empty result. The same table gives the same shards again.

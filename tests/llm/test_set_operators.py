@@ -228,6 +228,22 @@ def test_shards_are_even_gapless_and_stable(spark):
     assert sum(len(v) == 1 for v in where.values()) >= 0.9 * len(where)
 
 
+def test_copies_share_a_shard_unless_they_fit_none(spark):
+    r = random.Random(11)
+    texts = [(prose(r.randint(5, 120), i), r.choice([1, 1, 2, 3, 9])) for i in range(250)] + [("fits one shard of forty", 20), ("fits none " * 5, 300)]
+    rows = [(i, t, "en", "s", 0) for i, t in enumerate(t for t, n in texts for _ in range(n))]
+    where, held = defaultdict(set), Counter()
+    for x in sharding.assign(frame(spark, rows), 40).collect():
+        where[x.text].add(x.shard)
+        held[x.shard] += 1
+    assert len(rows) / 40 > 20
+    assert {t for t, s in where.items() if len(s) > 1} == {"fits none " * 5}
+    assert set(held) == set(range(40)) and max(held.values()) <= 1.3 * len(rows) / 40
+    # a group of exactly a shard's size is kept whole
+    even = frame(spark, [(i, f"text {i % 7}", "en", "s", 0) for i in range(70)])
+    assert sorted(r.n for r in sharding.assign(even, 7).groupBy("shard", "text").agg(F.count(F.lit(1)).alias("n")).collect()) == [10] * 7
+
+
 def test_shards_of_hard_rows(spark):
     df = frame(spark)
     got = sharding.shard_documents(df, 5)
