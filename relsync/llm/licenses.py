@@ -3,8 +3,9 @@
 A text is brought to a canonical form (ASCII case, copyright lines, punctuation and
 equivalent spellings do not count), its SHA-256 digest is looked up by a hash join in the
 digests of known licence texts and notices. Looked up are entire texts only: the whole
-document, each of its blocks (between blank lines) and each of its lines; a licence's
-words inside other prose are no match.
+document, each of its blocks (between blank lines), each of its lines, and each run of blocks
+that starts like a known text of several blocks and has as many; a licence's words inside other
+prose are no match.
 
 Scale: the text is read and normalised once, in the scan stage. Only one row per document
 plus the units that matched reach the one shuffle, which is on (id, digest) with partial
@@ -14,40 +15,14 @@ digests are too many to be held by every task.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from relsync.llm.common import BROADCAST_ROWS, cut
+from relsync.llm.known_licenses import APACHE_NOTICE, ISC, KNOWN, MIT  # noqa: F401
 
-# Public licence texts and customary notices, one per row.
-MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
-
-The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
-
-THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
-ISC = """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.
-
-THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""
-APACHE_NOTICE = """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"""
-KNOWN = [
-    ("MIT", "MIT License\n\n" + MIT),
-    ("MIT", MIT),
-    ("MIT", "Released under the MIT License."),
-    ("MIT", "Licensed under the MIT License."),
-    ("MIT", "SPDX-License-Identifier: MIT"),
-    ("ISC", "ISC License\n\n" + ISC),
-    ("ISC", ISC),
-    ("ISC", "SPDX-License-Identifier: ISC"),
-    ("Apache-2.0", APACHE_NOTICE),
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("Apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL-3.0", "Licensed under the GNU General Public License, version 3."),
-    ("GPL-3.0", "SPDX-License-Identifier: GPL-3.0-only"),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("CC-BY-NC-4.0", "This work is licensed under CC BY-NC 4.0."),
-    ("CC-BY-NC-4.0", "SPDX-License-Identifier: CC-BY-NC-4.0"),
-]
 # Spellings that count as the same, after punctuation became spaces.
 SPELLINGS = [
     ("licence", "license"),
@@ -62,6 +37,8 @@ SPELLINGS = [
 ]
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 COPYRIGHT_LINE = r"(^|\n)[ \t#*/;.-]*(copyright|\(c\)|©|all rights reserved)[^\n]*"
+#: Values of the hash by which the first blocks of known texts are recognised.
+STARTS = 4096
 PUNCTUATION = r"[\x00-\x09\x0B-/:-@\[-`{-\x7F“”‘’–—…•©®™]+"
 
 
@@ -80,6 +57,27 @@ def joined(form: Column) -> Column:
     return F.trim(F.regexp_replace(form, "[ \n]+", " "))
 
 
+def blocks_of(form: Column) -> Column:
+    """The blocks of a canonical form that are not empty, each on one line."""
+    return F.filter(F.transform(F.split(form, "\n *\n[ \n]*"), lambda x: joined(x)), lambda x: x != "")
+
+
+def _start(block: Column) -> Column:
+    return F.pmod(F.xxhash64(block), F.lit(STARTS)).cast("int")
+
+
+def run_lengths(spark: SparkSession, known: list[tuple[str, str]] | DataFrame | None = None) -> Column:
+    """By the hash of a first block, the numbers of blocks of the known texts of several blocks
+    that start so: a constant whose size does not grow with the number of known texts. Different
+    blocks may share a hash; the digest decides."""
+    if not isinstance(known, DataFrame):
+        known = spark.createDataFrame(list(KNOWN if known is None else known), "license string, text string")
+    blocks = known.where("license IS NOT NULL").select(blocks_of(canonical(F.col("text"))).alias("blocks")).where("size(blocks) > 1")
+    found = blocks.groupBy(_start(F.col("blocks")[0]).alias("start")).agg(F.sort_array(F.collect_set(F.size("blocks"))).alias("sizes")).collect()
+    sizes = {r["start"]: list(r["sizes"]) for r in found}
+    return F.from_json(F.lit(json.dumps([sizes.get(i, []) for i in range(STARTS)])), "array<array<int>>")
+
+
 def known_digests(spark: SparkSession, known: list[tuple[str, str]] | DataFrame | None = None) -> DataFrame:
     """(digest, license): the smallest licence name of each known text."""
     if not isinstance(known, DataFrame):
@@ -96,7 +94,7 @@ def scan_licenses(
 ) -> DataFrame:
     """One row per (id, canonical text) of ``docs``: ``digest`` of the whole canonical text,
     ``license`` (the known licence that the whole text is, else null), ``notices`` (names of
-    the licences that whole blocks or lines of it are, sorted, comma-joined, else empty) and
+    the licences that whole blocks, lines or runs of blocks of it are, sorted, comma-joined, else empty) and
     ``copies`` (rows of that id and text).
 
     Null and empty texts: the digest of the empty text, no licence, no notices. Null ids are
@@ -110,10 +108,12 @@ def scan_licenses(
         digests = F.broadcast(digests)
     digest = lambda c: F.sha2(c.cast("binary"), 256)
     form = docs.select(F.col(id_col), canonical(F.col(text_col)).alias("__form"))
-    whole = form.select(id_col, joined(F.col("__form")).alias("__whole"), "__form")
-    blocks = F.transform(F.split("__form", "\n *\n[ \n]*"), lambda x: joined(x))
+    whole = form.select(id_col, joined(F.col("__form")).alias("__whole"), "__form", blocks_of(F.col("__form")).alias("__blocks"))
+    lengths, blocks = run_lengths(docs.sparkSession, known), F.col("__blocks")
+    runs = F.flatten(F.transform(blocks, lambda x, i: F.transform(
+        F.filter(F.get(lengths, _start(x)), lambda n: i + n <= F.size(blocks)), lambda n: F.concat_ws(" ", F.slice(blocks, i + 1, n)))))
     lines = F.transform(F.split("__form", "\n"), lambda x: F.trim(x))
-    parts = F.filter(F.concat(blocks, lines), lambda x: x != "")
+    parts = F.filter(F.concat(blocks, lines, runs), lambda x: x != "")
     unit = F.explode(F.concat(
         F.array(F.struct(F.lit(True).alias("whole"), digest(F.col("__whole")).alias("digest"))),
         F.transform(parts, lambda x: F.struct(F.lit(False).alias("whole"), digest(x).alias("digest"))),

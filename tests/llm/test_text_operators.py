@@ -71,6 +71,31 @@ def test_license_scan_ignores_case_punctuation_copyright_and_spelling(spark):
     assert licenses.scan_licenses(df.limit(0)).count() == 0
 
 
+def test_common_licenses_are_known_also_inside_longer_documents(spark):
+    from importlib.resources import files
+
+    published = files("relsync.llm").joinpath("license_texts")
+    full = {n: published.joinpath(f"{n}.txt").read_text() for n in ("Apache-2.0", "CC0-1.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0")}
+    say = {
+        "Released under the Apache License, Version 2.0.": "Apache-2.0", "SPDX-License-Identifier: GPL-3.0-or-later": "GPL-3.0", "Licensed under the BSD 3-Clause License.": "BSD-3-Clause",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.": "CC-BY-SA-4.0", "// SPDX-License-Identifier: AGPL-3.0-only": "AGPL-3.0",
+        "This project is licensed under the terms of the GNU General Public License, version 2 or later.": "GPL-2.0", "Released under the Unlicense.": "Unlicense", "Licensed under CC BY 4.0.": "CC-BY-4.0",
+    }
+    inside = {
+        "MIT": f"# The MIT License (MIT)\n\nCopyright (c) 2021 X\n\n{licenses.MIT}", "ISC": licenses.ISC, "GPL-3.0": full["GPL-3.0"], "Apache-2.0": full["Apache-2.0"],
+        "MPL-2.0": re.sub(r"(?<=\S)\n *(?=\S)", " ", full["MPL-2.0"]),
+    }
+    before, after = prose(20, 1) + "\n\n" + prose(9, 2) + "\n \n", "\n\n" + prose(8, 3)
+    rows = [(t, n, n) for n, t in full.items()] + [(f"{prose(5, 4)}\n{t}", None, n) for t, n in say.items()] + [(before + t + after, None, n) for n, t in inside.items()]
+    # a part of a text, and a text with a foreign block in it, are none
+    rows += [(before + licenses.MIT.rsplit("\n\n", 1)[0], None, ""), (licenses.ISC.replace("\n\n", "\n\nno\n\n") + after, None, "")]
+    df = spark.createDataFrame([(i, t) for i, (t, *_) in enumerate(rows)], "doc_id long, text string")
+    got = {r.doc_id: (r.license, r.notices) for r in licenses.scan_licenses(df).collect()}
+    assert [got[i][0] for i in range(len(rows))] == [r[1] for r in rows]
+    assert [r[2] in got[i][1].split(",") if r[1] is None else True for i, r in enumerate(rows)] == [True] * len(rows)
+    assert all(got[i][1] == r[2] for i, r in enumerate(rows) if r[1] is None and r[2] not in ("GPL-3.0", "MPL-2.0", "Apache-2.0"))
+
+
 def test_license_scan_beyond_the_broadcast_bound(spark, monkeypatch):
     rows = [(1, "Released under the MIT License.\nhello"), (2, "nothing")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
