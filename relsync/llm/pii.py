@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import warnings
 from bisect import bisect_right
 
 import numpy as np
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from relsync.llm.common import in_batches
+from relsync.llm.common import cut, in_batches
 from relsync.llm.tagger import Tagger, encode
 from relsync.llm.words import text_slices
 
@@ -132,10 +133,11 @@ def fit_windows(windows: list[str], tags: list[np.ndarray], *, epochs: int = 12,
     return tagger
 
 
-def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label=base_spans, sample_docs: int = SAMPLE_DOCS, max_windows: int = MAX_WINDOWS) -> Tagger | None:
-    """Train on a bounded sample of ``docs``, labelled by ``label`` (text -> spans): windows that
-    hold a digit or an @, and as many without for contrast as fall into the sample. Repeated
-    ids count once; null ids and texts are left out."""
+def sample_windows(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label=base_spans, sample_docs: int = SAMPLE_DOCS, max_windows: int = MAX_WINDOWS) -> list:
+    """At most ``max_windows`` rows (w, tags, kinds) from a bounded sample of ``docs``: windows that
+    hold a digit or an @, and one without from the head of a text. Of each kind as many labelled
+    windows as there are, up to an even share of the bound; the rest by hash from all others, for
+    contrast."""
     text = docs.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     ids = text.select("id").distinct().orderBy(F.xxhash64(F.lit(13), "id"), "id").limit(sample_docs)
     # at most sample_docs ids, which every task can hold
@@ -143,18 +145,41 @@ def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", labe
 
     def run(batches):
         for batch in batches:
-            out = ([], [])
+            out = ([], [], [])
             for t in batch.column("text").to_pylist():
                 spans, starts = label(t), window_starts(t)
                 # one window of plain text for each text with something to find
                 plain = [s for s in (0,) if starts and s not in starts]
                 for s in starts + plain:
                     out[0].append(t[s:s + WINDOW])
-                    out[1].append(tag_window(s, WINDOW, [x for x in spans if x[1] < s + WINDOW and x[2] > s]).astype(np.int8).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.string()), pa.array(out[1], pa.binary())], names=["w", "tags"])
+                    tags = tag_window(s, WINDOW, [x for x in spans if x[1] < s + WINDOW and x[2] > s])
+                    out[1].append(tags.astype(np.int8).tobytes())
+                    out[2].append(np.unique((tags[tags > 0] - 1) // 2).tolist())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(out[0], pa.string()), pa.array(out[1], pa.binary()), pa.array(out[2], pa.list_(pa.int32()))], names=["w", "tags", "kinds"])
+
+    windows = cut(in_batches(sample, run, "w string, tags binary, kinds array<int>").distinct())
+    order = (F.xxhash64(F.lit(17), "w"), "w", "tags")
+    rows = {}
+    for k in range(len(KINDS)):
+        some = windows.where(F.array_contains("kinds", k)).orderBy(*order).limit(max_windows // (len(KINDS) + 1)).collect()
+        rows |= {(r["w"], r["tags"]): r for r in some}
+    for r in windows.orderBy(*order).limit(max_windows).collect():
+        if len(rows) < max_windows:
+            rows.setdefault((r["w"], r["tags"]), r)
+    return list(rows.values())
 
-    windows = in_batches(sample, run, "w string, tags binary").distinct()
-    rows = windows.orderBy(F.xxhash64(F.lit(17), "w"), "w", "tags").limit(max_windows).collect()
+
+def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label=base_spans, sample_docs: int = SAMPLE_DOCS, max_windows: int = MAX_WINDOWS) -> Tagger | None:
+    """Train on ``sample_windows`` of ``docs``, labelled by ``label`` (text -> spans). Repeated ids
+    count once; null ids and texts are left out. Kinds without an example in the sample, and that
+    no tagger could be trained for want of any, are told by a warning."""
+    rows = sample_windows(docs, id_col=id_col, text_col=text_col, label=label, sample_docs=sample_docs, max_windows=max_windows)
+    missing = [kind for k, kind in enumerate(KINDS) if not any(k in r["kinds"] for r in rows)]
+    if len(missing) == len(KINDS):
+        warnings.warn("personal data: no labelled window in the sample, no tagger trained, base spans only", stacklevel=2)
+    elif missing:
+        warnings.warn(f"personal data: no example of {', '.join(missing)} in the sample, the tagger adds none", stacklevel=2)
     return fit_windows([r["w"] for r in rows], [np.frombuffer(r["tags"], dtype=np.int8).astype(np.int64) for r in rows])
 
 

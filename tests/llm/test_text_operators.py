@@ -333,6 +333,21 @@ def test_personal_data_base_and_tagged_spans(spark):
     assert pii.fit(docs.limit(0)) is None
 
 
+def test_training_windows_hold_rare_kinds_and_their_lack_is_told(spark):
+    rows = [(i, f"{prose(3, i)} {i} {prose(4, i + 1000)} order {i * 7}") for i in range(400)]
+    rows += [(1000 + i, f"{prose(2, i)} at 10.0.{i}.1 {prose(2, i + 50)}") for i in range(3)] + [(2000, "write to a.person@example.org now")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = pii.sample_windows(df, max_windows=50)
+    assert len(got) == 50 and len({(r.w, r.tags) for r in got}) == 50
+    assert sum(pii.KINDS.index("ip") in r.kinds for r in got) == 3 and sum(pii.KINDS.index("email") in r.kinds for r in got) == 1
+    assert sum(not r.kinds for r in got) == 46
+    assert sorted(map(tuple, got)) == sorted(map(tuple, pii.sample_windows(df.repartition(5), max_windows=50)))
+    with pytest.warns(UserWarning, match="no example of card, phone"):
+        assert pii.fit(df, max_windows=50) is not None
+    with pytest.warns(UserWarning, match="no tagger trained"):
+        assert pii.fit(df.where("doc_id < 400")) is None
+
+
 # --- toxicity
 
 
