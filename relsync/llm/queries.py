@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relsync.llm import chat, decontaminate, licenses, mixing, neighbors, pii, sharding, simhash, toxicity, urlfilter
+from relsync.llm import chat, decontaminate, exact, lexical, licenses, mixing, neighbors, periodic, pii, sharding, simhash, toxicity, urlfilter
 from relsync.llm.common import table
 
 
@@ -61,11 +61,24 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.run_digest(periodic.planted(table(spark, sf_dir, "documents")))
+
+
+def op12_exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.exact_digest(table(spark, sf_dir, "documents"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_license_scan, op2_benchmark_decontamination, op3_chat_formatting, op4_nearest_neighbours, op5_source_mixing,
         op6_personal_data, op7_sharding, op8_simhash_near_duplicates, op9_url_filter, op10_toxicity,
+        op11_periodic_runs, op12_exact_duplicates, op13_lexical_search,
     )
 }
 ORACLES: dict[str, str] = {
@@ -73,4 +86,6 @@ ORACLES: dict[str, str] = {
     "op3_chat_formatting": chat.oracle(),
     "op5_source_mixing": mixing.oracle(),
     "op9_url_filter": urlfilter.oracle(),
+    "op12_exact_duplicates": exact.oracle(),
+    "op13_lexical_search": lexical.oracle(),
 }
