@@ -38,12 +38,13 @@ def key_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """
     if not keys:
         raise ValueError("a primary key needs at least one column")
-    counted = df.groupBy(*_cols(keys)).agg(F.count(F.lit(1)).alias("n"))
+    # a key column may itself be called n or reason
+    counted = df.groupBy(*_cols(keys)).agg(F.count(F.lit(1)).alias("__n"))
     null_part = _any_null(keys)
-    return counted.where(null_part | (F.col("n") > 1)).select(
+    return counted.where(null_part | (F.col("__n") > 1)).select(
         *_cols(keys),
         F.when(null_part, F.lit("null_key")).otherwise(F.lit("duplicate_key")).alias("reason"),
-        F.col("n"),
+        F.col("__n").alias("n"),
     )
 
 
@@ -52,7 +53,7 @@ def check_primary_key(df: DataFrame, keys: Sequence[str], sample: int = 5) -> No
     rows = key_violations(df, keys).take(sample)
     if rows:
         desc = "; ".join(
-            f"{r['reason']} {tuple(r[k] for k in keys)} x{r['n']}" for r in rows
+            f"{r[len(keys)]} {tuple(r[:len(keys)])} x{r[-1]}" for r in rows
         )
         raise KeyViolation(f"primary key {tuple(keys)} violated: {desc}", rows)
 
@@ -75,7 +76,7 @@ def orphan_keys(
     refs = (
         child.where(~_any_null(child_cols))
         .groupBy(*_cols(child_cols))
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.count(F.lit(1)).alias("__n"))
     )
     pk = parent.select(
         *[F.col(f"`{p}`").alias(f"__pk{i}") for i, p in enumerate(parent_cols)]
@@ -84,10 +85,11 @@ def orphan_keys(
         lambda a, b: a & b,
         [refs[f"`{c}`"] == pk[f"__pk{i}"] for i, c in enumerate(child_cols)],
     )
-    # ``n > 0`` always holds; naming the aggregate in the condition keeps the optimizer
+    # ``__n > 0`` always holds; naming the aggregate in the condition keeps the optimizer
     # from pushing the anti join below the aggregation, which would shuffle every child
     # row (a hot key included) instead of one partial count per key and task.
-    return refs.join(pk, cond & (refs["n"] > 0), "left_anti")
+    found = refs.join(pk, cond & (refs["__n"] > 0), "left_anti")
+    return found.select(*_cols(child_cols), F.col("__n").alias("n"))
 
 
 def orphan_rows(
@@ -117,5 +119,5 @@ def check_foreign_key(
 ) -> None:
     rows = orphan_keys(child, parent, child_cols, parent_cols).take(sample)
     if rows:
-        desc = "; ".join(f"{tuple(r[c] for c in child_cols)} x{r['n']}" for r in rows)
+        desc = "; ".join(f"{tuple(r[:-1])} x{r[-1]}" for r in rows)
         raise KeyViolation(f"foreign key {tuple(child_cols)} has orphans: {desc}", rows)

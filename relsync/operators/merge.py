@@ -13,10 +13,11 @@ join key can be hot.
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from relsync.functions.types import comparable, json_text
@@ -92,6 +93,44 @@ def kept_rows(final: DataFrame, staging: DataFrame, keys: Sequence[str]) -> Data
     return final.join(_distinct_keys(staging, keys), on=keys, how="left_semi")
 
 
+def _shared_values(staging: DataFrame, final: DataFrame, keys: Sequence[str]) -> tuple[list[str], list[Column], list[Column]]:
+    """The columns both sides have beside the key, and their comparable values on either side, the
+    staging value taken in the table's type."""
+    d = diff_schemas(staging.schema, final.schema)
+    key_l = {k.lower() for k in keys}
+    shared = [c for c in d.common if c.lower() not in key_l]
+    ftype = {f.name.lower(): f.dataType for f in final.schema.fields}
+    stype = {f.name.lower(): f.dataType for f in staging.schema.fields}
+    changed = {c.lower() for c in d.type_changed}
+
+    def stored(c: str) -> Column:
+        have, want = stype[c.lower()], ftype[c.lower()]
+        if c.lower() not in changed:
+            return F.col(f"`{c}`")
+        if not store_assignable(have, want):
+            raise TypeError(f"column {c!r}: {have.simpleString()} values cannot be compared with the table's {want.simpleString()} column")
+        return store_cast(F.col(f"`{c}`"), have, want, c)
+
+    s_vals = [comparable(stored(c), ftype[c.lower()]) for c in shared]
+    f_vals = [comparable(F.col(f"`{c}`"), ftype[c.lower()]) for c in shared]
+    return shared, s_vals, f_vals
+
+
+def _operation(values: int) -> Column:
+    """insert / update / delete / unchanged of a joined row, by its ``__s`` and ``__f`` values."""
+    same: Column = reduce(
+        lambda a, b: a & b,
+        [F.col(f"__s{i}").eqNullSafe(F.col(f"__f{i}")) for i in range(values)],
+        F.lit(True),
+    )
+    return (
+        F.when(F.col("__in_f").isNull(), F.lit("insert"))
+        .when(F.col("__in_s").isNull(), F.lit("delete"))
+        .when(same, F.lit("unchanged"))
+        .otherwise(F.lit("update"))
+    )
+
+
 def diff_snapshots(staging: DataFrame, final: DataFrame, keys: Sequence[str],
                    compare: str = "exact", check_keys: bool = True) -> DataFrame:
     """``(keys..., op)`` with op insert / update / delete / unchanged for every key of either side.
@@ -115,24 +154,7 @@ def diff_snapshots(staging: DataFrame, final: DataFrame, keys: Sequence[str],
     if check_keys:
         check_primary_key(staging, keys)
         check_primary_key(final, keys)
-    d = diff_schemas(staging.schema, final.schema)
-    key_l = {k.lower() for k in keys}
-    shared = [c for c in d.common if c.lower() not in key_l]
-    ftype = {f.name.lower(): f.dataType for f in final.schema.fields}
-
-    stype = {f.name.lower(): f.dataType for f in staging.schema.fields}
-    changed = {c.lower() for c in d.type_changed}
-
-    def stored(c: str) -> Column:
-        have, want = stype[c.lower()], ftype[c.lower()]
-        if c.lower() not in changed:
-            return F.col(f"`{c}`")
-        if not store_assignable(have, want):
-            raise TypeError(f"column {c!r}: {have.simpleString()} values cannot be compared with the table's {want.simpleString()} column")
-        return store_cast(F.col(f"`{c}`"), have, want, c)
-
-    s_vals = [comparable(stored(c), ftype[c.lower()]) for c in shared]
-    f_vals = [comparable(F.col(f"`{c}`"), ftype[c.lower()]) for c in shared]
+    shared, s_vals, f_vals = _shared_values(staging, final, keys)
     if compare == "digest" and shared:
         def digest(vals):
             row = F.struct(*[v.alias(f"c{i}") for i, v in enumerate(vals)])
@@ -149,23 +171,84 @@ def diff_snapshots(staging: DataFrame, final: DataFrame, keys: Sequence[str],
         F.lit(True).alias("__in_f"),
     )
     cond = reduce(lambda a, b: a & b, [F.col(f"__k{i}") == F.col(f"__j{i}") for i in range(len(keys))])
-    same: Column = reduce(
-        lambda a, b: a & b,
-        [F.col(f"__s{i}").eqNullSafe(F.col(f"__f{i}")) for i in range(len(shared))],
-        F.lit(True),
-    )
-    op = (
-        F.when(F.col("__in_f").isNull(), F.lit("insert"))
-        .when(F.col("__in_s").isNull(), F.lit("delete"))
-        .when(same, F.lit("unchanged"))
-        .otherwise(F.lit("update"))
-    )
+    op = _operation(len(shared))
     return s.join(f, cond, "full_outer").select(
         *[F.coalesce(F.col(f"__k{i}"), F.col(f"__j{i}")).alias(k) for i, k in enumerate(keys)],
         op.alias("op"),
     )
 
 
+def merge_counted(staging: DataFrame, final: DataFrame, keys: Sequence[str],
+                  check_keys: bool = True) -> tuple[DataFrame, Observation]:
+    """``merge_snapshot`` into an existing table that also counts what it does: the merged rows, and
+    an observation that has, once they were written, a metric for each of insert, update, delete
+    and unchanged (the meaning of ``diff_snapshots``).
+
+    One plan: a full outer join on the key, whose vanished rows are counted and left out, so both
+    sides are shuffled once and nothing is read again. A stage that runs again after lost executors
+    can count twice; whoever needs certainty compares the metrics with the rows written.
+    """
+    keys = list(keys)
+    _require_keys(staging, keys, "staging")
+    _require_keys(final, keys, "final")
+    if check_keys:
+        check_primary_key(staging, keys)
+        check_primary_key(final, keys)
+    d = diff_schemas(staging.schema, final.schema)
+    shared, s_vals, f_vals = _shared_values(staging, final, keys)
+    table_side = final.select(
+        *[F.col(f"`{k}`").alias(f"__j{i}") for i, k in enumerate(keys)],
+        *[v.alias(f"__f{i}") for i, v in enumerate(f_vals)],
+        *[F.col(f"`{c}`") for c in d.removed],
+        F.lit(True).alias("__in_f"),
+    )
+    rows = staging.withColumns({"__in_s": F.lit(True), **{f"__s{i}": v for i, v in enumerate(s_vals)}})
+    cond = reduce(lambda a, b: a & b, [F.col(f"`{k}`") == F.col(f"__j{i}") for i, k in enumerate(keys)])
+    observed = Observation(f"merge_{uuid.uuid4().hex[:8]}")
+    op = _operation(len(shared))
+    joined = rows.join(table_side, cond, "full_outer").withColumn("__op", op)
+    joined = joined.observe(observed, *[F.count_if(F.col("__op") == o).alias(o) for o in OPS])
+    return conform(staging, final.schema, carried=joined.where("__op <> 'delete'")), observed
+
+
+def change_rows(new: DataFrame, old: DataFrame | None, keys: Sequence[str]) -> DataFrame:
+    """``(op, columns of new...)``: what turns the rows of ``old`` into those of ``new``, by key.
+
+    op is insert or update (the row of ``new``) or delete (the row of ``old``, in the columns of
+    ``new``); unchanged rows are left out. Applied to ``old`` by key, the result is ``new``. Columns
+    that ``old`` lacks are null in it; a value that its type cannot give the type of ``new`` is null
+    too, so the row counts as updated. Keys must be unique on both sides. One full outer join.
+    """
+    keys = list(keys)
+    _require_keys(new, keys, "new")
+    if old is None:
+        return new.select(F.lit("insert").alias("op"), *[F.col(f"`{c}`") for c in new.columns])
+    _require_keys(old, keys, "old")
+    have = {f.name.lower(): f for f in old.schema.fields}
+
+    def before(f) -> Column:
+        was = have.get(f.name.lower())
+        if was is None:
+            return F.lit(None).cast(f.dataType)
+        value = F.col(f"`{was.name}`")
+        return value if was.dataType == f.dataType else value.try_cast(f.dataType)
+
+    fields = new.schema.fields
+    is_key = {k.lower() for k in keys}
+    a = new.select(F.lit(True).alias("__in_s"), *[F.col(f"`{f.name}`").alias(f"__s{i}") for i, f in enumerate(fields)])
+    b = old.select(F.lit(True).alias("__in_f"), *[before(f).alias(f"__f{i}") for i, f in enumerate(fields)])
+    at = [i for i, f in enumerate(fields) if f.name.lower() in is_key]
+    cond = reduce(lambda x, y: x & y, [F.col(f"__s{i}") == F.col(f"__f{i}") for i in at])
+    same = reduce(lambda x, y: x & y, [
+        comparable(F.col(f"__s{i}"), f.dataType).eqNullSafe(comparable(F.col(f"__f{i}"), f.dataType))
+        for i, f in enumerate(fields) if i not in at], F.lit(True))
+    op = (F.when(F.col("__in_f").isNull(), F.lit("insert")).when(F.col("__in_s").isNull(), F.lit("delete"))
+          .when(~same, F.lit("update")))
+    gone = F.col("op") == "delete"
+    return a.join(b, cond, "full_outer").withColumn("op", op).where("op is not null").select(
+        "op", *[F.when(gone, F.col(f"__f{i}")).otherwise(F.col(f"__s{i}")).alias(f.name) for i, f in enumerate(fields)])
+
+
 def merge_stats(staging: DataFrame, final: DataFrame, keys: Sequence[str],
                 compare: str = "exact", check_keys: bool = True) -> DataFrame:
     """``(op, n)``: how many keys a delta load inserts, updates, deletes or leaves unchanged."""

@@ -24,19 +24,20 @@ from pyspark.sql import functions as F
 
 from relsync.functions.versions import VERSION_PATTERN, is_version, newest_first, version_major, \
     version_minor
+from relsync.operators.buckets import bucket_digests, compare_buckets
 from relsync.operators.checks import key_violations, orphan_keys, orphan_rows
 from relsync.operators.evolve import align, schema_diff, union_by_name
 from relsync.operators.integrity import compare_hashes
-from relsync.operators.merge import diff_snapshots, kept_rows, merge_snapshot, merge_stats, \
-    replace_snapshot, stale_rows
+from relsync.operators.merge import change_rows, diff_snapshots, kept_rows, merge_counted, merge_snapshot, \
+    merge_stats, replace_snapshot, stale_rows
 from relsync.operators.projection import project
 from relsync.plans.ledger import last_success, latest_per_dataset, latest_per_dataset_window
-from relsync.plans.release_load import plan_load
+from relsync.plans.release_load import plan_load, reference_report
 from relsync.sources.inventory import dataset_of, suggest_specs
 from relsync.sources.manifest import last_listing_wins, parse_manifest_lines, path_conflicts, \
     select_dataset
 from relsync.sources.parquet import read_dataset
-from relsync.spec import DatasetSpec, Source
+from relsync.spec import DatasetSpec, ForeignKey, Source
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -399,6 +400,55 @@ def q_fk_orphan_rows_lineitem(spark, d):
     return orphan_rows(li, parents, ["l_orderkey"], ["o_orderkey"])
 
 
+#: Two datasets that refer to each other, one of them to itself too.
+CIRCLE = [
+    DatasetSpec("orders", ("o_orderkey",), foreign_keys=(
+        ForeignKey("o_custkey", "customers", "c_custkey"), ForeignKey("o_replaces", "orders", "o_orderkey"))),
+    DatasetSpec("customers", ("c_custkey",), foreign_keys=(ForeignKey("c_firstorder", "orders", "o_orderkey"),)),
+]
+
+
+def _circle(spark, d) -> dict[str, DataFrame]:
+    """Open and pending orders, some replacing the one before; customers in credit with their first
+    order of any status. So each side has rows that the other one lacks."""
+    orders = orders_new(spark, d).withColumn("o_replaces", F.when(F.col("o_orderkey") % 4 == 0, F.col("o_orderkey") - 1))
+    first = table(spark, d, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.min("o_orderkey").alias("c_firstorder"))
+    customers = table(spark, d, "customer").where("c_acctbal > 0").select("c_custkey", "c_name").join(first, "c_custkey", "left")
+    return {"orders": orders, "customers": customers}
+
+
+def q_fk_cycle_orders(spark, d):
+    return reference_report(_circle(spark, d), CIRCLE)
+
+
+def q_merge_counted_orders(spark, d):
+    rows, _ = merge_counted(orders_new(spark, d), orders_old(spark, d), ["o_orderkey"])
+    return rows
+
+
+#: Key buckets of the orders whose changes are looked for.
+ORDER_BUCKETS = 256
+
+
+def _orders_revised(spark, d) -> DataFrame:
+    """All orders but a few dropped, a few dearer and a few added."""
+    o = table(spark, d, "orders")
+    dearer = o.where("o_orderkey % 997 <> 3").withColumn(
+        "o_totalprice", F.when(F.col("o_orderkey") % 512 == 0, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")))
+    return dearer.unionByName(o.where("o_orderkey % 1013 = 0").withColumn("o_orderkey", -F.col("o_orderkey")))
+
+
+def q_changed_buckets_orders(spark, d):
+    keys = ["o_orderkey"]
+    return compare_buckets(bucket_digests(_orders_revised(spark, d), keys, ORDER_BUCKETS),
+                           bucket_digests(table(spark, d, "orders"), keys, ORDER_BUCKETS))
+
+
+def q_change_rows_orders(spark, d):
+    old = orders_old(spark, d)
+    return change_rows(merge_snapshot(orders_new(spark, d), old, ["o_orderkey"]), old, ["o_orderkey"])
+
+
 def q_last_success_events(spark, d):
     return last_success(ledger_from_events(spark, d), "purchase").select(
         "dataset_name", "version", "load_timestamp", "rows_loaded")
@@ -504,6 +554,9 @@ QUERIES: dict[str, Query] = {
     "diff_snapshots_conversations": q_diff_snapshots_conversations,
     "diff_digest_orders": q_diff_digest_orders,
     "merge_stats_orders": q_merge_stats_orders,
+    "merge_counted_orders": q_merge_counted_orders,
+    "changed_buckets_orders": q_changed_buckets_orders,
+    "change_rows_orders": q_change_rows_orders,
     "schema_diff_orders": q_schema_diff_orders,
     "align_orders": q_align_orders,
     "union_by_name_events": q_union_by_name_events,
@@ -522,6 +575,7 @@ QUERIES: dict[str, Query] = {
     "pk_nulls_documents": q_pk_nulls_documents,
     "fk_orphans_lineitem": q_fk_orphans_lineitem,
     "fk_orphan_rows_lineitem": q_fk_orphan_rows_lineitem,
+    "fk_cycle_orders": q_fk_cycle_orders,
     "last_success_events": q_last_success_events,
     "latest_per_dataset_events": q_latest_per_dataset_events,
     "latest_per_dataset_window_events": q_latest_per_dataset_window_events,
@@ -717,6 +771,44 @@ SELECT l_orderkey, count(*) AS n FROM lineitem l
 WHERE l_orderkey IS NOT NULL
   AND NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderstatus <> 'F' AND o.o_orderkey = l.l_orderkey)
 GROUP BY l_orderkey
+""",
+    "changed_buckets_orders": f"""
+WITH f AS (SELECT CAST('0x' || substr(md5('["' || o_orderkey || '"]'), 1, 15) AS BIGINT) % {ORDER_BUCKETS} AS bucket, * FROM orders),
+n AS (SELECT * REPLACE (o_totalprice + CASE WHEN o_orderkey % 512 = 0 THEN 1 ELSE 0 END AS o_totalprice) FROM orders
+      WHERE o_orderkey % 997 <> 3
+      UNION ALL SELECT * REPLACE (-o_orderkey AS o_orderkey) FROM orders WHERE o_orderkey % 1013 = 0),
+s AS (SELECT CAST('0x' || substr(md5('["' || o_orderkey || '"]'), 1, 15) AS BIGINT) % {ORDER_BUCKETS} AS bucket, * FROM n),
+differs AS ((SELECT * FROM s EXCEPT SELECT * FROM f) UNION ALL (SELECT * FROM f EXCEPT SELECT * FROM s))
+SELECT CAST(bucket AS INTEGER) AS bucket, COALESCE(rows_new, 0) AS rows_new, COALESCE(rows_old, 0) AS rows_old,
+       bucket IN (SELECT bucket FROM differs) AS changed
+FROM (SELECT bucket, count(*) AS rows_new FROM s GROUP BY bucket)
+FULL OUTER JOIN (SELECT bucket, count(*) AS rows_old FROM f GROUP BY bucket) USING (bucket)
+""",
+    "change_rows_orders": f"""
+WITH {SQL_ORDERS}
+SELECT CASE WHEN f.o_orderkey IS NULL THEN 'insert' ELSE 'update' END AS op,
+       s.o_orderkey, CAST(s.o_custkey AS INTEGER) AS o_custkey, s.o_orderstatus, s.o_totalprice, s.o_orderdate,
+       s.o_orderpriority, f.o_legacy_code, s.o_orderyear
+FROM s LEFT JOIN f ON s.o_orderkey = f.o_orderkey
+-- a kept row changes at least in the column that it did not have
+WHERE f.o_orderkey IS NULL OR s.o_orderyear IS NOT NULL OR s.o_orderpriority <> f.o_orderpriority
+UNION ALL
+SELECT 'delete', f.o_orderkey, f.o_custkey, f.o_orderstatus, f.o_totalprice, f.o_orderdate, f.o_orderpriority,
+       f.o_legacy_code, NULL
+FROM f WHERE f.o_orderkey NOT IN (SELECT o_orderkey FROM s)
+""",
+    "fk_cycle_orders": f"""
+WITH o AS (SELECT *, CASE WHEN o_orderkey % 4 = 0 THEN o_orderkey - 1 END AS o_replaces FROM ({SQL_ORDERS_NEW})),
+c AS (SELECT c_custkey, (SELECT min(o_orderkey) FROM orders WHERE o_custkey = c_custkey) AS c_firstorder
+      FROM customer WHERE c_acctbal > 0)
+SELECT 'orders' AS "table", 'o_custkey' AS foreign_key, 'customers' AS parent, '["' || o_custkey || '"]' AS key, count(*) AS n
+FROM o WHERE o_custkey NOT IN (SELECT c_custkey FROM c) GROUP BY o_custkey
+UNION ALL
+SELECT 'orders', 'o_replaces', 'orders', '["' || o_replaces || '"]', count(*)
+FROM o WHERE o_replaces IS NOT NULL AND o_replaces NOT IN (SELECT o_orderkey FROM o) GROUP BY o_replaces
+UNION ALL
+SELECT 'customers', 'c_firstorder', 'orders', '["' || c_firstorder || '"]', count(*)
+FROM c WHERE c_firstorder IS NOT NULL AND c_firstorder NOT IN (SELECT o_orderkey FROM o) GROUP BY c_firstorder
 """,
     "fk_orphan_rows_lineitem": """
 SELECT * FROM lineitem l
@@ -789,5 +881,6 @@ FROM documents
 """,
 }
 
+ORACLES["merge_counted_orders"] = ORACLES["merge_delta_orders"]
 ORACLES["diff_digest_orders"] = ORACLES["diff_snapshots_orders"]
 ORACLES["latest_version_orders"] = ORACLES["version_sort_orders"].rstrip() + " LIMIT 1"

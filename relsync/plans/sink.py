@@ -7,12 +7,23 @@ the view, and so every reader, on the previous generation. The view names the pu
 generations that are kept (for rollback) in a property; older ones, and any a crashed load left
 unpublished, are dropped. A plain table of that name becomes the first generation.
 
+Several tables that refer to each other are published as one commit: what all their views will
+name is written to a property of the database, one catalog call that decides the commit, then
+the views are switched and the property is cleared. A process that dies in between leaves the
+property, and the next load (or ``recover``) completes the switch before anything else; an error
+while switching puts the switched views back. Between two view switches a reader of both tables
+can meet the new one beside the old one, as the catalog has no call that replaces two views.
+
 A catalog with row-level operations could use ``DataFrame.mergeInto`` instead; the
 public methods stay the same.
 """
 
 from __future__ import annotations
 
+import base64
+import json
+import logging
+import re
 import threading
 import time
 import uuid
@@ -24,12 +35,17 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from relsync.operators.evolve import diff_schemas
-from relsync.operators.merge import merge_snapshot, replace_snapshot
+from relsync.operators.merge import OPS, change_rows, merge_counted, merge_counts, merge_snapshot, replace_snapshot
 from relsync.plans import ledger as L
+from relsync.streaming.change_feed import ChangeFeed
+
+log = logging.getLogger(__name__)
 
 GEN_MARK = "__g"
 #: View property: published generations, the current one first.
 GEN_PROPERTY = "relsync.generations"
+#: Database property: a commit of several tables that was decided and may not be finished.
+COMMIT_PROPERTY = "relsync.commit"
 
 
 def _q(name: str) -> str:
@@ -38,12 +54,20 @@ def _q(name: str) -> str:
 
 @dataclass
 class Staged:
-    """A snapshot written but not yet visible; ``publish`` makes it the table."""
+    """A snapshot written but not yet visible; ``publish`` makes it the table.
+
+    generation  the sink's name of it, where it is written ahead of publishing
+    data        its rows as readers will see them; None where nothing is written yet
+    counts      rows inserted, updated, deleted and unchanged by a merge, when asked for
+    """
 
     table: str
     rows: int | None
     publish: Callable[[], int]
     discard: Callable[[], None] = lambda: None
+    generation: str | None = None
+    data: DataFrame | None = None
+    counts: dict | None = None
 
 
 class Sink(ABC):
@@ -55,10 +79,18 @@ class Sink(ABC):
     ``publish``, a sink that can write invisibly overrides it.
     """
 
-    def stage(self, table: str, df: DataFrame, keys: Sequence[str], load_type: str) -> Staged:
+    def stage(self, table: str, df: DataFrame, keys: Sequence[str], load_type: str, statistics: bool = False) -> Staged:
         write = self.replace if load_type == "full" else self.merge
         return Staged(table, None, lambda: write(table, df, keys))
 
+    def publish_together(self, staged: Sequence[Staged]) -> None:
+        """Publish several staged tables, all or none; a sink that can commit them as one overrides
+        this. One table is published by itself."""
+        if len(staged) > 1:
+            raise NotImplementedError("this sink cannot publish tables that refer to each other")
+        for s in staged:
+            s.rows = s.publish()
+
     @abstractmethod
     def ensure_database(self) -> None: ...
 
@@ -95,11 +127,12 @@ class CatalogSink(Sink):
     keep_generations  published generations kept: 2 keeps the previous one for rollback, 1 only
                       the current one
     bucket_by_key     write generations bucketed (and sorted) by key into this many buckets
+    feed              a ``ChangeFeed`` that gets the rows every published generation changed
     """
 
     def __init__(self, spark: SparkSession, database: str = "default", fmt: str = "parquet",
                  ledger_table: str = "relsync_load_ledger", keep_generations: int = 2,
-                 bucket_by_key: int | None = None):
+                 bucket_by_key: int | None = None, feed: ChangeFeed | None = None):
         self.spark = spark
         self.database = database
         self.fmt = fmt
@@ -108,6 +141,7 @@ class CatalogSink(Sink):
             raise ValueError("keep_generations must be 1 or more")
         self.keep = keep_generations
         self.bucket_by_key = bucket_by_key
+        self.feed = feed
         # appends to one table directory must not overlap (their commits share a
         # temporary folder), so ledger writes and catalog DDL are serialised
         self._lock = threading.RLock()
@@ -119,6 +153,7 @@ class CatalogSink(Sink):
     def ensure_database(self) -> None:
         with self._lock:
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {_q(self.database)}")
+            self.recover()
 
     def exists(self, table: str) -> bool:
         return self.spark.catalog.tableExists(f"{self.database}.{table}")
@@ -157,8 +192,12 @@ class CatalogSink(Sink):
             raise ValueError(f"{self.fq(table)} is a view of something else; it cannot be loaded into")
 
     # --- publishing ------------------------------------------------------------------------
+    def _new_name(self, table: str) -> str:
+        """A generation's name; names sort by the time they were made."""
+        return f"{table}{GEN_MARK}{int(time.time() * 1000):015d}_{uuid.uuid4().hex[:8]}"
+
     def _write_generation(self, table: str, df: DataFrame, keys: Sequence[str]) -> tuple[str, int]:
-        gen = f"{table}{GEN_MARK}{int(time.time() * 1000):015d}_{uuid.uuid4().hex[:8]}"
+        gen = self._new_name(table)
         obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
         bucketed = bool(self.bucket_by_key and keys)
         if bucketed:
@@ -185,53 +224,160 @@ class CatalogSink(Sink):
         names = [g for g in self.generations(table) if g.lower() in text.lower()]
         return max(names, key=len) if names else None
 
-    def _switch(self, table: str, gen: str) -> None:
-        with self._lock:
-            published = self.published(table) or []
-            if not published and self.exists(table):
-                current = self.current_generation(table)
-                if current is None:
-                    self.check_target(table)
-                    # a plain table: it becomes the generation before this one
-                    current = f"{table}{GEN_MARK}{0:015d}_{uuid.uuid4().hex[:8]}"
-                    self.spark.sql(f"ALTER TABLE {self.fq(table)} RENAME TO {self.fq(current)}")
-                    try:
-                        self._point(table, [current])
-                    except Exception:
-                        self.spark.sql(f"ALTER TABLE {self.fq(current)} RENAME TO {self.fq(table)}")
-                        raise
-                published = [current]
-            kept = [gen, *(g for g in published if g != gen)][: self.keep]
-            self._point(table, kept)
-            # names sort by write time: what is older and not kept is superseded, or was left
-            # by a crashed load. Newer ones may belong to a load still running.
-            for old in self.generations(table):
-                if old not in kept and old < gen:
-                    self.spark.sql(f"DROP TABLE IF EXISTS {self.fq(old)}")
+    def _adopt(self, table: str) -> list[str]:
+        """Published generations of ``table``, the current one first; a plain table of that name
+        becomes one. Empty where there is no table."""
+        published = self.published(table) or []
+        if published or not self.exists(table):
+            return published
+        current = self.current_generation(table)
+        if current is None:
+            self.check_target(table)
+            # a plain table: it becomes the generation before this one
+            current = f"{table}{GEN_MARK}{0:015d}_{uuid.uuid4().hex[:8]}"
+            self.spark.sql(f"ALTER TABLE {self.fq(table)} RENAME TO {self.fq(current)}")
+            try:
+                self._point(table, [current])
+            except Exception:
+                self.spark.sql(f"ALTER TABLE {self.fq(current)} RENAME TO {self.fq(table)}")
+                raise
+        return [current]
+
+    def _drop_superseded(self, table: str, kept: list[str]) -> None:
+        """Names sort by write time: what is older than the current generation and not kept is
+        superseded, or was left by a crashed load. Newer ones may belong to a load still running."""
+        for old in self.generations(table):
+            if old not in kept and old < kept[0]:
+                self.spark.sql(f"DROP TABLE IF EXISTS {self.fq(old)}")
+
+    def _body(self, generation: str) -> str:
+        """The query that reads a generation."""
+        return f"SELECT * FROM {self.fq(generation)}"
 
     def _point(self, table: str, kept: list[str]) -> None:
-        """The commit: readers of ``table`` see the first of ``kept`` from here on."""
+        """The commit of one table: readers see the first of ``kept`` from here on."""
         self.spark.sql(f"CREATE OR REPLACE VIEW {self.fq(table)} TBLPROPERTIES ('{GEN_PROPERTY}' = '{','.join(kept)}') "
-                       f"AS SELECT * FROM {self.fq(kept[0])}")
+                       f"AS {self._body(kept[0])}")
+
+    def _decide(self, target: dict[str, list[str]]) -> None:
+        """Record (or, empty, clear) what the views of several tables are to name: one catalog call."""
+        value = base64.urlsafe_b64encode(json.dumps(target).encode()).decode() if target else ""
+        self.spark.sql(f"ALTER DATABASE {_q(self.database)} SET DBPROPERTIES ('{COMMIT_PROPERTY}' = '{value}')")
+
+    def decided(self) -> dict[str, list[str]]:
+        """The commit of several tables that was decided and not finished: generations by table."""
+        if not self.spark.catalog.databaseExists(self.database):
+            return {}
+        rows = self.spark.sql(f"DESCRIBE DATABASE EXTENDED {_q(self.database)}").collect()
+        text = next((r["info_value"] for r in rows if r["info_name"] == "Properties"), "") or ""
+        found = re.search(re.escape(COMMIT_PROPERTY) + r",([A-Za-z0-9_=-]+)", text)
+        return json.loads(base64.urlsafe_b64decode(found[1])) if found else {}
+
+    def recover(self) -> list[str]:
+        """Complete a commit that a process decided but did not live to finish; the tables switched."""
+        with self._lock:
+            target = self.decided()
+            if not target:
+                return []
+            if all(self.exists(g) for kept in target.values() for g in kept[:1]):
+                for table, kept in target.items():
+                    self._point(table, kept)
+                    self._tell(table)
+            self._decide({})
+            return sorted(target)
+
+    def _tell(self, table: str) -> None:
+        """List the published generation in the change feed, if it is not listed yet."""
+        published = self.published(table) if self.feed is not None else None
+        if published:
+            self.feed.publish(table, published[0])
 
-    def stage(self, table: str, df: DataFrame, keys: Sequence[str], load_type: str) -> Staged:
-        """Check the key and write the new generation; readers still see the old one."""
+    def publish_together(self, staged: Sequence[Staged]) -> None:
+        """Make every one of ``staged`` the table, or none: see the module's text."""
+        with self._lock:
+            self.recover()
+            before = {s.table: self._adopt(s.table) for s in staged}
+            for s in staged:
+                self._tell(s.table)  # a process may have ended between its switch and its listing
+            target = {s.table: [s.generation, *(g for g in before[s.table] if g != s.generation)][: self.keep] for s in staged}
+            if len(target) > 1:
+                self._decide(target)
+            switched: list[str] = []
+            try:
+                for table, kept in target.items():
+                    self._point(table, kept)
+                    switched.append(table)
+            except Exception:
+                self._undo({t: before[t] for t in switched})
+                raise
+            finally:
+                if len(target) > 1:
+                    self._decide({})
+            for table, kept in target.items():
+                self._tell(table)
+                self._drop_superseded(table, kept)
+
+    def _undo(self, before: dict[str, list[str]]) -> None:
+        """Point views back at what they named, or drop those that were not there."""
+        for table, published in before.items():
+            try:
+                if published:
+                    self._point(table, published)
+                else:
+                    self.spark.sql(f"DROP VIEW IF EXISTS {self.fq(table)}")
+            except Exception as e:  # its new generation is then kept, see discard
+                log.error("could not put the view %s back: %s", table, e)
+
+    def stage(self, table: str, df: DataFrame, keys: Sequence[str], load_type: str, statistics: bool = False) -> Staged:
+        """Check the key and write the new generation; readers still see the old one. With
+        ``statistics`` a merge into an existing table counts what it does to rows, in the same plan."""
         self.ensure_database()
         self.check_target(table)
+        current = self.read(table) if load_type != "full" and self.exists(table) else None
+        observed = None
         if load_type == "full":
             df = replace_snapshot(df, keys) if keys else df
+        elif statistics and current is not None and keys:
+            df, observed = merge_counted(df, current, keys)
         else:
-            df = merge_snapshot(df, self.read(table) if self.exists(table) else None, keys, check_keys=bool(keys))
+            df = merge_snapshot(df, current, keys, check_keys=bool(keys))
+        if self.feed is not None and not keys:
+            raise ValueError(f"{table} has no key; a change feed needs one")
         gen, rows = self._write_generation(table, df, keys)
+        if self.feed is not None:
+            new, old = self._changed_rows(table, gen)
+            self.feed.write(table, gen, change_rows(new, old, keys))
 
         def publish() -> int:
-            self._switch(table, gen)
+            self.publish_together([staged])
             return rows
 
         def discard() -> None:
-            self.spark.sql(f"DROP TABLE IF EXISTS {self.fq(gen)}")
-
-        return Staged(table, rows, publish, discard)
+            # a view that could not be put back still reads it
+            if gen not in (self.published(table) or []):
+                self._drop_generation(table, gen)
+
+        staged = Staged(table, rows, publish, discard, gen, self._generation_rows(gen))
+        if observed is not None:
+            counts = {op: int(observed.get.get(op) or 0) for op in OPS}
+            if sum(counts[op] for op in OPS if op != "delete") != rows:
+                # tasks that ran again were counted again
+                counts = merge_counts(staged.data, current, keys, check_keys=False)
+            staged.counts = counts
+        return staged
+
+    def _changed_rows(self, table: str, gen: str) -> tuple[DataFrame, DataFrame | None]:
+        """Rows of a staged generation and of the current table (None without one) that hold all
+        differences between the two."""
+        return self._generation_rows(gen), self.read(table) if self.exists(table) else None
+
+    def _generation_rows(self, gen: str) -> DataFrame:
+        return self.spark.table(self.fq(gen))
+
+    def _drop_generation(self, table: str, gen: str) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.fq(gen)}")
+        if self.feed is not None:
+            self.feed.discard(table, gen)
 
     def replace(self, table: str, df: DataFrame, keys: Sequence[str]) -> int:
         """Full refresh: check the key, write a new generation, switch. Returns rows written."""
