@@ -1,0 +1,240 @@
+"""Periodic runs, exact duplicates and ranked lexical search against plain versions of each."""
+
+import hashlib
+import math
+import random
+import re
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from relsync.llm import exact, lexical, periodic
+
+from helpers import DOC_SCHEMA, documents, frame, prose
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+# --- periodic runs -------------------------------------------------------------------------
+def plain_runs(words, min_words=6, min_repeats=4):
+    """All runs by trying every period."""
+    n, out = len(words), []
+    for q in range(1, n // min_repeats + 1):
+        i = 0
+        while i + q < n:
+            if words[i] != words[i + q]:
+                i += 1
+                continue
+            j = i
+            while j + q < n and words[j] == words[j + q]:
+                j += 1
+            run = words[i:j + q]
+            smaller = any(all(run[x] == run[x + e] for x in range(len(run) - e)) for e in range(1, q))
+            if len(run) >= max(min_words, min_repeats * q) and not smaller:
+                out.append((i, len(run), q))
+            i = j + 1
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def repetitive(r, most):
+    """Words in which short phrases of few words are repeated back to back."""
+    words = []
+    while len(words) < most:
+        phrase = [r.choice(["a", "b", "c"][:r.randint(1, 3)]) for _ in range(r.randint(1, 6))]
+        words += phrase * r.randint(1, 7)
+    return words
+
+
+@pytest.mark.parametrize("min_words, min_repeats", [(6, 4), (2, 2), (6, 2), (9, 3), (1, 2), (40, 4)])
+def test_runs_equal_the_plain_search(min_words, min_repeats):
+    r = random.Random(5)
+    for _ in range(80):
+        texts = [repetitive(r, r.randint(0, 70)) for _ in range(4)]
+        found = periodic.find_runs([[w.encode() for w in t] for t in texts], min_words, min_repeats)
+        assert found == [plain_runs(t, min_words, min_repeats) for t in texts]
+
+
+def test_runs_of_long_texts_and_of_no_text():
+    assert periodic.find_runs([]) == [] and periodic.find_runs([[], [b"a"]]) == [[], []]
+    assert periodic.find_runs([[b"a"] * 50_000]) == [[(0, 50_000, 1)]]
+    unit = [str(i).encode() for i in range(5_000)]
+    assert periodic.find_runs([unit * 4 + unit[:7]]) == [[(0, 20_007, 5_000)]]
+    assert periodic.find_runs([unit * 3]) == [[]]  # three repeats are too few
+    with pytest.raises(ValueError):
+        periodic.find_runs([[b"a"]], min_repeats=1)
+
+
+def plain_collapse(words, runs):
+    gone = {x for s, n, q in runs for x in range(s + q, s + n)}
+    return " ".join(w for i, w in enumerate(words) if i not in gone)
+
+
+def plain_planted(doc_id, text):
+    words = WORD.findall(text or "")
+    h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+    if h % 10 == 0 and words:
+        g, n = h // 10, len(words)
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        words = [w if i < a else words[a + (i - a) % p] for i, w in enumerate(words)]
+    return words
+
+
+def test_run_query_equals_the_plain_search_on_hard_rows(spark):
+    r = random.Random(8)
+    rows = [d for d in documents(60) if d[1] is None or len(d[1]) < 10_000]
+    rows += [(1000 + i, "\t".join(repetitive(r, 60)), "en", "s", 0) for i in range(60)]
+    rows += [(2000, "a\x85b \x1c \x1c \x1c \x1c \x1c \x1c x", "en", "s", 0), (2001, "A a A a A a A a", "en", "s", 0)]
+    got = periodic.run_digest(periodic.planted(frame(spark, rows)))
+    want = []
+    for doc_id, text, *_ in rows:
+        words = plain_planted(doc_id, text)
+        runs = plain_runs(words)
+        top = min(runs, key=lambda x: (-x[1], x[0], x[2])) if runs else (None, None, None)
+        lines = "".join(f"{s},{n},{q}\n" for s, n, q in runs)
+        want.append((doc_id, len(runs), *top, 1000 * top[1] // top[2] if runs else None,
+                     hashlib.sha256(lines.encode()).hexdigest(), hashlib.sha256(plain_collapse(words, runs).encode()).hexdigest()))
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, want))
+    assert sum(w[1] > 0 for w in want) > 60
+
+
+def test_run_columns_are_replaced_and_all_rows_kept(spark):
+    rows = frame(spark).withColumn("Runs", F.lit("mine")).withColumn("collapsed", F.lit(1))
+    got = periodic.annotate(rows)
+    assert got.columns == ["doc_id", "text", "lang", "source", "n_chars", "runs", "collapsed"]
+    assert got.count() == rows.count()
+    nulls = got.where("text is null").collect()
+    assert [(x["runs"], x["collapsed"]) for x in nulls] == [([], "")]
+    assert periodic.annotate(rows.limit(0)).count() == 0
+
+
+# --- exact duplicates ------------------------------------------------------------------------
+def plain_key(text):
+    return re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+
+
+def test_exact_duplicates_equal_plain_groups(spark):
+    r = random.Random(4)
+    long = prose(400, 1)  # longer than the head
+    rows = documents(60) + [(500 + i, long + r.choice(["", " x", " X", "É", "é"]), "en", "s", 0) for i in range(30)]
+    rows += [(600 + i, r.choice(["Same", "same", "sAME", ""]), "en", None, None) for i in range(30)]
+    rows += [(700 + i, f"{i:04d}" + long[4:], "en", "s", 0) for i in range(5)]  # equal length, other head
+    groups = {}
+    for d, t, *_ in rows:
+        groups.setdefault(plain_key(t), []).append(d)
+    got = exact.exact_digest(frame(spark, rows)).collect()
+    assert len(got) == len(rows)
+    by_digest = {hashlib.sha256(k.encode()).hexdigest(): ids for k, ids in groups.items()}
+    for x in got:
+        ids = by_digest[x["text_sha256"]]
+        known = [i for i in ids if i is not None]
+        assert (x["keep_id"], x["group_size"]) == (max(known, default=None), len(ids))
+        if x["kept"]:
+            assert x["doc_id"] == x["keep_id"]
+    kept = [x["text_sha256"] for x in got if x["kept"]]
+    assert sorted(kept) == sorted(by_digest)  # one row of each text, rows of one id included
+
+
+def test_exact_deduplicate_returns_whole_rows(spark):
+    rows = documents(30) + [(5, "once", "en", "a", 1), (5, "ONCE", "en", "b", 1), (5, "once", "en", "a", 1), (4, "once", "en", "a", 1)]
+    docs = frame(spark, rows).withColumn("kept", F.lit("mine"))
+    got = exact.deduplicate(docs)
+    assert got.columns == docs.columns
+    out = got.collect()
+    assert sorted(plain_key(x["text"]) for x in out) == sorted({plain_key(t) for _, t, *_ in rows})
+    assert {x["doc_id"] for x in out if plain_key(x["text"]) == "once"} == {5}
+    assert all(x["kept"] == "mine" for x in out)
+    assert exact.deduplicate(docs.limit(0)).count() == 0
+    assert exact.find_duplicates(docs.limit(0)).count() == 0
+
+
+def test_the_bitmap_marks_every_repeated_group(spark):
+    sizes = spark.range(40_000).select(F.col("id").cast("int").alias("__octets"), F.md5(F.col("id").cast("string")).alias("__head"))
+    twice = sizes.unionByName(sizes.where("__octets % 3 = 0"))
+    bitmap, bits = exact.survivors(twice)
+    assert bits == exact.MIN_BITS
+    marked = sizes.withColumn("__place", exact._place(bits))
+    marked = marked.join(bitmap, F.expr("__place div 32768") == F.col("__bucket"), "left").where(exact._marked())
+    assert marked.where("__octets % 3 = 0").count() == 13_334
+    assert marked.where("__octets % 3 <> 0").count() < 1_000  # shared bits only
+
+
+def test_one_text_on_most_rows_is_no_hot_task(spark, monkeypatch):
+    """Group facts come back through salted copies too, with equal results."""
+    rows = [(i, "hot" if i % 3 else f"t{i}", "en", "s", 0) for i in range(600)] + [(None, "T0", "en", "s", 0)]
+    want = sorted(map(repr, exact.find_duplicates(frame(spark, rows)).collect()))
+    monkeypatch.setattr("relsync.llm.common.BROADCAST_ROWS", 0)
+    assert sorted(map(repr, exact.find_duplicates(frame(spark, rows)).collect())) == want
+    assert exact.deduplicate(frame(spark, rows)).count() == 201
+
+
+# --- ranked lexical search ---------------------------------------------------------------------
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def plain_search(docs, items, k):
+    def split(text):
+        return TERM.findall(plain_key(text))
+
+    found = [(d, split(t)) for d, t in docs]
+    found = [(d, t) for d, t in found if t]
+    n_docs, n_all = len(found), sum(len(t) for _, t in found)
+    df = {}
+    for _, t in found:
+        for x in set(t):
+            df[x] = df.get(x, 0) + 1
+    out = []
+    for item, text in items:
+        scored = []
+        for d, t in found:
+            m = 100 - 90 + (90 * len(t) * n_docs) // n_all
+            score = sum(
+                math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[x] + 1))) * ((1_000_000_000 * t.count(x)) // (1000 * t.count(x) + 8 * m))
+                for x in set(split(text)) if x in t)
+            if score > 0:
+                scored.append((-score, d is None, d or 0, d))
+        out += [(item, rank, d, -minus) for rank, (minus, _, _, d) in enumerate(sorted(scored)[:k], 1)]
+    return out
+
+
+def search_rows():
+    rows = [d for d in documents(120) if d[1] is None or len(d[1]) < 10_000]
+    rows += [(900 + i, rows[3][1], "en", "s", 0) for i in range(25)]  # more ties than ranks
+    return rows + [(950, "Kabar\x7fKABAR kabär \x85x", "en", "s", 0)]
+
+
+ITEMS = [(1, prose(12, 3)), (2, prose(30, 1003)), (3, None), (4, "..."), (None, "kabar Lobar"), (1, "漢字"), (5, "kabar Lobar"), (5, "kabar Lobar")]
+
+
+@pytest.mark.parametrize("k", [1, 10, 1000])
+@pytest.mark.parametrize("block_chars", [lexical.BLOCK_CHARS, 60])
+def test_search_equals_the_plain_ranking(spark, k, block_chars, monkeypatch):
+    monkeypatch.setattr(lexical, "_CELLS", 100)
+    rows = search_rows()
+    items = spark.createDataFrame(ITEMS, "item_id long, text string").withColumn("rank", F.lit(0))
+    got = lexical.search(frame(spark, rows).repartition(5).withColumn("score", F.lit("mine")), items, k=k, block_chars=block_chars)
+    want = plain_search([(d, t) for d, t, *_ in rows], dict.fromkeys(ITEMS), k)
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, want))
+    assert len(want) > 3 * min(k, 20)
+
+
+def test_search_of_empty_tables(spark):
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    assert lexical.search(frame(spark).limit(0), items).count() == 0
+    assert lexical.search(frame(spark), items.limit(0)).count() == 0
+    empty = spark.createDataFrame([(1, None, "en", "s", 0), (2, " . ", "en", "s", 0)], DOC_SCHEMA)
+    assert lexical.search(empty, items).count() == 0
+
+
+def test_scores_of_a_slice():
+    index = lexical.index_items([(1, "a b c"), (2, "b d")])
+    counts = [lexical._indexed("a a b d x", index.number), lexical._indexed("c", index.number)]
+    weight = lexical.weights(10, {index.number[t.encode()]: n for t, n in (("a", 3), ("b", 10), ("c", 1))}, 4)
+    got = lexical.score_slice(counts, index, weight, 10, 100)
+    w = {t: math.floor(1000 * math.log(22 / (2 * n + 1))) for t, n in (("a", 3), ("b", 10), ("c", 1))}
+
+    def part(tf, n):
+        return (1_000_000_000 * tf) // (1000 * tf + 8 * (10 + (90 * n * 10) // 100))
+
+    assert got.tolist() == [[w["a"] * part(2, 5) + w["b"] * part(1, 5), w["b"] * part(1, 5)], [w["c"] * part(1, 1), 0]]
