@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from relsync.llm.common import cut
+from relsync.llm.common import cut, lookup
 
 #: Projected dimensions (even) and the confidence of the stopping test.
 DIMS, CONFIDENCE = 10, 0.97
@@ -138,14 +138,25 @@ class Block:
         done.sort()
         self.vectors, self.points = vectors[order], points[order]
         self.ids = [ids[i] for i in order]
+        self.only: dict[int, list[int]] | None = None
         self.start, self.end = np.array([a for a, _ in done]), np.array([b for _, b in done])
         self.low = np.array([self.points[a:b].min(axis=0) for a, b in done])
         self.high = np.array([self.points[a:b].max(axis=0) for a, b in done])
 
-    def search(self, q: np.ndarray, point: np.ndarray, k: int, norm: float, bound: float, reach: float):
-        """The best k (score, id) found: projected neighbours, leaf by leaf in order of distance,
-        are verified until the next leaf is farther than ``reach`` times the squared distance of
-        the k-th best. ``bound`` is that distance as known from elsewhere."""
+    def without(self, rows: np.ndarray, own: int) -> np.ndarray:
+        """The rows that hold another id than ``own``."""
+        if self.only is None:
+            self.only = {}
+            for r, ids in enumerate(self.ids):
+                if len(ids) == 1:
+                    self.only.setdefault(ids[0], []).append(r)
+        gone = self.only.get(own)
+        return rows[~np.isin(rows, gone)] if gone else rows
+
+    def search(self, q: np.ndarray, point: np.ndarray, k: int, norm: float, bound: float, reach: float, own: int | None = None):
+        """The best k (score, id) found, ids other than ``own``: projected neighbours, leaf by leaf in
+        order of distance, are verified until the next leaf is farther than ``reach`` times the squared
+        distance of the k-th best. ``bound`` is that distance as known from elsewhere."""
         size = np.sqrt((q * q).sum())
         away = box_distance(point[None], self.low, self.high)[0]
         order = np.argsort(away, kind="stable")
@@ -155,6 +166,8 @@ class Block:
             some = order[at:at + step]
             some = some[away[some] <= reach * bound]
             rows = np.concatenate([np.arange(self.start[i], self.end[i]) for i in some])
+            if own is not None:
+                rows = self.without(rows, own)
             gap = self.points[rows] - point
             rows = rows[(gap * gap).sum(axis=1) <= reach * bound]
             score = (self.vectors[rows] * q).sum(axis=1)
@@ -162,7 +175,7 @@ class Block:
                 # each vector brings an id at least: those below the k-th cannot be needed, ties can
                 least = np.partition(score, len(score) - k)[len(score) - k]
                 rows, score = rows[score >= least], score[score >= least]
-            found += [(s, i) for s, r in zip(score.tolist(), rows.tolist(), strict=True) for i in self.ids[r]]
+            found += [(s, i) for s, r in zip(score.tolist(), rows.tolist(), strict=True) for i in self.ids[r] if i != own]
             found = sorted(found, key=lambda x: (-x[0], x[1]))[:k]
             if len(found) == k:
                 bound = min(bound, _distance(found[-1][0], size, norm))
@@ -190,30 +203,38 @@ def nearest(
     found, by largest inner product: query_id, rank (from 1), vec_id, score.
 
     Scores are inner products of the original vectors in double precision. Ties go to the
-    smaller id. Rows of the query's own id are no candidates. Null, zero and non-finite vectors
-    and rows with a null id take no part; where lengths differ, only vectors of the most
-    frequent length (the greater of equally frequent ones) do. Rows equal in id and vector
-    count once. With fewer than k candidates all are returned. Empty tables give an empty
-    result; other columns play no part.
+    smaller id. Rows of the query's own id are no candidates, however many vectors that id has.
+    Null, zero and non-finite vectors and rows with a null id take no part. An inner product needs
+    vectors of one length: every length is searched by itself. Rows equal in id and vector
+    count once; an id with several vectors is a candidate, and a query, with each. With fewer than
+    k candidates all are returned. Empty tables give an empty result; other columns play no part.
     """
     spark = vectors.sparkSession
     x = F.col(vec_col).cast("array<double>")
     rows = lambda df: valid(df.select(F.col(id_col).cast("long").alias("id"), x.alias("x")), "x").where("id IS NOT NULL")
-    base = rows(vectors)
+    base, asked = rows(vectors), rows(queries)
     squares = F.aggregate("x", F.lit(0.0), lambda s, v: s + v * v)
-    shapes = base.groupBy(F.size("x").alias("dim")).agg(F.count(F.lit(1)).alias("n"), F.max(squares).alias("most"))
-    shape = shapes.orderBy(F.desc("n"), F.desc("dim")).first()
-    result = "query_id long, rank int, vec_id long, score double"
-    if shape is None:
-        return spark.createDataFrame([], result)
-    dim = shape["dim"]
-    space = Space(dim, math.sqrt(shape["most"]), dims, seed)
+    shapes = base.groupBy(F.size("x").alias("dim")).agg(F.max(squares).alias("most"))
+    wanted = asked.groupBy(F.size("x").alias("dim")).agg(F.count(F.lit(1)).alias("n"))
+    out = None
+    for shape in shapes.join(wanted, "dim").orderBy("dim").collect():  # one row a length
+        space = Space(shape["dim"], math.sqrt(shape["most"]), dims, seed)
+        of_length = F.size("x") == shape["dim"]
+        found = _nearest(base.where(of_length), asked.where(of_length), k, space, confidence, cell, sample)
+        out = found if out is None else out.unionByName(found)
+    return out if out is not None else spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+
+
+def _nearest(base: DataFrame, queries: DataFrame, k: int, space: Space, confidence: float, cell: int, sample: int) -> DataFrame:
+    """``nearest`` for vectors ``x`` of one length."""
+    spark = base.sparkSession
+    dim, dims = space.dim, space.dims
     reach = chi_square_quantile(confidence, dims)
     need = k + 1  # the query's own row may be among them
 
     # equal vectors are one entry with their smallest ids
     same = Window.partitionBy("x").orderBy("id")
-    few = base.where(F.size("x") == dim).distinct().withColumn("r", F.row_number().over(same)).where(F.col("r") <= need)
+    few = base.distinct().withColumn("r", F.row_number().over(same)).where(F.col("r") <= need)
     entries = few.groupBy("x").agg(F.array_sort(F.collect_list("id")).alias("ids"))
 
     def project(batches):
@@ -242,16 +263,24 @@ def nearest(
     numbers = spark.createDataFrame([(c["cell"], int(a), int(m)) for c, a, m in zip(cells, first, blocks, strict=False)], "cell long, first long, many int")
     stored = entries.join(F.broadcast(numbers), "cell").select(
         (F.col("first") + F.pmod(F.xxhash64("x"), F.col("many"))).alias("block"), F.lit(0).alias("side"),
-        F.lit(None).cast("string").alias("key"), "x", "p", F.lit(None).cast("double").alias("bound"), "ids")
+        F.lit(None).cast("string").alias("key"), "x", "p", F.lit(None).cast("double").alias("bound"), F.lit(None).cast("long").alias("own"), "ids")
 
     key = F.md5(F.array_join(F.col("x").cast("array<string>"), ",").cast("binary"))
-    asked = cut(rows(queries).where(F.size("x") == dim).distinct().withColumn("key", key))
+    # where a query's id has several vectors, the search itself leaves the id out; elsewhere equal
+    # queries are searched once, and one place more makes up for the own row
+    several = base.groupBy(F.col("id").alias("held")).agg(F.min(key).alias("least"), F.max(key).alias("most"))
+    several = cut(several.where("least <> most").select("held"))
+    asked = lookup(queries.distinct(), several, F.col("id") == F.col("held"), [F.xxhash64("x")], "left")
+    named = F.when(F.col("held").isNull(), key).otherwise(F.concat_ws(":", key, "held"))
+    asked = cut(asked.withColumn("key", named).withColumnRenamed("held", "own"))
 
     def project_queries(batches):
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column("key"), b.column("x"), lists(space.query(matrix(b.column("x"), dim)))], names=["key", "x", "p"])
+            yield pa.RecordBatch.from_arrays(
+                [b.column("key"), b.column("x"), lists(space.query(matrix(b.column("x"), dim))), b.column("own")], names=["key", "x", "p", "own"])
 
-    searched = cut(asked.groupBy("key").agg(F.first("x").alias("x")).mapInArrow(project_queries, "key string, x array<double>, p array<double>"))
+    searched = asked.groupBy("key").agg(F.first("x").alias("x"), F.first("own").alias("own"))
+    searched = cut(searched.mapInArrow(project_queries, "key string, x array<double>, p array<double>, own long"))
 
     def route(lo, hi):
         def run(batches):
@@ -291,8 +320,10 @@ def nearest(
                     block = (number, Block(np.concatenate([t[0] for t in pending]), np.concatenate([t[1] for t in pending]), [i for t in pending for i in t[2]]))
                     pending = []
                 keys, out = part.column("key").to_pylist(), ([], [], [])
-                for name, q, p, bound in zip(keys, matrix(part.column("x"), dim), matrix(part.column("p"), dims), part.column("bound").to_numpy(), strict=True):
-                    for s, i in block[1].search(q, p, need, space.norm, bound, reach):
+                each = zip(keys, matrix(part.column("x"), dim), matrix(part.column("p"), dims), part.column("bound").to_numpy(),
+                           part.column("own").to_pylist(), strict=True)
+                for name, q, p, bound, own in each:
+                    for s, i in block[1].search(q, p, need, space.norm, bound, reach, own):
                         out[0].append(name), out[1].append(i), out[2].append(s)
                 yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.string()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.float64())], names=["key", "id", "score"])
 
@@ -302,16 +333,16 @@ def nearest(
         if lo >= len(cells):
             break
         if top is None:
-            open_queries = searched.withColumn("bound", F.lit(float("inf")))
+            open_queries = searched.select("key", "x", "p", F.lit(float("inf")).alias("bound"), "own")
         else:
             # squared distance of the last needed result, none where there are fewer
             size = F.sqrt(F.aggregate("x", F.lit(0.0), lambda s, v: s + v * v))
             last = top.where(F.col("r") == need).select(F.col("key").alias("of"), F.col("score").alias("least"))
             far = F.greatest(F.lit(0.0), 2 * space.norm * (space.norm - F.col("least") / size)) + 1e-9 * space.norm**2
             bound = F.when(F.col("least").isNull(), F.lit(float("inf"))).otherwise(far)
-            open_queries = searched.join(last, F.col("key") == F.col("of"), "left").select("key", "x", "p", bound.alias("bound"))
-        sent = open_queries.mapInArrow(route(lo, hi), "block long, key string, x array<double>, p array<double>, bound double")
-        sent = sent.select("block", F.lit(1).alias("side"), "key", "x", "p", "bound", F.lit(None).cast("array<long>").alias("ids"))
+            open_queries = searched.join(last, F.col("key") == F.col("of"), "left").select("key", "x", "p", bound.alias("bound"), "own")
+        sent = open_queries.mapInArrow(route(lo, hi), "block long, key string, x array<double>, p array<double>, bound double, own long")
+        sent = sent.select("block", F.lit(1).alias("side"), "key", "x", "p", "bound", "own", F.lit(None).cast("array<long>").alias("ids"))
         met = stored.unionByName(sent).repartition("block").sortWithinPartitions("block", "side")
         found = met.mapInArrow(verify, "key string, id long, score double")
         if top is not None:
