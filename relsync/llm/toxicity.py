@@ -7,11 +7,12 @@ unlabelled text clean is corrected by the prior times the risk of calling positi
 where that estimate goes below zero, which only overfitting brings about, the step goes back
 up (non-negative risk estimator). The score is the sigmoid of the classifiers' mean margin.
 
-Scale: training looks at a bounded sample (``max_positive`` and ``max_unlabelled`` documents,
-those whose ids hash lowest), reduced to hashed features in tasks before it comes to the
-driver. The model is a table of at most ``1 << BITS`` weights, sparse in practice. Scoring is
-one pass over whole texts in Arrow batches, without a shuffle; texts are hashed in bounded
-pieces, and only features that carry weight are kept.
+Scale: which features stand out in toxic text is decided by counts over all training documents
+(one pass, summed per feature in tasks before one small shuffle; at most ``1 << BITS`` features, so
+the driver's table is bounded). The optimiser looks at a bounded sample (``max_positive`` and
+``max_unlabelled`` documents, those whose ids hash lowest), of which tasks send the standing-out
+features only. Scoring is one pass over whole texts in Arrow batches, without a shuffle; texts are
+hashed in bounded pieces, and only features that carry weight are kept.
 """
 
 from __future__ import annotations
@@ -24,15 +25,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from relsync.llm.common import in_batches, without
+from relsync.llm.common import cut, in_batches, lookup, without
 from relsync.llm.words import hashed_pieces, text_slices
 
 #: Feature space: the upper bits of a feature's hash.
 BITS = 20
 #: Word beginnings that are features, by length in bytes.
 PREFIXES = (3, 4, 5, 6)
-#: Bounds of the training sample, in documents.
-MAX_POSITIVE, MAX_UNLABELLED = 2000, 5000
+#: Bounds of the optimiser's sample, in documents.
+MAX_POSITIVE, MAX_UNLABELLED = 10_000, 20_000
 FOLDS = 5
 #: What features need to count: standard errors above the rate in unlabelled text, and times
 #: the rate in clean text.
@@ -73,21 +74,34 @@ def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
+def risk(w, p_of, p_what, n_p, u_of, u_what, n_u, prior) -> tuple[float, np.ndarray]:
+    """The quantity a step descends and its gradient, for weights and bias (last) ``w``.
+
+    With sigmoid loss, s(x) the sigmoid of a margin: the unlabelled risk is mean s(u) - prior mean
+    s(p). Where it is 0 or more the non-negative risk estimate is prior mean (1 - s(p)) plus it;
+    below 0 the step goes up on it instead, so what descends is its negative.
+    """
+    size = len(w) - 1
+    s_p = _sigmoid(w[size] + np.bincount(p_of, w[p_what], n_p))
+    s_u = _sigmoid(w[size] + np.bincount(u_of, w[u_what], n_u))
+    d_p, d_u = s_p * (1 - s_p) / n_p, s_u * (1 - s_u) / n_u
+    unlabelled = s_u.mean() - prior * s_p.mean()
+    if unlabelled >= 0:
+        value, c_p, c_u = prior * (1 - s_p.mean()) + unlabelled, -2 * prior * d_p, d_u
+    else:
+        value, c_p, c_u = -unlabelled, prior * d_p, -d_u
+    g = np.bincount(p_what, c_p[p_of], size + 1) + np.bincount(u_what, c_u[u_of], size + 1)
+    g[size] = c_p.sum() + c_u.sum()
+    return float(value), g
+
+
 def _train(p_of, p_what, n_p, u_of, u_what, n_u, start, prior, rounds, step, shrink):
     """Weights and bias (last) of one classifier, from ``start``: full-batch Adam on the
     non-negative risk with sigmoid loss, weights shrunk towards zero after each step."""
     w, size = start.copy(), len(start) - 1
     first, second = np.zeros(size + 1), np.zeros(size + 1)
     for t in range(1, rounds + 1):
-        s_p = _sigmoid(w[size] + np.bincount(p_of, w[p_what], n_p))
-        s_u = _sigmoid(w[size] + np.bincount(u_of, w[u_what], n_u))
-        d_p, d_u = s_p * (1 - s_p) / n_p, s_u * (1 - s_u) / n_u
-        if s_u.mean() - prior * s_p.mean() >= 0:
-            c_p, c_u = -2 * prior * d_p, d_u
-        else:
-            c_p, c_u = prior * d_p, -d_u
-        g = np.bincount(p_what, c_p[p_of], size + 1) + np.bincount(u_what, c_u[u_of], size + 1)
-        g[size] = c_p.sum() + c_u.sum()
+        _, g = risk(w, p_of, p_what, n_p, u_of, u_what, n_u, prior)
         first, second = 0.9 * first + 0.1 * g, 0.999 * second + 0.001 * g * g
         now = step * (1 - 0.9 * t / rounds)
         w -= now * (first / (1 - 0.9**t)) / (np.sqrt(second / (1 - 0.999**t)) + 1e-8)
@@ -95,25 +109,35 @@ def _train(p_of, p_what, n_p, u_of, u_what, n_u, start, prior, rounds, step, shr
     return w[:size], w[size]
 
 
-def fit_arrays(
-    positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, *,
-    classifiers: int = 3, rounds: int = 300, step: float = 0.05, shrink: float = 0.001, seed: int = 11,
-) -> Model:
-    """Train from feature sets (one array of distinct features per document). Each classifier
-    sees all positives and another random two thirds of the unlabelled documents. Features must
-    stand out: in 3 positives at least, more frequent there by SURE standard errors, and TIMES
+def standing_out(p_n: np.ndarray, u_n: np.ndarray, n_p: int, n_u: int, prior: float) -> tuple[np.ndarray, np.ndarray]:
+    """Features that count and the weights (bias last) that training starts from, by the number of
+    positive and unlabelled documents that hold each feature.
+
+    A feature must be in 3 positives at least, more frequent there by SURE standard errors, and TIMES
     as frequent as in clean text, whose share is the unlabelled one less the prior's part. Weights
-    start at half the logarithm of that ratio, since the sigmoid loss is not convex. Without
-    positives or unlabelled documents the model scores every text 0.05."""
-    if not positive or not unlabelled:
-        return Model(np.zeros(0, np.int64), np.zeros((0, 1)), np.array([np.log(0.05 / 0.95)]), prior)
-    flat = lambda xs: (np.repeat(np.arange(len(xs), dtype=np.int32), [len(x) for x in xs]), np.concatenate(xs))
-    (p_of, p_what), (u_of, u_what), n_p, n_u = flat(positive), flat(unlabelled), len(positive), len(unlabelled)
-    p_n, u_n = np.bincount(p_what, minlength=1 << BITS), np.bincount(u_what, minlength=1 << BITS)
+    start at half the logarithm of that ratio, since the sigmoid loss is not convex.
+    """
     mean = (p_n + u_n) / (n_p + n_u)
     error = np.sqrt(np.maximum(mean * (1 - mean), 1e-12) * (1 / n_p + 1 / n_u))
     clean = np.maximum(u_n / n_u - prior * p_n / n_p, 0) / (1 - prior)
     kept = np.flatnonzero((p_n >= 3) & ((p_n / n_p - u_n / n_u) > SURE * error) & (p_n / n_p >= TIMES * clean))
+    ratio = (p_n[kept] / n_p + 1e-4) / (clean[kept] + 2 / n_u)
+    return kept, np.append(0.5 * np.clip(np.log(ratio), 0, 4), -2.0)
+
+
+def _without_examples(prior: float) -> Model:
+    """Scores every text 0.05."""
+    return Model(np.zeros(0, np.int64), np.zeros((0, 1)), np.array([np.log(0.05 / 0.95)]), prior)
+
+
+def train_arrays(
+    positive: list[np.ndarray], unlabelled: list[np.ndarray], kept: np.ndarray, start: np.ndarray, prior: float, *,
+    classifiers: int = 3, rounds: int = 300, step: float = 0.05, shrink: float = 0.001, seed: int = 11,
+) -> Model:
+    """Train on feature sets (one array of distinct features per document) from ``standing_out``. Each
+    classifier sees all positives and another random two thirds of the unlabelled documents."""
+    flat = lambda xs: (np.repeat(np.arange(len(xs), dtype=np.int32), [len(x) for x in xs]), np.concatenate(xs))
+    (p_of, p_what), (u_of, u_what), n_p, n_u = flat(positive), flat(unlabelled), len(positive), len(unlabelled)
     place = np.full(1 << BITS, -1, dtype=np.int32)
     place[kept] = np.arange(len(kept))
 
@@ -121,8 +145,6 @@ def fit_arrays(
         at = place[what]
         return of[at >= 0], at[at >= 0]
 
-    ratio = (p_n[kept] / n_p + 1e-4) / (clean[kept] + 2 / n_u)
-    start = np.append(0.5 * np.clip(np.log(ratio), 0, 4), -2.0)
     p_of, p_what = only(p_of, p_what)
     u_of, u_what = only(u_of, u_what)
     random, weights, bias = np.random.default_rng(seed), [], []
@@ -139,6 +161,16 @@ def fit_arrays(
     return Model(kept[used], weights[used], np.array(bias), prior)
 
 
+def fit_arrays(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, **options) -> Model:
+    """``train_arrays`` with the features that stand out in these same documents. Without positives
+    or unlabelled documents the model scores every text 0.05."""
+    if not positive or not unlabelled:
+        return _without_examples(prior)
+    p_n, u_n = (np.bincount(np.concatenate(x), minlength=1 << BITS) for x in (positive, unlabelled))
+    kept, start = standing_out(p_n, u_n, len(positive), len(unlabelled), prior)
+    return train_arrays(positive, unlabelled, kept, start, prior, **options)
+
+
 def score_texts(texts: list[str | None], model: Model) -> np.ndarray:
     """Score of each text, between 0 and 1."""
     place = np.full(1 << BITS, -1, dtype=np.int64)
@@ -172,7 +204,8 @@ def fit(
     Positives are documents with a label 1 (a document with several labels counts as toxic if
     one says so); unlabelled text is any document, whatever its label. The prior is the share
     of label 1 among labelled ids unless given; other labels play no part. Null ids, texts
-    and labels are left out of training, repeated ids count once.
+    and labels are left out of training. Rows that share an id are counted each when features are
+    chosen, and are one document in the sample.
     """
     spark = docs.sparkSession
     train = lambda c: c.isNotNull() & ~held_out(c)
@@ -183,9 +216,15 @@ def fit(
         prior = n["p"] / n["n"] if n["n"] else 0.0
     prior = min(max(prior, 1e-4), 0.9)
     text = docs.where(train(F.col(id_col)) & F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    toxic = cut(judged.where("y = 1").select(F.col("id").alias("toxic")))
+    p_n, u_n, n_p, n_u = feature_counts(lookup(text, toxic, F.col("id") == F.col("toxic"), [F.xxhash64("text")], "left"))
+    if not n_p or not n_u:
+        return _without_examples(prior)
+    kept, start = standing_out(p_n, u_n, n_p, n_u, prior)
+
     order = [F.xxhash64(F.lit(seed), "id"), "id"]
     ids = text.select("id").distinct()
-    some_p = ids.join(judged.where("y = 1"), "id", "left_semi").orderBy(*order).limit(max_positive)
+    some_p = ids.join(toxic, F.col("id") == F.col("toxic"), "left_semi").orderBy(*order).limit(max_positive)
     some_u = ids.orderBy(*order).limit(max_unlabelled)
     chosen = some_p.withColumn("p", F.lit(1)).unionByName(some_u.withColumn("p", F.lit(0))).groupBy("id").agg(
         F.max("p").alias("p"), F.max(1 - F.col("p")).alias("u"))
@@ -194,7 +233,7 @@ def fit(
 
     def run(batches):
         for batch in batches:
-            sets = [x.tobytes() for texts in text_slices(batch.column("text"), _BYTES) for x in feature_sets(texts)]
+            sets = [np.intersect1d(x, kept, True).astype("<i4").tobytes() for texts in text_slices(batch.column("text"), _BYTES) for x in feature_sets(texts)]
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("p"), batch.column("u"), pa.array(sets, pa.binary())], names=["id", "p", "u", "features"])
 
     kind = T.StructType([*sample.select("id", "p", "u").schema.fields, T.StructField("features", T.BinaryType())])
@@ -202,7 +241,37 @@ def fit(
     rows = in_batches(sample.select("id", "p", "u", "text"), run, kind).groupBy("id", "p", "u").agg(F.min("features").alias("features"))
     rows = sorted(rows.collect(), key=lambda r: r["id"])
     read = lambda side: [np.frombuffer(r["features"], "<i4") for r in rows if r[side]]
-    return fit_arrays(read("p"), read("u"), prior, seed=seed)
+    return train_arrays(read("p"), read("u"), kept, start, prior, seed=seed)
+
+
+def feature_counts(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, int, int]:
+    """Over all rows of (text, toxic: null where not confirmed): how many toxic and how many of all
+    rows hold each feature, and how many toxic and how many rows there are."""
+    total = 1 << BITS
+
+    def run(batches):
+        p, u = np.zeros(total + 1, dtype=np.int64), np.zeros(total + 1, dtype=np.int64)
+        for batch in batches:
+            toxic = np.asarray(batch.column("toxic").is_valid())
+            done = 0
+            for texts in text_slices(batch.column("text"), _BYTES):
+                sets = feature_sets(texts)
+                mine = toxic[done:done + len(texts)]
+                done += len(texts)
+                u += np.bincount(np.concatenate(sets), minlength=total + 1)
+                p += np.bincount(np.concatenate([x for x, t in zip(sets, mine, strict=True) if t] or [np.zeros(0, np.int64)]), minlength=total + 1)
+                u[total] += len(texts)
+                p[total] += int(mine.sum())
+        held = np.flatnonzero(u)
+        yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(p[held]), pa.array(u[held])], names=["feature", "p", "u"])
+
+    counts = in_batches(rows.select("text", "toxic"), run, "feature long, p long, u long")
+    # at most 1 << BITS features and the totals
+    found = counts.groupBy("feature").agg(F.sum("p").alias("p"), F.sum("u").alias("u")).toArrow()
+    p_n, u_n = np.zeros(total + 1, dtype=np.int64), np.zeros(total + 1, dtype=np.int64)
+    at = found.column("feature").to_numpy()
+    p_n[at], u_n[at] = found.column("p").to_numpy(), found.column("u").to_numpy()
+    return p_n[:total], u_n[:total], int(p_n[total]), int(u_n[total])
 
 
 def score(docs: DataFrame, model: Model, *, text_col: str = "text", threshold: float = 0.5, keep_text: bool = True) -> DataFrame:
