@@ -13,10 +13,12 @@ The log is folded per message to its final text, messages are rendered by a temp
 loss mask marks what a model is to learn. Control strings of the template inside texts are
 escaped reversibly, so ``read_back`` restores every turn from the rendered text.
 
-Scale: deltas are folded per (conversation, message) before the conversation is put
-together, so a conversation with many events is spread over tasks up to the point where its
-one rendered text is made; that text is one value and Spark's limit of 2 GB a value holds.
-All steps are linear in the length of the conversation.
+Scale: a log is folded per (conversation, message), so where it brings its own message numbers
+the events of a long conversation are folded in many tasks. A conversation's messages then meet in
+one task, where its one rendered text is made; that text is one value and Spark's limit of 2 GB a
+value holds, which bounds what a conversation can be. A plain table of turns (``events_of_turns``)
+is numbered by a window over the conversation: there its rows, texts included, meet in one task from
+the start, sorted and spilled by Spark. All steps are linear in the length of the conversation.
 """
 
 from __future__ import annotations

@@ -6,18 +6,22 @@ their five-word shingles, sum of smaller counts over sum of greater counts.
 
 Windows are fingerprinted by SimHash over their weighted shingles. A fingerprint is split
 into eight blocks; two fingerprints within ``radius`` bits have a block in which they differ
-by at most ``radius // 8`` bits, so the tables "block value -> items within that many bits of
-it" find every item within the radius. Items that remain within the radius over all bits are
-candidates, and the exact similarity decides.
-
-A window that holds none of the items' shingles has similarity 0, so only windows around
-shingles that occur in the benchmark are fingerprinted. That is exact and leaves a few
-windows a document. The radius is a parameter of the search: at a similarity of 0.8 about 10
-of 64 bits are expected to differ, with a deviation of 3; 22 misses hardly one in 20,000.
-
-Scale: one pass over the documents in Arrow batches, no shuffle, memory bounded by a batch
-and its longest text's word hashes. The benchmark is the stated query set: it is split by
-hash into blocks of bounded size, each broadcast for a pass of its own, so it may grow.
+by at most ``radius // 8`` bits. Window and item go on if some block is that close and then
+all 64 bits are within the radius; the exact similarity decides.
+
+At the radius that a similarity of 0.8 needs, blocks alone let most random pairs through (two
+bits of eight: 71 %), so which windows meet which items is narrowed before, without loss: a window
+as similar as that holds all but ``1 - similarity`` of an item's shingles, hence one at least of
+its rarest ones, one more than that share. Only those shingles are looked up, and only the windows
+around a hit are compared with the items that hold it. Pairs are taken in slices of bounded size.
+
+The radius is a parameter of the search: at a similarity of 0.8 about 10 of 64 bits are expected
+to differ, with a deviation of 3; 22 misses hardly one in 20,000.
+
+Scale: one pass over the documents in Arrow batches, no shuffle, memory bounded by a batch,
+its longest text's word hashes and a slice of pairs. The benchmark is the stated query set: it is
+split by hash into blocks of a bounded number of characters and items, each broadcast for a pass
+of its own, so it may grow. Items of equal shingles are compared once.
 """
 
 from __future__ import annotations
@@ -34,10 +38,12 @@ from relsync.llm.common import in_batches, without
 from relsync.llm.words import hashed_words, shingle_hashes, text_slices
 
 SHINGLE, SIMILARITY, RADIUS = 5, 0.8, 22
-#: Characters of benchmark text that one pass takes along.
-BLOCK_CHARS = 16_000_000
+#: Characters and items of the benchmark that one pass takes along.
+BLOCK_CHARS, BLOCK_ITEMS = 16_000_000, 100_000
 #: Windows fingerprinted, and bytes of text scanned (or one text, if longer), at a time.
 _AT_ONCE, _CHARS = 1 << 14, 1 << 21
+#: Pairs of a window and an item compared at a time.
+_PAIRS = 1 << 19
 
 
 @dataclass(frozen=True)
@@ -53,13 +59,26 @@ class Item:
 
 @dataclass(frozen=True)
 class SizeIndex:
-    """Items of one number of words, with the block tables over their fingerprints."""
+    """Items of one number of words; ``ids`` are the benchmark ids of each (equal items are one)."""
 
     words: int
     k: int
     items: list[Item]
     fingerprints: np.ndarray
-    near: np.ndarray  # (block, block value, item): whether the item's block is close
+    ids: list[list]
+
+
+@dataclass(frozen=True)
+class Rare:
+    """The rarest shingles of all items of one shingle length, sorted, and for each the items that
+    hold it (``holders[offsets[s]:offsets[s + 1]]``), numbered through the ``indexes``."""
+
+    k: int
+    indexes: list[SizeIndex]
+    first: np.ndarray  # number of each index's first item
+    known: np.ndarray
+    offsets: np.ndarray
+    holders: np.ndarray
 
 
 def window_fingerprints(hashes: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
@@ -93,27 +112,66 @@ def make_item(item_id: object, text: str | None, shingle: int = SHINGLE) -> Item
 
 
 def index_items(items: list[Item], radius: int = RADIUS, shingle: int = SHINGLE) -> list[SizeIndex]:
-    """Items by number of words, with their block tables."""
-    values = np.arange(256, dtype=np.uint8)
+    """Items by number of words."""
     out = []
     for words in sorted({i.words for i in items}):
-        own = [i for i in items if i.words == words]
+        equal: dict[tuple, list[Item]] = {}
+        for i in items:
+            if i.words == words:
+                equal.setdefault((i.fingerprint, i.shingles.tobytes(), i.counts.tobytes()), []).append(i)
+        own = [group[0] for group in equal.values()]
         fps = np.array([i.fingerprint for i in own], dtype=np.uint64)
-        blocks = fps.astype("<u8").view(np.uint8).reshape(-1, 8)
-        near = np.stack([np.bitwise_count(values[:, None] ^ blocks[None, :, b]) <= radius // 8 for b in range(8)])
-        out.append(SizeIndex(words, min(words, shingle), own, fps, near))
+        out.append(SizeIndex(words, min(words, shingle), own, fps, [[i.item_id for i in group] for group in equal.values()]))
+    return out
+
+
+def rare_shingles(indexes: list[SizeIndex], similarity: float = SIMILARITY) -> list[Rare]:
+    """For each shingle length, of every item so many of its rarest shingles (by the number of items
+    that hold them) that a window without any of them cannot reach the similarity.
+
+    An item of n shingles and a window of m share at most m, and s (n + m) / (1 + s) at least when
+    the similarity is s; so m is s n or more, and n (1 - s) at most of the item's are not shared.
+    """
+    out = []
+    for k in sorted({x.k for x in indexes}):
+        group = [x for x in indexes if x.k == k]
+        items = [i for x in group for i in x.items]
+        known, held = np.unique(np.concatenate([i.shingles for i in items]), return_counts=True)
+        place, holder = [], []
+        for n, item in enumerate(items):
+            at = np.searchsorted(known, item.shingles)
+            order = np.argsort(held[at], kind="stable")
+            total = int(item.counts.sum())
+            enough = np.searchsorted(np.cumsum(item.counts[order]), int(total * (1 - similarity) + 1e-9) + 1)
+            place.append(at[order[:enough + 1]])
+            holder.append(np.full(len(place[-1]), n))
+        place, holder = np.concatenate(place), np.concatenate(holder)
+        used, which = np.unique(place, return_inverse=True)
+        order = np.argsort(which, kind="stable")
+        offsets = np.searchsorted(which[order], np.arange(len(used) + 1))
+        first = np.concatenate(([0], np.cumsum([len(x.items) for x in group])))
+        out.append(Rare(k, group, first, known[used], offsets, holder[order]))
     return out
 
 
+def within(fps: np.ndarray, others: np.ndarray, radius: int) -> np.ndarray:
+    """Which pairs of fingerprints are within the radius: those with a close block are measured."""
+    apart = fps ^ others
+    blocks = np.bitwise_count(apart.astype("<u8").view(np.uint8).reshape(-1, 8))
+    close = np.flatnonzero((blocks <= radius // 8).any(axis=1))
+    return close[np.bitwise_count(apart[close]) <= radius]
+
+
 def candidates(fps: np.ndarray, index: SizeIndex, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """(window number, item number) of all pairs within the radius, by way of the block tables."""
-    blocks = fps.astype("<u8").view(np.uint8).reshape(-1, 8)
-    some = np.zeros((len(fps), len(index.items)), dtype=bool)
-    for b in range(8):
-        some |= index.near[b, blocks[:, b]]
-    w, i = np.nonzero(some)
-    close = np.bitwise_count(fps[w] ^ index.fingerprints[i]) <= radius
-    return w[close], i[close]
+    """(window number, item number) of all pairs of an index within the radius, a slice of windows
+    at a time."""
+    n, w, i = max(1, len(index.items)), [], []
+    for a in range(0, len(fps), max(1, _PAIRS // n)):
+        some = fps[a:a + max(1, _PAIRS // n)]
+        found = within(np.repeat(some, n), np.tile(index.fingerprints, len(some)), radius)
+        w.append(a + found // n)
+        i.append(found % n)
+    return np.concatenate(w or [np.zeros(0, np.int64)]), np.concatenate(i or [np.zeros(0, np.int64)])
 
 
 def weighted_similarity(window: np.ndarray, item: Item) -> float:
@@ -125,10 +183,10 @@ def weighted_similarity(window: np.ndarray, item: Item) -> float:
     return float(both / (len(window) + item.counts.sum() - both))
 
 
-def _hits(words: np.ndarray, owner: np.ndarray, k: int, known: np.ndarray) -> np.ndarray:
-    """Positions of the shingles, inside one text each, that are in ``known`` (sorted)."""
+def _hits(words: np.ndarray, owner: np.ndarray, k: int, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of the shingles, inside one text each, that are in ``known`` (sorted), and where."""
     if len(words) < k:
-        return np.zeros(0, dtype=np.int64)
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
     hashes = shingle_hashes(words, k)
     # a coarse bit table first: most shingles are no item's
     coarse = np.zeros(1 << 20, dtype=bool)
@@ -136,78 +194,103 @@ def _hits(words: np.ndarray, owner: np.ndarray, k: int, known: np.ndarray) -> np
     hit = np.flatnonzero(coarse[(hashes >> np.uint64(44)).astype(np.int64)] & (owner[: len(hashes)] == owner[k - 1:]))
     at = np.searchsorted(known, hashes[hit])
     at[at == len(known)] = 0
-    return hit[known[at] == hashes[hit]]
+    real = known[at] == hashes[hit]
+    return hit[real], at[real]
+
+
+def _slices(counts: np.ndarray, most: int):
+    """(a, b) ranges of rows whose counts sum up to ``most`` or less, or of one row."""
+    reached, a = np.cumsum(counts), 0
+    while a < len(counts):
+        b = max(a + 1, int(np.searchsorted(reached, (reached[a - 1] if a else 0) + most, "right")))
+        yield a, b
+        a = b
 
 
-def scan_texts(texts: list[str | None], indexes: list[SizeIndex], similarity: float, radius: int) -> list[list[tuple]]:
+def _spread(start: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """start[0], start[0] + 1, ..., counts[0] numbers, then those of the next row."""
+    return np.repeat(start - np.cumsum(counts) + counts, counts) + np.arange(int(counts.sum()))
+
+
+def scan_texts(texts: list[str | None], rare: list[Rare], similarity: float, radius: int) -> list[list[tuple]]:
     """Leaks of each text: (item_id, start_word, words, hamming, similarity), the best window of
     each item (ties: the earliest), in order of the items' sizes."""
     words, owner = hashed_words(texts)
-    out: list[list[tuple]] = [[] for _ in texts]
-    for k in sorted({x.k for x in indexes}):
-        group = [x for x in indexes if x.k == k]
-        known = np.unique(np.concatenate([i.shingles for x in group for i in x.items]))
-        holding = owner[_hits(words, owner, k, known)]
+    best: list[dict[tuple, tuple]] = [{} for _ in texts]
+    for r in rare:
+        holding = owner[_hits(words, owner, r.k, r.known)[0]]
         if not len(holding):
             continue
-        # from here on only the texts that hold some item's shingle
+        # from here on only the texts that hold some item's rare shingle
         some = np.isin(owner, holding)
-        own, hashes = owner[some], shingle_hashes(words[some], k)
-        hit = _hits(words[some], own, k, known)
-        texts_hit = own[hit]
-        # shingle positions first .. last are those of the hit's text
-        first, last = np.searchsorted(own, texts_hit, "left"), np.searchsorted(own, texts_hit, "right") - k
-        for index in group:
-            size = index.words - k + 1
-            # text of fewer words than the item: one window, the whole text
-            short = last - first + 1 < size
-            for whole in (False, True):
-                mine = short == whole
-                if not mine.any():
-                    continue
-                if whole:
-                    # lengths differ from text to text: one by one
-                    for d, a, b in sorted(set(zip(texts_hit[mine].tolist(), first[mine].tolist(), last[mine].tolist(), strict=True))):
-                        _judge(out[d], hashes, np.array([a]), b - a + 1, a, index, similarity, radius)
-                    continue
-                low, high = np.maximum(first[mine], hit[mine] - size + 1), np.minimum(hit[mine], last[mine] - size + 1)
-                mark = np.zeros(len(hashes) + 1, dtype=np.int32)
-                np.add.at(mark, low, 1)
-                np.add.at(mark, high + 1, -1)
-                starts = np.flatnonzero(np.cumsum(mark)[:-1] > 0)
-                fps = window_fingerprints(hashes, starts, size)
-                w, i = candidates(fps, index, radius)
-                _best(out, hashes, own, starts, fps, w, i, size, index, similarity)
+        own, hashes = owner[some], shingle_hashes(words[some], r.k)
+        hit, which = _hits(words[some], own, r.k, r.known)
+        held = r.offsets[which + 1] - r.offsets[which]
+        for a, b in _slices(held, _PAIRS):
+            item = r.holders[_spread(r.offsets[which[a:b]], held[a:b])]
+            at = np.repeat(hit[a:b], held[a:b])
+            _windows(best, hashes, own, r, item, at, similarity, radius)
+    out: list[list[tuple]] = []
+    for found in best:
+        rows = []
+        for (words_, _, _), (index, n, start, size, bits, s) in sorted(found.items(), key=lambda x: x[0]):
+            rows += [(item_id, start, size, bits, s) for item_id in index.ids[n]]
+        out.append(rows)
     return out
 
 
-def _judge(out, hashes, starts, size, first, index, similarity, radius):
-    fps = window_fingerprints(hashes, starts, size)
-    for n in candidates(fps, index, radius)[1].tolist():
-        s = weighted_similarity(hashes[starts[0]:starts[0] + size], index.items[n])
-        if s >= similarity:
-            item = index.items[n]
-            out.append((item.item_id, int(starts[0] - first), size + index.k - 1, (int(fps[0]) ^ item.fingerprint).bit_count(), s))
-
-
-def _best(out, hashes, owner, starts, fps, w, i, size, index, similarity):
-    best: dict[tuple[int, int], tuple] = {}
-    for a, n in zip(w.tolist(), i.tolist(), strict=True):
-        item, at = index.items[n], int(starts[a])
-        s = weighted_similarity(hashes[at:at + size], item)
-        if s >= similarity:
-            d = int(owner[at])
-            if (d, n) not in best or s > best[d, n][0]:
-                best[d, n] = (s, at, (int(fps[a]) ^ item.fingerprint).bit_count())
-    for (d, n), (s, at, bits) in sorted(best.items()):
-        first = int(np.searchsorted(owner, d, "left"))
-        out[d].append((index.items[n].item_id, at - first, index.words, bits, s))
-
-
-def _blocks(benchmark: DataFrame, item_col: str, text_col: str, block_chars: int) -> list[list[tuple]]:
-    """The benchmark's rows in blocks of about ``block_chars`` characters."""
-    chars = benchmark.agg(F.coalesce(F.sum(F.length(text_col)), F.lit(0))).first()[0]
-    n = max(1, -(-chars // block_chars))
+def _windows(best, hashes, own, r: Rare, item: np.ndarray, at: np.ndarray, similarity: float, radius: int) -> None:
+    """Compare every item with the windows of its size around its hits (the whole text, if shorter)."""
+    of = np.searchsorted(r.first, item, "right") - 1
+    size = np.array([x.words for x in r.indexes])[of] - r.k + 1
+    # shingle positions first .. last are those of the hit's text
+    first, last = np.searchsorted(own, own[at], "left"), np.searchsorted(own, own[at], "right") - r.k
+    short = last - first + 1 < size
+    for s, n, a, b in sorted(set(zip(of[short].tolist(), item[short].tolist(), first[short].tolist(), last[short].tolist(), strict=True))):
+        fp = window_fingerprints(hashes, np.array([a]), b - a + 1)
+        _judge(best, hashes, own, r.indexes[s], s, np.array([a]), fp, np.array([n - r.first[s]]), b - a + 1, similarity, radius)
+    low, high = np.maximum(first, at - size + 1), np.minimum(at, last - size + 1)
+    for s in np.unique(of[~short]).tolist():
+        mine = np.flatnonzero(~short & (of == s))
+        mine = mine[np.lexsort((low[mine], item[mine]))]
+        n, a, b = item[mine] - r.first[s], low[mine], high[mine]
+        # the windows of an item around neighbouring hits overlap: each is compared once. Sorted by
+        # start, and of one size, they also end in order
+        again = np.concatenate(([False], n[1:] == n[:-1]))
+        a = np.where(again, np.maximum(a, np.concatenate(([0], b[:-1])) + 1), a)
+        n, a, b = n[a <= b], a[a <= b], b[a <= b]
+        mark = np.zeros(len(hashes) + 1, dtype=np.int32)
+        np.add.at(mark, a, 1)
+        np.add.at(mark, b + 1, -1)
+        starts = np.flatnonzero(np.cumsum(mark)[:-1] > 0)
+        size_ = r.indexes[s].words - r.k + 1
+        fps = window_fingerprints(hashes, starts, size_)
+        for x, y in _slices(b - a + 1, _PAIRS):
+            counts = b[x:y] - a[x:y] + 1
+            start = _spread(a[x:y], counts)
+            w = np.searchsorted(starts, start)
+            _judge(best, hashes, own, r.indexes[s], s, start, fps[w], np.repeat(n[x:y], counts), size_, similarity, radius)
+
+
+def _judge(best, hashes, own, index: SizeIndex, number: int, starts, fps, items, size: int, similarity: float, radius: int) -> None:
+    """Keep the best window of each item, of pairs of a window and an item within the radius."""
+    for p in within(fps, index.fingerprints[items], radius).tolist():
+        n, at = int(items[p]), int(starts[p])
+        s = weighted_similarity(hashes[at:at + size], index.items[n])
+        if s < similarity:
+            continue
+        d = int(own[at])
+        start = at - int(np.searchsorted(own, d, "left"))
+        key = (index.words, number, n)
+        if key not in best[d] or (s, -start) > (best[d][key][5], -best[d][key][2]):
+            bits = (int(fps[p]) ^ index.items[n].fingerprint).bit_count()
+            best[d][key] = (index, n, start, size + index.k - 1, bits, s)
+
+
+def _blocks(benchmark: DataFrame, item_col: str, text_col: str, block_chars: int, block_items: int) -> list[list[tuple]]:
+    """The benchmark's rows in blocks of about ``block_chars`` characters and ``block_items`` items."""
+    size = benchmark.agg(F.coalesce(F.sum(F.length(text_col)), F.lit(0)).alias("chars"), F.count(F.lit(1)).alias("items")).first()
+    n = max(1, -(-size["chars"] // block_chars), -(-size["items"] // block_items))
     block = F.pmod(F.xxhash64(text_col, item_col), F.lit(n))
     rows = benchmark.select(F.col(item_col).alias("item"), F.col(text_col).alias("text"), block.alias("block"))
     for b in range(n):
@@ -217,7 +300,8 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str, block_chars: int
 
 def annotate(
     docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", item_col: str = "item_id", item_text: str = "text",
-    shingle: int = SHINGLE, similarity: float = SIMILARITY, radius: int = RADIUS, block_chars: int = BLOCK_CHARS, name: str = "leaks",
+    shingle: int = SHINGLE, similarity: float = SIMILARITY, radius: int = RADIUS, block_chars: int = BLOCK_CHARS, block_items: int = BLOCK_ITEMS,
+    name: str = "leaks",
 ) -> DataFrame:
     """``docs``, all rows and columns, with ``name``: an array of the benchmark items that the text
     leaks (item_id, start_word, n_words, hamming, similarity; the best window of each item).
@@ -235,9 +319,9 @@ def annotate(
     ])
     names = [f.name for f in leak]
     out = None
-    for rows in _blocks(benchmark, item_col, item_text, block_chars):
+    for rows in _blocks(benchmark, item_col, item_text, block_chars, block_items):
         items = [x for x in (make_item(i, t, shingle) for i, t in rows) if x]
-        shared = docs.sparkSession.sparkContext.broadcast(index_items(items, radius, shingle))
+        shared = docs.sparkSession.sparkContext.broadcast(rare_shingles(index_items(items, radius, shingle), similarity))
         again = out is not None
 
         def run(batches, shared=shared, again=again):
