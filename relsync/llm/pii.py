@@ -3,7 +3,11 @@
 The tagger is trained in numpy from labelled spans. Texts are read in overlapping windows;
 each window is decoded on its own, and a text's candidate spans from all its windows are
 reconciled together: the set of non-overlapping spans of the greatest total confidence wins.
-Spans of the base rules always stay; the tagger adds spans beside them.
+Spans of the base rules always stay; the tagger adds spans beside them: those the rules lose since
+a neighbour is swallowed with them and the whole then fails (two card numbers side by side, a phone
+number before another number). An added span is moved to the ends of the digit runs or address it
+cuts and must then be a whole, valid value of its kind (``valid``), so a number that fails its
+checksum or length is never added. For training, such pairs are made from the labelled spans.
 
 Every span holds a digit or an @ (a rule of decoding), so windows without either have nothing
 to decode and are passed over; that is exact and leaves about one window in a hundred of prose.
@@ -33,8 +37,8 @@ from relsync.llm.words import text_slices
 KINDS = ("email", "ip", "card", "phone")
 #: Characters of a window, and from one window's start to the next.
 WINDOW, STRIDE = 128, 64
-#: Bounds of the training sample.
-SAMPLE_DOCS, MAX_WINDOWS = 8000, 2000
+#: Bounds of the training sample; windows made of two labelled spans side by side, beside it.
+SAMPLE_DOCS, MAX_WINDOWS, PAIRED = 8000, 2000, 800
 #: Mean probability of its tags that an added span needs, and its least number of characters.
 CONFIDENCE, LEAST = 0.9, 7
 #: Windows decoded, and bytes of text read, at a time (or one text, if longer).
@@ -92,6 +96,37 @@ def base_spans(text: str | None) -> list[tuple[str, int, int]]:
     return out
 
 
+_WHOLE = {"email": re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"), "ip": _IP, "card": _CARD, "phone": _PHONE}
+
+
+def valid(kind: str, value: str) -> bool:
+    """Whether a text as a whole is a value of the kind, by the base rules' conditions."""
+    if not _WHOLE[kind].fullmatch(value):
+        return False
+    return (kind, 0, len(value)) in base_spans(value)
+
+
+def settle(kind: str, start: int, end: int, text: str) -> tuple[str, int, int] | None:
+    """A tagged span moved out to the ends of the digit runs (of the address, for mail) that it cuts
+    and in from characters a value cannot end with; None unless it is then valid."""
+    inside = _LOCAL.__contains__ if kind == "email" else (lambda c: "0" <= c <= "9")
+    plus = lambda c: kind == "phone" and c == "+"
+    while start < end and not (inside(text[start]) or plus(text[start])):
+        start += 1
+    while start < end and not inside(text[end - 1]):
+        end -= 1
+    least, most = max(0, end - 4 * WINDOW), min(len(text), start + 4 * WINDOW)  # a longer run is no value
+    while least < start < end and inside(text[start - 1]) and not plus(text[start]):
+        start -= 1
+    while start < end < most and inside(text[end]):
+        end += 1
+    if start > 0 and plus(text[start - 1]):
+        start -= 1
+    while start < end and text[end - 1] in "._%+":
+        end -= 1
+    return (kind, start, end) if valid(kind, text[start:end]) else None
+
+
 def window_starts(text: str) -> list[int]:
     """Starts of the windows that hold a digit or an @, on the fixed grid of STRIDE."""
     out, last = [], max(0, -(-(len(text) - WINDOW) // STRIDE))
@@ -170,6 +205,43 @@ def sample_windows(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     return list(rows.values())
 
 
+def paired_windows(rows: list[tuple[str, np.ndarray]], most: int = PAIRED, seed: int = 19) -> list[tuple[str, np.ndarray]]:
+    """Windows in which another labelled value follows a labelled one after a separator, as the rules
+    lose them: made of (window, tags) rows, in turn over the kinds, at most ``most``."""
+    whole: list[list[tuple[str, np.ndarray, int, int]]] = [[] for _ in KINDS]
+    for w, tags in rows:
+        for kind, a, b in _tag_spans(tags[:len(w)]):
+            if valid(KINDS[kind], w[a:b]):
+                whole[kind].append((w, tags, a, b))
+    random, out = np.random.default_rng(seed), []
+    some = [k for k, found in enumerate(whole) if found]
+    for n in range(most if some else 0):
+        k = some[n % len(some)]
+        w, tags, a, b = whole[k][int(random.integers(len(whole[k])))]
+        # mostly numbers of one kind meet; any two may
+        k2 = k if random.random() < 0.5 else some[int(random.integers(len(some)))]
+        v, _, c, d = whole[k2][int(random.integers(len(whole[k2])))]
+        gap = (" ", " ", " ", "  ", " - ", ", ", "; ", " / ")[int(random.integers(8))]
+        cut_ = int(random.integers(0, a + 1))  # what comes before the first value is shortened at random
+        text = w[cut_:b] + gap + v[c:d] + w[b:]
+        marks = np.concatenate([tags[cut_:b], np.zeros(len(gap), np.int64), [2 * k2 + 1], np.full(d - c - 1, 2 * k2 + 2), tags[b:len(w)]])
+        marks = np.concatenate([marks, np.zeros(WINDOW, np.int64)])[:WINDOW]
+        out.append((text[:WINDOW], marks))
+    return out
+
+
+def _tag_spans(tags: np.ndarray):
+    """(kind, start, end) of the spans that tags mark; one that begins before the window is left out."""
+    i, n = 0, len(tags)
+    while i < n:
+        j = i + 1
+        if tags[i] % 2 == 1:
+            while j < n and tags[j] == tags[i] + 1:
+                j += 1
+            yield int(tags[i] - 1) // 2, i, j
+        i = j
+
+
 def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label=base_spans, sample_docs: int = SAMPLE_DOCS, max_windows: int = MAX_WINDOWS) -> Tagger | None:
     """Train on ``sample_windows`` of ``docs``, labelled by ``label`` (text -> spans). Repeated ids
     count once; null ids and texts are left out. Kinds without an example in the sample, and that
@@ -180,7 +252,9 @@ def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", labe
         warnings.warn("personal data: no labelled window in the sample, no tagger trained, base spans only", stacklevel=2)
     elif missing:
         warnings.warn(f"personal data: no example of {', '.join(missing)} in the sample, the tagger adds none", stacklevel=2)
-    return fit_windows([r["w"] for r in rows], [np.frombuffer(r["tags"], dtype=np.int8).astype(np.int64) for r in rows])
+    pairs = [(r["w"], np.frombuffer(r["tags"], dtype=np.int8).astype(np.int64)) for r in rows]
+    pairs += paired_windows(pairs)
+    return fit_windows([w for w, _ in pairs], [t for _, t in pairs])
 
 
 def _window_spans(tags: np.ndarray, prob: np.ndarray, start: int, window: str):
@@ -246,11 +320,13 @@ def tagged_spans(texts: list[str | None], tagger: Tagger | None, confidence: flo
 
 def all_spans(texts: list[str | None], tagger: Tagger | None) -> list[tuple[list, list]]:
     """(base spans, base and added spans) of each text, by kind, then start. A span of the tagger
-    is added unless it overlaps one of the base."""
+    is added if it settles on a valid value and overlaps none of the base, nor one added before."""
     out = []
     for text, more in zip(texts, tagged_spans(texts, tagger), strict=True):
-        base = base_spans(text)
-        add = [s for s in more if not any(s[1] < b and a < s[2] for _, a, b in base)] if more else []
+        base, add = base_spans(text), []
+        for span in (settle(*s, text) for s in more):
+            if span and not any(span[1] < b and a < span[2] for _, a, b in base + add):
+                add.append(span)
         out.append((base, sorted(base + add, key=lambda s: (KINDS.index(s[0]), s[1], s[2]))))
     return out
 
@@ -286,20 +362,21 @@ def find_personal_data(docs: DataFrame, tagger: Tagger | None, *, id_col: str =
 
 def mask(docs: DataFrame, tagger: Tagger | None, *, text_col: str = "text") -> DataFrame:
     """``docs`` with every span of its texts replaced by its kind in angle brackets, all columns and
-    rows kept. Of overlapping spans the one that starts first (then the longer) is replaced."""
+    rows kept. Of overlapping spans the one that starts first (then the longer) is replaced. Null
+    texts stay null, empty ones empty."""
     shared, at = docs.sparkSession.sparkContext.broadcast(tagger), docs.columns.index(text_col)
 
     def run(batches):
         for batch in batches:
-            texts = batch.column(at).to_pylist()
             out = []
-            for text, (_, spans) in zip(texts, all_spans(texts, shared.value), strict=True):
-                parts, free = [], 0
-                for k, a, b in sorted(spans, key=lambda s: (s[1], -s[2])):
-                    if a >= free:
-                        parts += [text[free:a], f"<{k}>"]
-                        free = b
-                out.append(text if text is None else "".join(parts) + text[free:])
+            for texts in text_slices(batch.column(at), _BYTES):
+                for text, (_, spans) in zip(texts, all_spans(texts, shared.value), strict=True):
+                    parts, free = [], 0
+                    for k, a, b in sorted(spans, key=lambda s: (s[1], -s[2])):
+                        if a >= free:
+                            parts += [text[free:a], f"<{k}>"]
+                            free = b
+                    out.append(text if text is None else "".join(parts) + text[free:])
             columns = list(batch.columns)
             columns[at] = pa.array(out, pa.string())
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
