@@ -7,8 +7,9 @@ never gathers in a single task.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
-from typing import Sequence
+from typing import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -121,3 +122,58 @@ def check_foreign_key(
     if rows:
         desc = "; ".join(f"{tuple(r[:-1])} x{r[-1]}" for r in rows)
         raise KeyViolation(f"foreign key {tuple(child_cols)} has orphans: {desc}", rows)
+
+
+@dataclass(frozen=True)
+class Reference:
+    """Columns of a table that must be found in another one."""
+
+    columns: tuple[str, ...]
+    parent: DataFrame
+    parent_columns: tuple[str, ...]
+
+
+def _key_text(values: Sequence[Column]) -> Column:
+    return F.to_json(F.array(*[v.cast("string") for v in values]))
+
+
+def key_report(df: DataFrame, unique: Mapping[str, Sequence[str]], references: Mapping[str, Reference]) -> DataFrame:
+    """``(check, reason, key, n)``: every violation of all named keys and references of a table, in
+    one pass over it.
+
+    reason is ``null_key`` or ``duplicate_key`` (as ``key_violations``) for a name of ``unique``, and
+    ``orphan`` (as ``orphan_keys``; a null part passes) for a name of ``references``. ``key`` is the JSON
+    text of the values, those of a reference in the type of the parent's columns where they have one.
+    Names must differ. Each row is expanded to its keys and counted per key, with partial counts per
+    task, so a hot key costs a row a task; one join then looks the references up.
+    """
+    if set(unique) & set(references) or not (unique or references):
+        raise ValueError("checks need names of their own, and at least one")
+    entries, parents = [], None
+    for name, columns in unique.items():
+        if not columns:
+            raise ValueError("a key needs at least one column")
+        entries.append(F.struct(F.lit(name).alias("check"), _any_null(columns).alias("null"), _key_text(_cols(columns)).alias("key")))
+    for name, ref in references.items():
+        if len(ref.columns) != len(ref.parent_columns):
+            raise ValueError("foreign key and referenced key differ in length")
+        kinds = [ref.parent.schema[p].dataType for p in ref.parent_columns]
+        values = [F.coalesce(c.try_cast(t).cast("string"), c.cast("string")) for c, t in zip(_cols(ref.columns), kinds)]
+        entries.append(F.struct(F.lit(name).alias("check"), _any_null(ref.columns).alias("null"), _key_text(values).alias("key")))
+        held = ref.parent.select(F.lit(name).alias("__check"), _key_text(_cols(ref.parent_columns)).alias("__key"))
+        parents = held if parents is None else parents.unionByName(held)
+    counted = df.select(F.inline(F.array(*entries))).groupBy("check", "null", "key").agg(F.count(F.lit(1)).alias("n"))
+    is_unique = F.col("check").isin(list(unique))
+    reason = F.when(is_unique & F.col("null"), "null_key").when(is_unique & (F.col("n") > 1), "duplicate_key")
+    if parents is not None:
+        found = parents.distinct()
+        counted = counted.join(found, (F.col("check") == F.col("__check")) & (F.col("key") == F.col("__key")), "left")
+        reason = reason.when(~is_unique & ~F.col("null") & F.col("__key").isNull(), "orphan")
+    return counted.withColumn("reason", reason).where("reason IS NOT NULL").select("check", "reason", "key", "n")
+
+
+def check_keys(df: DataFrame, unique: Mapping[str, Sequence[str]], references: Mapping[str, Reference], sample: int = 5) -> None:
+    """Raise :class:`KeyViolation` when ``key_report`` finds anything: one job for all keys of a table."""
+    rows = key_report(df, unique, references).take(sample) if unique or references else []
+    if rows:
+        raise KeyViolation("; ".join(f"{r['check']}: {r['reason']} {r['key']} x{r['n']}" for r in rows), rows)

@@ -51,8 +51,8 @@ class IncrementalSink(CatalogSink):
 
     def __init__(self, spark: SparkSession, database: str = "default", fmt: str = "parquet",
                  ledger_table: str = "relsync_load_ledger", keep_generations: int = 2, buckets: int = 256,
-                 rows_per_file: int = 5_000_000, feed: ChangeFeed | None = None):
-        super().__init__(spark, database, fmt, ledger_table, keep_generations, feed=feed)
+                 rows_per_file: int = 5_000_000, feed: ChangeFeed | None = None, keep_releases: int | None = None):
+        super().__init__(spark, database, fmt, ledger_table, keep_generations, feed=feed, keep_releases=keep_releases)
         if not 1 <= buckets <= MAX_BUCKETS:
             raise ValueError(f"buckets must be 1 to {MAX_BUCKETS}")
         self.buckets = buckets

@@ -25,12 +25,13 @@ from pyspark.sql import functions as F
 from relsync.functions.versions import VERSION_PATTERN, is_version, newest_first, version_major, \
     version_minor
 from relsync.operators.buckets import bucket_digests, compare_buckets
-from relsync.operators.checks import key_violations, orphan_keys, orphan_rows
+from relsync.operators.checks import Reference, key_report, key_violations, orphan_keys, orphan_rows
 from relsync.operators.evolve import align, schema_diff, union_by_name
-from relsync.operators.integrity import compare_hashes
+from relsync.operators.integrity import compare_hashes, known_hashes
 from relsync.operators.merge import change_rows, diff_snapshots, kept_rows, merge_counted, merge_snapshot, \
     merge_stats, replace_snapshot, stale_rows
 from relsync.operators.projection import project
+from relsync.plans import tree_queries
 from relsync.plans.ledger import last_success, latest_per_dataset, latest_per_dataset_window
 from relsync.plans.release_load import plan_load, reference_report
 from relsync.sources.inventory import dataset_of, suggest_specs
@@ -400,6 +401,16 @@ def q_fk_orphan_rows_lineitem(spark, d):
     return orphan_rows(li, parents, ["l_orderkey"], ["o_orderkey"])
 
 
+def q_key_report_lineitem(spark, d):
+    """All keys of lineitem at once: its primary key, one that repeats, and three references into
+    tables that lack rows."""
+    return key_report(
+        table(spark, d, "lineitem"), {"line": ("l_orderkey", "l_linenumber"), "part_supplier": ("l_partkey", "l_suppkey")},
+        {"order": Reference(("l_orderkey",), table(spark, d, "orders").where("o_orderstatus <> 'F'"), ("o_orderkey",)),
+         "part": Reference(("l_partkey",), table(spark, d, "part").where("p_partkey % 10 <> 0"), ("p_partkey",)),
+         "supplier": Reference(("l_suppkey",), table(spark, d, "supplier").where("s_acctbal > 0"), ("s_suppkey",))})
+
+
 #: Two datasets that refer to each other, one of them to itself too.
 CIRCLE = [
     DatasetSpec("orders", ("o_orderkey",), foreign_keys=(
@@ -532,6 +543,22 @@ def q_manifest_verify_documents(spark, d):
     return compare_hashes(files, listed.unionByName(bench))
 
 
+def q_hash_decision_documents(spark, d):
+    """Files = documents, their time from the id. Remembered: src3 never; every third with another
+    length; every fifth once as it is and later at another time; the others as they are."""
+    doc = table(spark, d, "documents").where("text IS NOT NULL")
+    hour = F.make_dt_interval(hours=F.col("doc_id") % 1000)
+    files = doc.select(F.concat("source", F.lit("/"), "doc_id").alias("path"), F.octet_length("text").cast("long").alias("length"),
+                       (F.lit("2024-01-01 00:00:00").cast("timestamp") + hour).alias("modificationTime"), "doc_id", "source", F.sha1("text").alias("sha1"))
+    first = files.where("source <> 'src3'").select(
+        "path", F.when(F.col("doc_id") % 3 == 0, F.col("length") + 1).otherwise(F.col("length")).alias("length"), "modificationTime", "sha1",
+        F.lit("2024-06-01 00:00:00").cast("timestamp").alias("hashed_at"))
+    later = files.where("source <> 'src3' AND doc_id % 5 = 0").select(
+        "path", "length", (F.col("modificationTime") + F.make_dt_interval(secs=F.lit(1))).alias("modificationTime"), "sha1",
+        F.lit("2024-06-02 00:00:00").cast("timestamp").alias("hashed_at"))
+    return known_hashes(files.select("path", "length", "modificationTime"), first.unionByName(later)).select("path", "length", "sha1")
+
+
 def q_spec_suggest_documents(spark, d):
     doc = table(spark, d, "documents")
     paths = doc.select(
@@ -576,6 +603,7 @@ QUERIES: dict[str, Query] = {
     "fk_orphans_lineitem": q_fk_orphans_lineitem,
     "fk_orphan_rows_lineitem": q_fk_orphan_rows_lineitem,
     "fk_cycle_orders": q_fk_cycle_orders,
+    "key_report_lineitem": q_key_report_lineitem,
     "last_success_events": q_last_success_events,
     "latest_per_dataset_events": q_latest_per_dataset_events,
     "latest_per_dataset_window_events": q_latest_per_dataset_window_events,
@@ -586,6 +614,7 @@ QUERIES: dict[str, Query] = {
     "manifest_conflicts_documents": q_manifest_conflicts_documents,
     "manifest_last_wins_documents": q_manifest_last_wins_documents,
     "manifest_verify_documents": q_manifest_verify_documents,
+    "hash_decision_documents": q_hash_decision_documents,
     "spec_suggest_documents": q_spec_suggest_documents,
 }
 
@@ -796,6 +825,27 @@ UNION ALL
 SELECT 'delete', f.o_orderkey, f.o_custkey, f.o_orderstatus, f.o_totalprice, f.o_orderdate, f.o_orderpriority,
        f.o_legacy_code, NULL
 FROM f WHERE f.o_orderkey NOT IN (SELECT o_orderkey FROM s)
+""",
+    "hash_decision_documents": """
+SELECT source || '/' || doc_id AS path, octet_length(encode(text)) AS length,
+       CASE WHEN source <> 'src3' AND doc_id % 3 <> 0 AND doc_id % 5 <> 0 THEN sha1(text) END AS sha1
+FROM documents WHERE text IS NOT NULL
+""",
+    "key_report_lineitem": """
+SELECT 'line' AS "check", 'duplicate_key' AS reason, '["' || l_orderkey || '","' || l_linenumber || '"]' AS key, count(*) AS n
+FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1
+UNION ALL
+SELECT 'part_supplier', 'duplicate_key', '["' || l_partkey || '","' || l_suppkey || '"]', count(*)
+FROM lineitem GROUP BY l_partkey, l_suppkey HAVING count(*) > 1
+UNION ALL
+SELECT 'order', 'orphan', '["' || l_orderkey || '"]', count(*) FROM lineitem
+WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'F') GROUP BY l_orderkey
+UNION ALL
+SELECT 'part', 'orphan', '["' || l_partkey || '"]', count(*) FROM lineitem
+WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_partkey % 10 <> 0) GROUP BY l_partkey
+UNION ALL
+SELECT 'supplier', 'orphan', '["' || l_suppkey || '"]', count(*) FROM lineitem
+WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0) GROUP BY l_suppkey
 """,
     "fk_cycle_orders": f"""
 WITH o AS (SELECT *, CASE WHEN o_orderkey % 4 = 0 THEN o_orderkey - 1 END AS o_replaces FROM ({SQL_ORDERS_NEW})),
@@ -884,3 +934,7 @@ FROM documents
 ORACLES["merge_counted_orders"] = ORACLES["merge_delta_orders"]
 ORACLES["diff_digest_orders"] = ORACLES["diff_snapshots_orders"]
 ORACLES["latest_version_orders"] = ORACLES["version_sort_orders"].rstrip() + " LIMIT 1"
+
+# queries over release trees written from the tables
+QUERIES.update(tree_queries.QUERIES)
+ORACLES.update(tree_queries.ORACLES)

@@ -25,9 +25,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from relsync.operators.checks import KeyViolation, check_foreign_key, orphan_keys
+from relsync.operators.checks import KeyViolation, Reference, check_keys, orphan_keys
 from relsync.operators.evolve import SchemaDiff, diff_schemas
-from relsync.operators.integrity import hash_files, require_verified, verify_files
+from relsync.operators.integrity import hash_changed, hash_files, require_verified, settled, verify_files
 from relsync.operators.merge import merge_counts, merge_snapshot, replace_snapshot
 from relsync.operators.projection import project
 from relsync.plans.ledger import latest_per_dataset, ledger_row
@@ -97,18 +97,18 @@ def plan_load(raw: DataFrame, spec: DatasetSpec, current: DataFrame | None = Non
 
 def check_foreign_keys(rows: DataFrame, spec: DatasetSpec, parents: Callable[[str], DataFrame | None],
                        only: set[str] | None = None) -> None:
-    """Raise when a row refers to a row that the referenced table does not have. ``parents`` gives a
-    table's rows, None where there is no table; ``only`` limits the check to keys into these tables."""
+    """Raise when a row refers to a row that the referenced table does not have; one job for all of the
+    dataset's foreign keys. ``parents`` gives a table's rows, None where there is no table; ``only``
+    limits the check to keys into these tables."""
+    references = {}
     for fk in spec.foreign_keys:
         if only is not None and fk.table not in only:
             continue
         parent = parents(fk.table)
         if parent is None:
             raise KeyViolation(f"foreign key {fk.columns} of {spec.name}: no table {fk.table!r}")
-        try:
-            check_foreign_key(rows, parent, fk.columns, fk.references)
-        except KeyViolation as e:
-            raise KeyViolation(f"{spec.name} refers to {fk.table}: {e}", e.sample) from e
+        references[f"{spec.name} refers to {fk.table} by {', '.join(fk.columns)}"] = Reference(fk.columns, parent, fk.references)
+    check_keys(rows, {}, references)
 
 
 def reference_report(frames: Mapping[str, DataFrame], specs: Sequence[DatasetSpec]) -> DataFrame | None:
@@ -152,7 +152,8 @@ def _failed(sink: Sink, spec: DatasetSpec, version: str, start: dt.datetime, err
 def prepare_dataset(spark: SparkSession, spec: DatasetSpec, source: Source, version: str,
                     sink: Sink, load_type: str = "delta", force: bool = False,
                     manifest: DataFrame | None = None, schema_mode: str = "strict",
-                    last_loaded=_UNKNOWN, overlap_verify: bool = True, statistics: bool = False) -> Outcome | Prepared:
+                    last_loaded=_UNKNOWN, overlap_verify: bool = True, statistics: bool = False,
+                    remember: bool = False) -> Outcome | Prepared:
     """Everything of a load up to publishing: an outcome where there is nothing to load. Raises on
     failure after recording it in the ledger."""
     if load_type not in LOAD_TYPES:
@@ -171,11 +172,21 @@ def prepare_dataset(spark: SparkSession, spec: DatasetSpec, source: Source, vers
     pool = ThreadPoolExecutor(max_workers=1) if manifest is not None and overlap_verify else None
     try:
         sink.check_target(table)
-        inventory = file_inventory(spark, pattern)  # listed once, for both
+        inventory = file_inventory(spark, pattern, through=source.through)  # listed once, for both
 
         def verify() -> None:
-            hashed = hash_files(spark, pattern, filesystem=source.filesystem, inventory=inventory)
-            require_verified(verify_files(hashed, manifest, source.relative_prefix(spec.name), suffix=".parquet"))
+            memory = sink.hashes() if remember else None
+            if memory is None:
+                hashed, fresh = hash_files(spark, pattern, filesystem=source.filesystem, inventory=inventory), None
+            else:
+                hashed, fresh = hash_changed(spark, pattern, memory, source.filesystem, inventory)
+            try:
+                require_verified(verify_files(hashed, manifest, source.relative_prefix(spec.name), suffix=".parquet"))
+                if fresh is not None and settled(fresh).take(1):
+                    sink.remember_hashes(settled(fresh))
+            finally:
+                if fresh is not None:
+                    fresh.unpersist()
 
         checked = pool.submit(verify) if pool else None
         if manifest is not None and pool is None:
@@ -186,7 +197,7 @@ def prepare_dataset(spark: SparkSession, spec: DatasetSpec, source: Source, vers
                 checked.result()
 
         try:
-            raw = read_dataset(spark, pattern, mode=schema_mode, filesystem=source.filesystem, inventory=inventory)
+            raw = read_dataset(spark, pattern, mode=schema_mode, filesystem=source.filesystem, inventory=inventory, through=source.through)
             staged_df = project(raw, spec)
             keys = list(spec.output_key())
             have = {c.lower() for c in staged_df.columns}
@@ -241,6 +252,8 @@ def publish_group(group: Sequence[Prepared], sink: Sink, statistics: bool = Fals
             for p in group:
                 if p.current is not None:
                     counts[p.spec.name] = p.staged.counts or merge_counts(p.rows, p.current, list(p.spec.output_key()))
+        for p in group:
+            p.staged.release = p.version
         sink.publish_together([p.staged for p in group])
     except Exception as e:
         for p in group:
@@ -256,16 +269,18 @@ def publish_group(group: Sequence[Prepared], sink: Sink, statistics: bool = Fals
 def load_dataset(spark: SparkSession, spec: DatasetSpec, source: Source, version: str,
                  sink: Sink, load_type: str = "delta", force: bool = False,
                  manifest: DataFrame | None = None, schema_mode: str = "strict",
-                 last_loaded=_UNKNOWN, overlap_verify: bool = True, statistics: bool = False) -> Outcome:
+                 last_loaded=_UNKNOWN, overlap_verify: bool = True, statistics: bool = False,
+                 remember: bool = False) -> Outcome:
     """Load one dataset of a release. Raises on failure after recording it in the ledger.
 
     ``last_loaded`` is the dataset's latest successful release when the caller already
     knows it (``load_release`` reads the ledger once for all datasets). ``statistics`` counts
     inserted, updated, deleted and unchanged keys of a merge, in the merge's own plan where the
-    sink can, else by one more join. References to itself are checked on the new rows.
+    sink can, else by one more join. References to itself are checked on the new rows. ``remember``
+    keeps file hashes in the sink, and reads only files for checksums that it does not know as they are.
     """
     done = prepare_dataset(spark, spec, source, version, sink, load_type, force, manifest, schema_mode,
-                           last_loaded, overlap_verify, statistics)
+                           last_loaded, overlap_verify, statistics, remember)
     return done if isinstance(done, Outcome) else publish_group([done], sink, statistics)[0]
 
 
@@ -334,7 +349,8 @@ def load_release(spark: SparkSession, specs: Sequence[DatasetSpec], source: Sour
                  sink: Sink, version: str | None = None,
                  datasets: Sequence[str] | None = None, load_type: str = "delta",
                  force: bool = False, continue_on_error: bool = True, verify: bool = True,
-                 schema_mode: str = "strict", max_workers: int = 4, statistics: bool = False) -> DataFrame:
+                 schema_mode: str = "strict", max_workers: int = 4, statistics: bool = False,
+                 remember: bool = False) -> DataFrame:
     """Load a release (default: the newest). One outcome row per dataset.
 
     Pre-flight checks and the manifest check run first; a failure there loads nothing.
@@ -369,7 +385,7 @@ def load_release(spark: SparkSession, specs: Sequence[DatasetSpec], source: Sour
     def prepare(spec: DatasetSpec) -> Outcome | Prepared:
         with running:
             return prepare_dataset(spark, spec, source, version, sink, load_type, force,
-                                   manifest, schema_mode, latest.get(spec.name), statistics=statistics)
+                                   manifest, schema_mode, latest.get(spec.name), statistics=statistics, remember=remember)
 
     def run(group: list[DatasetSpec]) -> list[Outcome]:
         if stop.is_set():

@@ -14,6 +14,9 @@ property, and the next load (or ``recover``) completes the switch before anythin
 while switching puts the switched views back. Between two view switches a reader of both tables
 can meet the new one beside the old one, as the catalog has no call that replaces two views.
 
+The view's property names each kept generation with the release it holds, in the same call that
+switches the view, so a table can be read as of a release (``read_as_of``), and kept by release.
+
 A catalog with row-level operations could use ``DataFrame.mergeInto`` instead; the
 public methods stay the same.
 """
@@ -35,14 +38,16 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from relsync.operators.evolve import diff_schemas
+from relsync.operators.integrity import MEMORY_SCHEMA
 from relsync.operators.merge import OPS, change_rows, merge_counted, merge_counts, merge_snapshot, replace_snapshot
+from relsync.functions.versions import version_key
 from relsync.plans import ledger as L
 from relsync.streaming.change_feed import ChangeFeed
 
 log = logging.getLogger(__name__)
 
 GEN_MARK = "__g"
-#: View property: published generations, the current one first.
+#: View property: published generations, the current one first, each as ``name`` or ``name@release``.
 GEN_PROPERTY = "relsync.generations"
 #: Database property: a commit of several tables that was decided and may not be finished.
 COMMIT_PROPERTY = "relsync.commit"
@@ -52,6 +57,10 @@ def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def _generation(entry: str) -> str:
+    return entry.split("@", 1)[0]
+
+
 @dataclass
 class Staged:
     """A snapshot written but not yet visible; ``publish`` makes it the table.
@@ -59,6 +68,7 @@ class Staged:
     generation  the sink's name of it, where it is written ahead of publishing
     data        its rows as readers will see them; None where nothing is written yet
     counts      rows inserted, updated, deleted and unchanged by a merge, when asked for
+    release     the release that the rows come from, where the loader names it before publishing
     """
 
     table: str
@@ -68,6 +78,7 @@ class Staged:
     generation: str | None = None
     data: DataFrame | None = None
     counts: dict | None = None
+    release: str | None = None
 
 
 class Sink(ABC):
@@ -115,6 +126,13 @@ class Sink(ABC):
     @abstractmethod
     def record(self, row: tuple) -> None: ...
 
+    def hashes(self) -> DataFrame | None:
+        """Remembered file hashes (``integrity.MEMORY_SCHEMA``); None: this sink remembers none."""
+        return None
+
+    def remember_hashes(self, rows: DataFrame) -> None:
+        """Add to the remembered hashes."""
+
     def last_success(self, dataset: str) -> str | None:
         return L.last_success_version(self.ledger(), dataset)
 
@@ -127,12 +145,13 @@ class CatalogSink(Sink):
     keep_generations  published generations kept: 2 keeps the previous one for rollback, 1 only
                       the current one
     bucket_by_key     write generations bucketed (and sorted) by key into this many buckets
+    keep_releases     keep the newest generation of so many newest releases instead, for ``read_as_of``
     feed              a ``ChangeFeed`` that gets the rows every published generation changed
     """
 
     def __init__(self, spark: SparkSession, database: str = "default", fmt: str = "parquet",
                  ledger_table: str = "relsync_load_ledger", keep_generations: int = 2,
-                 bucket_by_key: int | None = None, feed: ChangeFeed | None = None):
+                 bucket_by_key: int | None = None, feed: ChangeFeed | None = None, keep_releases: int | None = None):
         self.spark = spark
         self.database = database
         self.fmt = fmt
@@ -142,6 +161,9 @@ class CatalogSink(Sink):
         self.keep = keep_generations
         self.bucket_by_key = bucket_by_key
         self.feed = feed
+        if keep_releases is not None and keep_releases < 1:
+            raise ValueError("keep_releases must be 1 or more")
+        self.keep_releases = keep_releases
         # appends to one table directory must not overlap (their commits share a
         # temporary folder), so ledger writes and catalog DDL are serialised
         self._lock = threading.RLock()
@@ -177,11 +199,40 @@ class CatalogSink(Sink):
 
     def published(self, table: str) -> list[str] | None:
         """Published generations, the current one first; None when ``table`` is no view of ours."""
+        return [_generation(e) for e in self._entries(table)] or None
+
+    def _entries(self, table: str) -> list[str]:
+        """What the view's property says: published generations with their releases."""
         if not self.exists(table) or not self._is_view(table):
-            return None
+            return []
         rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.fq(table)}").collect()
         kept = next((r["value"] for r in rows if r["key"] == GEN_PROPERTY), "")
-        return [g for g in kept.split(",") if g] or None
+        return [e for e in kept.split(",") if e]
+
+    def releases(self, table: str) -> list[tuple[str, str | None]]:
+        """(generation, release) of every published generation that is kept, the current one first."""
+        return [(_generation(e), e.split("@", 1)[1] if "@" in e else None) for e in self._entries(table)]
+
+    def as_of(self, table: str, version: str) -> tuple[str, str]:
+        """(generation, release) that shows the table as of a release: the newest release that is not
+        newer, and of it what was published last. Raises when no such generation is kept."""
+        known = [(g, r) for g, r in self.releases(table) if r is not None and version_key(r) <= version_key(version)]
+        if not known:
+            raise LookupError(f"no generation of {self.fq(table)} as of release {version} is kept")
+        newest = max(version_key(r) for _, r in known)
+        return next((g, r) for g, r in known if version_key(r) == newest)
+
+    def read_as_of(self, table: str, version: str) -> DataFrame:
+        """The rows the table had as of a release (see ``as_of``)."""
+        return self._generation_rows(self.as_of(table, version)[0])
+
+    def _retained(self, entries: list[str]) -> list[str]:
+        """The entries to keep of all published ones, the current one first."""
+        if self.keep_releases is None:
+            return entries[: self.keep]
+        of = [(e.split("@", 1)[1] if "@" in e else None) for e in entries]
+        newest = sorted({r for r in of if r is not None}, key=version_key, reverse=True)[: self.keep_releases]
+        return [e for i, (e, r) in enumerate(zip(entries, of)) if i == 0 or (r in newest and r not in of[:i])]
 
     def _is_view(self, table: str) -> bool:
         return self.spark.catalog.getTable(f"{self.database}.{table}").tableType == "VIEW"
@@ -225,9 +276,9 @@ class CatalogSink(Sink):
         return max(names, key=len) if names else None
 
     def _adopt(self, table: str) -> list[str]:
-        """Published generations of ``table``, the current one first; a plain table of that name
-        becomes one. Empty where there is no table."""
-        published = self.published(table) or []
+        """The entries of ``table``'s published generations, the current one first; a plain table of
+        that name becomes one. Empty where there is no table."""
+        published = self._entries(table)
         if published or not self.exists(table):
             return published
         current = self.current_generation(table)
@@ -255,9 +306,9 @@ class CatalogSink(Sink):
         return f"SELECT * FROM {self.fq(generation)}"
 
     def _point(self, table: str, kept: list[str]) -> None:
-        """The commit of one table: readers see the first of ``kept`` from here on."""
+        """The commit of one table: readers see the first of ``kept`` (entries) from here on."""
         self.spark.sql(f"CREATE OR REPLACE VIEW {self.fq(table)} TBLPROPERTIES ('{GEN_PROPERTY}' = '{','.join(kept)}') "
-                       f"AS {self._body(kept[0])}")
+                       f"AS {self._body(_generation(kept[0]))}")
 
     def _decide(self, target: dict[str, list[str]]) -> None:
         """Record (or, empty, clear) what the views of several tables are to name: one catalog call."""
@@ -279,7 +330,7 @@ class CatalogSink(Sink):
             target = self.decided()
             if not target:
                 return []
-            if all(self.exists(g) for kept in target.values() for g in kept[:1]):
+            if all(self.exists(_generation(e)) for kept in target.values() for e in kept[:1]):
                 for table, kept in target.items():
                     self._point(table, kept)
                     self._tell(table)
@@ -299,7 +350,10 @@ class CatalogSink(Sink):
             before = {s.table: self._adopt(s.table) for s in staged}
             for s in staged:
                 self._tell(s.table)  # a process may have ended between its switch and its listing
-            target = {s.table: [s.generation, *(g for g in before[s.table] if g != s.generation)][: self.keep] for s in staged}
+            target = {}
+            for s in staged:
+                entry = s.generation if s.release is None else f"{s.generation}@{s.release}"
+                target[s.table] = self._retained([entry, *(e for e in before[s.table] if _generation(e) != s.generation)])
             if len(target) > 1:
                 self._decide(target)
             switched: list[str] = []
@@ -315,7 +369,7 @@ class CatalogSink(Sink):
                     self._decide({})
             for table, kept in target.items():
                 self._tell(table)
-                self._drop_superseded(table, kept)
+                self._drop_superseded(table, [_generation(e) for e in kept])
 
     def _undo(self, before: dict[str, list[str]]) -> None:
         """Point views back at what they named, or drop those that were not there."""
@@ -400,6 +454,17 @@ class CatalogSink(Sink):
             return L.ledger_frame(self.spark, [])
         return self.spark.table(self.fq(self.ledger_table))
 
+    def hashes(self) -> DataFrame:
+        name = f"{self.ledger_table}_hashes"
+        if not self.exists(name):
+            return self.spark.createDataFrame([], MEMORY_SCHEMA)
+        return self.spark.table(self.fq(name))
+
+    def remember_hashes(self, rows: DataFrame) -> None:
+        with self._lock:
+            self.ensure_database()
+            rows.coalesce(1).write.format(self.fmt).mode("append").saveAsTable(self.fq(f"{self.ledger_table}_hashes"))
+
     def _finish_compaction(self) -> None:
         """Complete a compaction that ended between dropping the old ledger and renaming the new
         one: the new one was complete before the old one was dropped."""

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from relsync.functions.versions import is_version, newest_first, version_major, version_minor
+from relsync.sources.remote import remote_inventory
 from relsync.spec import Source
 
 INVENTORY_SCHEMA = T.StructType(
@@ -42,11 +43,14 @@ def binary_files(spark: SparkSession, pattern: str,
         raise
 
 
-def file_inventory(spark: SparkSession, pattern: str, glob_filter: str | None = None) -> DataFrame:
+def file_inventory(spark: SparkSession, pattern: str, glob_filter: str | None = None, through=None) -> DataFrame:
     """``(path, length, modificationTime)`` of the files matching a path or glob.
 
-    A pattern matching nothing gives an empty DataFrame instead of an error.
+    A pattern matching nothing gives an empty DataFrame instead of an error. ``through``: list a
+    remote source's file system instead of Hadoop's.
     """
+    if through is not None:
+        return remote_inventory(spark, pattern, through)
     df = binary_files(spark, pattern, glob_filter)
     if df is None:
         return spark.createDataFrame([], INVENTORY_SCHEMA)
@@ -55,7 +59,7 @@ def file_inventory(spark: SparkSession, pattern: str, glob_filter: str | None =
 
 def list_versions(spark: SparkSession, source: Source) -> DataFrame:
     """``(version, major, minor)`` of every release with a manifest, newest first."""
-    inv = file_inventory(spark, source.manifest_glob())
+    inv = file_inventory(spark, source.manifest_glob(), through=source.through)
     name = F.regexp_extract("path", source.version_regex(), 1)
     return (
         inv.select(name.alias("version"))
@@ -82,7 +86,7 @@ def dataset_of(path: Column) -> Column:
 
 def list_datasets(spark: SparkSession, source: Source, version: str) -> DataFrame:
     """``(dataset)``: directories of the release's Parquet root holding Parquet files, sorted."""
-    inv = file_inventory(spark, f"{source.parquet_root(version)}/*/*.parquet")
+    inv = file_inventory(spark, f"{source.parquet_root(version)}/*/*.parquet", through=source.through)
     return (
         inv.select(dataset_of(F.col("path")).alias("dataset"))
         .distinct()
@@ -92,7 +96,7 @@ def list_datasets(spark: SparkSession, source: Source, version: str) -> DataFram
 
 def list_data_files(spark: SparkSession, source: Source, version: str, dataset: str) -> DataFrame:
     """``(path, length, modificationTime)`` of ``*.parquet`` directly in the dataset directory."""
-    return file_inventory(spark, f"{source.dataset_dir(version, dataset)}/*.parquet").orderBy("path")
+    return file_inventory(spark, f"{source.dataset_dir(version, dataset)}/*.parquet", through=source.through).orderBy("path")
 
 
 def suggest_specs(datasets: DataFrame, default_key: str = "id") -> DataFrame:

@@ -9,12 +9,15 @@ merge   union of all columns, each at its widest type (int < bigint < double, st
         by field); a column missing in a file reads NULL
 first   the first file's schema is imposed; missing columns read NULL
 
+Merge mode reads every footer once: each task gives one row per column and nested field of its files
+(place, type, order), and one aggregation unites them, in any order of the files, so the number of
+jobs does not grow with the number of different footers.
+
 Column names compare case-insensitively, as Spark does.
 """
 
 from __future__ import annotations
 
-import hashlib
 from typing import Iterator, Sequence
 
 import pandas as pd
@@ -22,8 +25,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from relsync.functions.types import type_name
 from relsync.sources.files import parquet_schema
 from relsync.sources.inventory import file_inventory
+from relsync.sources.remote import read_remote
 
 MODES = ("strict", "merge", "first")
 
@@ -138,40 +143,148 @@ def widen_fields(schemas: Sequence[T.StructType]) -> T.StructType:
     return T.StructType(list(fields.values()))
 
 
-def _reader_widens(have: T.DataType, want: T.DataType) -> bool:
-    """Whether Spark's Parquet reader gives ``want`` for a file's ``have`` (bigint as double it
-    does not)."""
-    if have == want:
-        return True
-    if isinstance(have, T.StructType) and isinstance(want, T.StructType):
-        kinds = {f.name.lower(): f.dataType for f in want.fields}
-        return all(_reader_widens(f.dataType, kinds[f.name.lower()]) for f in have.fields)
-    if isinstance(have, T.ArrayType) and isinstance(want, T.ArrayType):
-        return _reader_widens(have.elementType, want.elementType)
-    if isinstance(have, T.MapType) and isinstance(want, T.MapType):
-        return _reader_widens(have.keyType, want.keyType) and _reader_widens(have.valueType, want.valueType)
-    return not (isinstance(have, T.LongType) and isinstance(want, T.DoubleType))
-
-
-def _footer_groups(spark: SparkSession, inventory: DataFrame, filesystem=None) -> tuple[DataFrame, list]:
-    """(path, fp) of every file, and one (fp, path) row per distinct footer schema."""
-    def fingerprint(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+#: Between the names in a field's place; parts of nested types have names in brackets.
+_SEP = "\x1f"
+_ELEMENT, _KEY, _VALUE = "[]", "[key]", "[value]"
+# The schema that Spark writes into a footer.
+_SPARK_SCHEMA = b"org.apache.spark.sql.parquet.row.metadata"
+
+
+def _spark_kind(kind) -> T.DataType | None:
+    """How Spark reads an Arrow type of a footer; None where that must be asked of Spark."""
+    import pyarrow as pa
+    import pyarrow.types as pt
+
+    plain = {pa.bool_(): T.BooleanType(), pa.int8(): T.ByteType(), pa.int16(): T.ShortType(), pa.int32(): T.IntegerType(),
+             pa.int64(): T.LongType(), pa.uint8(): T.ShortType(), pa.uint16(): T.IntegerType(), pa.uint32(): T.LongType(),
+             pa.uint64(): T.DecimalType(20, 0), pa.float32(): T.FloatType(), pa.float64(): T.DoubleType(), pa.string(): T.StringType(),
+             pa.large_string(): T.StringType(), pa.binary(): T.BinaryType(), pa.large_binary(): T.BinaryType(), pa.date32(): T.DateType()}
+    if kind in plain:
+        return plain[kind]
+    if pt.is_timestamp(kind):
+        return T.TimestampType() if kind.tz else T.TimestampNTZType()
+    if pt.is_decimal128(kind):
+        return T.DecimalType(kind.precision, kind.scale)
+    if pt.is_struct(kind):
+        parts = [_spark_kind(kind.field(i).type) for i in range(kind.num_fields)]
+        return None if None in parts else T.StructType([T.StructField(kind.field(i).name, p) for i, p in enumerate(parts)])
+    if pt.is_list(kind) or pt.is_large_list(kind):
+        part = _spark_kind(kind.value_type)
+        return None if part is None else T.ArrayType(part)
+    if pt.is_map(kind):
+        key, value = _spark_kind(kind.key_type), _spark_kind(kind.item_type)
+        return None if key is None or value is None else T.MapType(key, value)
+    return None
+
+
+def footer_schema(uri: str, filesystem=None) -> list[tuple[str, T.DataType | None]]:
+    """The columns of a Parquet file as Spark reads them, from its footer alone: by the schema that
+    Spark wrote there, else by the Parquet types; a type of None must be asked of Spark."""
+    arrow = parquet_schema(uri, filesystem)
+    written = (arrow.metadata or {}).get(_SPARK_SCHEMA)
+    if written is not None:
+        return [(f.name, f.dataType) for f in T._parse_datatype_json_string(written.decode()).fields]
+    return [(f.name, _spark_kind(f.type)) for f in arrow]
+
+
+def _own_schema(uri: str, filesystem) -> T.StructType:
+    """The schema of a file that Spark cannot read itself."""
+    fields = footer_schema(uri, filesystem)
+    unknown = [name for name, kind in fields if kind is None]
+    if unknown:
+        raise SchemaMismatch(f"{uri}: columns {unknown} have types that only Spark's own reader knows")
+    return T.StructType([T.StructField(name, kind, True) for name, kind in fields])
+
+
+def _places(kind: T.DataType | None, place: str, name: str) -> Iterator[tuple[str, str, str]]:
+    """(place, name, type) of a column and of everything inside it, in order."""
+    if isinstance(kind, T.StructType):
+        yield place, name, "struct"
+        for f in kind.fields:
+            yield from _places(f.dataType, f"{place}{_SEP}{f.name.lower()}", f.name)
+    elif isinstance(kind, T.ArrayType):
+        yield place, name, "array"
+        yield from _places(kind.elementType, f"{place}{_SEP}{_ELEMENT}", _ELEMENT)
+    elif isinstance(kind, T.MapType):
+        yield place, name, "map"
+        yield from _places(kind.keyType, f"{place}{_SEP}{_KEY}", _KEY)
+        yield from _places(kind.valueType, f"{place}{_SEP}{_VALUE}", _VALUE)
+    else:
+        yield place, name, "?" if kind is None else kind.simpleString()
+
+
+def footer_places(inventory: DataFrame, filesystem=None) -> DataFrame:
+    """``(path, pos, place, name, kind)``: a row per file, column and nested field, read from footers
+    in parallel tasks."""
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            fps = [hashlib.sha1(repr(sorted(footer_fields(p, filesystem).items())).encode()).hexdigest() for p in pdf["path"]]
-            yield pd.DataFrame({"path": pdf["path"], "fp": fps})
+            for p in pdf["path"]:
+                rows = [x for name, kind in footer_schema(p, filesystem) for x in _places(kind, name.lower(), name)]
+                yield pd.DataFrame({"path": [p] * len(rows), "pos": range(len(rows)), "place": [x[0] for x in rows],
+                                    "name": [x[1] for x in rows], "kind": [x[2] for x in rows]})
+
+    return inventory.select("path").mapInPandas(read, "path string, pos int, place string, name string, kind string")
+
+
+def merge_places(places: DataFrame) -> DataFrame:
+    """``(place, kinds, path, pos, name)``: every place of any file once, with all types it has and
+    where it comes first (by path, then position). Does not depend on the order of rows; partial
+    sets in tasks, one row a place after the shuffle."""
+    first = F.min(F.struct("path", "pos", "name"))
+    return places.groupBy("place").agg(F.sort_array(F.collect_set("kind")).alias("kinds"), first.alias("first")).select(
+        "place", "kinds", "first.*")
+
+
+def _merged_type(spark: SparkSession, tree: dict, place: str) -> T.DataType:
+    row, inside = tree[place]
+    shapes = {k for k in row["kinds"] if k in ("struct", "array", "map")}
+    if shapes and len(row["kinds"]) > 1:
+        raise SchemaMismatch(f"cannot combine {' and '.join(row['kinds'])} in {place.replace(_SEP, '.')}")
+    part = lambda name: _merged_type(spark, tree, f"{place}{_SEP}{name}")
+    if shapes == {"struct"}:
+        return T.StructType([T.StructField(tree[p][0]["name"], _merged_type(spark, tree, p), True) for p in inside])
+    if shapes == {"array"}:
+        return T.ArrayType(part(_ELEMENT), True)
+    if shapes == {"map"}:
+        return T.MapType(part(_KEY), part(_VALUE), True)
+    kinds = [T.DataType.fromDDL(k) if k != "?" else _asked(spark, row) for k in row["kinds"]]
+    out = kinds[0]
+    for k in kinds[1:]:
+        out = widen(out, k)
+    return out
 
-    files = inventory.select("path").mapInPandas(fingerprint, "path string, fp string")
-    return files, files.groupBy("fp").agg(F.min("path").alias("path")).orderBy("path").collect()
 
+def _asked(spark: SparkSession, row) -> T.DataType:
+    """The type Spark gives to a place whose Parquet type has no name here, in the file that has it first."""
+    kind: T.DataType = spark.read.parquet(row["path"]).schema
+    for name in row["place"].split(_SEP):
+        if isinstance(kind, T.StructType):
+            kind = next(f.dataType for f in kind.fields if f.name.lower() == name)
+        elif isinstance(kind, T.ArrayType):
+            kind = kind.elementType
+        else:
+            kind = kind.keyType if name == _KEY else kind.valueType
+    return kind
+
+
+def _schema_of(spark: SparkSession, merged: list) -> tuple[T.StructType, dict]:
+    """The schema that the rows of ``merge_places`` describe, and its type by place."""
+    tree: dict[str, tuple] = {}
+    top = []
+    for row in sorted(merged, key=lambda r: (r["path"], r["pos"])):
+        tree[row["place"]] = (row, [])
+    for place, (row, _) in tree.items():
+        above = place.rpartition(_SEP)[0]
+        (tree[above][1] if above else top).append(place)
+    schema = T.StructType([T.StructField(tree[p][0]["name"], _merged_type(spark, tree, p), True) for p in top])
+    return schema, {p: k for f in schema.fields for p, _, k in _places(f.dataType, f.name.lower(), f.name)}
 
-def merged_schema(spark: SparkSession, inventory: DataFrame, filesystem=None) -> T.StructType:
-    """Union of the files' columns, each at the widest type it has in any file.
 
-    Footers are fingerprinted in parallel tasks; one file per distinct footer schema is asked
-    for its Spark schema. As many rows as there are distinct footers reach the driver.
-    """
-    _, reps = _footer_groups(spark, inventory, filesystem)
-    return widen_fields([spark.read.parquet(r["path"]).schema for r in reps])
+def merged_schema(spark: SparkSession, inventory: DataFrame, filesystem=None) -> T.StructType:
+    """Union of the files' columns, each at the widest type it has in any file, in order of their
+    first appearance by path. One job, whatever the number of different footers; as many rows as
+    there are columns and nested fields reach the driver."""
+    return _schema_of(spark, merge_places(footer_places(inventory, filesystem)).collect())[0]
 
 
 def _cast_nested(col, have: T.DataType, want: T.DataType):
@@ -194,50 +307,62 @@ def _cast_nested(col, have: T.DataType, want: T.DataType):
     return col.cast(want)
 
 
+def _narrowed(kind: T.DataType, place: str, kept: dict[str, str]) -> T.DataType:
+    """A type with the places of ``kept`` at the types given there."""
+    if place in kept:
+        return T.DataType.fromDDL(kept[place])
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _narrowed(f.dataType, f"{place}{_SEP}{f.name.lower()}", kept), True) for f in kind.fields])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_narrowed(kind.elementType, f"{place}{_SEP}{_ELEMENT}", kept), True)
+    if isinstance(kind, T.MapType):
+        return T.MapType(_narrowed(kind.keyType, f"{place}{_SEP}{_KEY}", kept), _narrowed(kind.valueType, f"{place}{_SEP}{_VALUE}", kept), True)
+    return kind
+
+
 def _read_merged(spark: SparkSession, paths: list[str], inventory: DataFrame, filesystem) -> DataFrame:
-    """All files at the merged schema. Files whose footers Spark reads at that schema are one scan;
-    each other footer schema is a scan of its own (by its files' names), cast and united."""
-    files, reps = _footer_groups(spark, inventory, filesystem)
-    own = {r["fp"]: spark.read.parquet(r["path"]).schema for r in reps}
-    merged = widen_fields([own[r["fp"]] for r in reps])
-    direct = [fp for fp, schema in own.items() if _reader_widens(schema, merged)]
-    if len(direct) == len(own):
-        return spark.read.schema(merged).parquet(*paths)
-
-    def paths_of(fps: list[str]) -> list[str]:
-        return [r["path"] for r in files.where(F.col("fp").isin(fps)).select("path").collect()]
-
-    parts = [spark.read.schema(merged).parquet(*paths_of(direct))] if direct else []
-    for fp, schema in own.items():
-        if fp in direct:
-            continue
-        part = spark.read.schema(schema).parquet(*paths_of([fp]))
-        kinds = {f.name.lower(): f for f in schema.fields}
-        parts.append(part.select(*[
-            (_cast_nested(F.col(f"`{kinds[f.name.lower()].name}`"), kinds[f.name.lower()].dataType, f.dataType)
-             if f.name.lower() in kinds else F.lit(None).cast(f.dataType)).alias(f.name)
-            for f in merged.fields
-        ]))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
+    """All files at the merged schema. Spark's reader widens types itself, but gives no bigint as a
+    double: files that have bigints where others have fractions are scanned by themselves (by name,
+    one scan per set of such columns), cast and united with the scan of all others."""
+    places = footer_places(inventory, filesystem).persist()
+    try:
+        schema, kinds = _schema_of(spark, merge_places(places).collect())
+        wide = [p for p, k in kinds.items() if k == type_name(T.DoubleType())]
+        odd = places.where((F.col("kind") == type_name(T.LongType())) & F.col("place").isin(wide)) if wide else places.limit(0)
+        sets = odd.groupBy("path").agg(F.sort_array(F.collect_set("place")).alias("places"))
+        groups: dict[tuple, list[str]] = {}
+        for r in sets.collect():  # the odd files only
+            groups.setdefault(tuple(r["places"]), []).append(r["path"])
+        if not groups:
+            return spark.read.schema(schema).parquet(*paths)
+        rest = [r["path"] for r in inventory.select("path").join(sets.select("path"), "path", "left_anti").collect()]
+    finally:
+        places.unpersist()
+    out = spark.read.schema(schema).parquet(*rest) if rest else None
+    for narrow, files in sorted(groups.items()):
+        kept = dict.fromkeys(narrow, type_name(T.LongType()))
+        own = T.StructType([T.StructField(f.name, _narrowed(f.dataType, f.name.lower(), kept), True) for f in schema.fields])
+        part = spark.read.schema(own).parquet(*files)
+        part = part.select(*[_cast_nested(F.col(f"`{f.name}`"), own[f.name].dataType, f.dataType).alias(f.name) for f in schema.fields])
+        out = part if out is None else out.unionByName(part)
     return out
 
 
 def read_dataset(spark: SparkSession, files: str | Sequence[str], mode: str = "strict",
                  schema: T.StructType | None = None, filesystem=None,
-                 inventory: DataFrame | None = None) -> DataFrame:
+                 inventory: DataFrame | None = None, through=None) -> DataFrame:
     """One DataFrame over all files of a dataset (file order is neither kept nor needed).
 
     ``files`` is a list of paths or a glob such as ``<dir>/*.parquet``; with a glob the
     file list stays a DataFrame (listed by Spark; ``inventory``, when the caller has listed
     the files already) and does not pass through the driver. The exception is ``merge`` where
-    bigint and double meet in one column: those files are then named one by one.
+    bigint and double meet in one column: those files are then named one by one. ``through`` (with a
+    glob): the files are listed and read through a remote source's file system.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
     if isinstance(files, str):
-        inventory = (file_inventory(spark, files) if inventory is None else inventory).select("path")
+        inventory = (file_inventory(spark, files, through=through) if inventory is None else inventory).select("path")
         paths: list[str] = [files]
     else:
         paths = sorted(files)
@@ -245,9 +370,11 @@ def read_dataset(spark: SparkSession, files: str | Sequence[str], mode: str = "s
     head = [r["path"] for r in inventory.orderBy("path").take(2)]
     if not head:
         raise NoFiles(f"no Parquet files in {files}")
+    if schema is None and mode == "merge" and through is not None:
+        return read_remote(spark, paths[0], merged_schema(spark, inventory, through), through)
     if schema is None and mode == "merge":
         return _read_merged(spark, paths, inventory, filesystem)
-    first = schema or infer_schema(spark, head)
+    first = schema or (infer_schema(spark, head) if through is None else _own_schema(head[0], through))
     if mode == "strict" and len(head) > 1:
         others = inventory.where(F.col("path") != head[0])
         report = footer_report(spark, others, head[0], filesystem)
@@ -257,4 +384,4 @@ def read_dataset(spark: SparkSession, files: str | Sequence[str], mode: str = "s
                 f"{r['path']}" + (f" lacks {list(r['missing'])}" if r["missing"] else "")
                 + (f" has other types in {list(r['retyped'])}" if r["retyped"] else "") for r in bad)
             raise SchemaMismatch(f"files disagree with {head[0]}: {desc}")
-    return spark.read.schema(first).parquet(*paths)
+    return spark.read.schema(first).parquet(*paths) if through is None else read_remote(spark, paths[0], first, through)

@@ -130,8 +130,9 @@ class Source:
     where it is not the data template's parent.
 
     ``filesystem`` opens files inside tasks for footers and checksums where the scheme alone
-    does not tell how (see ``sources.files``), for example for ``ftp``, ``http`` or anonymous
-    access; Spark's own readers use Hadoop's configuration.
+    does not tell how (see ``sources.files``); Spark's own readers use Hadoop's configuration.
+    ``remote`` reads everything through it, for ``ftp``, ``http`` or anonymous access that Spark
+    cannot list or read (see ``sources.remote``).
     """
 
     root: str
@@ -142,6 +143,16 @@ class Source:
     data_template: str | None = None
     datasets_template: str | None = None
     filesystem: Any = None
+    remote: bool = False
+
+    def __post_init__(self):
+        if self.remote and self.filesystem is None:
+            raise ValueError("a remote source needs a filesystem")
+
+    @property
+    def through(self) -> Any:
+        """The file system that every read goes through; None where Spark reads by itself."""
+        return self.filesystem if self.remote else None
 
     def release(self, version: str) -> str:
         if self.release_template:

@@ -1,0 +1,117 @@
+"""Releases that Spark cannot list or read itself, through a stand-in: local files behind a scheme
+that only the given file system knows."""
+
+import os
+import uuid
+
+import pyarrow as pa
+import pytest
+from pyarrow import fs
+
+from relsync.plans.release_load import load_release
+from relsync.plans.sink import CatalogSink
+from relsync.plans.validate import run_checks
+from relsync.sources import remote
+from relsync.sources.inventory import latest_version, list_data_files, list_datasets, list_versions
+from relsync.sources.manifest import ManifestError, load_manifest
+from relsync.sources.parquet import SchemaMismatch, read_dataset
+from relsync.spec import DatasetSpec, Source
+from tests.release_tree import table, write_release
+
+
+@pytest.fixture
+def far(tmp_path):
+    """(source, local folder): the folder is seen as ftp://host/data."""
+    local = tmp_path / "host" / "data"
+    os.makedirs(local)
+    return Source("ftp://host/data", filesystem=fs.SubTreeFileSystem(str(tmp_path), fs.LocalFileSystem()), remote=True), str(local)
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+A = table(id=pa.array([1, 2]), s=pa.array([{"x": 1, "y": ["a", None]}, None]))
+B = table(id=pa.array([3]), s=pa.array([{"x": 2, "y": None}], A.schema.field("s").type))
+
+
+def test_discovery_and_manifest(spark, far):
+    source, local = far
+    for version in ("22.04", "22.11"):
+        write_release(local, version, {"a-b": [A, B], "c": [A]}, extra_lines=["0" * 40 + "  ./output/etl/parquet/c/gone file.parquet"])
+    os.makedirs(f"{local}/2022.04")
+    os.makedirs(f"{local}/23.01")  # no manifest
+    assert [r["version"] for r in list_versions(spark, source).collect()] == ["22.11", "22.04"] and latest_version(spark, source) == "22.11"
+    assert [r["dataset"] for r in list_datasets(spark, source, "22.11").collect()] == ["a-b", "c"]
+    files = list_data_files(spark, source, "22.11", "a-b").collect()
+    assert [r["path"] for r in files] == [f"ftp://host/data/22.11/output/etl/parquet/a-b/part-0000{i}.parquet" for i in range(2)]
+    assert all(r["length"] > 0 for r in files) and list_data_files(spark, source, "22.11", "none").count() == 0
+    manifest = load_manifest(spark, source, "22.11")
+    assert manifest.count() == 4 and manifest.where("path LIKE '%gone file.parquet'").count() == 1
+    with open(f"{local}/22.11/release_data_integrity", "a") as f:
+        f.write("more\n")
+    with pytest.raises(ManifestError, match="mismatch"):
+        load_manifest(spark, source, "22.11")
+
+
+@pytest.mark.parametrize("pattern, found", [
+    ("ftp://host/data/*/f", ["a/f", "b/f"]), ("ftp://host/data/a/f", ["a/f"]), ("ftp://host/data/[b]/?", ["b/f"]),
+    ("ftp://host/data/*", ["top"]), ("ftp://host/nowhere/*/f", []), ("ftp://host/data/a/none", []),
+])
+def test_patterns(far, pattern, found):
+    source, local = far
+    for name in ("a/f", "b/f", "b/sub/f", "top"):
+        os.makedirs(os.path.dirname(f"{local}/{name}"), exist_ok=True)
+        open(f"{local}/{name}", "w").close()
+    assert [u for u, *_ in remote.glob_files(pattern, source.filesystem)] == [f"ftp://host/data/{n}" for n in found]
+
+
+def test_reading_in_every_mode(spark, far):
+    source, local = far
+    other = table(ID=pa.array([9], pa.int32()), extra=pa.array(["e"]), s=pa.array([{"X": 1.5}]))
+    write_release(local, "22.04", {"same": [A, B], "mixed": [A, other]})
+    through = source.filesystem
+    same = read_dataset(spark, f"{source.dataset_dir('22.04', 'same')}/*.parquet", filesystem=through, through=through)
+    assert rows(same) == rows(spark.read.parquet(f"{local}/22.04/output/etl/parquet/same"))
+    pattern = f"{source.dataset_dir('22.04', 'mixed')}/*.parquet"
+    with pytest.raises(SchemaMismatch):
+        read_dataset(spark, pattern, filesystem=through, through=through)
+    merged = read_dataset(spark, pattern, mode="merge", filesystem=through, through=through)
+    assert merged.schema.simpleString() == "struct<id:bigint,s:struct<x:double,y:array<string>>,extra:string>"
+    assert rows(merged) == rows(read_dataset(spark, f"{local}/22.04/output/etl/parquet/mixed/*.parquet", mode="merge"))
+    write_release(local, "22.06", {"mixed": [A, other.drop(["s"])]})
+    first = read_dataset(spark, f"{source.dataset_dir('22.06', 'mixed')}/*.parquet", mode="first", filesystem=through, through=through)
+    assert sorted((r["id"], r["s"] is None) for r in first.collect()) == [(1, False), (2, True), (9, True)] and first.columns == ["id", "s"]
+
+
+def test_partitions_and_columns(spark, far, monkeypatch):
+    source, local = far
+    os.makedirs(f"{local}/d")
+    big = pa.table({"id": pa.array(range(1000)), "unread": pa.array(["x" * 50] * 1000)})
+    pa.parquet.write_table(big, f"{local}/d/big.parquet", row_group_size=100)
+    pa.parquet.write_table(big.slice(0, 5), f"{local}/d/small.parquet")
+    schema = spark.range(1).schema
+    assert remote.read_remote(spark, "ftp://host/data/d/*.parquet", schema, source.filesystem).rdd.getNumPartitions() == 2
+    monkeypatch.setattr(remote, "PARTITION_BYTES", 2000)
+    reader = remote._Reader("ftp://host/data/d/*.parquet", schema, source.filesystem)
+    parts = reader.partitions()
+    assert len(parts) > 3 and sorted(g for p in parts for g in p.groups) == list(range(10))
+    got = [b for p in parts for b in reader.read(p)]
+    assert all(b.schema.names == ["id"] for b in got) and sum(b.num_rows for b in got) == 1005
+    assert remote.read_remote(spark, "ftp://host/data/none/*.parquet", schema, source.filesystem).count() == 0
+
+
+def test_a_remote_release_loads(spark, far):
+    source, local = far
+    specs = [DatasetSpec("a-b", ("id",)), DatasetSpec("c", ("id",))]
+    write_release(local, "22.04", {"a-b": [A, B], "c": [A]})
+    sink = CatalogSink(spark, database="db_" + uuid.uuid4().hex[:8])
+    assert all(r["success"] for r in run_checks(spark, source, specs, sink=sink).collect())
+    assert {r["status"] for r in load_release(spark, specs, source, sink, remember=True).collect()} == {"loaded"}
+    assert [r[0] for r in rows(sink.read("a_b").select("id"))] == [1, 2, 3]
+    with open(f"{local}/22.04/output/etl/parquet/c/part-00000.parquet", "ab") as f:
+        f.write(b"tampered")
+    out = {r["dataset"]: r["status"] for r in load_release(spark, specs, source, sink, force=True).collect()}
+    assert out == {"a-b": "loaded", "c": "failed"}
+    with pytest.raises(ValueError):
+        Source("ftp://host/data", remote=True)
