@@ -31,6 +31,7 @@ from relsync.operators.integrity import hash_changed, hash_files, require_verifi
 from relsync.operators.merge import merge_counts, merge_snapshot, replace_snapshot
 from relsync.operators.projection import project
 from relsync.plans.ledger import latest_per_dataset, ledger_row
+from relsync.plans.resume import BATCH_FILES, forget, resumable_rows
 from relsync.plans.sink import Sink, Staged
 from relsync.plans.validate import check_readers, check_results, require_checks
 from relsync.sources.inventory import file_inventory, latest_version
@@ -140,6 +141,7 @@ class Prepared:
     rows: DataFrame  # the staged generation; the projected source where the sink does not write ahead
     current: DataFrame | None  # the table that it is merged into
     drift: SchemaDiff | None
+    work: str | None = None  # a resumable load's folder
 
 
 def _failed(sink: Sink, spec: DatasetSpec, version: str, start: dt.datetime, error: Exception) -> None:
@@ -153,7 +155,7 @@ def prepare_dataset(spark: SparkSession, spec: DatasetSpec, source: Source, vers
                     sink: Sink, load_type: str = "delta", force: bool = False,
                     manifest: DataFrame | None = None, schema_mode: str = "strict",
                     last_loaded=_UNKNOWN, overlap_verify: bool = True, statistics: bool = False,
-                    remember: bool = False) -> Outcome | Prepared:
+                    remember: bool = False, resume: str | None = None, batch_files: int = BATCH_FILES) -> Outcome | Prepared:
     """Everything of a load up to publishing: an outcome where there is nothing to load. Raises on
     failure after recording it in the ledger."""
     if load_type not in LOAD_TYPES:
@@ -199,6 +201,9 @@ def prepare_dataset(spark: SparkSession, spec: DatasetSpec, source: Source, vers
         try:
             raw = read_dataset(spark, pattern, mode=schema_mode, filesystem=source.filesystem, inventory=inventory, through=source.through)
             staged_df = project(raw, spec)
+            work = f"{resume.rstrip('/')}/{spec.name}/{version}" if resume else None
+            if work:
+                staged_df = _by_batches(spark, work, inventory, raw, staged_df, spec, source, schema_mode, batch_files)
             keys = list(spec.output_key())
             have = {c.lower() for c in staged_df.columns}
             missing = [k for k in keys if k.lower() not in have]
@@ -219,7 +224,7 @@ def prepare_dataset(spark: SparkSession, spec: DatasetSpec, source: Source, vers
         except Exception:
             staged.discard()
             raise
-        return Prepared(spec, version, start, staged, staged.data if staged.data is not None else staged_df, current, drift)
+        return Prepared(spec, version, start, staged, staged.data if staged.data is not None else staged_df, current, drift, work)
     except Exception as e:
         _failed(sink, spec, version, start, e)
         raise
@@ -228,6 +233,26 @@ def prepare_dataset(spark: SparkSession, spec: DatasetSpec, source: Source, vers
             pool.shutdown(wait=True)
 
 
+def _by_batches(spark: SparkSession, work: str, inventory: DataFrame, raw: DataFrame, projected: DataFrame, spec: DatasetSpec,
+                source: Source, schema_mode: str, batch_files: int) -> DataFrame:
+    """The projected rows by way of a resumable load's work folder."""
+    if source.through is not None:
+        raise ValueError("a remote source cannot be loaded resumably")
+
+    def read(paths: Sequence[str]) -> DataFrame:
+        if not paths:
+            return projected.limit(0)
+        if schema_mode == "merge":  # each batch may lack columns, or have narrower ones
+            some = read_dataset(spark, list(paths), mode="merge")
+            have = {c.lower() for c in some.columns}
+            some = some.select(*[(F.col(f"`{f.name}`") if f.name.lower() in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in raw.schema])
+        else:
+            some = spark.read.schema(raw.schema).parquet(*paths)
+        return project(some, spec)
+
+    return resumable_rows(spark, work, inventory, read, batch_files)
+
+
 def publish_group(group: Sequence[Prepared], sink: Sink, statistics: bool = False,
                   beside: Sequence[DatasetSpec] = ()) -> list[Outcome]:
     """Check the foreign keys of staged datasets against each other's staged rows (and other tables'
@@ -262,6 +287,8 @@ def publish_group(group: Sequence[Prepared], sink: Sink, statistics: bool = Fals
         raise
     for p in group:
         sink.record(ledger_row(p.version, p.spec.name, True, p.staged.rows, p.start, _now()))
+        if p.work:
+            forget(p.work)
     return [Outcome(p.spec.name, p.spec.table_name, p.version, "loaded", p.staged.rows, drift=p.drift, counts=counts.get(p.spec.name))
             for p in group]
 
@@ -270,7 +297,7 @@ def load_dataset(spark: SparkSession, spec: DatasetSpec, source: Source, version
                  sink: Sink, load_type: str = "delta", force: bool = False,
                  manifest: DataFrame | None = None, schema_mode: str = "strict",
                  last_loaded=_UNKNOWN, overlap_verify: bool = True, statistics: bool = False,
-                 remember: bool = False) -> Outcome:
+                 remember: bool = False, resume: str | None = None, batch_files: int = BATCH_FILES) -> Outcome:
     """Load one dataset of a release. Raises on failure after recording it in the ledger.
 
     ``last_loaded`` is the dataset's latest successful release when the caller already
@@ -278,9 +305,11 @@ def load_dataset(spark: SparkSession, spec: DatasetSpec, source: Source, version
     inserted, updated, deleted and unchanged keys of a merge, in the merge's own plan where the
     sink can, else by one more join. References to itself are checked on the new rows. ``remember``
     keeps file hashes in the sink, and reads only files for checksums that it does not know as they are.
+    ``resume`` names a shared folder that keeps what a killed load has read, in batches of
+    ``batch_files`` files, for the next one (see ``plans.resume``).
     """
     done = prepare_dataset(spark, spec, source, version, sink, load_type, force, manifest, schema_mode,
-                           last_loaded, overlap_verify, statistics, remember)
+                           last_loaded, overlap_verify, statistics, remember, resume, batch_files)
     return done if isinstance(done, Outcome) else publish_group([done], sink, statistics)[0]
 
 
@@ -350,7 +379,7 @@ def load_release(spark: SparkSession, specs: Sequence[DatasetSpec], source: Sour
                  datasets: Sequence[str] | None = None, load_type: str = "delta",
                  force: bool = False, continue_on_error: bool = True, verify: bool = True,
                  schema_mode: str = "strict", max_workers: int = 4, statistics: bool = False,
-                 remember: bool = False) -> DataFrame:
+                 remember: bool = False, resume: str | None = None, batch_files: int = BATCH_FILES) -> DataFrame:
     """Load a release (default: the newest). One outcome row per dataset.
 
     Pre-flight checks and the manifest check run first; a failure there loads nothing.
@@ -385,7 +414,8 @@ def load_release(spark: SparkSession, specs: Sequence[DatasetSpec], source: Sour
     def prepare(spec: DatasetSpec) -> Outcome | Prepared:
         with running:
             return prepare_dataset(spark, spec, source, version, sink, load_type, force,
-                                   manifest, schema_mode, latest.get(spec.name), statistics=statistics, remember=remember)
+                                   manifest, schema_mode, latest.get(spec.name), statistics=statistics, remember=remember,
+                                   resume=resume, batch_files=batch_files)
 
     def run(group: list[DatasetSpec]) -> list[Outcome]:
         if stop.is_set():
