@@ -484,6 +484,6 @@ def test_pipeline_equals_its_stages_one_by_one(spark):
 
 def test_queries_need_no_columns_beyond_their_contract(spark):
     sf = "/root/testdata/sf0.001"
-    assert set(QUERIES) == {f for f in QUERIES if re.match(r"op([1-9]|10)_", f)} and len(QUERIES) == 10
+    assert set(QUERIES) == {f for f in QUERIES if re.match(r"op([1-9]|1[0-3])_", f)} and len(QUERIES) == 13
     got = QUERIES["op8_simhash_near_duplicates"](spark, sf)
     assert got.columns == ["doc_id", "fingerprint", "component_id"]
