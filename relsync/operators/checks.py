@@ -13,6 +13,7 @@ from typing import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, IntegralType
 
 
 class KeyViolation(ValueError):
@@ -137,6 +138,21 @@ def _key_text(values: Sequence[Column]) -> Column:
     return F.to_json(F.array(*[v.cast("string") for v in values]))
 
 
+def _types(df: DataFrame, names: Sequence[str]) -> list[DataType]:
+    return [f.dataType for f in df.select(*_cols(names)).schema]
+
+
+def _entry(check: int, columns: Sequence[Column], values: Sequence[Column], whole: Sequence[bool]) -> dict[str, Column]:
+    """What is counted of one check: its number, negative if one of ``columns`` is null, and its
+    ``values``, in slots of its own for whole numbers (``whole``) and for texts."""
+    null = reduce(lambda a, b: a | b, [c.isNull() for c in columns])
+    entry, used = {"__check": F.when(null, F.lit(-check)).otherwise(F.lit(check))}, [0, 0]
+    for value, w in zip(values, whole):
+        entry[f"__{'n' if w else 't'}{used[w]}"] = value.cast("long") if w else F.make_valid_utf8(value.cast("string"))
+        used[w] += 1
+    return entry
+
+
 def key_report(df: DataFrame, unique: Mapping[str, Sequence[str]], references: Mapping[str, Reference]) -> DataFrame:
     """``(check, reason, key, n)``: every violation of all named keys and references of a table, in
     one pass over it.
@@ -144,32 +160,45 @@ def key_report(df: DataFrame, unique: Mapping[str, Sequence[str]], references: M
     reason is ``null_key`` or ``duplicate_key`` (as ``key_violations``) for a name of ``unique``, and
     ``orphan`` (as ``orphan_keys``; a null part passes) for a name of ``references``. ``key`` is the JSON
     text of the values, those of a reference in the type of the parent's columns where they have one.
-    Names must differ. Each row is expanded to its keys and counted per key, with partial counts per
-    task, so a hot key costs a row a task; one join then looks the references up.
+    Names must differ. Each row is expanded to its keys, the parents' keys are set beside them, and all
+    are counted per key in one shuffle, with partial counts per task, so a hot key costs a row a task.
+    Whole numbers are counted as such; only the keys reported become text.
     """
     if set(unique) & set(references) or not (unique or references):
         raise ValueError("checks need names of their own, and at least one")
-    entries, parents = [], None
-    for name, columns in unique.items():
+    names, entries, parents = [*unique, *references], [], []
+    for i, (name, columns) in enumerate(unique.items(), 1):
         if not columns:
             raise ValueError("a key needs at least one column")
-        entries.append(F.struct(F.lit(name).alias("check"), _any_null(columns).alias("null"), _key_text(_cols(columns)).alias("key")))
-    for name, ref in references.items():
+        whole = [isinstance(t, IntegralType) for t in _types(df, columns)]
+        entries.append(_entry(i, _cols(columns), _cols(columns), whole))
+    for i, (name, ref) in enumerate(references.items(), len(unique) + 1):
         if len(ref.columns) != len(ref.parent_columns):
             raise ValueError("foreign key and referenced key differ in length")
-        kinds = [ref.parent.schema[p].dataType for p in ref.parent_columns]
-        values = [F.coalesce(c.try_cast(t).cast("string"), c.cast("string")) for c, t in zip(_cols(ref.columns), kinds)]
-        entries.append(F.struct(F.lit(name).alias("check"), _any_null(ref.columns).alias("null"), _key_text(values).alias("key")))
-        held = ref.parent.select(F.lit(name).alias("__check"), _key_text(_cols(ref.parent_columns)).alias("__key"))
-        parents = held if parents is None else parents.unionByName(held)
-    counted = df.select(F.inline(F.array(*entries))).groupBy("check", "null", "key").agg(F.count(F.lit(1)).alias("n"))
-    is_unique = F.col("check").isin(list(unique))
-    reason = F.when(is_unique & F.col("null"), "null_key").when(is_unique & (F.col("n") > 1), "duplicate_key")
-    if parents is not None:
-        found = parents.distinct()
-        counted = counted.join(found, (F.col("check") == F.col("__check")) & (F.col("key") == F.col("__key")), "left")
-        reason = reason.when(~is_unique & ~F.col("null") & F.col("__key").isNull(), "orphan")
-    return counted.withColumn("reason", reason).where("reason IS NOT NULL").select("check", "reason", "key", "n")
+        kinds = _types(ref.parent, ref.parent_columns)
+        whole = [isinstance(t, IntegralType) and isinstance(own, IntegralType) for own, t in zip(_types(df, ref.columns), kinds)]
+        values = [c if w else F.coalesce(c.try_cast(t).cast("string"), c.cast("string"))
+                  for c, t, w in zip(_cols(ref.columns), kinds, whole)]
+        entries.append(_entry(i, _cols(ref.columns), values, whole))
+        parents.append((ref.parent, _entry(i, _cols(ref.parent_columns), _cols(ref.parent_columns), whole)))
+    # a number leads where there is one: a task that has to spill sorts by the first column's prefix
+    slots = sorted({s for e in entries for s in e if s != "__check"})
+    empty = {s: F.lit(None).cast("long" if s.startswith("__n") else "string") for s in slots}
+
+    def row(entry: dict[str, Column]) -> list[Column]:
+        return [{**empty, **entry}[s].alias(s) for s in [*slots, "__check"]]
+
+    rows = df.select(F.inline(F.array(*[F.struct(*row(e)) for e in entries]))).withColumn("__child", F.lit(True))
+    for parent, entry in parents:
+        rows = rows.unionByName(parent.select(*row(entry), F.lit(False).alias("__child")))
+    counted = rows.groupBy(*slots, "__check").agg(
+        F.count(F.when(F.col("__child"), 1)).alias("n"), F.bool_and("__child").alias("__alone"))
+    check, is_unique = F.abs("__check"), F.abs("__check") <= len(unique)
+    reason = (F.when(is_unique & (F.col("__check") < 0), "null_key").when(is_unique & (F.col("n") > 1), "duplicate_key")
+              .when(~is_unique & (F.col("__check") > 0) & F.col("__alone"), "orphan"))
+    key = reduce(lambda a, b: a.when(check == b[0], _key_text([F.col(s) for s in b[1] if s != "__check"])), enumerate(entries, 1), F)
+    return counted.withColumn("reason", reason).where("reason IS NOT NULL").select(
+        F.element_at(F.array(*map(F.lit, names)), check).alias("check"), "reason", key.alias("key"), "n")
 
 
 def check_keys(df: DataFrame, unique: Mapping[str, Sequence[str]], references: Mapping[str, Reference], sample: int = 5) -> None:

@@ -59,3 +59,31 @@ def test_bad_calls_and_clean_tables(spark, child):
     assert key_report(child.limit(0), {"a": ["n"]}, {}).count() == 0
     with pytest.raises(KeyViolation, match="b: orphan"):
         check_keys(other, {}, {"b": Reference(("id",), other.where("id <> 7"), ("id",))})
+
+
+def test_one_shuffle_of_numbers_and_no_join(spark):
+    child = spark.range(1000).selectExpr("id % 100 k", "cast(id % 7 as int) m", "id n")
+    parent = spark.range(1000).selectExpr("cast(id % 50 as int) p")
+    report = key_report(child, {"a": ["k", "m"]}, {"b": Reference(("k",), parent, ("p",)), "c": Reference(("m",), parent, ("p",))})
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 1
+    # whole numbers are counted as such, text is made of the keys reported
+    assert "json" not in plan[plan.index("Exchange hashpartitioning"):].lower()
+    got = sorted(map(tuple, report.collect()))
+    pairs = {}
+    for i in range(1000):
+        pairs[i % 100, i % 7] = pairs.get((i % 100, i % 7), 0) + 1
+    assert got == sorted([("a", "duplicate_key", f'["{k}","{m}"]', n) for (k, m), n in pairs.items() if n > 1]
+                         + [("b", "orphan", f'["{k}"]', 10) for k in range(50, 100)])
+
+
+def test_numbers_and_texts_in_one_key(spark):
+    child = spark.createDataFrame([(1, "x", 1.5, 300), (1, "x", -0.0, 300), (2, None, 0.0, 7), (None, None, 0.0, None)],
+                                  "A long, b string, c double, d int")
+    parent = spark.createDataFrame([("x", 44, 1), ("y", None, 2), (None, 7, None)], "s string, t byte, u long")
+    report = key_report(child, {"text first": ["b", "a"], "double": ["c"]}, {  # names as Spark finds them: A is a
+        "pair": Reference(("b", "a"), parent, ("s", "u")), "narrower": Reference(("d",), parent, ("t",))})
+    assert sorted(map(tuple, report.collect())) == [
+        ("double", "duplicate_key", '["0.0"]', 2), ("narrower", "orphan", '["300"]', 2),
+        ("text first", "duplicate_key", '["x","1"]', 2), ("text first", "null_key", "[null,\"2\"]", 1),
+        ("text first", "null_key", "[null,null]", 1)]
