@@ -161,7 +161,7 @@ def key_report(df: DataFrame, unique: Mapping[str, Sequence[str]], references: M
     ``orphan`` (as ``orphan_keys``; a null part passes) for a name of ``references``. ``key`` is the JSON
     text of the values, those of a reference in the type of the parent's columns where they have one.
     Names must differ. Each row is expanded to its keys, the parents' keys are set beside them, and all
-    are counted per key in one shuffle, with partial counts per task, so a hot key costs a row a task.
+    are counted per key by one aggregation, with partial counts per task, so a hot key costs a row a task.
     Whole numbers are counted as such; only the keys reported become text.
     """
     if set(unique) & set(references) or not (unique or references):
@@ -188,6 +188,9 @@ def key_report(df: DataFrame, unique: Mapping[str, Sequence[str]], references: M
     def row(entry: dict[str, Column]) -> list[Column]:
         return [{**empty, **entry}[s].alias(s) for s in [*slots, "__check"]]
 
+    # the keys of a scan's task outgrow its memory and would nearly all be sorted and spilled; dealt
+    # evenly over the shuffle's partitions, without columns of no check, they are counted in memory
+    df = df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     rows = df.select(F.inline(F.array(*[F.struct(*row(e)) for e in entries]))).withColumn("__child", F.lit(True))
     for parent, entry in parents:
         rows = rows.unionByName(parent.select(*row(entry), F.lit(False).alias("__child")))

@@ -61,12 +61,14 @@ def test_bad_calls_and_clean_tables(spark, child):
         check_keys(other, {}, {"b": Reference(("id",), other.where("id <> 7"), ("id",))})
 
 
-def test_one_shuffle_of_numbers_and_no_join(spark):
-    child = spark.range(1000).selectExpr("id % 100 k", "cast(id % 7 as int) m", "id n")
+def test_numbers_are_counted_evenly_dealt_and_without_join(spark, tmp_path):
+    spark.range(1000).selectExpr("id % 100 k", "cast(id % 7 as int) m", "id n").write.parquet(str(tmp_path / "child"))
+    child = spark.read.parquet(str(tmp_path / "child"))
     parent = spark.range(1000).selectExpr("cast(id % 50 as int) p")
     report = key_report(child, {"a": ["k", "m"]}, {"b": Reference(("k",), parent, ("p",)), "c": Reference(("m",), parent, ("p",))})
     plan = report._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 1
+    assert plan.count("Exchange RoundRobinPartitioning") == 1 and "ReadSchema: struct<k:bigint,m:int>" in plan
     # whole numbers are counted as such, text is made of the keys reported
     assert "json" not in plan[plan.index("Exchange hashpartitioning"):].lower()
     got = sorted(map(tuple, report.collect()))
